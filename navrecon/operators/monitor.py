@@ -119,6 +119,18 @@ def kpi_metrics(performance: DataFrame, routed: DataFrame, log: DataFrame) -> Da
     return long(rows).unionByName(long(score)).unionByName(long(runs))
 
 
+def file_kpis(performance: DataFrame, totals: DataFrame) -> DataFrame:
+    """Success, error and pass rates of every file in long form."""
+    key = ["data_source", "file_name"]
+    good = F.count_if(has_required()) * F.lit(100.0)
+    wide = performance.groupBy(*key).agg(
+        F.round(good / F.count("*"), 2).alias("processing_success_rate"),
+        F.round((F.count("*") * F.lit(100.0) - good) / F.count("*"), 2).alias("error_rate_percent"),
+    ).join(totals.select(*key, F.col("pass_rate_percentage").alias("reconciliation_pass_rate")), key)
+    rates = ["processing_success_rate", "error_rate_percent", "reconciliation_pass_rate"]
+    return wide.unpivot(key, rates, "metric_name", "metric_value")
+
+
 def threshold_table(spark: SparkSession) -> DataFrame:
     """The alert limits: a fixed handful of rows."""
     return spark.createDataFrame(ALERTS, "metric_name string, comparison string, alert_limit double, alert string")

@@ -14,6 +14,7 @@ from navrecon.operators.running import cumulative_metrics, running_metrics
 from navrecon.schemas import (
     COMPLETED, FAILED, FLOW_TOLERANCE, PROCESSING_LOG, TWRR_TOLERANCE, WITH_WARNINGS,
 )
+from navrecon.session import fresh_dir
 from navrecon.sources import files, mapping, store
 
 
@@ -64,16 +65,21 @@ class LoadResult:
 
 
 def process_file(spark: SparkSession, path: str, vendor: str, target: str, now: Column) -> LoadResult:
-    """Read, standardise, derive, upsert. One plan and one write; the counts are
-    observed while it runs, so the input is not read again for them."""
+    """Read, standardise, derive, upsert.
+
+    The file is computed once, into a staging folder; its counts are observed
+    during that write. The upsert then reads the columnar staging rows.
+    """
     name = path.rstrip("/").split("/")[-1]
     try:
         raw = files.read_vendor_file(spark, path)
         seen = Observation("load")
         rows = standardise(raw, vendor, name, now).observe(
             seen, F.count("*").alias("total"), F.count_if("has_required_fields").alias("valid"))
-        store.append_performance(mapping.conform(rows), target)
+        staged = fresh_dir(spark, "staged")
+        mapping.conform(rows).write.parquet(staged)
         counts = seen.get
+        store.upsert_performance(spark, target, spark.read.parquet(staged), newest=("updated_at", "file_name"))
         return LoadResult("SUCCESS", counts["total"], counts["valid"], name, vendor)
     except Exception as problem:  # noqa: BLE001 - the log row must name any failure
         return LoadResult("FAILED", 0, 0, name, vendor, str(problem).splitlines()[0])

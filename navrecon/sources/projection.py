@@ -170,7 +170,11 @@ def arrivals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Pipeline log lines, one per event."""
+    return log_lines_of(_table(spark, folder, "events"))
+
+
+def log_lines_of(events: DataFrame) -> DataFrame:
+    """Pipeline log lines, one per event; the events may be a stream."""
     count = F.regexp_extract("props", r'"k": (\d+)', 1)
     message = (
         F.when(F.col("event_type") == "error", F.concat(F.lit("ERROR batch failed, variance above tolerance for user "), F.col("user_id").cast("string")))
@@ -179,12 +183,16 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_type") == "click", F.concat(F.lit("data quality check done, quality score: "), count))
         .otherwise("INFO heartbeat")
     )
-    return _table(spark, folder, "events").select("event_id", "ts", message.alias("message"))
+    return events.select("event_id", "ts", message.alias("message"))
 
 
 def metric_points(spark: SparkSession, folder: str) -> DataFrame:
+    return metric_points_of(_table(spark, folder, "events"))
+
+
+def metric_points_of(events: DataFrame) -> DataFrame:
     """Metric samples, one per event."""
-    return _table(spark, folder, "events").select(
+    return events.select(
         F.col("event_type").alias("metric_name"), "ts",
         F.col("value").cast("decimal(18,4)").alias("value"),
     )

@@ -51,16 +51,19 @@ def ingest_files(
 
 
 def log_windows(
-    spark: SparkSession, lines: DataFrame, count, target: str, checkpoint: str, lateness: str = "1 hour"
+    lines: DataFrame, count, target: str, checkpoint: str, lateness: str = "1 hour"
 ) -> None:
     """Streaming twin of a log-window query: each batch writes the windows it
-    changed. Lines later than `lateness` are not counted any more."""
-    _run(count(lines.withWatermark("ts", lateness)), target, checkpoint, "update")
+    changed. Lines later than `lateness` are not counted any more. Watermarks
+    need an instant, so times without zone are taken in the session's (UTC)."""
+    timed = lines.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+    _run(count(timed), target, checkpoint, "update")
 
 
 def newest_windows(spark: SparkSession, target: str, key: tuple[str, ...] = ("window_start",)) -> DataFrame:
     """Current state of the windows: the last batch that wrote each."""
-    return keep_latest(spark.read.parquet(target), key, ("batch",)).drop("batch")
+    rows = keep_latest(spark.read.parquet(target), key, ("batch",)).drop("batch")
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
