@@ -432,12 +432,12 @@ def derive_on_write(s, d):
 
 @query()
 def recon_report(s, d):
-    return flows.reconcile_files(stored(s, d), p.accounts(s, d))
+    return flows.reconcile_files(stored(s, d), with_portfolio(s, d))
 
 
 @query()
 def recommendations(s, d):
-    return reconcile.recommendations(flows.reconcile_files(stored(s, d), p.accounts(s, d)))
+    return reconcile.recommendations(flows.reconcile_files(stored(s, d), with_portfolio(s, d)))
 
 
 @query()
@@ -459,7 +459,7 @@ def severity_counts(s, d):
 
 @query()
 def portfolio_date_check(s, d):
-    return reconcile.portfolio_dates(with_portfolio(s, d))
+    return reconcile.portfolio_dates(reconcile.portfolio_stats(with_portfolio(s, d)))
 
 
 OUTLIER = ["data_source", "file_name", "portfolio_id", "account_id", "as_of_date", "calculated_twrr",
@@ -468,17 +468,20 @@ OUTLIER = ["data_source", "file_name", "portfolio_id", "account_id", "as_of_date
 
 @query({"mean_twrr": 6, "std_twrr": 6})
 def portfolio_outliers(s, d):
-    return reconcile.outliers(with_portfolio(s, d)).select(*OUTLIER, "severity")
+    rows = with_portfolio(s, d)
+    return reconcile.outliers(rows, reconcile.portfolio_stats(rows)).select(*OUTLIER, "severity")
 
 
 @query({"mean_twrr": 6, "std_twrr": 6})
 def portfolio_outlier_summary(s, d):
-    return reconcile.outlier_summary(reconcile.outliers(with_portfolio(s, d)))
+    rows = with_portfolio(s, d)
+    return reconcile.outlier_summary(reconcile.outliers(rows, reconcile.portfolio_stats(rows)))
 
 
 @query({"mean_twrr": 6, "std_twrr": 6})
 def outliers_pop(s, d):
-    found = reconcile.outliers(with_portfolio(s, d), sigmas=2, ddof=0, by=("portfolio_id",))
+    rows, by = with_portfolio(s, d), ("portfolio_id",)
+    found = reconcile.outliers(rows, reconcile.portfolio_stats(rows, 0, by), 2, by)
     return found.select("portfolio_id", "account_id", "as_of_date", "calculated_twrr", "mean_twrr", "std_twrr")
 
 
@@ -622,8 +625,8 @@ def dq_type_issues(s, d):
     return quality.issues(p.raw_text(s, d), quality.type_rules()).select(*ISSUE)
 
 
-def all_issues(s, d):
-    return flows.quality_issues(p.raw_text(s, d), stored(s, d), p.accounts(s, d))
+def all_issues(s, d, stats=None):
+    return flows.quality_issues(p.raw_text(s, d), stored(s, d), p.accounts(s, d), with_portfolio(s, d), stats)
 
 
 @query()
@@ -643,8 +646,10 @@ def recompute_check(s, d):
 
 @query()
 def file_gate(s, d):
+    owned = with_portfolio(s, d)
+    stats = reconcile.portfolio_stats(owned)
     return flows.file_gate(
-        all_issues(s, d), flows.reconcile_files(stored(s, d), p.accounts(s, d)),
+        all_issues(s, d, stats), flows.reconcile_files(stored(s, d), owned, stats),
         flows.recompute_check(p.performance(s, d)))
 
 

@@ -59,53 +59,51 @@ def with_portfolio(performance: DataFrame, accounts: DataFrame) -> DataFrame:
     return performance.join(accounts.select("account_id", "portfolio_id"), "account_id")
 
 
-def portfolio_dates(rows: DataFrame, by: tuple[str, ...] = FILE_KEY) -> DataFrame:
+PORTFOLIO = (*FILE_KEY, "portfolio_id")
+
+
+def portfolio_stats(
+    rows: DataFrame, ddof: int = 1, by: tuple[str, ...] = PORTFOLIO, value: str = "calculated_twrr"
+) -> DataFrame:
+    """Dates, accounts, mean and deviation per portfolio: one row per group,
+    folded before the shuffle, so a portfolio with a third of all rows costs no
+    task more than its share. Kept for broadcast once its size is measured."""
+    x = F.col(value).cast("double")
+    return broadcast_if_small(rows.groupBy(*by).agg(
+        F.count_distinct("as_of_date").alias("unique_dates"),
+        F.count_distinct("account_id").alias("total_accounts"),
+        F.avg(x).alias("mean_twrr"),
+        (F.stddev_samp if ddof else F.stddev_pop)(x).alias("std_twrr"),
+        F.count(value).alias("known_returns"),
+    ))
+
+
+def portfolio_dates(stats: DataFrame, by: tuple[str, ...] = PORTFOLIO) -> DataFrame:
     """Portfolios of a file whose accounts report on more than one date."""
-    return (
-        rows.groupBy(*by, "portfolio_id")
-        .agg(
-            F.count_distinct("as_of_date").alias("unique_dates"),
-            F.count_distinct("account_id").alias("total_accounts"),
-        )
-        .where("unique_dates > 1")
-        .select(
-            *by, "portfolio_id", F.lit("portfolio_date_consistency").alias("validation_type"),
-            "unique_dates", "total_accounts", F.lit("WARNING").alias("severity"),
-        )
+    return stats.where("unique_dates > 1").select(
+        *by, F.lit("portfolio_date_consistency").alias("validation_type"),
+        "unique_dates", "total_accounts", F.lit("WARNING").alias("severity"),
     )
 
 
 def outliers(
-    rows: DataFrame, sigmas: float = 3, ddof: int = 1,
-    by: tuple[str, ...] = (*FILE_KEY, "portfolio_id"), value: str = "calculated_twrr",
+    rows: DataFrame, stats: DataFrame, sigmas: float = 3,
+    by: tuple[str, ...] = PORTFOLIO, value: str = "calculated_twrr",
 ) -> DataFrame:
-    """Rows further than `sigmas` standard deviations from their group's mean.
-
-    Mean and deviation come from a partially aggregated groupBy, not a window,
-    so a group with a third of all rows never sits in one task. The statistics
-    have one row per group and are broadcast only after their size is measured.
-    """
-    deviation = F.stddev_samp if ddof else F.stddev_pop
-    x = F.col(value).cast("double")
-    stats = (
-        rows.groupBy(*by)
-        .agg(
-            F.avg(x).alias("mean_twrr"), deviation(x).alias("std_twrr"),
-            F.count(value).alias("_known"),
-        )
-        .where("_known > 1")
-        .drop("_known")
-    )
+    """Rows further than `sigmas` standard deviations from their group's mean, in
+    groups with more than one known return. No window over a group is needed."""
+    known = stats.where("known_returns > 1").select(*by, "mean_twrr", "std_twrr")
+    distance = F.abs(F.col(value).cast("double") - F.col("mean_twrr"))
     return (
-        rows.join(broadcast_if_small(stats), list(by))
-        .where(F.abs(x - F.col("mean_twrr")) > F.lit(float(sigmas)) * F.col("std_twrr"))
+        rows.join(known, list(by))
+        .where(distance > F.lit(float(sigmas)) * F.col("std_twrr"))
         .withColumn("severity", F.lit("WARNING"))
     )
 
 
-def outlier_summary(found: DataFrame, by: tuple[str, ...] = FILE_KEY) -> DataFrame:
+def outlier_summary(found: DataFrame, by: tuple[str, ...] = PORTFOLIO) -> DataFrame:
     """One validation per portfolio with outliers; the accounts stay in long form."""
-    return found.groupBy(*by, "portfolio_id").agg(
+    return found.groupBy(*by).agg(
         F.count("*").alias("outlier_rows"),
         F.first("mean_twrr").alias("mean_twrr"),
         F.first("std_twrr").alias("std_twrr"),
@@ -114,11 +112,12 @@ def outlier_summary(found: DataFrame, by: tuple[str, ...] = FILE_KEY) -> DataFra
     )
 
 
-def cross_validations(rows: DataFrame, by: tuple[str, ...] = FILE_KEY) -> DataFrame:
+def cross_validations(rows: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Both portfolio checks in one table: one row per finding."""
-    common = [*by, "portfolio_id", "validation_type", "severity"]
-    return portfolio_dates(rows, by).select(*common).unionByName(
-        outlier_summary(outliers(rows, by=(*by, "portfolio_id")), by).select(*common)
+    stats = portfolio_stats(rows) if stats is None else stats
+    common = [*PORTFOLIO, "validation_type", "severity"]
+    return portfolio_dates(stats).select(*common).unionByName(
+        outlier_summary(outliers(rows, stats)).select(*common)
     )
 
 

@@ -111,20 +111,25 @@ def processing_log(performance: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_files(performance: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Report row of every file: checks, cross-account findings, verdict."""
-    checks = reconcile.check_rows(performance)
-    found = reconcile.cross_validations(reconcile.with_portfolio(performance, accounts))
-    return reconcile.report(reconcile.report_totals(checks), found)
+def reconcile_files(performance: DataFrame, owned: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Report row of every file: checks, cross-account findings, verdict.
+
+    `owned` is the performance with its portfolio; `stats` the portfolio
+    statistics when they are already at hand.
+    """
+    found = reconcile.cross_validations(owned, stats)
+    return reconcile.report(reconcile.report_totals(reconcile.check_rows(performance)), found)
 
 
-def quality_issues(raw: DataFrame, performance: DataFrame, accounts: DataFrame) -> DataFrame:
+def quality_issues(
+    raw: DataFrame, performance: DataFrame, accounts: DataFrame, owned: DataFrame, stats: DataFrame | None = None
+) -> DataFrame:
     """All issues: record and type rules, unknown accounts, portfolio outliers."""
-    far = reconcile.outliers(reconcile.with_portfolio(performance, accounts))
+    stats = reconcile.portfolio_stats(owned) if stats is None else stats
     return (
         quality.issues(raw)
         .unionByName(quality.orphan_issues(performance, accounts))
-        .unionByName(quality.outlier_issues(far))
+        .unionByName(quality.outlier_issues(reconcile.outliers(owned, stats)))
     )
 
 
