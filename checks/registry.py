@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,27 +49,33 @@ def query(digits: dict[str, int] | None = None):
     return add
 
 
+@lru_cache(maxsize=16)
 def stored(s, d):
     """The table with its key enforced: newest row per account and date."""
     return latest.keep_latest(p.performance(s, d))
 
 
+@lru_cache(maxsize=16)
 def with_portfolio(s, d):
     return reconcile.with_portfolio(stored(s, d), p.accounts(s, d))
 
 
+@lru_cache(maxsize=16)
 def checks(s, d):
     return reconcile.check_rows(stored(s, d))
 
 
+@lru_cache(maxsize=16)
 def results(s, d):
     return reconcile.results(stored(s, d))
 
 
+@lru_cache(maxsize=16)
 def issues(s, d):
     return quality.issues(p.raw_text(s, d))
 
 
+@lru_cache(maxsize=16)
 def log(s, d):
     return flows.processing_log(p.performance(s, d))
 

@@ -1,11 +1,14 @@
 """The performance data model projected from the order tables used for testing.
 
 Deterministic, so a SQL engine can repeat it. Modulo rules below only plant the
-defects the checks must find; no row is left out.
+defects the checks must find; no row is left out. The functions keep the plans
+they built (never data), so a query that uses a table twice builds it once.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from navrecon.functions.finance import net_flow, or_zero, period_return
 from navrecon.schemas import COMPLETED, MONEY, PENDING, RATE, WITH_ISSUES
 
 
+@lru_cache(maxsize=16)
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -37,6 +41,7 @@ def _every(n: int, key: str = "period_id") -> Column:
     return F.col(key) % n == 0
 
 
+@lru_cache(maxsize=16)
 def records(spark: SparkSession, folder: str) -> DataFrame:
     """Vendor records: one per order, money from its lines, with file lineage."""
     price = _hundredths("l_extendedprice")
@@ -97,6 +102,7 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=16)
 def performance(spark: SparkSession, folder: str) -> DataFrame:
     """Stored rows: records plus derived columns; every 19th flow is stored wrong."""
     status = (
@@ -115,6 +121,7 @@ def performance(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=16)
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
     """Account dimension; every 50th customer has none, every 10th is inactive."""
     return (
@@ -132,6 +139,7 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=16)
 def raw_text(spark: SparkSession, folder: str) -> DataFrame:
     """The records as a vendor would send them: all text, with planted bad values."""
     text = {name: F.col(name).cast("string") for name in (
@@ -159,6 +167,7 @@ def raw_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=16)
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """One arriving file key per order, in varied folders, spellings and sizes."""
     vendor = F.element_at(
@@ -179,6 +188,7 @@ def arrivals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=16)
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return log_lines_of(_table(spark, folder, "events"))
 
@@ -196,6 +206,7 @@ def log_lines_of(events: DataFrame) -> DataFrame:
     return events.select("event_id", "ts", message.alias("message"))
 
 
+@lru_cache(maxsize=16)
 def metric_points(spark: SparkSession, folder: str) -> DataFrame:
     return metric_points_of(_table(spark, folder, "events"))
 
