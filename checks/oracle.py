@@ -610,6 +610,10 @@ ORACLE: dict[str, str] = {
     "dq_rules": sql(f"SELECT {ISSUE_ROW} FROM ({UNION.join(RULES)})", "raw_text"),
     "dq_type_issues": sql(f"SELECT {ISSUE_ROW} FROM ({UNION.join(TYPES)})", "raw_text"),
     "dq_issues": sql("SELECT * FROM all_issues", "all_issues"),
+    "issues_without_log": sql("""SELECT period_id, file_name, issue_type, severity FROM issues WHERE file_name NOT IN
+      (SELECT file_name FROM log WHERE processing_start_time < TIMESTAMP '1999-01-01 00:00:00')""", "issues", "log"),
+    "surrogate_ids": sql("""SELECT SHA256(account_id || '~' || CAST(as_of_date AS VARCHAR) || '~' || field_name) AS id,
+      account_id, as_of_date, field_name FROM checks""", "checks"),
     "quality_rates": sql(f"""SELECT s.data_source, completeness_rate, validity_rate, accuracy_rate, consistency_rate,
       completeness_rate >= 95 AND validity_rate >= 95 AND accuracy_rate >= 95 AND consistency_rate >= 95
         AS all_at_least_95 FROM (SELECT data_source,

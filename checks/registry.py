@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from navrecon.functions import checks as ck
 from navrecon.functions.finance import annualize, net_flow, period_return
-from navrecon.functions.text import field_label, parse_date, rate_tier
+from navrecon.functions.text import field_label, parse_date, rate_tier, surrogate_id
 from navrecon.operators import latest, monitor, quality, reconcile, report
 from navrecon.operators.running import cumulative_metrics
 from navrecon.plans import flows
@@ -439,12 +439,12 @@ def derive_on_write(s, d):
 
 @query()
 def recon_report(s, d):
-    return flows.reconcile_files(stored(s, d), with_portfolio(s, d))
+    return flows.reconcile_files(with_portfolio(s, d))
 
 
 @query()
 def recommendations(s, d):
-    return reconcile.recommendations(flows.reconcile_files(stored(s, d), with_portfolio(s, d)))
+    return reconcile.recommendations(flows.reconcile_files(with_portfolio(s, d)))
 
 
 @query()
@@ -641,6 +641,18 @@ def dq_issues(s, d):
     return all_issues(s, d).select("period_id", "data_source", "file_name", "issue_type", "field_name", "severity")
 
 
+@query()
+def issues_without_log(s, d):
+    early = log(s, d).where("processing_start_time < TIMESTAMP_NTZ'1999-01-01 00:00:00'")
+    return quality.issues_without_log(issues(s, d), early).select("period_id", "file_name", "issue_type", "severity")
+
+
+@query()
+def surrogate_ids(s, d):
+    return results(s, d).select(
+        surrogate_id("account_id", "as_of_date", "field_name").alias("id"), "account_id", "as_of_date", "field_name")
+
+
 @query()
 def quality_rates(s, d):
     return quality.quality_rates(p.performance(s, d), p.raw_text(s, d))
@@ -654,9 +666,9 @@ def recompute_check(s, d):
 @query()
 def file_gate(s, d):
     owned = with_portfolio(s, d)
-    stats = reconcile.portfolio_stats(owned)
+    facts = flows.reconciliation_facts(owned)
     return flows.file_gate(
-        all_issues(s, d, stats), flows.reconcile_files(stored(s, d), owned, stats),
+        all_issues(s, d, facts), flows.reconcile_files(owned, facts),
         flows.recompute_check(p.performance(s, d)))
 
 

@@ -61,3 +61,8 @@ def rate_tier(rate: Name, good: float = 98, fair: float = 95) -> Column:
 def since(moment: Name, as_of: str, days: int) -> Column:
     """Look-back filter ending at an explicit date, never at the clock."""
     return as_col(moment) >= F.expr(f"CAST(DATE'{as_of}' - INTERVAL {int(days)} DAYS AS TIMESTAMP_NTZ)")
+
+
+def surrogate_id(*keys: Name) -> Column:
+    """Row id derived from the key: the same on every rerun, unlike a random one."""
+    return F.sha2(F.concat_ws("~", *[F.coalesce(as_col(k).cast("string"), F.lit("")) for k in keys]), 256)

@@ -33,11 +33,14 @@ def upsert(
 def insert_if_absent(
     current: DataFrame, incoming: DataFrame, key: tuple[str, ...], first: tuple[str, ...]
 ) -> DataFrame:
-    """Add only rows whose key is not stored yet; of equal new keys the first stays."""
-    added = incoming.join(current.select(*key).distinct(), list(key), "left_anti")
+    """Add only rows whose key is not stored yet; of equal new keys the first stays.
+
+    Incoming rows are reduced to one per key before the join (already in the map
+    tasks), so a key repeated very often does not travel.
+    """
     order = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in first])
-    added = added.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
-    return current.unionByName(added)
+    fresh = incoming.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    return current.unionByName(fresh.join(current.select(*key).distinct(), list(key), "left_anti"))
 
 
 def update_status(

@@ -91,6 +91,12 @@ def orphan_accounts(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     return rows.join(accounts.select("account_id"), "account_id", "left_anti")
 
 
+def issues_without_log(found: DataFrame, log: DataFrame) -> DataFrame:
+    """Issues of files that no processing-log row knows. One log row per file
+    is kept before the join."""
+    return found.join(log.select("file_name").distinct(), "file_name", "left_anti")
+
+
 def orphan_issues(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     return orphan_accounts(rows, accounts).select(
         "period_id", "data_source", "file_name", "account_id", "as_of_date",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +34,48 @@ def pass_rate(passed: Column, total: Column) -> Column:
     return F.round(F.try_divide(passed * F.lit(100.0), total), 2)
 
 
+VERDICTS = ("_value_ok", "_twrr_ok", "_flow_ok")
+
+
+def with_verdicts(performance: DataFrame) -> DataFrame:
+    """The three verdicts as columns of the row, for counting without a long form."""
+    outcomes = (value_outcome(), twrr_outcome(), flow_outcome())
+    return performance.select("*", *[o["within_tolerance"].alias(n) for n, o in zip(VERDICTS, outcomes)])
+
+
+def check_counts() -> tuple[Column, ...]:
+    """Check counts as aggregates over rows with verdicts."""
+    def total(wanted: Callable[[Column], Column]) -> Column:
+        return sum((F.count_if(wanted(F.col(n))) for n in VERDICTS), F.lit(0))
+
+    return (
+        (F.count("*") * len(VERDICTS)).alias("total_checks"),
+        total(lambda v: v).alias("passed_checks"),
+        total(lambda v: v.isNull()).alias("not_comparable"),
+    )
+
+
+def totals_from_counts(counted: DataFrame, by: tuple[str, ...] = FILE_KEY) -> DataFrame:
+    """Fold finer counts into the totals of a file."""
+    names = ["total_checks", "passed_checks", "not_comparable"]
+    return _with_rate(counted.groupBy(*by).agg(*[F.sum(n).alias(n) for n in names]))
+
+
+def _with_rate(totals: DataFrame) -> DataFrame:
+    failed = F.col("total_checks") - F.col("passed_checks")
+    return totals.withColumn("failed_checks", failed).withColumn(
+        "pass_rate_percentage", pass_rate(F.col("passed_checks"), F.col("total_checks")))
+
+
 def report_totals(checks: DataFrame, by: tuple[str, ...] = FILE_KEY) -> DataFrame:
     """Check totals per group. A check without verdict counts as failed here and
     is also shown apart as not_comparable."""
     ok = F.coalesce(F.col("within_tolerance"), F.lit(False))
-    return (
-        checks.groupBy(*by)
-        .agg(
-            F.count("*").alias("total_checks"),
-            F.count_if(ok).alias("passed_checks"),
-            F.count_if(F.col("within_tolerance").isNull()).alias("not_comparable"),
-        )
-        .withColumn("failed_checks", F.col("total_checks") - F.col("passed_checks"))
-        .withColumn("pass_rate_percentage", pass_rate(F.col("passed_checks"), F.col("total_checks")))
-    )
+    return _with_rate(checks.groupBy(*by).agg(
+        F.count("*").alias("total_checks"),
+        F.count_if(ok).alias("passed_checks"),
+        F.count_if(F.col("within_tolerance").isNull()).alias("not_comparable"),
+    ))
 
 
 def failures(checks: DataFrame) -> DataFrame:
@@ -54,20 +84,23 @@ def failures(checks: DataFrame) -> DataFrame:
 
 
 def with_portfolio(performance: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Attach portfolio_id. No broadcast hint: accounts grow with the data, so the
-    measured size decides, and hot accounts are split by the skew join."""
-    return performance.join(accounts.select("account_id", "portfolio_id"), "account_id")
+    """Attach portfolio_id, null for an unknown account. No broadcast hint: accounts
+    grow with the data, so the measured size decides, and a hot account is split
+    by the skew join."""
+    return performance.join(accounts.select("account_id", "portfolio_id"), "account_id", "left")
 
 
 PORTFOLIO = (*FILE_KEY, "portfolio_id")
 
 
 def portfolio_stats(
-    rows: DataFrame, ddof: int = 1, by: tuple[str, ...] = PORTFOLIO, value: str = "calculated_twrr"
+    rows: DataFrame, ddof: int = 1, by: tuple[str, ...] = PORTFOLIO,
+    value: str = "calculated_twrr", extra: tuple[Column, ...] = (),
 ) -> DataFrame:
     """Dates, accounts, mean and deviation per portfolio: one row per group,
     folded before the shuffle, so a portfolio with a third of all rows costs no
-    task more than its share. Kept for broadcast once its size is measured."""
+    task more than its share. Kept for broadcast once its size is measured.
+    `extra` aggregates ride along in the same pass."""
     x = F.col(value).cast("double")
     return broadcast_if_small(rows.groupBy(*by).agg(
         F.count_distinct("as_of_date").alias("unique_dates"),
@@ -75,12 +108,13 @@ def portfolio_stats(
         F.avg(x).alias("mean_twrr"),
         (F.stddev_samp if ddof else F.stddev_pop)(x).alias("std_twrr"),
         F.count(value).alias("known_returns"),
+        *extra,
     ))
 
 
 def portfolio_dates(stats: DataFrame, by: tuple[str, ...] = PORTFOLIO) -> DataFrame:
     """Portfolios of a file whose accounts report on more than one date."""
-    return stats.where("unique_dates > 1").select(
+    return stats.where((F.col("unique_dates") > 1) & F.col("portfolio_id").isNotNull()).select(
         *by, F.lit("portfolio_date_consistency").alias("validation_type"),
         "unique_dates", "total_accounts", F.lit("WARNING").alias("severity"),
     )

@@ -111,14 +111,19 @@ def processing_log(performance: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_files(performance: DataFrame, owned: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+def reconciliation_facts(owned: DataFrame) -> DataFrame:
+    """Check counts and portfolio statistics of every file in one pass over the
+    rows; `owned` is the performance with its portfolio."""
+    return reconcile.portfolio_stats(reconcile.with_verdicts(owned), extra=reconcile.check_counts())
+
+
+def reconcile_files(owned: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Report row of every file: checks, cross-account findings, verdict.
 
-    `owned` is the performance with its portfolio; `stats` the portfolio
-    statistics when they are already at hand.
+    The rows are read twice: once for the facts, once to find the outliers.
     """
-    found = reconcile.cross_validations(owned, stats)
-    return reconcile.report(reconcile.report_totals(reconcile.check_rows(performance)), found)
+    facts = reconciliation_facts(owned) if facts is None else facts
+    return reconcile.report(reconcile.totals_from_counts(facts), reconcile.cross_validations(owned, facts))
 
 
 def quality_issues(

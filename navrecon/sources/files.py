@@ -36,10 +36,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
-def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """Nested JSON arrays of vendor C, flattened. The schema is fixed, so no
-    inference pass; an indented array is one task per file."""
-    reader = spark.read.schema(VENDOR_C).option("multiLine", True)
+def read_json(
+    spark: SparkSession, path: str | Sequence[str], glob: str | None = None, lines: bool = False
+) -> DataFrame:
+    """Nested JSON records of vendor C, flattened. The schema is fixed, so no
+    inference pass. An indented array is one task per file; with lines=True the
+    file holds one record per line and is split."""
+    reader = spark.read.schema(VENDOR_C).option("multiLine", not lines)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return flatten_nested(reader.json(path if isinstance(path, str) else list(path)))

@@ -86,17 +86,32 @@ def test_portfolio_dates(perf):
 
 def test_report_flow_and_recommendations(perf):
     good = owned(perf, ["0.0234"], **{k: v for k, v in BALANCED.items() if k != "calculated_twrr"})
-    report = flows.reconcile_files(good, good)
+    report = flows.reconcile_files(good)
     assert (report.first().overall_status, report.first().reconciliation_status) == ("PASS", "COMPLETED")
     assert [r.recommendation for r in reconcile.recommendations(report).collect()] == [
         "All reconciliation checks passed. Data quality is acceptable."]
     bad = good.withColumn("fees", F.lit(Decimal("1000.00")))
-    report = flows.reconcile_files(bad, bad)
+    report = flows.reconcile_files(bad)
     assert (report.first().overall_status, report.first().reconciliation_status) == ("FAIL", "COMPLETED_WITH_ISSUES")
     assert reconcile.recommendations(report).count() == 2
     assert reconcile.rate_gate(report).first().gate_status == "COMPLETED_WITH_ISSUES"
 
 
+def test_counts_equal_the_long_form(perf):
+    rows = perf(BALANCED, {**BALANCED, "vendor_twrr": None}, {**BALANCED, "fees": 999, "file_name": "g.csv"})
+    by = ["data_source", "file_name"]
+    fast = reconcile.totals_from_counts(reconcile.with_verdicts(rows).groupBy(*by).agg(*reconcile.check_counts()))
+    slow = reconcile.report_totals(reconcile.check_rows(rows))
+    assert sorted(fast.collect()) == sorted(slow.select(*fast.columns).collect())
+
+
+def test_unknown_accounts_stay_in_the_totals(spark, perf):
+    accounts = spark.createDataFrame([("A0", "P")], "account_id string, portfolio_id string")
+    rows = perf({**BALANCED, "account_id": "A0"}, {**BALANCED, "account_id": "lost"}).drop("portfolio_id")
+    owned = reconcile.with_portfolio(rows, accounts)
+    assert flows.reconcile_files(owned).first().total_checks == 6
+
+
 def test_check_matrix(perf):
     rows = perf({**BALANCED, "account_id": "A"}, {**BALANCED, "account_id": "B", "fees": 1},
                 {**BALANCED, "account_id": "C", "vendor_twrr": "0.5"})
