@@ -145,7 +145,7 @@ BLOCKS = {
     "accounts": ("""SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS account_name,
       CAST(c_nationkey AS VARCHAR) AS portfolio_id, c_mktsegment AS account_type,
       CASE WHEN c_custkey % 10 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
-      FROM customer WHERE c_custkey % 50 <> 0""", []),
+      FROM customer WHERE c_acctbal >= -500""", []),
     "ported": ("SELECT stored.*, portfolio_id FROM stored JOIN accounts USING (account_id)", ["stored", "accounts"]),
     "raw_text": ("""SELECT period_id, CASE WHEN period_id % 29 = 0 THEN '' ELSE account_id END AS account_id,
       'Account ' || account_id AS account_name,
