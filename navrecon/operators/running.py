@@ -1,24 +1,28 @@
-"""Running sums and products per account that do not put an account in one task.
+"""Running sums and products per account that do not put a hot account in one task.
 
-A plain window over account_id sends all rows of an account to one task. Here
-the rows are cut into chunks (account, date, block of the tie-break). Each chunk
-first contributes one total (partially aggregated before the shuffle); a window
-over those few totals gives every chunk its opening balance. The opening balance
-then enters the chunk as its first row, so one window over chunks yields the
-exact running value. No join is needed, so null keys keep their rows.
+A window over account_id sends all rows of an account to one task. That is the
+cheapest plan for accounts of ordinary size and keeps being used for them. The
+accounts above a row limit are found first by a count (folded before the shuffle,
+one column read); their number is bounded by rows / limit. Their rows are cut into
+chunks (account, date, block of the tie-break). Each chunk contributes one total; a
+window over those totals gives every chunk its opening balance, which enters the
+chunk as its first row, so one window over chunks yields the exact running value.
 
-Sizes: a chunk holds at most block_width rows because the tie-break is unique;
-the totals of an account number at most its days times the blocks per day.
+Sizes: an ordinary account has at most hot_above rows. A chunk holds at most
+block_width rows because the tie-break is unique; the totals of an account number
+at most its days times the blocks per day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from navrecon.functions.finance import growth_factor
+from navrecon.session import broadcast_if_small
 
 BLOCK_WIDTH = 1 << 24
+HOT_ROWS = 1 << 22
 
 
 def running_metrics(
@@ -30,45 +34,76 @@ def running_metrics(
     tie: str = "period_id",
     block: Column | None = None,
     block_width: int = BLOCK_WIDTH,
+    hot_above: int = HOT_ROWS,
 ) -> DataFrame:
     """Add running sums and running products over (date, tie) within an account.
 
     `block` must grow with `tie`; by default it is tie divided by block_width.
-    Product inputs must not be null; sum inputs may be.
+    Product inputs must not be null; sum inputs may be. The accounts with more
+    than hot_above rows are counted when the plan is built.
     """
     sums, products = sums or {}, products or {}
-    outputs = [*sums, *products]
-    block = F.floor(F.col(tie) / F.lit(block_width)) if block is None else block
     inputs = df.select(
-        "*",
-        block.alias("_block"),
-        *[value.alias(f"_in_{name}") for name, value in {**sums, **products}.items()],
+        "*", *[value.alias(f"_in_{name}") for name, value in {**sums, **products}.items()])
+    block = F.floor(F.col(tie) / F.lit(block_width)) if block is None else block
+    folds = {name: (F.product if name in products else F.sum) for name in [*sums, *products]}
+
+    hot = hot_accounts(df, account, hot_above)
+    if hot is None:
+        out = _whole_accounts(inputs, folds, account, date, tie)
+    else:
+        same = inputs[account].eqNullSafe(hot["_hot"])
+        out = _whole_accounts(inputs.join(hot, same, "left_anti"), folds, account, date, tie).unionByName(
+            _in_chunks(inputs.join(hot, same, "left_semi"), folds, account, date, tie, block))
+    return out.drop(*[f"_in_{name}" for name in folds])
+
+
+def hot_accounts(df: DataFrame, account: str, above: int) -> DataFrame | None:
+    """Accounts with more than `above` rows, ready for broadcast, or None.
+
+    Null counts as an account. The list is counted once and kept on shared
+    storage, so both halves of the split see the same list.
+    """
+    found = df.groupBy(F.col(account).alias("_hot")).agg(F.count("*").alias("_n")).where(F.col("_n") > above)
+    kept = broadcast_if_small(found.select("_hot"), max_rows=1_000_000)
+    return None if kept.isEmpty() else kept
+
+
+def _fold(fold, name: str, over: WindowSpec) -> Column:
+    return fold(F.col(f"_in_{name}")).over(over).alias(name)
+
+
+def _whole_accounts(inputs: DataFrame, folds: dict, account: str, date: str, tie: str) -> DataFrame:
+    upto = (
+        Window.partitionBy(account).orderBy(date, tie)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    chunk = [account, date, "_block"]
+    return inputs.select("*", *[_fold(fold, name, upto) for name, fold in folds.items()])
 
-    def fold(name: str) -> Column:
-        value = F.col(f"_in_{name}")
-        return F.product(value) if name in products else F.sum(value)
 
-    totals = inputs.groupBy(*chunk).agg(*[fold(name).alias(f"_in_{name}") for name in outputs])
+def _in_chunks(
+    inputs: DataFrame, folds: dict, account: str, date: str, tie: str, block: Column
+) -> DataFrame:
+    inputs = inputs.withColumn("_block", block)
+    chunk = [account, date, "_block"]
+    totals = inputs.groupBy(*chunk).agg(
+        *[fold(F.col(f"_in_{name}")).alias(f"_in_{name}") for name, fold in folds.items()])
     before = (
         Window.partitionBy(account).orderBy(date, "_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     opening = totals.select(
-        *chunk,
-        F.lit(0).alias("_row"),
-        *[fold(name).over(before).alias(f"_in_{name}") for name in outputs],
-    )
+        *chunk, F.lit(0).alias("_row"),
+        *[fold(F.col(f"_in_{name}")).over(before).alias(f"_in_{name}") for name, fold in folds.items()])
     upto = (
         Window.partitionBy(*chunk).orderBy("_row", tie)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     stacked = inputs.withColumn("_row", F.lit(1)).unionByName(opening, allowMissingColumns=True)
     return (
-        stacked.select("*", *[fold(name).over(upto).alias(name) for name in outputs])
+        stacked.select("*", *[_fold(fold, name, upto) for name, fold in folds.items()])
         .where(F.col("_row") == 1)
-        .drop("_block", "_row", *[f"_in_{name}" for name in outputs])
+        .drop("_block", "_row")
     )
 
 

@@ -5,7 +5,7 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
-from navrecon.operators.running import cumulative_metrics, running_metrics
+from navrecon.operators.running import cumulative_metrics, hot_accounts, running_metrics
 from pyspark.sql import functions as F
 
 
@@ -40,11 +40,13 @@ def brute(rows, log=False):
     return out
 
 
-@pytest.mark.parametrize("width", [1, 50, 1000, 1 << 24])
+@pytest.mark.parametrize("width", [1, 1000, 1 << 24])
+@pytest.mark.parametrize("hot_above", [0, 150, 10_000])
 @pytest.mark.parametrize("mode", ["product", "log"])
-def test_running_values_match_brute_force(spark, width, mode):
+def test_running_values_match_brute_force(spark, width, hot_above, mode):
     rows = rows_with_hot_account()
-    out = cumulative_metrics(spark.createDataFrame(rows, SCHEMA), mode=mode, block_width=width).collect()
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = cumulative_metrics(df, mode=mode, block_width=width, hot_above=hot_above).collect()
     expected = brute(rows, log=mode == "log")
     assert len(out) == len(rows)
     for row in out:
@@ -69,10 +71,17 @@ def test_total_loss_stays_in_the_product_but_not_in_the_log(spark):
     assert values["log"] == pytest.approx([0.1, 0.1, 1.2])
 
 
-def test_no_window_over_the_bare_account_reads_rows(spark):
-    """Rows meet only a window over (account, day, block)."""
-    df = spark.createDataFrame(rows_with_hot_account(50), SCHEMA)
-    plan = running_metrics(df, {"s": F.col("net_flow")})._jdf.queryExecution().optimizedPlan().toString()
+def test_hot_accounts_are_found_and_null_is_an_account(spark):
+    rows = [(i, a, dt.date(2024, 1, 1), None, None) for i, a in enumerate(["a"] * 3 + ["b"] * 2 + [None] * 4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {r[0] for r in hot_accounts(df, "account_id", 2).collect()} == {"a", None}
+    assert hot_accounts(df, "account_id", 4) is None
+
+
+def test_hot_rows_meet_only_a_window_over_chunks(spark):
+    df = spark.createDataFrame(rows_with_hot_account(60), SCHEMA)
+    plan = running_metrics(df, {"s": F.col("net_flow")}, hot_above=15)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2
-    assert "_block" in windows[0].rsplit("], [", 2)[1]
+    # Ordinary accounts, hot chunks, and the few totals of hot accounts.
+    assert len(windows) == 3 and sum("[account_id" in w and "_block" in w.rsplit("], [", 1)[0] for w in windows) >= 1
+    assert "LeftAnti" in plan and "LeftSemi" in plan
