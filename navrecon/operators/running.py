@@ -34,13 +34,14 @@ def running_metrics(
     tie: str = "period_id",
     block: Column | None = None,
     block_width: int = BLOCK_WIDTH,
-    hot_above: int = HOT_ROWS,
+    hot_above: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add running sums and running products over (date, tie) within an account.
 
     `block` must grow with `tie`; by default it is tie divided by block_width.
     Product inputs must not be null; sum inputs may be. The accounts with more
-    than hot_above rows are counted when the plan is built.
+    than hot_above rows are counted when the plan is built; None skips the count,
+    for rows already unique per account and date.
     """
     sums, products = sums or {}, products or {}
     inputs = df.select(
@@ -48,7 +49,7 @@ def running_metrics(
     block = F.floor(F.col(tie) / F.lit(block_width)) if block is None else block
     folds = {name: (F.product if name in products else F.sum) for name in [*sums, *products]}
 
-    hot = hot_accounts(df, account, hot_above)
+    hot = None if hot_above is None else hot_accounts(df, account, hot_above)
     if hot is None:
         out = _whole_accounts(inputs, folds, account, date, tie)
     else:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from navrecon.functions.checks import gap, limit, twrr_variance, twrr_within
 from navrecon.functions.finance import growth_factor, net_flow, period_return
 from navrecon.operators import quality, reconcile
+from navrecon.operators.latest import keep_latest
 from navrecon.operators.running import cumulative_metrics, running_metrics
 from navrecon.schemas import (
     COMPLETED, FAILED, FLOW_TOLERANCE, PROCESSING_LOG, TWRR_TOLERANCE, WITH_WARNINGS,
@@ -36,22 +37,22 @@ def financial_metrics(records: DataFrame, mode: str = "product", **layout) -> Da
     return cumulative_metrics(derive(records, strict=False), mode=mode, **layout)
 
 
-# Rows of a file carry no number of their own. Their content hash breaks ties,
-# its top six bits cut a crowded day into chunks.
-_TIE = "_tie"
+def typed_rows(raw: DataFrame, vendor: Column | str, file_name: Column | str, now: Column) -> DataFrame:
+    """Vendor text rows to typed standard rows with lineage and the required flag."""
+    typed = mapping.cast_types(mapping.normalize_columns(raw))
+    return quality.flag_required(mapping.with_audit(typed, vendor, file_name, now))
 
 
-def content_tie(df: DataFrame) -> DataFrame:
-    return df.withColumn(_TIE, F.xxhash64(*df.columns))
+def loaded_rows(typed: DataFrame) -> DataFrame:
+    """Typed rows of a load to finished table rows.
 
-
-def standardise(raw: DataFrame, vendor: Column | str, file_name: Column | str, now: Column) -> DataFrame:
-    """Vendor text rows to finished performance rows (not yet conformed)."""
-    typed = mapping.with_audit(mapping.cast_types(mapping.normalize_columns(raw)), vendor, file_name, now)
-    metrics = financial_metrics(
-        content_tie(typed), tie=_TIE, block=F.shiftright(F.col(_TIE), 58)
-    ).drop(_TIE)
-    return quality.flag_required(metrics)
+    The table key is enforced first: of rows repeating an account and date one
+    stays, chosen by content so that a rerun chooses the same. An account then
+    has one row per day, which bounds the window of the running values.
+    """
+    unique = keep_latest(
+        typed.withColumn("_content", F.xxhash64(*typed.columns)), newest=("updated_at", "_content"))
+    return financial_metrics(unique, tie="_content", hot_above=None).drop("_content")
 
 
 @dataclass
@@ -67,17 +68,17 @@ class LoadResult:
 def process_file(spark: SparkSession, path: str, vendor: str, target: str, now: Column) -> LoadResult:
     """Read, standardise, derive, upsert.
 
-    The file is computed once, into a staging folder; its counts are observed
+    All rows of the file are counted. The file is computed once, into a staging folder; its counts are observed
     during that write. The upsert then reads the columnar staging rows.
     """
     name = path.rstrip("/").split("/")[-1]
     try:
         raw = files.read_vendor_file(spark, path)
         seen = Observation("load")
-        rows = standardise(raw, vendor, name, now).observe(
+        typed = typed_rows(raw, vendor, name, now).observe(
             seen, F.count("*").alias("total"), F.count_if("has_required_fields").alias("valid"))
         staged = fresh_dir(spark, "staged")
-        mapping.conform(rows).write.parquet(staged)
+        mapping.conform(loaded_rows(typed)).write.parquet(staged)
         counts = seen.get
         store.upsert_performance(spark, target, spark.read.parquet(staged), newest=("updated_at", "file_name"))
         return LoadResult("SUCCESS", counts["total"], counts["valid"], name, vendor)

@@ -1,7 +1,7 @@
 """The performance data model projected from the order tables used for testing.
 
 Deterministic, so a SQL engine can repeat it. Modulo rules below only plant the
-defects the checks must find; no row is left out. The functions keep the plans
+defects the checks must find; every record is kept. The functions keep the plans
 they built (never data), so a query that uses a table twice builds it once.
 """
 
@@ -198,7 +198,9 @@ def log_lines_of(events: DataFrame) -> DataFrame:
     """Pipeline log lines, one per event; the events may be a stream."""
     count = F.regexp_extract("props", r'"k": (\d+)', 1)
     message = (
-        F.when(F.col("event_type") == "error", F.concat(F.lit("ERROR batch failed, variance above tolerance for user "), F.col("user_id").cast("string")))
+        F.when(
+            F.col("event_type") == "error",
+            F.concat(F.lit("ERROR batch failed, variance above tolerance for user "), F.col("user_id").cast("string")))
         .when(F.col("event_type") == "purchase", F.concat(F.lit("records processed: processed "), count, F.lit(" records")))
         .when(F.col("event_type") == "view", F.concat(F.lit("twrr variance found for user "), F.col("user_id").cast("string")))
         .when(F.col("event_type") == "click", F.concat(F.lit("data quality check done, quality score: "), count))

@@ -128,6 +128,16 @@ def test_process_file_end_to_end(spark):
     assert (log.records_processed, log.records_failed, log.status) == (3, 1, "COMPLETED")
 
 
+def test_repeated_rows_of_a_file_are_counted_but_stored_once(spark):
+    first = CSV.splitlines()[1]
+    path, target = write(spark, "vendor_a_2.csv", CSV + first + "\n" + first + "\n"), fresh_dir(spark, "table")
+    result = flows.process_file(spark, path, "vendor_a", target, now())
+    assert (result.total_records, result.valid_records) == (5, 4)
+    rows = {(r.account_id, str(r.as_of_date)): r for r in store.read_performance(spark, target).collect()}
+    assert len(rows) == 3
+    assert rows["ACC001", "2024-02-29"].cumulative_twrr == pytest.approx(1.03448276 * 1.01 - 1)
+
+
 def test_process_file_failure_is_reported(spark):
     result = flows.process_file(spark, "/nowhere/x.csv", "vendor_a", fresh_dir(spark, "t"), now())
     assert result.status == "FAILED" and "PATH_NOT_FOUND" in result.error
