@@ -1,7 +1,8 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each query is written to Spark's noop sink (all rows and columns are computed):
-one warm-up run, then the median of three.
+one warm-up run, then the median of three. Table plans built by the warm-up are
+reused by the later runs; no data is cached.
 """
 
 from __future__ import annotations
