@@ -6,16 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from navrecon.llm import exact_dedup, mixing, packing
+from navrecon.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from navrecon.llm.common import staged, table
 from navrecon.llm.queries import WORDS
 
 
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxic score of one half or more go."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).where("toxic_score < 0.5").select(*docs.columns)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each text stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return near_dedup.drop_near_copies(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, documents of small sources twice at most."""
     return mixing.mix_sources(docs, target_entropy=0.95, max_passes=2.0).select(*docs.columns)
@@ -27,7 +38,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("exact dedup", exact), ("mixing", mixed), ("packing", packed)]
+    ("toxicity", harmless), ("exact dedup", exact), ("near dedup", near), ("mixing", mixed), ("packing", packed)]
 
 #: Sequence tagging, sketches and tokenizers have no SQL form.
 ORACLE_SQL = None

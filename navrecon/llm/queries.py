@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navrecon.llm import (common, dac, exact_dedup, line_dedup, mixing, packing, secrets, sharding, topk)
+from navrecon.llm import (common, dac, exact_dedup, line_dedup, mixing, near_dedup, packing, secrets, sharding, topk,
+                           toxicity)
 from navrecon.session import fresh_dir
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +25,11 @@ def op2_polynomial_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(common.table(spark, folder, "documents"))
 
 
+def op3_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its class of near duplicates."""
+    return near_dedup.near_groups(common.table(spark, folder, "documents"))
+
+
 def op4_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents written as directly addressable codes and read back."""
     path = fresh_dir(spark, "token-ids")
@@ -65,9 +71,21 @@ def op9_temperature_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "source_weight", "mix_copy", "mix_block", "mix_at")
 
 
+def op10_chain_field(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs = common.table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, common.table(spark, folder, "labels"))
+    told = toxicity.score_documents(docs, model)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return told.select("doc_id", held_out.alias("held_out"), F.col("toxic_score").alias("score"),
+                       (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
+                       F.size("toxic_spans").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_shortest_pack_first, op2_polynomial_dedup, op4_addressable_codes, op5_owned_secrets,
-                            op6_balanced_propagation, op7_shared_lines, op8_histogram_top_k, op9_temperature_mixture)}
+    f.__name__: f for f in (op1_shortest_pack_first, op2_polynomial_dedup, op3_order_minhash, op4_addressable_codes,
+                            op5_owned_secrets, op6_balanced_propagation, op7_shared_lines, op8_histogram_top_k,
+                            op9_temperature_mixture, op10_chain_field)}
 
 STRIP = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
