@@ -27,18 +27,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navrecon.llm.common import importable, text_of
+from navrecon.llm.near_dedup import shingles, sketches, word_hashes
 
 SEGMENT = 128
 #: Words whose emission a worker keeps; beyond, it starts anew.
 CACHED = 400_000
 #: A feature's tie to toxic documents counts from here (chi square of one degree of freedom).
 TIED = 16.0
+#: And so many times as often must toxic documents hold it.
+RATIO = 8.0
 EDGES = ".,;:!?\"'()[]{}<>*_~"
 
 
 def features(word: str) -> list[str]:
     w = word.strip(EDGES) or word
-    return ["=" + w, *("^" + w[:k] for k in range(3, 7) if len(w) >= k), "$" + w[-4:]]
+    n = len(w)
+    return ["=" + w, "$" + w[-4:], *["^" + w[:k] for k in (3, 4, 5, 6, 7, 9) if n >= k]]
 
 
 # ---- the chain -------------------------------------------------------------
@@ -160,7 +164,7 @@ def tied(docs: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
     out = {}
     for f, a in held[1].items():
         b = held[0].get(f, 0)
-        if a * n <= (a + b) * n1:
+        if a * (n - n1) < RATIO * b * n1:
             continue
         g = 2 * sum(o * math.log(o / e) for o, e in (
             (a, (a + b) * n1 / n), (b, (a + b) * (n - n1) / n), (n1 - a, (n - a - b) * n1 / n),
@@ -170,9 +174,22 @@ def tied(docs: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
     return out
 
 
-def fit(texts: list[str], toxic: list[int], prior: float, rounds: int = 40) -> dict | None:
+def distinct(texts: list[str]) -> list[int]:
+    """Numbers of the texts that are no near copies of an earlier one: copies would tie any of their words to a label."""
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for i, t in enumerate(texts):
+        own = set(enumerate(sketches(shingles(word_hashes(t)), 4, 1)))
+        if not own & seen:
+            out.append(i)
+        seen |= own
+    return out
+
+
+def fit(texts: list[str], toxic: list[int], prior: float, rounds: int = 30) -> dict | None:
     """Weights of the field and of the score from labelled texts; None without both labels."""
-    y = np.array(toxic, bool)
+    kept = distinct(texts)
+    texts, y = [texts[i] for i in kept], np.array([toxic[i] for i in kept], bool)
     if y.all() or not y.any():
         return None
     split = [t.lower().split() for t in texts]
@@ -290,8 +307,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
           sample: int = 1500, max_chars: int = 50_000) -> dict | None:
     """The model from labelled documents that are not held out.
 
-    At most `sample` documents of each label are used, those with the smallest
-    hashes of their ids, and of those the ones of at most max_chars code points. Rows
+    At most `sample` toxic and twice as many other documents are used, those with the
+    smallest hashes of their ids, and of those the ones of at most max_chars code points. Rows
     without label or id are passed over; an id with several labels is toxic if one is.
     """
     allowed = (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
@@ -301,9 +318,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
               .agg(F.count("*").alias("n")).collect()}
     chosen = None
     for value in (0, 1):
-        part = allowed.where((F.col("__toxic") > 0).cast("int") == value).orderBy(F.xxhash64("__id"), "__id").limit(sample)
+        part = allowed.where((F.col("__toxic") > 0).cast("int") == value).orderBy(F.xxhash64("__id"), "__id").limit(
+            sample * (2 - value))
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most twice the sample: a bounded broadcast.
+    # At most three times the sample: a bounded broadcast.
     held = (docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text"))
             .where(F.char_length("__text") <= max_chars).join(F.broadcast(chosen), "__id")
             .groupBy("__id").agg(F.max("__toxic").alias("toxic"), F.min("__text").alias("text"))
