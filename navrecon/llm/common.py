@@ -47,9 +47,10 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
 
 
-def others(docs: DataFrame, *taken: str) -> list[str]:
-    """The columns of docs that an operator passes through: a name that it makes itself gives way."""
-    return [f"`{c}`" for c in docs.columns if c not in taken and not c.startswith("__")]
+def carried(docs: DataFrame, *taken: str) -> Column:
+    """The columns of docs that an operator passes through, as one column __doc, so that no name of theirs can
+    clash with one of the operator's. A name in taken, which the operator makes itself, gives way."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in taken]).alias("__doc")
 
 
 def running(df: DataFrame, keys: list[str], tie: list[str], name: str, value: Column | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import SPACE, importable, staged, text_of, with_rows
+from navrecon.llm.common import SPACE, carried, importable, staged, text_of, with_rows
 
 CHUNK = 1 << 16
 #: Two primes below 2**31 and a base for each: products stay below 2**63.
@@ -70,13 +70,13 @@ def chunks(base: DataFrame, *columns: str) -> DataFrame:
                         F.substring("__bin", F.col("__at") * CHUNK + 1, F.lit(CHUNK)).alias("__chunk")))
 
 
-def groups(base: DataFrame, id_col: str, primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """One row for each __row of base: id, keep id, group_size, kept, text_sha256."""
+def groups(base: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
+    """One row for each __row of base (__row, __id, __text): id, keep id, group_size, kept, text_sha256."""
     importable(base.sparkSession)
     hashed = (chunks(base).withColumn("__h", shifted_hashes(primes)("__chunk", "__tail"))
               .groupBy("__row").agg((F.sum("__h.a") % primes[0]).alias("__a"), (F.sum("__h.b") % primes[1]).alias("__b"),
                                     F.max("__size").alias("__size")))
-    facts = base.select("__row", F.col(f"`{id_col}`").alias("__id"), F.char_length("__text").alias("__points"),
+    facts = base.select("__row", "__id", F.char_length("__text").alias("__points"),
                         F.sha2(stripped(F.col("__text")), 256).alias("__sha"))
     marks = staged(hashed.join(facts, "__row"), "fingerprints")
     mark = ["__a", "__b", "__size"]
@@ -104,12 +104,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     then the smallest id, then one of the repeated rows. Null text is empty, empty
     texts are equal to each other; a null id is the largest. Other columns are ignored.
     """
-    base = with_rows(docs.select(F.col(f"`{id_col}`"), text_of(text_col).alias("__text")), "texts")
-    return groups(base, id_col, primes).drop("__row").withColumnRenamed("id", id_col)
+    base = with_rows(docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")), "texts")
+    return groups(base, primes).drop("__row").withColumnRenamed("id", id_col)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that exact_groups drops; all columns as they were."""
-    base = with_rows(docs.select(*[F.col(f"`{c}`") for c in docs.columns], text_of(text_col).alias("__text")), "texts")
-    gone = groups(base, id_col).where("not kept").select("__row")
-    return base.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    base = with_rows(docs.select(carried(docs), F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")), "texts")
+    gone = groups(base).where("not kept").select("__row")
+    return base.select("__row", "__doc").join(gone, "__row", "left_anti").select("__doc.*")

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import others, running, staged, text_of
+from navrecon.llm.common import carried, running, staged, text_of
 
 MADE = ("source_weight", "mix_copy", "mix_block", "mix_at")
 STEPS = 24
@@ -98,7 +98,7 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = 0.95, max_passes
     like the results are replaced. An empty table gives an empty table.
     """
     tokens = (F.regexp_count(text_of(text_col), F.lit(r"[^\x20\x09-\x0D]+")) + 1).cast("long")
-    work = docs.select(*others(docs, *MADE), F.col(f"`{source_col}`").isNull().alias("__none"),
+    work = docs.select(carried(docs, *MADE), F.col(f"`{source_col}`").isNull().alias("__none"),
                        F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("__source"),
                        tokens.alias("__tokens"),
                        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), text_of(text_col)).alias("__key"))
@@ -123,5 +123,5 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = 0.95, max_passes
     # Each pass permutes its blocks: a block's place in the pass is uniform, the pass's place in the mixture in order.
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "mix_copy", *keys, "mix_block"), 11) / F.lit(float(1 << 53))
     span = F.greatest(F.col("goal") / F.col("tokens"), F.col("mix_copy") + 1)
-    return copies.select(*others(docs, *MADE), F.col("weight").alias("source_weight"), "mix_copy",
+    return copies.select("__doc.*", F.col("weight").alias("source_weight"), "mix_copy",
                          F.col("mix_block").cast("long"), ((F.col("mix_copy") + place) / span).alias("mix_at"))

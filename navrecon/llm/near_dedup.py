@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import importable, staged, text_of, with_rows
+from navrecon.llm.common import carried, importable, staged, text_of, with_rows
 
 WORDS, SKETCHES, PICKS = 5, 20, 4
 #: Members from which a bucket of several classes is parted by further sketches, and how often.
@@ -247,7 +247,6 @@ def near_groups(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The one row of each class that stays, all columns as they were."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    base = with_rows(docs.select(*columns, F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")), "texts")
+    base = with_rows(docs.select(carried(docs), F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")), "texts")
     gone = grouped(base.select("__row", "__id", "__text"), threshold).where("not kept").select("__row")
-    return base.join(gone, "__row", "left_anti").select(*columns)
+    return base.select("__row", "__doc").join(gone, "__row", "left_anti").select("__doc.*")

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from navrecon.llm.common import importable, staged
 
 QUERIES, VECTORS, BINS = 512, 4096, 256
+#: Components and scores beyond this count as this.
+LIMIT = 2 ** 60
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
@@ -27,7 +29,8 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataF
     good = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (vectors.where(F.coalesce(good, F.lit(False)) & F.col(f"`{id_col}`").isNotNull())
             .select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                    F.transform(v, lambda x: F.floor(F.lit(scale) * x.cast("double"))).alias("v"))
+                    F.transform(v, lambda x: F.floor(F.least(F.lit(float(2 ** 61)), F.greatest(
+                        F.lit(float(-2 ** 61)), F.lit(scale) * x.cast("double"))))).alias("v"))
             .withColumn("dim", F.size("v")))
 
 
@@ -46,7 +49,9 @@ def scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
         return (q.astype(np.float32) @ v.T.astype(np.float32)).astype(np.int64)
     if bound < 2 ** 53:
         return (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64)
-    return q @ v.T
+    if bound < LIMIT:
+        return q @ v.T
+    return np.clip(q.astype(object) @ v.T.astype(object), -LIMIT, LIMIT).astype(np.int64)
 
 
 def _rows(batches, step: int = 128):
@@ -102,8 +107,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
           scale: float = 64.0) -> DataFrame:
     """(query_id, rank from 1, vec_id, score): each query's k best among the vectors with another id.
 
-    Vectors are quantised to floor(scale * x). The score is the integer inner product;
-    ties go to the smaller id; all are returned if there are fewer than k. Null
+    Vectors are quantised to floor(scale * x). The score is the integer inner product
+    (beyond LIMIT it counts as LIMIT); ties go to the smaller id; all are returned if there are fewer than k. Null
     vectors, vectors with a null or non-finite component and null ids take no part, on
     either side. Vectors of unlike length are not compared. Of rows with one id, the
     first by value stands for the id. Other columns are ignored.
@@ -119,12 +124,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
     a, b = most(held), most(asked)
     if a.m is None or b.m is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    bound = a.m * b.m * max(a.d, 1) + 1
+    bound = min(a.m * b.m * max(a.d, 1), LIMIT) + 1
     width = 1
-    while width * BINS < 2 * bound:
+    while width * BINS <= 2 * bound:
         width *= BINS
     state = asked.select("dim", "qblock", F.explode("ids").alias("query_id")).select(
-        "dim", "qblock", "query_id", F.lit(-width * BINS // 2).cast("long").alias("low"),
+        "dim", "qblock", "query_id", F.lit(-bound).cast("long").alias("low"),
         F.lit(width).cast("long").alias("width"), F.lit(0).cast("long").alias("above"))
     numbers = asked.select("dim", "qblock").distinct().groupBy("dim").agg(F.collect_list("qblock").alias("qblocks"))
 

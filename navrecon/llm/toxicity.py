@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import importable, text_of
+from navrecon.llm.common import carried, importable, text_of
 from navrecon.llm.near_dedup import shingles, sketches, word_hashes
 
 SEGMENT = 128
@@ -342,9 +342,11 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     """
     import pickle
     importable(docs.sparkSession)
-    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("toxic_score", "toxic_spans")])
+    rest = carried(docs, "toxic_score", "toxic_spans")
     if model is None:
-        return rest.withColumns({"toxic_score": F.lit(0.0), "toxic_spans": F.array().cast("array<struct<start:int,end:int>>")})
+        return docs.select(rest, text_of(text_col)).select(
+            "__doc.*", F.lit(0.0).alias("toxic_score"),
+            F.array().cast("array<struct<start:int,end:int>>").alias("toxic_spans"))
     blob = pickle.dumps(model)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -357,5 +359,5 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
             spans += [[{"start": a, "end": b} for a, b in f] for f in found]
         return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(spans, kind)], ["score", "spans"])
 
-    told = rest.withColumn("__judged", judged(text_of(text_col)))
-    return told.withColumns({"toxic_score": F.col("__judged.score"), "toxic_spans": F.col("__judged.spans")}).drop("__judged")
+    told = docs.select(rest, judged(text_of(text_col)).alias("__judged"))
+    return told.select("__doc.*", F.col("__judged.score").alias("toxic_score"), F.col("__judged.spans").alias("toxic_spans"))
