@@ -91,7 +91,8 @@ RULES = [
     _rule("null_distributions", "distributions", "LOW", "distributions IS NULL", "flow is missing", "not null"),
 ]
 TYPES = [
-    *[_rule(f"invalid_{c}_type", c, "HIGH", f"{c} IS NOT NULL AND {num(c)} IS NULL", "value is not a number", "number")
+    *[_rule(f"invalid_{c}_type", c, "HIGH", f"{c} IS NOT NULL AND TRY_CAST({c} AS {R if c in ('benchmark_return', 'vendor_twrr') else M}) IS NULL",
+          "value is not a number", "number")
       for c in NUMERIC],
     _rule("invalid_date_format", "as_of_date", "HIGH", f"as_of_date IS NOT NULL AND {DATE_OF_TEXT} IS NULL",
           "date matches no known format", "date"),
@@ -107,7 +108,8 @@ BLOCKS = {
       SUM(CAST(l_extendedprice AS {M}) * CAST(l_discount AS DECIMAL(4,2))) AS disc_amt,
       SUM(CAST(l_extendedprice AS {M}) * CAST(l_tax AS DECIMAL(4,2))) AS tax_amt
       FROM lineitem GROUP BY l_orderkey""", []),
-    "base": (f"""SELECT o_orderkey AS period_id, CAST(o_custkey AS VARCHAR) AS account_id,
+    "base": (f"""SELECT o_orderkey AS period_id, CAST(CASE WHEN o_orderkey % 53 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END
+        AS VARCHAR) AS account_id,
       CAST(o_orderdate AS DATE) AS as_of_date,
       CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_totalprice AS {M}) END AS beginning_market_value,
       CAST(a_amt * CAST(0.05 AS DECIMAL(3,2)) AS {M}) AS contributions,
@@ -116,7 +118,7 @@ BLOCKS = {
       CAST(o_amt * CAST(0.01 AS DECIMAL(3,2)) AS {M}) AS appreciation,
       CAST(disc_amt AS {M}) AS fees,
       CASE WHEN o_orderkey % 17 = 0 THEN CAST(1.25 AS {M}) END AS other_adjustments
-      FROM orders JOIN li ON o_orderkey = l_orderkey""", ["li"]),
+      FROM orders LEFT JOIN li ON o_orderkey = l_orderkey""", ["li"]),
     "flows": (f"""SELECT *, CAST(COALESCE(contributions, 0) - COALESCE(distributions, 0) AS {M}) AS flow,
       CASE period_id % 3 WHEN 0 THEN 'vendor_a' WHEN 1 THEN 'vendor_b' ELSE 'vendor_c' END AS data_source
       FROM base""", ["base"]),
@@ -142,10 +144,22 @@ BLOCKS = {
     "stored": ("""SELECT * EXCLUDE (rk) FROM (SELECT *, ROW_NUMBER() OVER (
       PARTITION BY account_id, as_of_date ORDER BY updated_at DESC, period_id DESC) AS rk FROM performance)
       WHERE rk = 1""", ["performance"]),
+    "load_rows": (f"""SELECT *, {DATE_OF_TEXT} AS day,
+      CASE WHEN TRIM(account_id) = '' THEN 'missing_account_id' WHEN {DATE_OF_TEXT} IS NULL THEN 'missing_or_invalid_date'
+        WHEN {' OR '.join(f"({c} IS NOT NULL AND TRY_CAST({c} AS {M if c not in ('benchmark_return', 'vendor_twrr') else R}) IS NULL)" for c in NUMERIC)}
+        THEN 'invalid_value' END AS reason FROM raw_text""", ["raw_text"]),
+    "load_parts": ("""SELECT reason AS part, COUNT(*) AS n FROM load_rows WHERE reason IS NOT NULL GROUP BY 1
+      UNION ALL SELECT 'stored', COUNT(*) FROM (SELECT DISTINCT account_id, day FROM load_rows WHERE reason IS NULL)
+      UNION ALL SELECT 'duplicate_key', n FROM (SELECT COUNT(*) - COUNT(DISTINCT (account_id, day)) AS n
+        FROM load_rows WHERE reason IS NULL) WHERE n > 0""", ["load_rows"]),
+    "accumulated": ("""SELECT *, SUM(COALESCE(net_flow, 0)) OVER w AS cumulative_net_flow,
+      PRODUCT(1 + COALESCE(CAST(calculated_twrr AS DOUBLE), 0)) OVER w - 1 AS cumulative_twrr
+      FROM stored WINDOW w AS (PARTITION BY account_id ORDER BY as_of_date, period_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", ["stored"]),
     "accounts": ("""SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS account_name,
       CAST(c_nationkey AS VARCHAR) AS portfolio_id, c_mktsegment AS account_type,
       CASE WHEN c_custkey % 10 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
-      FROM customer WHERE c_acctbal >= -500""", []),
+      FROM customer""", []),
     "ported": ("SELECT stored.*, portfolio_id FROM stored JOIN accounts USING (account_id)", ["stored", "accounts"]),
     "raw_text": ("""SELECT period_id, CASE WHEN period_id % 29 = 0 THEN '' ELSE account_id END AS account_id,
       'Account ' || account_id AS account_name,
@@ -340,8 +354,9 @@ ORACLE: dict[str, str] = {
     "flatten_vendor_c": sql(f"SELECT period_id, {', '.join(STANDARD)} FROM raw_text", "raw_text"),
     "perf_by_file": sql(f"""SELECT account_id, as_of_date, {dbl('beginning_market_value', 'ending_market_value',
       'contributions', 'distributions', 'income', 'appreciation', 'fees', 'other_adjustments', 'net_flow',
-      'calculated_twrr', 'vendor_twrr', 'benchmark_return', 'twrr_variance')}, twrr_tolerance_check FROM stored
-      WHERE file_name = 'vendor_b_performance_1997.csv' AND data_source = 'vendor_b'""", "stored"),
+      'calculated_twrr', 'vendor_twrr', 'benchmark_return', 'twrr_variance', 'cumulative_net_flow')},
+      ROUND(cumulative_twrr, 6) AS cumulative_twrr, twrr_tolerance_check FROM accumulated
+      WHERE file_name = 'vendor_b_performance_1997.csv' AND data_source = 'vendor_b'""", "accumulated"),
     "status_update": sql("""SELECT period_id, file_name,
       CASE WHEN hit THEN 'COMPLETED_WITH_ISSUES' ELSE reconciliation_status END AS reconciliation_status,
       CASE WHEN hit THEN TIMESTAMP '2001-08-02 00:00:00' ELSE updated_at END AS updated_at
@@ -369,11 +384,15 @@ ORACLE: dict[str, str] = {
                        "raw_text"),
     "conform_schema": sql(f"""SELECT account_id, as_of_date, {dbl('beginning_market_value', 'ending_market_value',
       'contributions', 'distributions', 'income', 'appreciation', 'fees', 'other_adjustments')},
-      CAST(NULL AS DOUBLE) AS net_flow, CAST(NULL AS DOUBLE) AS cumulative_net_flow,
-      CAST(NULL AS DOUBLE) AS calculated_twrr, CAST(NULL AS DOUBLE) AS cumulative_twrr,
-      {dbl('vendor_twrr', 'benchmark_return')}, CAST(NULL AS BOOLEAN) AS twrr_tolerance_check,
-      CAST(NULL AS DOUBLE) AS twrr_variance, data_source, file_name, CAST(NULL AS VARCHAR) AS processed_by,
-      created_at, updated_at, CAST(NULL AS VARCHAR) AS reconciliation_status FROM records""", "records"),
+      CAST(flow AS DOUBLE) AS net_flow, CAST(SUM(flow) OVER w AS DOUBLE) AS cumulative_net_flow,
+      CAST(fresh_twrr AS DOUBLE) AS calculated_twrr,
+      ROUND(PRODUCT(1 + COALESCE(CAST(fresh_twrr AS DOUBLE), 0)) OVER w - 1, 2) AS cumulative_twrr,
+      {dbl('vendor_twrr', 'benchmark_return')}, ABS(fresh_twrr - vendor_twrr) <= 0.0001 AS twrr_tolerance_check,
+      CAST(TRY_CAST(ABS(fresh_twrr - vendor_twrr) AS DECIMAL(12,8)) AS DOUBLE) AS twrr_variance, data_source,
+      file_name, CAST(NULL AS VARCHAR) AS processed_by,
+      created_at, updated_at, CAST(NULL AS VARCHAR) AS reconciliation_status
+      FROM fresh WINDOW w AS (PARTITION BY account_id ORDER BY as_of_date, period_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", "fresh"),
     "required_fields": sql("""SELECT period_id, account_id IS NOT NULL AND as_of_date IS NOT NULL
       AND beginning_market_value IS NOT NULL AND ending_market_value IS NOT NULL AS has_required_fields
       FROM performance""", "performance"),
@@ -400,10 +419,11 @@ ORACLE: dict[str, str] = {
       CAST(COALESCE(net_flow, 0) AS DOUBLE) AS net_flow
       FROM running WHERE as_of_date >= {AS_OF} - INTERVAL 1200 DAY""", "running"),
     "account_history": sql(f"""SELECT account_id, as_of_date, {dbl('beginning_market_value', 'ending_market_value',
-      'net_flow', 'calculated_twrr', 'vendor_twrr', 'twrr_variance')}, twrr_tolerance_check FROM stored
-      WHERE as_of_date >= {AS_OF} - INTERVAL 1200 DAY""", "stored"),
-    "accounts_page": sql(f"""SELECT {ACCOUNT_ROW} FROM stored ORDER BY account_id, as_of_date DESC
-      LIMIT 100 OFFSET 200""", "stored"),
+      'net_flow', 'calculated_twrr', 'vendor_twrr', 'twrr_variance', 'cumulative_net_flow')},
+      ROUND(cumulative_twrr, 6) AS cumulative_twrr, twrr_tolerance_check FROM accumulated
+      WHERE as_of_date >= {AS_OF} - INTERVAL 1200 DAY""", "accumulated"),
+    "accounts_page": sql(f"""SELECT {ACCOUNT_ROW}, {dbl('cumulative_net_flow')} FROM accumulated
+      ORDER BY account_id, as_of_date DESC LIMIT 100 OFFSET 200""", "accumulated"),
     "file_sample": sql(f"""SELECT period_id, account_id, as_of_date, {dbl('beginning_market_value',
       'ending_market_value', 'calculated_twrr', 'vendor_twrr')} FROM stored
       WHERE file_name = 'vendor_c_performance_1996.csv' AND data_source = 'vendor_c'
@@ -489,7 +509,7 @@ ORACLE: dict[str, str] = {
       FROM (
         SELECT data_source, file_name, 1 AS k,
           'Low pass rate detected. Review calculation logic and data quality.' AS recommendation
-          FROM reports WHERE pass_rate_percentage < 95
+          FROM reports WHERE passed_checks * 100.0 < 95 * total_checks
         UNION ALL SELECT data_source, file_name, 2, CAST(failed_checks AS VARCHAR)
           || ' reconciliation checks failed. Investigate tolerance thresholds and data accuracy.'
           FROM reports WHERE failed_checks > 0
@@ -497,9 +517,9 @@ ORACLE: dict[str, str] = {
           'Data quality warnings detected. Consider additional validation rules.' FROM reports WHERE warning_count > 0
         UNION ALL SELECT data_source, file_name, 5,
           'All reconciliation checks passed. Data quality is acceptable.' FROM reports
-          WHERE pass_rate_percentage >= 95 AND failed_checks = 0 AND warning_count = 0)""", "reports"),
+          WHERE passed_checks * 100.0 >= 95 * total_checks AND failed_checks = 0 AND warning_count = 0)""", "reports"),
     "recon_rate_gate": sql("""SELECT data_source, file_name, pass_rate_percentage,
-      CASE WHEN pass_rate_percentage > 95 THEN 'COMPLETED' ELSE 'COMPLETED_WITH_ISSUES' END AS gate_status
+      CASE WHEN passed_checks * 100.0 > 95 * total_checks THEN 'COMPLETED' ELSE 'COMPLETED_WITH_ISSUES' END AS gate_status
       FROM totals""", "totals"),
     "failures_by_field": sql(f"""SELECT field_name, account_id, as_of_date,
       {dbl('calculated_value', 'vendor_value', 'variance')}, notes FROM checks
@@ -615,15 +635,21 @@ ORACLE: dict[str, str] = {
     "surrogate_ids": sql("""SELECT SHA256(account_id || '~' || CAST(as_of_date AS VARCHAR) || '~' || field_name) AS id,
       account_id, as_of_date, field_name FROM checks""", "checks"),
     "quality_rates": sql(f"""SELECT s.data_source, completeness_rate, validity_rate, accuracy_rate, consistency_rate,
-      completeness_rate >= 95 AND validity_rate >= 95 AND accuracy_rate >= 95 AND consistency_rate >= 95
-        AS all_at_least_95 FROM (SELECT data_source,
+      stored_good AND valid_good AS all_at_least_95 FROM (SELECT data_source,
+        (COUNT(account_id) + COUNT(as_of_date) + COUNT(beginning_market_value) + COUNT(ending_market_value)) * 100.0
+          >= 95 * COUNT(*) * 4
+        AND COUNT(*) FILTER (WHERE twrr_tolerance_check) * 100.0 >= 95 * COUNT(twrr_tolerance_check)
+        AND COUNT(*) FILTER (WHERE ABS(ending_market_value - (beginning_market_value + COALESCE(net_flow, 0)
+          + COALESCE(income, 0) + COALESCE(appreciation, 0) - COALESCE(fees, 0) + COALESCE(other_adjustments, 0)))
+          <= 0.01) * 100.0 >= 95 * COUNT(*) AS stored_good,
         {rate('(COUNT(account_id) + COUNT(as_of_date) + COUNT(beginning_market_value) + COUNT(ending_market_value))',
               '(COUNT(*) * 4)', 4)} AS completeness_rate,
         {rate('COUNT(*) FILTER (WHERE twrr_tolerance_check)', 'COUNT(twrr_tolerance_check)', 4)} AS accuracy_rate,
         {rate('''COUNT(*) FILTER (WHERE ABS(ending_market_value - (beginning_market_value + COALESCE(net_flow, 0)
           + COALESCE(income, 0) + COALESCE(appreciation, 0) - COALESCE(fees, 0) + COALESCE(other_adjustments, 0)))
           <= 0.01)''', 'COUNT(*)', 4)} AS consistency_rate FROM performance GROUP BY 1) s
-      JOIN (SELECT data_source, {rate('COUNT(*) FILTER (WHERE issue_count = 0)', 'COUNT(*)', 4)} AS validity_rate
+      FULL JOIN (SELECT data_source, {rate('COUNT(*) FILTER (WHERE issue_count = 0)', 'COUNT(*)', 4)} AS validity_rate,
+        COUNT(*) FILTER (WHERE issue_count = 0) * 100.0 >= 95 * COUNT(*) AS valid_good
         FROM routed GROUP BY 1) v ON s.data_source = v.data_source""", "performance", "routed"),
     "recompute_check": sql("SELECT * FROM recomputed", "recomputed"),
     "file_gate": sql("""SELECT data_source, file_name, CAST(q AS BIGINT) AS quality_level,
@@ -655,15 +681,17 @@ ORACLE: dict[str, str] = {
       "performance", "routed", "log"),
     "alert_conditions": sql(f"""SELECT * FROM (
       SELECT file_name, 'processing_success_rate' AS metric_name, ok AS metric_value,
-        CAST(95 AS DOUBLE) AS alert_limit, 'LOW_PROCESSING_SUCCESS_RATE' AS alert FROM k WHERE ok < 95
-      UNION ALL SELECT file_name, 'error_rate_percent', bad, CAST(5 AS DOUBLE), 'HIGH_ERROR_RATE' FROM k WHERE bad > 5
+        CAST(95 AS DOUBLE) AS alert_limit, 'LOW_PROCESSING_SUCCESS_RATE' AS alert FROM k WHERE good * 100.0 < 95 * n
+      UNION ALL SELECT file_name, 'error_rate_percent', bad, CAST(5 AS DOUBLE), 'HIGH_ERROR_RATE' FROM k WHERE (n - good) * 100.0 > 5 * n
       UNION ALL SELECT file_name, 'reconciliation_pass_rate', pass_rate_percentage, CAST(95 AS DOUBLE),
-        'LOW_RECONCILIATION_PASS_RATE' FROM totals WHERE pass_rate_percentage < 95)""".replace("FROM k", f"""FROM (
+        'LOW_RECONCILIATION_PASS_RATE' FROM totals WHERE passed_checks * 100.0 < 95 * total_checks)""".replace("FROM k", f"""FROM (
         SELECT data_source, file_name,
         {rate('COUNT(*) FILTER (WHERE beginning_market_value IS NOT NULL AND ending_market_value IS NOT NULL)',
               'COUNT(*)')} AS ok,
         {rate('COUNT(*) FILTER (WHERE beginning_market_value IS NULL OR ending_market_value IS NULL)', 'COUNT(*)')}
-        AS bad FROM performance GROUP BY 1, 2) k"""), "performance", "totals"),
+        AS bad, COUNT(*) AS n,
+        COUNT(*) FILTER (WHERE beginning_market_value IS NOT NULL AND ending_market_value IS NOT NULL) AS good
+        FROM performance GROUP BY 1, 2) k"""), "performance", "totals"),
     "alarm_eval": sql("""SELECT metric_name, window_start, ROUND(metric_value, 6) AS metric_value, breach,
       CASE WHEN COUNT(*) OVER w = 2 AND MIN(CAST(breach AS INTEGER)) OVER w = 1 THEN 'ALARM' ELSE 'OK' END AS state
       FROM (SELECT s.metric_name, s.window_start, metric_value, COALESCE(metric_value > 20.0, FALSE) AS breach
@@ -690,4 +718,50 @@ ORACLE: dict[str, str] = {
     "stream_log_recon_1h": RECON_1H,
     "stream_log_quality_1h": QUALITY_1H,
     "stream_metric_windows": METRICS,
+    # load and store
+    "load_file": sql("SELECT part, n FROM load_parts", "load_parts"),
+    "load_issues": sql("""SELECT issue_type, severity, COUNT(*) AS n FROM issues GROUP BY 1, 2
+      UNION ALL SELECT 'duplicate_key', 'MEDIUM', n FROM load_parts WHERE part = 'duplicate_key'""",
+      "issues", "load_parts"),
+    "load_twice": sql("""SELECT account_id, day AS as_of_date, CAST(1 AS BIGINT) AS n,
+      CAST(MAX(CAST(ending_market_value AS DECIMAL(18,2))) AS DOUBLE) AS ending_market_value
+      FROM load_rows WHERE reason IS NULL GROUP BY 1, 2""", "load_rows"),
+    "load_log": sql("""SELECT 'vendor_a_all.csv' AS file_name, COUNT(*) AS records_processed,
+      CAST(0 AS BIGINT) AS records_inserted, COUNT(DISTINCT CASE WHEN reason IS NULL THEN (account_id, day) END) AS records_updated,
+      COUNT(*) - COUNT(DISTINCT CASE WHEN reason IS NULL THEN (account_id, day) END) AS records_failed,
+      'COMPLETED_WITH_WARNINGS' AS status FROM load_rows
+      UNION ALL SELECT 'vendor_a_bad.csv', COUNT(*), 0, 0, COUNT(*), 'COMPLETED_WITH_WARNINGS' FROM load_rows""",
+      "load_rows"),
+    "reconcile_flow": sql("""SELECT r.file_name, r.total_checks, r.passed_checks, r.overall_status,
+      r.total_checks AS saved_checks, r.reconciliation_status, s.n AS stored_rows
+      FROM reports r JOIN (SELECT file_name, COUNT(*) AS n FROM stored GROUP BY 1) s ON r.file_name = s.file_name
+      WHERE r.file_name = 'vendor_a_performance_1997.csv'""", "reports", "stored"),
+    "csv_scan": sql("""SELECT period_id,
+      CASE WHEN period_id % 3 < 2 THEN TRY_CAST(beginning_market_value AS DOUBLE) END AS beginning_market_value,
+      TRY_CAST(ending_market_value AS DOUBLE) AS ending_market_value,
+      CASE WHEN period_id % 3 < 2 THEN CAST(fees AS DOUBLE) END AS fees FROM raw_text""", "raw_text"),
+    "list_arrivals": """SELECT * FROM (VALUES ('va_100%.csv', 'vendor_a', TRUE), ('vb_a+b.csv', 'vendor_b', TRUE),
+      ('vc_a b.csv', 'vendor_c', TRUE)) t(file_name, vendor, has_content)
+      WHERE (SELECT COUNT(DISTINCT o_orderkey % 3) FROM orders) = 3""",
+    "partitioned_store": sql(f"""SELECT account_id, as_of_date, {dbl('ending_market_value')} FROM stored
+      WHERE as_of_date BETWEEN DATE '1995-02-10' AND DATE '1996-03-05'""", "stored"),
+    "upsert_on_disk": sql("""SELECT account_id, as_of_date,
+      CAST(CASE WHEN MONTH(as_of_date) % 2 > 0 THEN fees ELSE 0 END AS DOUBLE) AS fees FROM stored
+      WHERE MONTH(as_of_date) % 2 > 0 OR MONTH(as_of_date) % 3 > 0""", "stored"),
+    "status_on_disk": sql("""SELECT file_name, CASE WHEN file_name = 'vendor_a_performance_1998.csv'
+      THEN 'COMPLETED_WITH_ISSUES' ELSE reconciliation_status END AS reconciliation_status, COUNT(*) AS n
+      FROM stored GROUP BY 1, 2""", "stored"),
+    "column_defaults": sql("""SELECT period_id, CAST(COALESCE(contributions, 0) AS DOUBLE) AS contributions,
+      CAST(COALESCE(distributions, 0) AS DOUBLE) AS distributions,
+      CAST(COALESCE(other_adjustments, 0) AS DOUBLE) AS other_adjustments,
+      CASE WHEN period_id % 2 = 0 THEN reconciliation_status ELSE 'PENDING' END AS reconciliation_status
+      FROM performance""", "performance"),
+    "matrix_rate": sql(f"""SELECT COUNT(*) AS total_accounts, COUNT(*) * 3 AS total_checks,
+      CAST(SUM(ok) AS BIGINT) AS passed_checks, {rate('SUM(ok)', '(COUNT(*) * 3)')} AS pass_rate
+      FROM (SELECT account_id, SUM(good) AS ok FROM (SELECT account_id, field_name,
+        MIN(CASE WHEN within_tolerance THEN 1 ELSE 0 END) AS good FROM checks
+        WHERE field_name IN ('twrr', 'ending_market_value', 'net_flow') GROUP BY 1, 2) GROUP BY 1)""", "checks"),
+    "next_page": sql("""SELECT account_id, as_of_date, file_name FROM stored
+      WHERE account_id > '2' OR account_id = '2' AND as_of_date < DATE '1996-01-01'
+      ORDER BY account_id, as_of_date DESC LIMIT 50""", "stored"),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -16,7 +17,7 @@ from navrecon.operators import latest, monitor, quality, reconcile, report
 from navrecon.operators.running import cumulative_metrics
 from navrecon.plans import flows
 from navrecon.session import fresh_dir
-from navrecon.sources import files, manifest, mapping
+from navrecon.sources import files, manifest, mapping, store
 from navrecon.sources import projection as p
 from navrecon.streaming import jobs
 
@@ -55,6 +56,12 @@ def stored(s, d):
     return latest.keep_latest(p.performance(s, d))
 
 
+@lru_cache(maxsize=16)
+def accumulated(s, d):
+    """Stored rows with both running values, as the table keeps them."""
+    return cumulative_metrics(stored(s, d))
+
+
 @lru_cache(maxsize=16)
 def with_portfolio(s, d):
     return reconcile.with_portfolio(stored(s, d), p.accounts(s, d))
@@ -119,9 +126,9 @@ def flatten_vendor_c(s, d):
     return files.flatten_nested(nested_raw(p.raw_text(s, d)), ["period_id"])
 
 
-@query()
+@query({"cumulative_twrr": 6})
 def perf_by_file(s, d):
-    return report.file_rows(stored(s, d), "vendor_b_performance_1997.csv", "vendor_b")
+    return report.file_rows(accumulated(s, d), "vendor_b_performance_1997.csv", "vendor_b")
 
 
 @query()
@@ -188,9 +195,9 @@ def parse_dates(s, d):
         "period_id", F.col("as_of_date").alias("date_text"), parse_date("as_of_date").alias("as_of_date"))
 
 
-@query()
+@query({"cumulative_twrr": 2})
 def conform_schema(s, d):
-    return mapping.conform(p.records(s, d))
+    return mapping.conform(flows.financial_metrics(p.records(s, d)))
 
 
 @query()
@@ -263,16 +270,17 @@ def history_series(s, d):
     return report.history_series(history)
 
 
-@query()
+@query({"cumulative_twrr": 6})
 def account_history(s, d):
-    return report.account_history(stored(s, d), AS_OF, 40).select(
+    return report.account_history(accumulated(s, d), AS_OF, 40).select(
         "account_id", "as_of_date", "beginning_market_value", "ending_market_value", "net_flow",
-        "calculated_twrr", "vendor_twrr", "twrr_variance", "twrr_tolerance_check")
+        "calculated_twrr", "vendor_twrr", "twrr_variance", "twrr_tolerance_check", "cumulative_net_flow",
+        "cumulative_twrr")
 
 
 @query()
 def accounts_page(s, d):
-    rows = report.account_rows(stored(s, d))
+    rows = report.account_rows(accumulated(s, d))
     return report.page(rows, [F.col("account_id"), F.col("as_of_date").desc()], size=100, offset=200)
 
 
@@ -767,3 +775,165 @@ def stream_log_quality_1h(s, d):
 def stream_metric_windows(s, d):
     return _stream(s, d, lambda points: monitor.metric_windows(points, 600), ("metric_name", "window_start"),
                    p.metric_points_of)
+
+
+# -- load and store: files are written from the tables, loaded, and the stored tables read back --------------
+
+LOADED = "2001-08-02 00:00:00"
+
+
+def moment(text: str = LOADED):
+    return dt.datetime.fromisoformat(text)
+
+
+def vendor_files(s, d, root: str) -> DataFrame:
+    """One CSV folder of vendor A's layout with all raw rows."""
+    raw = layout(p.raw_text(s, d), VENDOR_A_NAMES).drop("period_id")
+    raw.write.option("header", True).csv(f"{root}/vendor_a_all.csv")
+    return raw
+
+
+def load(s, root: str, name: str = "vendor_a_all.csv") -> flows.LoadResult:
+    return flows.load_file(s, f"{root}/{name}", "vendor_a", f"{root}/table", moment("2001-08-01 23:00:00"), moment())
+
+
+@query()
+def load_file(s, d):
+    """All rows read are stored, rejected or surplus rows of a repeated key: counts from the tables on disk."""
+    root = fresh_dir(s, "load")
+    vendor_files(s, d, root)
+    load(s, root)
+    rejected = s.read.parquet(f"{root}/table-rejected").groupBy(F.col("reject_reason").alias("part"))
+    stored_part = store.stored_rows(s, f"{root}/table").groupBy(F.lit("stored").alias("part"))
+    return rejected.agg(F.count("*").alias("n")).unionByName(stored_part.agg(F.count("*").alias("n")))
+
+
+@query()
+def load_issues(s, d):
+    """Issue rows that a load writes."""
+    root = fresh_dir(s, "load")
+    vendor_files(s, d, root)
+    load(s, root)
+    return s.read.parquet(f"{root}/table-issues").groupBy("issue_type", "severity").agg(F.count("*").alias("n"))
+
+
+@query()
+def load_twice(s, d):
+    """A rerun and a second file with bad dates only change no stored row; the log has one row for each file."""
+    root = fresh_dir(s, "load")
+    raw = vendor_files(s, d, root)
+    load(s, root)
+    load(s, root)
+    day = VENDOR_A_NAMES.get("as_of_date", "as_of_date")
+    raw.withColumn(day, F.lit("31 of month")).write.option("header", True).csv(f"{root}/vendor_a_bad.csv")
+    load(s, root, "vendor_a_bad.csv")
+    return store.read_performance(s, f"{root}/table").groupBy("account_id", "as_of_date").agg(
+        F.count("*").alias("n"), F.max("ending_market_value").alias("ending_market_value"))
+
+
+@query()
+def load_log(s, d):
+    """The processing log of a load, a rerun, and a file without one good row."""
+    root = fresh_dir(s, "load")
+    raw = vendor_files(s, d, root)
+    load(s, root)
+    load(s, root)
+    day = VENDOR_A_NAMES.get("as_of_date", "as_of_date")
+    raw.withColumn(day, F.lit("31 of month")).write.option("header", True).csv(f"{root}/vendor_a_bad.csv")
+    load(s, root, "vendor_a_bad.csv")
+    return s.read.parquet(f"{root}/table-log").select(
+        "file_name", "records_processed", "records_inserted", "records_updated", "records_failed", "status")
+
+
+@query()
+def reconcile_flow(s, d):
+    """Check rows saved, report made, status set: the report's status as the stored rows carry it."""
+    root = fresh_dir(s, "reconcile")
+    mine = accumulated(s, d).where("data_source = 'vendor_a' and file_name = 'vendor_a_performance_1997.csv'")
+    store.upsert_performance(s, f"{root}/table", mapping.conform(mine), newest=("updated_at", "file_name"))
+    for _ in range(2):  # a rerun changes nothing
+        flows.reconcile_stored(
+            s, f"{root}/table", "vendor_a_performance_1997.csv", "vendor_a", p.accounts(s, d),
+            F.lit(LOADED).cast("timestamp_ntz"))
+    saved = s.read.parquet(f"{root}/table-checks").groupBy("file_name").agg(F.count("*").alias("saved_checks"))
+    status = store.stored_rows(s, f"{root}/table").groupBy("file_name", "reconciliation_status").agg(
+        F.count("*").alias("stored_rows"))
+    told = s.read.parquet(f"{root}/table-reports").select("file_name", "total_checks", "passed_checks", "overall_status")
+    return told.join(saved, "file_name").join(status, "file_name")
+
+
+@query()
+def csv_scan(s, d):
+    """Two files with their columns in another order, and one that lacks some, read together by name."""
+    root = fresh_dir(s, "csv")
+    rows = p.raw_text(s, d).select(*ROW, "beginning_market_value", "ending_market_value", "fees")
+    out = lambda df, name: df.write.option("header", True).csv(f"{root}/{name}")
+    out(rows.where("period_id % 3 = 0"), "a")
+    out(rows.where("period_id % 3 = 1").select(*reversed(rows.columns)), "b")
+    out(rows.where("period_id % 3 = 2").select(*ROW, "ending_market_value"), "c")
+    read = files.read_csv(s, root, glob="*.csv")
+    return read.select(F.col("period_id").cast("long"), F.col("beginning_market_value").cast("double"),
+                       F.col("ending_market_value").try_cast("double"), F.col("fees").cast("double"))
+
+
+@query()
+def list_arrivals(s, d):
+    """Names with a percent sign, a plus and a space, listed as they are and routed."""
+    root = fresh_dir(s, "arrivals")
+    kinds = p.raw_text(s, d).select(F.element_at(F.array(*map(F.lit, ("va_100%", "vb_a+b", "vc_a b"))),
+                                                 (F.col("period_id") % 3 + 1).cast("int")).alias("name"), "period_id")
+    kinds.write.partitionBy("name").csv(f"{root}/incoming")
+    found = files.list_arrivals(s, root).withColumn("folder", F.regexp_extract("file_key", "name=([^/]*)/", 1))
+    routed = manifest.route_files(found.withColumn("file_key", F.concat("folder", F.lit(".csv"))), encoded=False)
+    return routed.groupBy("file_name", "vendor").agg((F.sum("file_size") > 0).alias("has_content"))
+
+
+@query()
+def partitioned_store(s, d):
+    """Write by month, read a date range back."""
+    root = fresh_dir(s, "store")
+    store.append_performance(mapping.conform(stored(s, d)), f"{root}/table")
+    return store.read_performance(s, f"{root}/table", "1995-02-10", "1996-03-05").select(
+        "account_id", "as_of_date", "ending_market_value")
+
+
+@query()
+def upsert_on_disk(s, d):
+    """Stored rows without their later versions, then the later versions upserted on disk."""
+    root = fresh_dir(s, "upsert")
+    rows = mapping.conform(stored(s, d))
+    first = rows.where(F.month("as_of_date") % 3 > 0).withColumn("updated_at", F.col("created_at") - F.expr("INTERVAL 1 DAY"))
+    store.upsert_performance(s, f"{root}/table", first.withColumn("fees", F.lit(0).cast("decimal(18,2)")), newest=("updated_at", "file_name"))
+    store.upsert_performance(s, f"{root}/table", rows.where(F.month("as_of_date") % 2 > 0), newest=("updated_at", "file_name"))
+    return store.read_performance(s, f"{root}/table").select("account_id", "as_of_date", "fees")
+
+
+@query()
+def status_on_disk(s, d):
+    """The status of one stored file set on disk."""
+    root = fresh_dir(s, "status")
+    store.append_performance(mapping.conform(stored(s, d)), f"{root}/table")
+    store.set_file_status(s, f"{root}/table", "vendor_a_performance_1998.csv", "vendor_a", "COMPLETED_WITH_ISSUES",
+                          F.lit(LOADED).cast("timestamp_ntz"))
+    return store.read_performance(s, f"{root}/table").groupBy("file_name", "reconciliation_status").agg(
+        F.count("*").alias("n"))
+
+
+@query()
+def column_defaults(s, d):
+    """Defaults of the table: flows and adjustments 0, status pending."""
+    return mapping.with_defaults(p.performance(s, d).withColumn(
+        "reconciliation_status", F.when(F.col("period_id") % 2 == 0, F.col("reconciliation_status")))).select(
+        "period_id", "contributions", "distributions", "other_adjustments", "reconciliation_status")
+
+
+@query()
+def matrix_rate(s, d):
+    return reconcile.matrix_rate(reconcile.check_matrix(checks(s, d)))
+
+
+@query()
+def next_page(s, d):
+    """The page of accounts after a given one."""
+    return report.next_page(report.account_rows(stored(s, d)), ("2", "1996-01-01"), 50).select(
+        "account_id", "as_of_date", "file_name")

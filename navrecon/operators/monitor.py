@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -120,13 +123,20 @@ def kpi_metrics(performance: DataFrame, routed: DataFrame, log: DataFrame) -> Da
 
 
 def file_kpis(performance: DataFrame, totals: DataFrame) -> DataFrame:
-    """Success, error and pass rates of every file in long form."""
+    """Success, error and pass rates of every file in long form, not rounded: limits are compared with them."""
     key = ["data_source", "file_name"]
     good = F.count_if(has_required()) * F.lit(100.0)
     wide = performance.groupBy(*key).agg(
-        F.round(good / F.count("*"), 2).alias("processing_success_rate"),
-        F.round((F.count("*") * F.lit(100.0) - good) / F.count("*"), 2).alias("error_rate_percent"),
-    ).join(totals.select(*key, F.col("pass_rate_percentage").alias("reconciliation_pass_rate")), key)
+        (good / F.count("*")).alias("processing_success_rate"),
+        ((F.count("*") * F.lit(100.0) - good) / F.count("*")).alias("error_rate_percent"),
+    )
+    passed = F.try_divide(F.col("passed_checks") * F.lit(100.0), F.col("total_checks"))
+    # A file on one side only keeps its own rates; names may be null.
+    theirs = totals.select(*[F.col(k).alias(f"_{k}") for k in key], passed.alias("reconciliation_pass_rate"))
+    same = reduce(and_, [wide[k].eqNullSafe(theirs[f"_{k}"]) for k in key])
+    wide = wide.join(theirs, same, "full").select(
+        *[F.coalesce(k, f"_{k}").alias(k) for k in key], "processing_success_rate", "error_rate_percent",
+        "reconciliation_pass_rate")
     rates = ["processing_success_rate", "error_rate_percent", "reconciliation_pass_rate"]
     return wide.unpivot(key, rates, "metric_name", "metric_value")
 
@@ -137,7 +147,8 @@ def threshold_table(spark: SparkSession) -> DataFrame:
 
 
 def alert_conditions(kpis: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """KPI values that break their limit. Thresholds are a constant table."""
+    """KPI values that break their limit, rounded only for display. Thresholds are a constant table."""
     low = (F.col("comparison") == "<") & (F.col("metric_value") < F.col("alert_limit"))
     high = (F.col("comparison") == ">") & (F.col("metric_value") > F.col("alert_limit"))
-    return kpis.join(F.broadcast(thresholds), "metric_name").where(low | high)
+    found = kpis.join(F.broadcast(thresholds), "metric_name").where(low | high)
+    return found.withColumn("metric_value", F.round("metric_value", 2))

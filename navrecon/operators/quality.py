@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from navrecon.functions.checks import value_equation_holds
 from navrecon.functions.text import parse_date
 from navrecon.schemas import NUMERIC_FIELDS, REQUIRED_FIELDS
+from navrecon.sources.mapping import field_type
 
 
 def number(name: str) -> Column:
@@ -58,16 +59,17 @@ def record_rules() -> list[Column]:
     ]
 
 
-def type_rules() -> list[Column]:
-    """Fields whose text is present but cannot be read as its type."""
+def type_rules(formats: list[str] | None = None) -> list[Column]:
+    """Fields whose text is present but cannot be read as the type that the load casts it to."""
     return [
         *[
-            _issue(f"invalid_{name}_type", name, "HIGH", F.col(name).isNotNull() & number(name).isNull(),
+            _issue(f"invalid_{name}_type", name, "HIGH",
+                   F.col(name).isNotNull() & F.col(name).try_cast(field_type(name)).isNull(),
                    "value is not a number", "number")
             for name in NUMERIC_FIELDS
         ],
         _issue("invalid_date_format", "as_of_date", "HIGH",
-               F.col("as_of_date").isNotNull() & parse_date("as_of_date").isNull(),
+               F.col("as_of_date").isNotNull() & parse_date("as_of_date", formats).isNull(),
                "date matches no known format", "date"),
     ]
 
@@ -76,12 +78,12 @@ def issue_array(rules: list[Column]) -> Column:
     return F.array_compact(F.array(*rules))
 
 
-def issues(raw: DataFrame, rules: list[Column] | None = None) -> DataFrame:
+def issues(raw: DataFrame, rules: list[Column] | None = None, formats: list[str] | None = None) -> DataFrame:
     """One row per broken rule; a clean row yields none. Narrow, no shuffle."""
-    rules = rules or record_rules() + type_rules()
+    rules = rules or record_rules() + type_rules(formats)
     keep = [c for c in ("period_id", "data_source", "file_name") if c in raw.columns]
     return raw.select(
-        *keep, "account_id", parse_date("as_of_date").alias("as_of_date"), "created_at",
+        *keep, "account_id", parse_date("as_of_date", formats).alias("as_of_date"), "created_at",
         F.explode(issue_array(rules)).alias("_issue"),
     ).select(*keep, "account_id", "as_of_date", "_issue.*", "created_at")
 
@@ -142,7 +144,7 @@ def quality_rates(performance: DataFrame, raw: DataFrame, by: str = "data_source
     consistency:  rows whose value equation holds / rows
     """
     def share(part: Column, whole: Column) -> Column:
-        return F.round(F.try_divide(part * F.lit(100.0), whole), 4)
+        return F.try_divide(part * F.lit(100.0), whole)
 
     present = sum((F.count(name) for name in REQUIRED_FIELDS), F.lit(0))
     stored = performance.groupBy(by).agg(
@@ -154,8 +156,11 @@ def quality_rates(performance: DataFrame, raw: DataFrame, by: str = "data_source
         share(F.count_if(F.col("issue_count") == 0), F.count("*")).alias("validity_rate")
     )
     rates = ["completeness_rate", "validity_rate", "accuracy_rate", "consistency_rate"]
-    low = reduce(and_, [F.coalesce(F.col(r), F.lit(0.0)) >= 95 for r in rates])
-    return stored.join(arrived, by).select(by, *rates, low.alias("all_at_least_95"))
+    # Compared as they are, rounded for display. A group that is only stored or only arrived stays, with nulls.
+    good = reduce(and_, [F.coalesce(F.col(r), F.lit(0.0)) >= 95 for r in rates])
+    other = arrived.withColumnRenamed(by, "_by")
+    return stored.join(other, stored[by].eqNullSafe(other["_by"]), "full").select(
+        F.coalesce(by, "_by").alias(by), *[F.round(r, 4).alias(r) for r in rates], good.alias("all_at_least_95"))
 
 
 def profile(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:

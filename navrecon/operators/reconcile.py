@@ -174,11 +174,20 @@ def report(totals: DataFrame, validations: DataFrame, by: tuple[str, ...] = FILE
     )
 
 
+def exceeds(part: Column, whole: Column, percent: float) -> Column:
+    """part / whole > percent / 100, compared without rounding."""
+    return part * F.lit(100.0) > F.lit(float(percent)) * whole
+
+
+def below(part: Column, whole: Column, percent: float) -> Column:
+    return part * F.lit(100.0) < F.lit(float(percent)) * whole
+
+
 def rate_gate(totals: DataFrame, threshold: float = 95) -> DataFrame:
     """The documented alternative verdict: a pass rate above a threshold completes."""
     return totals.withColumn(
         "gate_status",
-        F.when(F.col("pass_rate_percentage") > threshold, COMPLETED).otherwise(WITH_ISSUES),
+        F.when(exceeds(F.col("passed_checks"), F.col("total_checks"), threshold), COMPLETED).otherwise(WITH_ISSUES),
     )
 
 
@@ -190,7 +199,7 @@ def recommendations(reports: DataFrame, by: tuple[str, ...] = FILE_KEY) -> DataF
     )
     # The wording of the report.
     advice = F.array_compact(F.array(
-        F.when(F.col("pass_rate_percentage") < 95,
+        F.when(below(F.col("passed_checks"), F.col("total_checks"), 95),
                "Low pass rate detected. Review calculation logic and data quality."),
         F.when(F.col("failed_checks") > 0, failed),
         F.when(F.col("error_count") > 0,

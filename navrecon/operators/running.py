@@ -54,8 +54,11 @@ def running_metrics(
         out = _whole_accounts(inputs, folds, account, date, tie)
     else:
         same = inputs[account].eqNullSafe(hot["_hot"])
-        out = _whole_accounts(inputs.join(hot, same, "left_anti"), folds, account, date, tie).unionByName(
-            _in_chunks(inputs.join(hot, same, "left_semi"), folds, account, date, tie, block))
+        whole = _whole_accounts(inputs.join(hot, same, "left_anti"), folds, account, date, tie)
+        chunked = _in_chunks(inputs.join(hot, same, "left_semi"), folds, account, date, tie, block)
+        # A sum of sums is a wider decimal; the result has the type that it has without hot accounts.
+        out = whole.unionByName(chunked.withColumns({
+            name: F.col(name).cast(whole.schema[name].dataType) for name in folds}))
     return out.drop(*[f"_in_{name}" for name in folds])
 
 

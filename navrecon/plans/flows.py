@@ -2,57 +2,106 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navrecon.functions.checks import gap, limit, twrr_variance, twrr_within
 from navrecon.functions.finance import growth_factor, net_flow, period_return
+from navrecon.functions.text import parse_date
 from navrecon.operators import quality, reconcile
-from navrecon.operators.latest import keep_latest
+from navrecon.operators.latest import PERFORMANCE_KEY, keep_latest
 from navrecon.operators.running import cumulative_metrics, running_metrics
 from navrecon.schemas import (
-    COMPLETED, FAILED, FLOW_TOLERANCE, PROCESSING_LOG, TWRR_TOLERANCE, WITH_WARNINGS,
+    COMPLETED, FAILED, FLOW_TOLERANCE, PERFORMANCE, PROCESSING_LOG, QUALITY_ISSUES, STANDARD_FIELDS, TWRR_TOLERANCE,
+    WITH_WARNINGS,
 )
 from navrecon.session import fresh_dir
 from navrecon.sources import files, mapping, store
 
 
-def derive(df: DataFrame, strict: bool = True) -> DataFrame:
-    """Derived columns as the table's write trigger sets them."""
+def derive(
+    df: DataFrame, strict: bool = True, now: Column | None = None, tolerance: Decimal = TWRR_TOLERANCE
+) -> DataFrame:
+    """Derived columns as the table's write trigger sets them; with `now`, updated_at too."""
+    df = df if now is None else df.withColumn("updated_at", now)
     return (
         df.withColumn("net_flow", net_flow("contributions", "distributions"))
         .withColumn("calculated_twrr",
                     period_return("beginning_market_value", "ending_market_value", "net_flow", strict))
         .withColumns({
             "twrr_variance": twrr_variance("calculated_twrr", "vendor_twrr"),
-            "twrr_tolerance_check": twrr_within("calculated_twrr", "vendor_twrr"),
+            "twrr_tolerance_check": twrr_within("calculated_twrr", "vendor_twrr", tolerance),
         })
     )
 
 
-def financial_metrics(records: DataFrame, mode: str = "product", **layout) -> DataFrame:
+def financial_metrics(
+    records: DataFrame, mode: str = "product", tolerance: Decimal = TWRR_TOLERANCE, **layout
+) -> DataFrame:
     """Net flow, period return, tolerance flag and both running values."""
-    return cumulative_metrics(derive(records, strict=False), mode=mode, **layout)
+    return cumulative_metrics(derive(records, strict=False, tolerance=tolerance), mode=mode, **layout)
+
+
+@dataclass(frozen=True)
+class LoadSettings:
+    """What a vendor's configuration may change for a load; None keeps the fixed values."""
+
+    aliases: dict[str, list[str]] | None = None
+    formats: list[str] | None = None
+    required: list[str] | None = None
+    twrr_tolerance: Decimal = TWRR_TOLERANCE
+
+    @staticmethod
+    def read(spark: SparkSession, path: str) -> LoadSettings:
+        """From a JSON document with field_mappings, date_formats, required_fields, twrr_tolerance."""
+        given = mapping.load_settings(spark, path)
+        return LoadSettings(
+            given.get("field_mappings"), given.get("date_formats"), given.get("required_fields"),
+            Decimal(str(given.get("twrr_tolerance", TWRR_TOLERANCE))))
 
 
-def typed_rows(raw: DataFrame, vendor: Column | str, file_name: Column | str, now: Column) -> DataFrame:
-    """Vendor text rows to typed standard rows with lineage and the required flag."""
-    typed = mapping.cast_types(mapping.normalize_columns(raw))
-    return quality.flag_required(mapping.with_audit(typed, vendor, file_name, now))
+#: Of rows with the same key, the one with the largest values in this order stays, so that a rerun keeps the same.
+CONTENT = ("ending_market_value", "beginning_market_value", "vendor_twrr", "contributions", "distributions", "income",
+           "appreciation", "fees", "other_adjustments", "benchmark_return", "account_name", "portfolio_id")
 
 
-def loaded_rows(typed: DataFrame) -> DataFrame:
-    """Typed rows of a load to finished table rows.
+def text_rows(raw: DataFrame, settings: LoadSettings = LoadSettings()) -> DataFrame:
+    """Vendor rows under standard names, all fields present as text."""
+    named = mapping.normalize_columns(raw, settings.aliases)
+    return named.select(*[
+        (F.col(c) if c in named.columns else F.lit(None)).cast("string").alias(c) for c in STANDARD_FIELDS])
 
-    The table key is enforced first: of rows repeating an account and date one
-    stays, chosen by content so that a rerun chooses the same. An account then
-    has one row per day, which bounds the window of the running values.
+
+def reject_reason(settings: LoadSettings = LoadSettings()) -> Column:
+    """Why a text row cannot become a table row, or null: no account, no readable date, a value beyond its type."""
+    return F.when(F.coalesce(F.trim("account_id"), F.lit("")) == "", "missing_account_id").when(
+        parse_date("as_of_date", settings.formats).isNull(), "missing_or_invalid_date").when(
+        F.size(quality.issue_array(quality.type_rules(settings.formats))) > 0, "invalid_value")
+
+
+def split_rows(rows: DataFrame, settings: LoadSettings = LoadSettings()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(typed rows to store, rejected text rows, surplus typed rows of a repeated key) of staged text rows with _line.
+
+    Every row is in exactly one of the three. Rows are set apart before the key is
+    enforced, so unreadable rows never take a readable one's place.
     """
-    unique = keep_latest(
-        typed.withColumn("_content", F.xxhash64(*typed.columns)), newest=("updated_at", "_content"))
-    return financial_metrics(unique, tie="_content", hot_above=None).drop("_content")
+    told = rows.withColumn("reject_reason", reject_reason(settings))
+    typed = mapping.cast_types(told.where("reject_reason is null").drop("reject_reason"), settings.formats)
+    kept = keep_latest(typed, newest=(*CONTENT, "_line"))
+    surplus = typed.join(kept.select("_line"), "_line", "left_anti")
+    return kept, told.where("reject_reason is not null"), surplus
+
+
+def duplicate_issues(surplus: DataFrame) -> DataFrame:
+    return surplus.select(
+        "account_id", "as_of_date", F.lit("duplicate_key").alias("issue_type"),
+        F.lit("another row of the file has this account and date").alias("issue_description"),
+        F.lit("account_id").alias("field_name"), F.lit("one row").alias("expected_value"),
+        F.col("account_id").alias("actual_value"), F.lit("MEDIUM").alias("severity"), "created_at")
 
 
 @dataclass
@@ -63,39 +112,111 @@ class LoadResult:
     file_name: str
     vendor: str
     error: str = ""
+    stored: int = 0
+    rejected: int = 0
+    duplicates: int = 0
+    inserted: int = 0
+    updated: int = 0
+
+
+def load_id(vendor: str, name: str) -> str:
+    """The same for every run of one file, so that a rerun replaces what it wrote."""
+    return hashlib.md5(f"{vendor}/{name}".encode()).hexdigest()
 
 
-def process_file(spark: SparkSession, path: str, vendor: str, target: str, now: Column) -> LoadResult:
-    """Read, standardise, derive, upsert.
+def process_file(
+    spark: SparkSession, path: str, vendor: str, target: str, now: Column, settings: LoadSettings = LoadSettings(),
+    lines: bool = False,
+) -> LoadResult:
+    """Read, standardise, derive, upsert; keep what cannot be stored.
 
-    All rows of the file are counted. The file is computed once, into a staging folder; its counts are observed
-    during that write. The upsert then reads the columnar staging rows.
+    stored + rejected + duplicates = total. Rejected rows and surplus rows of a
+    repeated key go to `<target>-rejected`, all issues to `<target>-issues`, each under
+    this file's id. The file is read once, into a staging folder of text rows; the
+    rest reads that. valid_records counts rows read that have every required field.
     """
     name = path.rstrip("/").split("/")[-1]
     try:
-        raw = files.read_vendor_file(spark, path)
-        seen = Observation("load")
-        typed = typed_rows(raw, vendor, name, now).observe(
-            seen, F.count("*").alias("total"), F.count_if("has_required_fields").alias("valid"))
-        staged = fresh_dir(spark, "staged")
-        mapping.conform(loaded_rows(typed)).write.parquet(staged)
-        counts = seen.get
-        store.upsert_performance(spark, target, spark.read.parquet(staged), newest=("updated_at", "file_name"))
-        return LoadResult("SUCCESS", counts["total"], counts["valid"], name, vendor)
+        part = load_id(vendor, name)
+        raw = files.read_vendor_file(spark, path, lines)
+        lined = mapping.with_audit(text_rows(raw, settings), vendor, name, now).withColumn(
+            "_line", F.monotonically_increasing_id())
+        folder = fresh_dir(spark, "staged")
+        lined.write.parquet(f"{folder}/text")
+        rows = spark.read.schema(lined.schema).parquet(f"{folder}/text")
+        kept, rejected, surplus = split_rows(rows, settings)
+        finished = financial_metrics(kept, tie="_line", hot_above=None, tolerance=settings.twrr_tolerance)
+        mapping.conform(finished).write.parquet(f"{folder}/rows")
+        ready = spark.read.schema(PERFORMANCE).parquet(f"{folder}/rows")
+        left_out = rejected.unionByName(
+            surplus.select(*[F.col(c).cast("string") if c in STANDARD_FIELDS else F.col(c) for c in rows.columns],
+                           F.lit("duplicate_key").alias("reject_reason")))
+        store.write_part(left_out.drop("_line"), f"{target}-rejected", part)
+        found = quality.issues(rows, formats=settings.formats).drop("data_source", "file_name").unionByName(
+            duplicate_issues(surplus))
+        store.write_part(mapping.conform(found, QUALITY_ISSUES), f"{target}-issues", part)
+        total = rows.count()
+        valid = mapping.cast_types(rows, settings.formats).where(quality.has_required(settings.required)).count()
+        reasons = {r.reject_reason: r.n for r in spark.read.parquet(f"{target}-rejected/load_id={part}").groupBy(
+            "reject_reason").agg(F.count("*").alias("n")).collect()}
+        duplicates = reasons.pop("duplicate_key", 0)
+        stored = ready.count()
+        if stored + sum(reasons.values()) + duplicates != total:
+            raise RuntimeError(f"{total} rows read, but {stored} + {reasons} + {duplicates} accounted for")
+        known = 0
+        if store.table_exists(spark, target):
+            known = ready.select(*PERFORMANCE_KEY).join(
+                store.stored_rows(spark, target).select(*PERFORMANCE_KEY), list(PERFORMANCE_KEY), "left_semi").count()
+        store.upsert_performance(spark, target, ready, newest=("updated_at", "file_name"))
+        return LoadResult("SUCCESS", total, valid, name, vendor, "", stored, sum(reasons.values()), duplicates,
+                          stored - known, known)
     except Exception as problem:  # noqa: BLE001 - the log row must name any failure
         return LoadResult("FAILED", 0, 0, name, vendor, str(problem).splitlines()[0])
 
 
 def log_row(spark: SparkSession, result: LoadResult, path: str, start, end) -> DataFrame:
     """The processing-log row of one load."""
-    failed = result.total_records - result.valid_records
+    failed = result.rejected + result.duplicates
+    status = FAILED if result.status != "SUCCESS" else COMPLETED if not failed else WITH_WARNINGS
     row = (
-        result.file_name, path, result.vendor, start, end, result.total_records, result.valid_records,
-        0, failed, COMPLETED if result.status == "SUCCESS" else FAILED, result.error or None, end,
+        result.file_name, path, result.vendor, start, end, result.total_records, result.inserted,
+        result.updated, failed, status, result.error or None, end,
     )
     return spark.createDataFrame([row], PROCESSING_LOG)
 
 
+def load_file(
+    spark: SparkSession, path: str, vendor: str, target: str, start, end, settings: LoadSettings = LoadSettings(),
+    lines: bool = False,
+) -> LoadResult:
+    """process_file, with its row in `<target>-log`."""
+    result = process_file(spark, path, vendor, target, F.lit(end).cast("timestamp_ntz"), settings, lines)
+    store.write_part(log_row(spark, result, path, start, end), f"{target}-log", load_id(vendor, result.file_name))
+    return result
+
+
+def reconcile_stored(
+    spark: SparkSession, target: str, file_name: str, vendor: str, accounts: DataFrame, now: Column
+) -> DataFrame:
+    """Check a stored file: save its check rows and its report, set the status of its rows; returns the report.
+
+    Check rows go to `<target>-checks`, the report to `<target>-reports`, under the file's id.
+    """
+    part = load_id(vendor, file_name)
+    hit = (F.col("file_name") == file_name) & (F.col("data_source") == vendor)
+    rows = store.stored_rows(spark, target).where(hit).drop(*store.PARTITIONS)
+    store.write_part(reconcile.check_rows(rows), f"{target}-checks", part)
+    checks = spark.read.parquet(f"{target}-checks/load_id={part}")
+    owned = reconcile.with_portfolio(rows, accounts)
+    found = reconcile.cross_validations(owned, reconcile.portfolio_stats(owned))
+    store.write_part(reconcile.report(reconcile.report_totals(checks), found), f"{target}-reports", part)
+    done = spark.read.parquet(f"{target}-reports/load_id={part}")
+    verdict = done.first()
+    if verdict is not None:
+        store.set_file_status(spark, target, file_name, vendor, verdict.reconciliation_status, now)
+    return done
+
+
 def processing_log(performance: DataFrame) -> DataFrame:
     """Log rows rebuilt from stored rows, one per file: a second version of a key
     counts as an update, a row without its required fields as failed."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navrecon.schemas import ARRIVAL_PREFIX, ARRIVAL_SUFFIXES, VENDOR_C
 
@@ -28,12 +29,36 @@ VENDOR_C_PATHS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """CSV with a header row; columns are found by name, nothing is inferred."""
-    reader = spark.read.option("header", True)
+def file_paths(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> list[str]:
+    """The files below the paths, from file metadata only: as many as the listing has, not data-sized."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(path if isinstance(path, str) else list(path))
+        found = found.option("pathGlobFilter", glob)
+    return sorted(r.path for r in found.load(path if isinstance(path, str) else list(path)).select("path").collect())
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """CSV files with a header row, all values as text; columns are found by name in every file.
+
+    Spark would take one file's header for all files of a scan. Files are therefore
+    grouped by their header, one first line read each, and each group is a scan of
+    its own; a column that a group lacks is null.
+    """
+    layouts: dict[str, list[str]] = {}
+    for file in file_paths(spark, path, glob):
+        first = spark.read.text(file).first()
+        if first is not None:  # an empty file has no rows
+            layouts.setdefault(first[0], []).append(file)
+    out = None
+    for group in layouts.values():
+        rows = spark.read.option("header", True).csv(group)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return spark.createDataFrame([], T.StructType()) if out is None else out
+
+
+def decoded(column: Column | str) -> Column:
+    """URL decoding; a name that is no valid encoding stays as it is."""
+    return F.coalesce(F.try_url_decode(column), F.col(column) if isinstance(column, str) else column)
 
 
 def read_json(
@@ -48,12 +73,12 @@ def read_json(
     return flatten_nested(reader.json(path if isinstance(path, str) else list(path)))
 
 
-def read_vendor_file(spark: SparkSession, path: str) -> DataFrame:
-    """Reader by suffix. Other formats are refused when the plan is built."""
+def read_vendor_file(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Reader by suffix. Other formats are refused when the plan is built. lines: JSON with a record per line."""
     if path.endswith(".csv"):
         return read_csv(spark, path)
     if path.endswith(".json"):
-        return read_json(spark, path)
+        return read_json(spark, path, lines=lines)
     raise ValueError(f"unsupported file format: {path}")
 
 
@@ -73,5 +98,6 @@ def list_arrivals(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", arrival_glob()).load(f"{root.rstrip('/')}/{ARRIVAL_PREFIX}")
     )
-    key = F.concat(F.lit(ARRIVAL_PREFIX), F.substring_index(F.url_decode("path"), f"/{ARRIVAL_PREFIX}", -1))
+    # The path keeps a name's own characters, a plus or a percent sign too, so nothing is decoded here.
+    key = F.concat(F.lit(ARRIVAL_PREFIX), F.substring_index("path", f"/{ARRIVAL_PREFIX}", -1))
     return found.select(key.alias("file_key"), F.col("length").alias("file_size"), "modificationTime")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from navrecon.functions.text import base_name, suffix_of
 from navrecon.schemas import DEFAULT_VENDOR, SKIPPED_PREFIXES, VENDOR_NAME_PARTS, VENDOR_SUFFIXES
+from navrecon.sources.files import decoded
 
 
 def vendor_of(name: Column | str) -> Column:
@@ -30,9 +31,13 @@ def format_allowed(name: Column | str, vendor: Column | str) -> Column:
     return chain.otherwise(F.lit(False))
 
 
-def route_files(files: DataFrame) -> DataFrame:
-    """Add the bare name and the vendor of each file key."""
-    named = files.withColumn("file_name", base_name(F.url_decode("file_key")))
+def route_files(files: DataFrame, encoded: bool = True) -> DataFrame:
+    """Add the bare name and the vendor of each file key, as events name it: URL-encoded.
+
+    A key that is no valid encoding is taken as it stands. For keys of list_arrivals,
+    which are not encoded, set encoded=False.
+    """
+    named = files.withColumn("file_name", base_name(decoded("file_key") if encoded else F.col("file_key")))
     return named.withColumn("vendor", vendor_of("file_name"))
 
 

@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navrecon.operators.latest import PERFORMANCE_KEY, update_status, upsert
+from navrecon.schemas import PERFORMANCE
 
 PARTITIONS = ("as_of_year", "as_of_month")
 
@@ -57,9 +60,14 @@ def read_performance(spark: SparkSession, path: str, start: str | None = None, e
 
 
 def touched_months(df: DataFrame) -> list[tuple[int, int]]:
-    """The distinct months in df: a calendar-bounded list, not data-sized."""
+    """The distinct months in df: a calendar-bounded list, not data-sized.
+
+    A row without date belongs to no month and could never be rewritten: it is refused.
+    """
     rows = with_partitions(df.select("as_of_date")).select(*PARTITIONS).distinct().collect()
-    return sorted((r[0], r[1]) for r in rows if r[0] is not None)
+    if any(r[0] is None for r in rows):
+        raise ValueError("rows without as_of_date cannot be stored; set them apart before")
+    return sorted((r[0], r[1]) for r in rows)
 
 
 def rewrite_months(
@@ -77,23 +85,38 @@ def rewrite_months(
         condition = condition | (
             (F.col("as_of_year") == year) & F.col("as_of_month").isin([m for y, m in months if y == year])
         )
-    rows = spark.read.parquet(path).where(condition).drop(*PARTITIONS)
+    rows = stored_rows(spark, path).where(condition).drop(*PARTITIONS)
     replace_partitions(change(rows), path)
 
 
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The table with its fixed schema: one file with other columns cannot change it."""
+    schema = T.StructType([*PERFORMANCE, *[T.StructField(name, T.IntegerType()) for name in PARTITIONS]])
+    return spark.read.schema(schema).parquet(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.exists(hadoop) and len(system.listStatus(hadoop)) > 0
+    """Is there a data file? What a failed first write left behind is none."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def upsert_performance(spark: SparkSession, path: str, incoming: DataFrame, newest: tuple[str, ...]) -> None:
-    """Insert or replace by (account_id, as_of_date), touching only its months."""
+    """Insert or replace by (account_id, as_of_date), touching only its months.
+
+    Rows without a date are refused before anything is written. A month is exchanged
+    when the job commits: a driver lost in that moment can leave a month half written,
+    so a load that did not report success has to be run again.
+    """
+    months = touched_months(incoming)
     if not table_exists(spark, path):
         replace_partitions(upsert(incoming.limit(0), incoming, newest=newest), path)
         return
     rewrite_months(
-        spark, path, touched_months(incoming), lambda rows: upsert(rows, incoming, newest=newest)
+        spark, path, months, lambda rows: upsert(rows, incoming, newest=newest)
     )
 
 
@@ -105,9 +128,16 @@ def set_file_status(spark: SparkSession, path: str, file_name: str, vendor: str,
     )
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Append-only tables: check results, issues, processing log."""
-    df.write.mode("append").parquet(path)
+def write_part(df: DataFrame, path: str, part: str) -> None:
+    """One load's rows of a growing table (check results, issues, rejected rows, log): a rerun replaces them."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/load_id={part}")
+
+
+def read_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All loads' rows; a table that nothing was written to is empty."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 10_000) -> None:

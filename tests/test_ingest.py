@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from navrecon.operators import quality
 from navrecon.plans import flows
-from navrecon.schemas import FIELD_ALIASES, PERFORMANCE
+from navrecon.schemas import FIELD_ALIASES, PERFORMANCE, QUALITY_ISSUES
 from navrecon.session import fresh_dir
 from navrecon.sources import files, manifest, mapping, store
 from pyspark.sql import functions as F
@@ -118,26 +118,95 @@ def test_process_file_end_to_end(spark):
         result = flows.process_file(spark, path, "vendor_a", target, now())
         assert (result.status, result.total_records, result.valid_records) == ("SUCCESS", 3, 2)
         rows = {(r.account_id, str(r.as_of_date)): r for r in store.read_performance(spark, target).collect()}
-        assert len(rows) == 3
+        assert len(rows) == 2 and (result.stored, result.rejected, result.duplicates) == (2, 1, 0)
+    assert (result.inserted, result.updated) == (0, 2)
     first, second = rows["ACC001", "2024-01-31"], rows["ACC001", "2024-02-29"]
     assert first.calculated_twrr == Decimal("0.03448276") and first.net_flow == 3000
     assert first.twrr_tolerance_check is True
     assert second.cumulative_twrr == pytest.approx(1.03448276 * 1.01 - 1)
-    assert rows["ACC002", "2024-01-31"].ending_market_value is None
+    left = spark.read.parquet(f"{target}-rejected").collect()
+    assert [(r.account_id, r.ending_market_value, r.reject_reason) for r in left] == [("ACC002", "oops", "invalid_value")]
+    found = {r.issue_type for r in store.read_parts(spark, f"{target}-issues", QUALITY_ISSUES).collect()}
+    assert found == {"invalid_ending_market_value_type"}
     log = flows.log_row(spark, result, path, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1, 0, 5)).first()
-    assert (log.records_processed, log.records_failed, log.status) == (3, 1, "COMPLETED")
+    assert (log.records_processed, log.records_updated, log.records_failed) == (3, 2, 1)
+    assert log.status == "COMPLETED_WITH_WARNINGS"
 
 
 def test_repeated_rows_of_a_file_are_counted_but_stored_once(spark):
     first = CSV.splitlines()[1]
     path, target = write(spark, "vendor_a_2.csv", CSV + first + "\n" + first + "\n"), fresh_dir(spark, "table")
     result = flows.process_file(spark, path, "vendor_a", target, now())
-    assert (result.total_records, result.valid_records) == (5, 4)
+    assert (result.total_records, result.valid_records, result.stored, result.duplicates) == (5, 4, 2, 2)
+    issues = [r.issue_type for r in store.read_parts(spark, f"{target}-issues", QUALITY_ISSUES).collect()]
+    assert issues.count("duplicate_key") == 2
     rows = {(r.account_id, str(r.as_of_date)): r for r in store.read_performance(spark, target).collect()}
-    assert len(rows) == 3
+    assert len(rows) == 2
     assert rows["ACC001", "2024-02-29"].cumulative_twrr == pytest.approx(1.03448276 * 1.01 - 1)
 
 
+HEAD = CSV.splitlines()[0]
+
+
+def test_bad_dates_change_no_earlier_row(spark):
+    """Rows without a readable date are kept apart; later loads, even of such rows only, lose and change nothing."""
+    target = fresh_dir(spark, "table")
+    good = write(spark, "vendor_a_1.csv", HEAD + "\nB,,P1,2024-01-31,1,0,0,0,0,0,0,2,0.01,\nC,,P1,bad,1,0,0,0,0,0,0,2,0.01,\n"
+                 "C,,P1,worse,1,0,0,0,0,0,0,3,0.01,\n,,P1,2024-01-31,1,0,0,0,0,0,0,2,0.01,\n")
+    first = flows.process_file(spark, good, "vendor_a", target, now())
+    assert (first.status, first.stored, first.rejected) == ("SUCCESS", 1, 3)
+    before = store.read_performance(spark, target).collect()
+    bad = write(spark, "vendor_a_2.csv", HEAD + "\nB,,P1,31/31/2024,1,0,0,0,0,0,0,2,0.01,\n")
+    second = flows.process_file(spark, bad, "vendor_a", target, now())
+    assert (second.status, second.total_records, second.stored, second.rejected) == ("SUCCESS", 1, 0, 1)
+    assert store.read_performance(spark, target).collect() == before
+    assert spark.read.parquet(f"{target}-rejected").count() == 4
+    with pytest.raises(ValueError, match="without as_of_date"):
+        store.upsert_performance(spark, target, store.stored_rows(spark, target).drop(*store.PARTITIONS).withColumn(
+            "as_of_date", F.lit(None).cast("date")), newest=("updated_at",))
+
+
+def test_values_beyond_their_type_are_issues(spark):
+    path = write(spark, "vendor_a_1.csv", HEAD + "\nB,,P1,2024-01-31,99999999999999999,0,0,0,0,0,0,2,0.01,20000\n")
+    target = fresh_dir(spark, "table")
+    assert flows.process_file(spark, path, "vendor_a", target, now()).rejected == 1
+    found = {r.issue_type for r in store.read_parts(spark, f"{target}-issues", QUALITY_ISSUES).collect()}
+    assert {"invalid_beginning_market_value_type", "invalid_vendor_twrr_type"} <= found
+
+
+def test_settings_of_a_vendor(spark):
+    given = {"field_mappings": {"account_id": ["konto"], "as_of_date": ["tag"], "ending_market_value": ["ende"]},
+             "date_formats": ["dd.MM.yyyy"], "required_fields": ["account_id"], "twrr_tolerance": "0.5"}
+    settings = flows.LoadSettings.read(spark, write(spark, "m.json", json.dumps(given)))
+    path, target = write(spark, "vendor_a_1.csv", "konto,tag,ende\nB,31.01.2024,5\n"), fresh_dir(spark, "table")
+    result = flows.process_file(spark, path, "vendor_a", target, now(), settings)
+    assert (result.stored, result.valid_records, settings.twrr_tolerance) == (1, 1, Decimal("0.5"))
+    assert str(store.read_performance(spark, target).first().as_of_date) == "2024-01-31"
+
+
+def test_csv_files_with_other_headers_are_read_by_name(spark):
+    one = write(spark, "a.csv", "account_id,ending_mv,beginning_mv\nX,2,1\n")
+    two = write(spark, "b.csv", "beginning_mv,account_id,ending_mv\n1,Y,2\n")
+    none = write(spark, "c.csv", "")
+    rows = files.read_csv(spark, [one, two, none]).collect()
+    assert {(r.account_id, r.beginning_mv, r.ending_mv) for r in rows} == {("X", "1", "2"), ("Y", "1", "2")}
+
+
+def test_names_that_are_no_encoding(spark):
+    found = spark.createDataFrame([("incoming/va_100%.csv", 5), ("incoming/vb_1%20a.csv", 5)], "file_key string, file_size long")
+    assert {(r.file_name, r.vendor) for r in manifest.route_files(found).collect()} == {
+        ("va_100%.csv", "vendor_a"), ("vb_1 a.csv", "vendor_b")}
+    assert {r.file_name for r in manifest.route_files(found, encoded=False).collect()} == {"va_100%.csv", "vb_1%20a.csv"}
+
+
+def test_a_failed_first_write_is_no_table(spark):
+    target = fresh_dir(spark, "table")
+    os.makedirs(f"{target}/_temporary/0")
+    assert not store.table_exists(spark, target)
+    path = write(spark, "vendor_a_1.csv", CSV)
+    assert flows.process_file(spark, path, "vendor_a", target, now()).status == "SUCCESS"
+
+
 def test_process_file_failure_is_reported(spark):
     result = flows.process_file(spark, "/nowhere/x.csv", "vendor_a", fresh_dir(spark, "t"), now())
     assert result.status == "FAILED" and "PATH_NOT_FOUND" in result.error

@@ -148,3 +148,14 @@ def test_gate_takes_the_worst_branch(spark):
     got = {r.file_name: (r.overall_status, r.database_status) for r in flows.file_gate(issues, reports, recomputed).collect()}
     assert got == {"clean": ("SUCCESS", "COMPLETED"), "warn": ("WARNING", "COMPLETED_WITH_WARNINGS"),
                    "bad": ("FAILED", "FAILED")}
+
+
+@pytest.mark.parametrize("passed, advised", [(94_996, True), (95_000, False), (95_004, False)])
+def test_rates_are_compared_unrounded(spark, passed, advised):
+    """94.996 percent shows as 95.00 and is still below the limit."""
+    row = spark.createDataFrame([("v", "f", 100_000, passed, 0, 0, 0, 95.0)], (
+        "data_source string, file_name string, total_checks long, passed_checks long, failed_checks long, "
+        "error_count long, warning_count long, pass_rate_percentage double"))
+    texts = [r.recommendation for r in reconcile.recommendations(row).collect()]
+    assert any(t.startswith("Low pass rate") for t in texts) is advised
+    assert (reconcile.rate_gate(row).first().gate_status == "COMPLETED") is (passed > 95_000)

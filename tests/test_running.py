@@ -85,3 +85,13 @@ def test_hot_rows_meet_only_a_window_over_chunks(spark):
     # Ordinary accounts, hot chunks, and the few totals of hot accounts.
     assert len(windows) == 3 and sum("[account_id" in w and "_block" in w.rsplit("], [", 1)[0] for w in windows) >= 1
     assert "LeftAnti" in plan and "LeftSemi" in plan
+
+
+@pytest.mark.parametrize("hot", [None, 0, 3, 10**6])
+def test_types_do_not_depend_on_size(perf, hot):
+    rows = perf(*[{"account_id": "A" if i % 2 else f"B{i}", "as_of_date": dt.date(2024, 1, 1) + dt.timedelta(i),
+                   "net_flow": i} for i in range(12)])
+    out = cumulative_metrics(rows, hot_above=hot, block_width=4)
+    assert dict(out.dtypes)["cumulative_net_flow"] == "decimal(28,2)" and dict(out.dtypes)["cumulative_twrr"] == "double"
+    assert sum(r.cumulative_net_flow for r in out.where("account_id = 'A'").collect()) == sum(
+        sum(range(1, i + 1, 2)) for i in range(1, 12, 2))
