@@ -6,8 +6,14 @@ table expressions; each query names the ones it needs.
 
 from __future__ import annotations
 
+from navrecon.schemas import ALARMS
+
 AS_OF = "DATE '2001-08-02'"
 SINCE = f"CAST({AS_OF} - INTERVAL 1200 DAY AS TIMESTAMP)"
+# The fixed alarms as the query sets them on the test tables' metrics.
+WATCHED = [(name, ("view", "click", "error", "purchase", "signup")[i % 5], statistic, seconds * 12, periods, operator,
+            60.0 if statistic == "Sum" else 50.0)
+           for i, (name, _, statistic, seconds, periods, operator, _) in enumerate(ALARMS)]
 M = "DECIMAL(18,2)"
 R = "DECIMAL(12,8)"
 C = "DECIMAL(28,8)"
@@ -386,7 +392,6 @@ ORACLE: dict[str, str] = {
       'contributions', 'distributions', 'income', 'appreciation', 'fees', 'other_adjustments')},
       CAST(flow AS DOUBLE) AS net_flow, CAST(SUM(flow) OVER w AS DOUBLE) AS cumulative_net_flow,
       CAST(fresh_twrr AS DOUBLE) AS calculated_twrr,
-      ROUND(PRODUCT(1 + COALESCE(CAST(fresh_twrr AS DOUBLE), 0)) OVER w - 1, 2) AS cumulative_twrr,
       {dbl('vendor_twrr', 'benchmark_return')}, ABS(fresh_twrr - vendor_twrr) <= 0.0001 AS twrr_tolerance_check,
       CAST(TRY_CAST(ABS(fresh_twrr - vendor_twrr) AS DECIMAL(12,8)) AS DOUBLE) AS twrr_variance, data_source,
       file_name, CAST(NULL AS VARCHAR) AS processed_by,
@@ -702,6 +707,19 @@ ORACLE: dict[str, str] = {
         ON s.metric_name = v.metric_name AND s.window_start = v.b)
       WINDOW w AS (PARTITION BY metric_name ORDER BY window_start ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)""",
       "points"),
+    "alarm_set": sql(f"""SELECT * FROM (WITH defs AS (SELECT * FROM (VALUES {', '.join(
+        f"('{a}', '{m}', '{st}', {sec}, {n}, '{op}', CAST({lim} AS DOUBLE))" for a, m, st, sec, n, op, lim in WATCHED)})
+        t(alarm, metric_name, statistic, seconds, periods, operator, lim)),
+      f AS (SELECT alarm, metric_name, statistic, seconds, periods, operator, lim,
+          CAST(FLOOR(EPOCH(ts)) AS BIGINT) - CAST(FLOOR(EPOCH(ts)) AS BIGINT) % seconds AS since,
+          CASE WHEN statistic = 'Sum' THEN CAST(SUM(value) AS DOUBLE) ELSE CAST(SUM(value) AS DOUBLE) / COUNT(value) END AS v
+        FROM points JOIN defs USING (metric_name) GROUP BY 1, 2, 3, 4, 5, 6, 7, 8),
+      b AS (SELECT *, COALESCE(CASE operator WHEN '>' THEN v > lim WHEN '>=' THEN v >= lim WHEN '<' THEN v < lim
+          ELSE v <= lim END, FALSE) AS breach FROM f)
+      SELECT alarm, metric_name, MAKE_TIMESTAMP(since * 1000000) AS window_start, ROUND(v, 6) AS metric_value, breach,
+        CASE WHEN COUNT(*) FILTER (WHERE breach) OVER (PARTITION BY alarm ORDER BY since
+          RANGE BETWEEN (periods - 1) * seconds PRECEDING AND CURRENT ROW) = periods THEN 'ALARM' ELSE 'OK' END AS state
+      FROM b)""", "points"),
     "metric_windows": METRICS,
     "log_errors_5m": ERRORS_5M,
     "log_perf_1h": PERF_1H,
@@ -740,7 +758,7 @@ ORACLE: dict[str, str] = {
       CASE WHEN period_id % 3 < 2 THEN TRY_CAST(beginning_market_value AS DOUBLE) END AS beginning_market_value,
       TRY_CAST(ending_market_value AS DOUBLE) AS ending_market_value,
       CASE WHEN period_id % 3 < 2 THEN CAST(fees AS DOUBLE) END AS fees FROM raw_text""", "raw_text"),
-    "list_arrivals": """SELECT * FROM (VALUES ('va_100%.csv', 'vendor_a', TRUE), ('vb_a+b.csv', 'vendor_b', TRUE),
+    "list_arrivals": """SELECT * FROM (VALUES ('va_100.csv', 'vendor_a', TRUE), ('vb_a+b.csv', 'vendor_b', TRUE),
       ('vc_a b.csv', 'vendor_c', TRUE)) t(file_name, vendor, has_content)
       WHERE (SELECT COUNT(DISTINCT o_orderkey % 3) FROM orders) = 3""",
     "partitioned_store": sql(f"""SELECT account_id, as_of_date, {dbl('ending_market_value')} FROM stored

@@ -17,51 +17,98 @@ def bins(size: str, ts: str = "ts") -> Column:
     return F.window(ts, size)
 
 
-def _per_bin(lines: DataFrame, size: str, *values: Column) -> DataFrame:
+def window_parts(lines: DataFrame, size: str, value: Column | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Additive facts of each window: rows, values, their sum, smallest and largest.
+
+    Parts of the same window from several batches add up (merge_parts), in any order.
+    """
+    value = F.lit(None).cast("double") if value is None else value
     return (
-        lines.groupBy(bins(size).alias("_bin")).agg(*values)
+        lines.select(*by, bins(size).alias("_bin"), value.alias("_value")).groupBy(*by, "_bin")
+        .agg(F.count("*").alias("n"), F.count("_value").alias("samples"), F.sum("_value").alias("total"),
+             F.min("_value").alias("low"), F.max("_value").alias("high"))
         .withColumn("window_start", F.col("_bin.start")).drop("_bin")
     )
 
 
+def merge_parts(parts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    return parts.groupBy(*by, "window_start").agg(
+        F.sum("n").alias("n"), F.sum("samples").alias("samples"), F.sum("total").alias("total"),
+        F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _mean() -> Column:
+    return F.round(F.try_divide(F.col("total").cast("double"), F.col("samples")), 6)
+
+
+def error_parts(lines: DataFrame) -> DataFrame:
+    return window_parts(lines.where(F.col("message").rlike("ERROR")), "5 minutes")
+
+
+def error_counts(parts: DataFrame) -> DataFrame:
+    return parts.select("window_start", F.col("n").alias("error_count"))
+
+
 def errors_per_5_minutes(lines: DataFrame) -> DataFrame:
-    return _per_bin(lines.where(F.col("message").rlike("ERROR")), "5 minutes", F.count("*").alias("error_count"))
+    return error_counts(error_parts(lines))
+
+
+def processed_parts(lines: DataFrame) -> DataFrame:
+    count = F.regexp_extract("message", r"processed (\d+) records", 1).try_cast("long")
+    return window_parts(lines.where(F.contains("message", F.lit("records processed"))), "1 hour", count)
+
+
+def processed_facts(parts: DataFrame) -> DataFrame:
+    return parts.select("window_start", _mean().alias("avg_records"), F.col("high").alias("max_records"),
+                        F.col("low").alias("min_records"))
 
 
 def processed_per_hour(lines: DataFrame) -> DataFrame:
     """Average, largest and smallest count named in 'processed N records'."""
-    count = F.regexp_extract("message", r"processed (\d+) records", 1).try_cast("long")
-    hits = lines.where(F.contains("message", F.lit("records processed"))).withColumn("records", count)
-    return _per_bin(
-        hits, "1 hour", F.round(F.avg("records"), 6).alias("avg_records"),
-        F.max("records").alias("max_records"), F.min("records").alias("min_records"))
+    return processed_facts(processed_parts(lines))
+
+
+def recon_parts(lines: DataFrame) -> DataFrame:
+    return window_parts(lines.where(F.col("message").rlike("tolerance|variance")), "1 hour")
+
+
+def recon_counts(parts: DataFrame) -> DataFrame:
+    return parts.select("window_start", F.col("n").alias("issue_count"))
 
 
 def recon_messages_per_hour(lines: DataFrame) -> DataFrame:
-    hits = lines.where(F.col("message").rlike("tolerance|variance"))
-    return _per_bin(hits, "1 hour", F.count("*").alias("issue_count"))
+    return recon_counts(recon_parts(lines))
 
 
-def quality_score_per_hour(lines: DataFrame) -> DataFrame:
+def quality_parts(lines: DataFrame) -> DataFrame:
     score = F.regexp_extract("message", r"quality score: ([0-9.]+)", 1).try_cast("double")
-    hits = lines.where(F.contains("message", F.lit("data quality"))).withColumn("score", score)
-    return _per_bin(hits, "1 hour", F.round(F.avg("score"), 6).alias("avg_score"))
+    return window_parts(lines.where(F.contains("message", F.lit("data quality"))), "1 hour", score)
+
+
+def quality_scores(parts: DataFrame) -> DataFrame:
+    return parts.select("window_start", _mean().alias("avg_score"))
+
+
+def quality_score_per_hour(lines: DataFrame) -> DataFrame:
+    return quality_scores(quality_parts(lines))
 
 
 def recent_errors(lines: DataFrame, size: int = 100) -> DataFrame:
     return lines.where(F.col("message").rlike("ERROR")).orderBy(F.desc("ts"), F.desc("event_id")).limit(size)
 
 
+def metric_parts(points: DataFrame, seconds: int) -> DataFrame:
+    return window_parts(points, f"{seconds} seconds", F.col("value"), ("metric_name",))
+
+
+def metric_facts(parts: DataFrame) -> DataFrame:
+    return parts.select("metric_name", "window_start", "samples", F.col("total").alias("sum_value"),
+                        _mean().alias("avg_value"))
+
+
 def metric_windows(points: DataFrame, seconds: int) -> DataFrame:
     """Sum and average of every metric per period."""
-    return (
-        points.groupBy("metric_name", bins(f"{seconds} seconds").alias("_bin"))
-        .agg(F.sum("value").alias("sum_value"), F.count("value").alias("samples"))
-        .select(
-            "metric_name", F.col("_bin.start").alias("window_start"), "samples", "sum_value",
-            F.round(F.try_divide(F.col("sum_value").cast("double"), F.col("samples")), 6).alias("avg_value"),
-        )
-    )
+    return metric_facts(metric_parts(points, seconds))
 
 
 _COMPARE = {
@@ -99,6 +146,46 @@ def evaluate_alarm(
     )
 
 
+def alarm_table(spark: SparkSession, alarms: list[tuple]) -> DataFrame:
+    """Alarm definitions: a fixed handful of rows."""
+    return spark.createDataFrame(alarms, (
+        "alarm string, metric_name string, statistic string, seconds int, periods int, operator string, limit double"))
+
+
+def alarm_states(points: DataFrame, definitions: DataFrame, day: int = 86_400) -> DataFrame:
+    """(alarm, metric_name, window_start, metric_value, breach, state) of every alarm and period that has samples.
+
+    An alarm is raised when its period and the ones before it, `periods` in all,
+    breach; a period without samples does not. Each definition has its own statistic,
+    period length and comparison. Samples are folded per period first; the runs of
+    breaching periods are found in windows of one alarm and day, to which the last
+    periods of the day before are carried, so no window covers more than that.
+    """
+    named = points.join(F.broadcast(definitions), "metric_name")
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    keys = ["alarm", "metric_name", "statistic", "seconds", "periods", "operator", "limit"]
+    folded = named.groupBy(*keys, (at - at % F.col("seconds")).alias("_at")).agg(
+        F.sum("value").alias("_sum"), F.count("value").alias("_n"))
+    value = F.when(F.col("statistic") == "Sum", F.col("_sum").cast("double")).otherwise(
+        F.try_divide(F.col("_sum").cast("double"), F.col("_n")))
+    breach = F.lit(False)
+    for sign, compare in _COMPARE.items():
+        breach = F.when(F.col("operator") == sign, compare(F.col("_value"), F.col("limit"))).otherwise(breach)
+    told = folded.withColumn("_value", value).withColumn("breach", F.coalesce(breach, F.lit(False)))
+    last = F.col("_at") + (F.col("periods") - 1) * F.col("seconds")
+    carried = told.withColumn("_day", F.explode(F.sequence(F.floor(F.col("_at") / day), F.floor(last / day))))
+    order = Window.partitionBy("alarm", "metric_name", "_day").orderBy("_at")
+    # Of the breaching periods that follow each other without a gap, this one's place.
+    gap = F.coalesce(F.col("_at") - F.lag("_at").over(order) != F.col("seconds"), F.lit(True)) | ~F.col("breach")
+    run = carried.withColumn("_start", F.max(F.when(gap, F.when(
+        F.col("breach"), F.col("_at")).otherwise(F.col("_at") + F.col("seconds")))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    length = (F.col("_at") - F.col("_start")) / F.col("seconds") + 1
+    return run.where(F.col("_day") == F.floor(F.col("_at") / day)).select(
+        "alarm", "metric_name", F.timestamp_seconds("_at").cast("timestamp_ntz").alias("window_start"),
+        F.round("_value", 6).alias("metric_value"), "breach",
+        F.when(F.col("breach") & (length >= F.col("periods")), "ALARM").otherwise("OK").alias("state"))
+
+
 def kpi_metrics(performance: DataFrame, routed: DataFrame, log: DataFrame) -> DataFrame:
     """Published metrics in long form, each from one global pass."""
     rows = performance.agg(

@@ -6,11 +6,13 @@ batch repeated after a failure leaves the same result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from navrecon.operators.latest import keep_latest
+from navrecon.operators.monitor import merge_parts
 from navrecon.sources import mapping
 
 
@@ -18,15 +20,20 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def _write_batches(target: str):
+def _same(batch: DataFrame) -> DataFrame:
+    return batch
+
+
+def _write_batches(target: str, change: Callable[[DataFrame], DataFrame]):
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/batch={number}")
+        change(batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{target}/batch={number}")
     return write
 
 
-def _run(stream: DataFrame, target: str, checkpoint: str, mode: str) -> None:
+def _run(stream: DataFrame, target: str, checkpoint: str, change: Callable[[DataFrame], DataFrame] = _same) -> None:
     query = (
-        stream.writeStream.outputMode(mode).foreachBatch(_write_batches(target))
+        stream.writeStream.outputMode("append").foreachBatch(_write_batches(target, change))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -42,28 +49,34 @@ def ingest_files(
     job, which sees whole accounts.
     """
     raw = (
-        spark.readStream.schema(text_schema(columns)).option("header", True)
+        # A file whose header is not these columns fails the batch instead of being read by position.
+        spark.readStream.schema(text_schema(columns)).option("header", True).option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.csv").csv(incoming)
     )
     named = raw.withColumn("_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
     typed = mapping.cast_types(mapping.normalize_columns(named, keep=("_file", *keep)))
-    _run(mapping.with_audit(typed, vendor, F.col("_file"), now).drop("_file"), target, checkpoint, "append")
+    _run(mapping.with_audit(typed, vendor, F.col("_file"), now).drop("_file"), target, checkpoint)
 
 
-def log_windows(
-    lines: DataFrame, count, target: str, checkpoint: str, lateness: str = "1 hour"
-) -> None:
-    """Streaming twin of a log-window query: each batch writes the windows it
-    changed. Lines later than `lateness` are not counted any more. Watermarks
-    need an instant, so times without zone are taken in the session's (UTC)."""
-    timed = lines.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    _run(count(timed), target, checkpoint, "update")
+def log_windows(lines: DataFrame, parts: Callable[[DataFrame], DataFrame], target: str, checkpoint: str) -> None:
+    """Streaming twin of a log-window query: each batch writes the additive parts of the windows it saw.
+
+    There is no state and no watermark, so a line counts however late it comes and in
+    whatever order files arrive.
+    """
+    _run(lines, target, checkpoint, parts)
+
+
+def merged_windows(
+    spark: SparkSession, target: str, finish: Callable[[DataFrame], DataFrame], by: tuple[str, ...] = ()
+) -> DataFrame:
+    """The windows as of now: the batches' parts added up."""
+    return finish(merge_parts(spark.read.parquet(target), by))
 
 
-def newest_windows(spark: SparkSession, target: str, key: tuple[str, ...] = ("window_start",)) -> DataFrame:
-    """Current state of the windows: the last batch that wrote each."""
-    rows = keep_latest(spark.read.parquet(target), key, ("batch",)).drop("batch")
-    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+def compact_windows(spark: SparkSession, target: str, into: str, by: tuple[str, ...] = ()) -> None:
+    """Fold the parts of all batches so far into one set of rows per window."""
+    merge_parts(spark.read.parquet(target), by).write.mode("overwrite").parquet(into)
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

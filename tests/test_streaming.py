@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from navrecon.operators import monitor
 from navrecon.session import fresh_dir
 from navrecon.sources import projection
@@ -39,9 +40,20 @@ def test_stream_windows_over_several_batches_equal_batch(spark):
     events = spark.read.parquet(f"{DATA}/events.parquet").orderBy("ts").repartitionByRange(6, "ts")
     events.write.parquet(f"{root}/events")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/events")
-    # Files may be taken in any order, so nothing may count as late here.
-    jobs.log_windows(projection.log_lines_of(stream), monitor.errors_per_5_minutes,
-                     f"{root}/out", f"{root}/progress", lateness="3650 days")
+    jobs.log_windows(projection.log_lines_of(stream), monitor.error_parts, f"{root}/out", f"{root}/progress")
     batch = monitor.errors_per_5_minutes(projection.log_lines_of(events))
-    got = jobs.newest_windows(spark, f"{root}/out").select(*batch.columns)
+    got = jobs.merged_windows(spark, f"{root}/out", monitor.error_counts)
     assert sorted(got.collect()) == sorted(batch.collect())
+    jobs.compact_windows(spark, f"{root}/out", f"{root}/folded")
+    again = jobs.merged_windows(spark, f"{root}/folded", monitor.error_counts)
+    assert sorted(again.collect()) == sorted(batch.collect())
+
+
+def test_a_file_with_other_columns_fails_instead_of_being_read_by_position(spark):
+    root = fresh_dir(spark, "stream")
+    os.makedirs(f"{root}/in")
+    with open(f"{root}/in/a.csv", "w") as out:
+        out.write("report_date,acct_id,beginning_mv\n2024-01-31,A,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        jobs.ingest_files(spark, f"{root}/in", ["acct_id", "report_date", "beginning_mv"], f"{root}/out",
+                          f"{root}/progress", "vendor_a", now())
