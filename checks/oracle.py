@@ -782,4 +782,14 @@ ORACLE: dict[str, str] = {
     "next_page": sql("""SELECT account_id, as_of_date, file_name FROM stored
       WHERE account_id > '2' OR account_id = '2' AND as_of_date < DATE '1996-01-01'
       ORDER BY account_id, as_of_date DESC LIMIT 50""", "stored"),
+    "json_scan": sql("""SELECT account_id, as_of_date, COUNT(*) AS n,
+      MAX(TRY_CAST(ending_market_value AS DOUBLE)) AS ending_market_value FROM raw_text GROUP BY 1, 2""", "raw_text"),
+    "vendor_config": sql("""SELECT account_id, as_of_date, CAST(MAX(ending_market_value) AS DOUBLE) AS ending_market_value
+      FROM records GROUP BY 1, 2""", "records"),
+    "schema_issues": sql("""SELECT field_name, expected_value, actual_value, rows_seen FROM (VALUES
+      ('as_of_date', 'string', 'date'), ('period_id', 'int', 'bigint'), ('no_such', 'date', 'missing'))
+      t(field_name, expected_value, actual_value), (SELECT COUNT(*) AS rows_seen FROM stored)""", "stored"),
+    "sql_functions": sql(f"""SELECT period_id, CAST(flow AS DOUBLE) AS net_flow, CAST({ret('beginning_market_value',
+      'ending_market_value', 'flow', 'beginning_market_value > 0 AND CAST(beginning_market_value AS DOUBLE) + CAST(flow AS DOUBLE) / 2 <> 0')}
+      AS DOUBLE) AS twrr FROM records""", "records"),
 }

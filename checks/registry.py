@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navrecon.functions import checks as ck
-from navrecon.functions.finance import annualize, net_flow, period_return
+from navrecon.functions.finance import annualize, net_flow, period_return, register_sql_functions
 from navrecon.functions.text import field_label, parse_date, rate_tier, surrogate_id
 from navrecon.operators import latest, monitor, quality, reconcile, report
 from navrecon.operators.running import cumulative_metrics
@@ -955,3 +956,45 @@ def next_page(s, d):
     """The page of accounts after a given one."""
     return report.next_page(report.account_rows(stored(s, d)), ("2", "1996-01-01"), 50).select(
         "account_id", "as_of_date", "file_name")
+
+
+@query()
+def json_scan(s, d):
+    """Vendor C records written as JSON, one per line, read back and flattened."""
+    root = fresh_dir(s, "json")
+    nested_raw(p.raw_text(s, d)).write.json(f"{root}/vendor_c.json")
+    return files.read_vendor_file(s, f"{root}/vendor_c.json", lines=True).groupBy("account_id", "as_of_date").agg(
+        F.count("*").alias("n"), F.max(F.col("ending_market_value").try_cast("double")).alias("ending_market_value"))
+
+
+@query()
+def vendor_config(s, d):
+    """A load under a vendor's own names, date format and required fields, read from its JSON document."""
+    root = fresh_dir(s, "config")
+    given = {"field_mappings": {"account_id": ["konto"], "as_of_date": ["tag"], "ending_market_value": ["ende"]},
+             "date_formats": ["dd.MM.yyyy"], "required_fields": ["account_id", "ending_market_value"]}
+    s.createDataFrame([(json.dumps(given),)], "value string").coalesce(1).write.text(f"{root}/config")
+    rows = p.records(s, d).select(F.col("account_id").alias("konto"), F.date_format("as_of_date", "dd.MM.yyyy").alias("tag"),
+                                  F.col("ending_market_value").alias("ende"))
+    rows.write.option("header", True).csv(f"{root}/vendor_a_all.csv")
+    settings = flows.LoadSettings.read(s, f"{root}/config")
+    flows.load_file(s, f"{root}/vendor_a_all.csv", "vendor_a", f"{root}/table", moment(), moment(), settings)
+    return store.read_performance(s, f"{root}/table").select("account_id", "as_of_date", "ending_market_value")
+
+
+@query()
+def schema_issues(s, d):
+    """Columns of the stored rows that the expected layout names otherwise or not at all."""
+    expected = {"account_id": "string", "as_of_date": "string", "fees": "decimal", "period_id": "int", "no_such": "date"}
+    found = quality.schema_issues(stored(s, d), expected)
+    return found.withColumn("rows_seen", F.lit(stored(s, d).count()).cast("long"))
+
+
+@query()
+def sql_functions(s, d):
+    """Both formulas as SQL functions over the records."""
+    register_sql_functions(s)
+    p.records(s, d).createOrReplaceTempView("records_for_functions")
+    return s.sql("""SELECT period_id, calculate_net_flow(contributions, distributions) AS net_flow,
+        calculate_twrr_single_period(beginning_market_value, ending_market_value,
+          calculate_net_flow(contributions, distributions)) AS twrr FROM records_for_functions""")

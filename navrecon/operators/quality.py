@@ -172,7 +172,8 @@ def profile(df: DataFrame, columns: list[str], approximate: bool = False) -> Dat
     sketch and needs no shuffle of values at all.
     """
     types = dict(df.dtypes)
-    numeric = {c for c in columns if types[c].startswith(("decimal", "double", "int", "bigint", "float"))}
+    numbers = ("decimal", "double", "float", "tinyint", "smallint", "int", "bigint")
+    numeric = {c for c in columns if types[c].split("(")[0] in numbers}
     cells = df.select(F.explode(F.array(*[
         F.struct(
             F.lit(c).alias("column_name"), F.lit(types[c].split("(")[0]).alias("column_type"),
