@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import LOWER, NO_ID, SPACE, UPPER, carried, text_of
+from navrecon.llm.common import LOWER, NO_ID, SPACE, UPPER, carried, staged, text_of
 
 MADE = ("n_lines", "n_dropped")
 
@@ -43,10 +43,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .select("__of", "__own", "__pos", F.xxhash64("__key").alias("__a"),
                          F.xxhash64(F.lit("second"), "__key").alias("__b")))
     seen = keyed if min_docs <= 2 else keyed.select("__of", "__a", "__b").distinct()
-    shared = (seen.groupBy("__a", "__b")
+    # Staged: the join then has plain shuffles on both sides, whose hot partitions Spark can split.
+    shared = staged(seen.groupBy("__a", "__b")
                   .agg(F.min("__of").alias("__first"), F.max("__of").alias("__last"), F.count("*").alias("__n"))
                   .where((F.col("__n") >= min_docs) & ((F.col("__first") != F.col("__last")) | F.lit(min_docs < 2)))
-                  .select("__a", "__b", "__first"))
+                  .select("__a", "__b", "__first"), "shared-lines")
     drops = (keyed.join(shared, ["__a", "__b"]).where("__of <> __first")
                   .groupBy("__of", "__own").agg(F.collect_set("__pos").alias("__drop")))
     joined = base.join(drops, ["__of", "__own"], "left").withColumn("__lines", lines)
