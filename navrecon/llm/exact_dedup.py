@@ -80,7 +80,8 @@ def groups(base: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
                         F.sha2(stripped(F.col("__text")), 256).alias("__sha"))
     marks = staged(hashed.join(facts, "__row"), "fingerprints")
     mark = ["__a", "__b", "__size"]
-    several = marks.groupBy(*mark).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    # Group tables are staged, so that joins with them have plain shuffles, whose hot partitions Spark can split.
+    several = staged(marks.groupBy(*mark).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n"), "several")
     rows = marks.join(several, mark).select("__row", *mark)
     same = (chunks(base).drop("__size").join(rows, "__row")
             .groupBy(*mark, "__at").agg((F.min("__chunk") != F.max("__chunk")).alias("__differs")))
@@ -90,7 +91,7 @@ def groups(base: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
     parted = staged(parted.drop("__clash"), "fingerprint-groups")
     best = F.struct((-F.col("__points")).alias("p"), F.col("__id").isNull().alias("none"), F.col("__id").alias("id"),
                     F.col("__row").alias("row"))
-    kept = parted.groupBy(*mark, "__part").agg(F.min(best).alias("__best"), F.count("*").alias("__n"))
+    kept = staged(parted.groupBy(*mark, "__part").agg(F.min(best).alias("__best"), F.count("*").alias("__n")), "kept")
     return parted.join(kept, [*mark, "__part"]).select(
         "__row", F.col("__id").alias("id"), F.col("__best.id").alias("keep_id"), F.col("__n").alias("group_size"),
         (F.col("__row") == F.col("__best.row")).alias("kept"), F.col("__sha").alias("text_sha256"))
