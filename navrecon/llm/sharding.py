@@ -71,7 +71,9 @@ def propagate(state: DataFrame, shards: int, rounds: int) -> DataFrame:
         votes = state.where("link is not null").groupBy("link", "shard").agg(F.count("*").alias("n"))
         # A shard's own turn decides ties, so that small groups spread over all shards.
         turn = F.pmod(F.xxhash64("link") + F.col("shard"), F.lit(shards))
-        wanted = votes.groupBy("link").agg(F.max(F.struct("n", turn.alias("turn"), "shard"))["shard"].alias("wanted"))
+        # Staged: the join then has plain shuffles on both sides, whose hot partitions Spark can split.
+        wanted = staged(votes.groupBy("link").agg(
+            F.max(F.struct("n", turn.alias("turn"), "shard"))["shard"].alias("wanted")), "shard-votes")
         asked = staged(state.join(wanted, "link", "left").withColumn(
             "wanted", F.when(F.col("wanted") != F.col("shard"), F.col("wanted"))), "shard-wishes")
         counts = (asked.groupBy("shard", "wanted", F.col("link").isNull().alias("free"))
