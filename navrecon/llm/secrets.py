@@ -75,9 +75,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                               + F.coalesce(F.sum("size").over(before), F.lit(0)))
                   .withColumn("valid", F.coalesce(F.col("chars") >= least, F.lit(False))))
     # A value with many holders folds to one row for each of them, then for each owner.
-    held = (hits.where(F.col("chars") >= least).groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
-                .groupBy("value", "owner").agg(F.count("*").alias("repos"))
-                .groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos")))
+    held = staged(hits.where(F.col("chars") >= least).groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
+                  .groupBy("value", "owner").agg(F.count("*").alias("repos"))
+                  .groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos")), "owned-values")
     judged = placed.join(held, "value", "left")
     owned = F.col("kind") == list(KINDS).index("owned")
     listed = F.col("valid") & (~owned | (F.col("owners") <= max_owners))
