@@ -9,9 +9,10 @@ shingles over all shingles of the two texts.
 
 A bucket is never expanded into all its pairs. Each round compares the members of a
 bucket with a few pivots of it, joins what is similar into classes, and goes on with
-buckets that still hold several classes. A pivot leaves its bucket once everyone of
-another class was compared with it, so no link between members is lost. Buckets of
-many texts that stay apart (a passage in common) are parted by further sketches.
+buckets that still hold several classes. A pivot was compared with everyone of
+another class and leaves; rounds go on until every member has either been a pivot or,
+in a bucket of more than LARGE members, got into the class of one. Large buckets of
+texts that stay apart (a passage in common) are first parted by further sketches.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import carried, importable, staged, text_of, with_rows
+from navrecon.llm.common import carried, importable, staged, text_of
 
 WORDS, SKETCHES, PICKS = 5, 20, 4
-#: Members from which a bucket of several classes is parted by further sketches, and how often.
-LARGE, PARTINGS = 64, 3
+#: Members from which a bucket of several classes counts as large, and how often these are parted.
+LARGE, PARTINGS = 64, 2
 GRAMS_AT_ONCE = 1 << 16
 
 
@@ -111,57 +112,54 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return found if found >= threshold - 1e-12 else 0.0
 
 
-def node_of():
+def text_key():
     """A text's identity: its MD5."""
     return F.unhex(F.md5(F.col("__text").cast("binary")))
 
 
 def sketch_rows(base: DataFrame) -> DataFrame:
-    """(__row, __id, node, sketch array<long>) of base (__row, __id, __text)."""
+    """(__row, __id, text_key, sketch array<long>) of base (__id, __text)."""
     def run(batches):
         for batch in batches:
             *keys, texts = batch.columns
             made = pa.array([sketches(shingles(word_hashes(t.as_py()))) for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*keys, made], ["__row", "__id", "node", "sketch"])
+            yield pa.RecordBatch.from_arrays([*keys, made], ["__row", "__id", "text_key", "sketch"])
 
     kind = base.schema["__id"].dataType.simpleString()
-    return base.select("__row", "__id", node_of().alias("node"), "__text").mapInArrow(
-        run, f"__row long, __id {kind}, node binary, sketch array<long>")
+    return base.select(F.monotonically_increasing_id().alias("__row"), "__id", text_key().alias("text_key"),
+                       "__text").mapInArrow(run, f"__row long, __id {kind}, text_key binary, sketch array<long>")
 
 
-def word_rows(base: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, words): the word hashes of the texts that have a candidate, once for each text."""
+def shingle_rows(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, grams): the shingles of the wanted texts (node, text_key), once for each text."""
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([word_hashes(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())],
-                ["node", "words"])
+            grams = [shingles(word_hashes(t.as_py())).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["node", "grams"])
 
     # Copies fold to one row before the shuffle.
-    once = base.select(node_of().alias("node"), "__text").groupBy("node").agg(F.first("__text").alias("__text"))
-    return once.join(nodes, "node", "left_semi").mapInArrow(run, "node binary, words binary")
+    once = base.select(text_key().alias("text_key"), "__text").groupBy("text_key").agg(F.first("__text").alias("__text"))
+    return once.join(wanted, "text_key").select("node", "__text").mapInArrow(run, "node long, grams binary")
 
 
-def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     def run(batches):
         for batch in batches:
-            keep, last = [], (None, None)
+            keep = []
             for k in range(batch.num_rows):
-                left, right = batch.column(2)[k].as_py(), batch.column(3)[k].as_py()
-                if left is not last[0] and left != last[0]:
-                    last = (left, shingles(np.frombuffer(left, np.uint32)))
-                if similarity(last[1], shingles(np.frombuffer(right, np.uint32)), threshold):
+                left, right = (np.frombuffer(batch.column(i)[k].as_buffer(), np.uint64) for i in (2, 3))
+                if similarity(left, right, threshold):
                     keep.append(k)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    left = words.select(F.col("node").alias("a"), F.col("words").alias("wa"))
-    right = words.select(F.col("node").alias("b"), F.col("words").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a binary, b binary")
+    left = grams.select(F.col("node").alias("a"), F.col("grams").alias("wa"))
+    right = grams.select(F.col("node").alias("b"), F.col("grams").alias("wb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): each linked node with the smallest node it is linked to over any way.
+    """(node, component): each linked node (a long) with the smallest node it is linked to over any way.
 
     Every round hangs a node's larger, then its smaller neighbours on the smallest one,
     until nothing changes: rounds grow with the logarithm of the longest way.
@@ -170,9 +168,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Staged: joins with them then have plain shuffles, whose hot partitions (a node with many links) Spark can split.
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = staged(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "components")
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -181,54 +180,94 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def classes(texts: DataFrame, words_of, threshold: float) -> DataFrame:
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """found (node, component of every node) after new links: only links between components are followed."""
+    ends = found.withColumnRenamed("node", "a").withColumnRenamed("component", "ca")
+    others = found.withColumnRenamed("node", "b").withColumnRenamed("component", "cb")
+    fresh = staged(links.join(ends, "a").join(others, "b").where("ca <> cb").select(
+        F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "component-links")
+    if fresh.isEmpty():
+        return found
+    moved = components(fresh).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    return staged(found.join(moved, "component", "left").select(
+        "node", F.coalesce("into", "component").alias("component")), "found")
+
+
+def central(members: DataFrame, number: int) -> DataFrame:
+    """(key, pivot, pivot_class) for the most central members (key, node, class, reach) of each bucket.
+
+    What shares buckets with many others lies near the middle of its group, so most
+    of the group is similar to it. Spark cuts each map task's rows to the best ones
+    before the shuffle, so a bucket of any size is a few rows here.
+    """
+    order = Window.partitionBy("key").orderBy(F.desc("reach"), "node")
+    return (members.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= number)
+                   .select("key", F.col("node").alias("pivot"), F.col("class").alias("pivot_class")))
+
+
+def pairs_of(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Each member beside the pivots of its bucket that are of another class."""
+    return (members.join(pivots, "key").where("class <> pivot_class")
+                   .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+
+
+def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
     """(node, component) of all texts (node, sketch) that are linked to another."""
     keyed = texts.select("node", F.explode("sketch").alias("key"))
-    several = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = staged(keyed.join(several, "key").where("node <> pivot"), "buckets")
-    pivots = members.select(F.col("pivot").alias("node"))
-    words = staged(words_of(members.select("node").unionByName(pivots).distinct()), "candidate-words")
-    edges = staged(verified(members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), words,
-                            threshold), "links")
-    # The first pivot was compared with everyone and is done.
-    rest, width, partings = members.select("key", "node"), 4, 0
+    several = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
+    members = staged(keyed.join(several, "key"), "buckets")
+    reach = staged(members.groupBy("node").agg(F.sum("n").alias("reach")), "reach")
+    rest = staged(members.join(reach, "node").select("key", "node", "reach"), "bucket-members")
+    grams = staged(grams_of(reach.select("node")), "candidate-shingles")
+    width, partings, led, found = 1, 0, None, None
     while True:
-        found = components(edges)
-        told = rest.join(found, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
-        counted = told.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
-        open_ = staged(told.join(counted.where("low <> high").select("key", "n"), "key"), "open-buckets")
+        if found is None:
+            open_ = staged(rest.withColumn("class", F.col("node")).join(several, "key"), "open-buckets")
+        else:
+            told = rest.join(found.withColumnRenamed("component", "class"), "node")
+            if led is not None:
+                # In a large bucket, who got into the class of a pivot is done; the others go on.
+                now = led.join(found.withColumnRenamed("node", "pivot"), "pivot").select(
+                    "key", F.col("component").alias("class")).distinct()
+                told = told.join(staged(now, "led-classes"), ["key", "class"], "left_anti")
+            told = staged(told, "told-buckets")
+            counted = told.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
+            open_ = staged(told.join(staged(counted.where("low <> high").select("key", "n"), "open-keys"), "key"), "open-buckets")
         if open_.isEmpty():
-            return found
-        if partings < PARTINGS:
+            return found if found is not None else texts.select("node", F.col("node").alias("component")).limit(0)
+        if found is not None and partings < PARTINGS:
             # Similar texts agree in further sketches too; texts that only share a passage hardly ever.
             partings += 1
             large = open_.where(F.col("n") > LARGE).join(texts, "node").withColumn("turn", F.explode(F.array(*map(F.lit, range(4)))))
             other = F.element_at("sketch", F.pmod(F.xxhash64("key", "turn"), F.size("sketch")).cast("int") + 1)
-            parted = staged(large.select(F.xxhash64("key", "turn", other).alias("key"), "node", "class")
-                            .unionByName(open_.where(F.col("n") <= LARGE).select("key", "node", "class")), "parted-buckets")
-        else:
-            parted = open_.select("key", "node", "class")
-        first = (parted.withColumn("turn", F.row_number().over(Window.partitionBy("key").orderBy("node")))
-                       .where(F.col("turn") <= width)
-                       .select("key", F.col("node").alias("pivot"), F.col("class").alias("pivot_class")))
-        pairs = (parted.join(first, "key").where("class <> pivot_class")
-                       .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        edges = edges.unionByName(staged(verified(pairs, words, threshold), "links"))
-        rest = parted.join(first.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").select("key", "node")
-        width *= 2
+            parted = large.select(F.xxhash64("key", "turn", other).alias("key"), "node", "class", "reach")
+            sizes = staged(parted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "parted-sizes")
+            open_ = staged(parted.join(sizes, "key").unionByName(open_.where(F.col("n") <= LARGE)), "parted-buckets")
+        pivots = staged(central(open_, width), "pivots")
+        links = staged(verified(pairs_of(open_, pivots), grams, threshold), "links")
+        found = merged(reach.select("node", F.col("node").alias("component")) if found is None else found, links)
+        rest = open_.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
+        big = rest.where(F.col("n") > LARGE).select("key").distinct()
+        led = pivots.join(big, "key").select("key", "pivot")
+        rest, width = staged(rest.select("key", "node", "reach"), "bucket-members"), min(8, width * 8)
 
 
 def grouped(base: DataFrame, threshold: float) -> DataFrame:
-    """(__row, __id, class_id, class_size, kept) for each row of base (__row, __id, __text)."""
+    """(__row, __id, text_key, class_id, class_size, kept) for each row of base (__id, __text)."""
     importable(base.sparkSession)
     rows = staged(sketch_rows(base), "sketches")
-    texts = staged(rows.where(F.size("sketch") > 0).groupBy("node").agg(F.first("sketch").alias("sketch")), "texts")
-    found = classes(texts, lambda nodes: word_rows(base, nodes), threshold)
-    told = rows.select("__row", "__id", "node").join(found, "node", "left").select(
-        "__row", "__id", F.coalesce("component", "node").alias("class"))
+    # Texts are numbered, so that all that follows moves short rows.
+    numbered = staged(rows.groupBy("text_key").agg(F.first("sketch").alias("sketch"))
+                      .withColumn("node", F.monotonically_increasing_id()), "texts")
+    texts = numbered.where(F.size("sketch") > 0)
+    found = classes(texts.select("node", "sketch"),
+                    lambda nodes: shingle_rows(base, texts.select("node", "text_key").join(nodes, "node", "left_semi")), threshold)
+    linked = staged(numbered.select("text_key", "node").join(found, "node", "left").select(
+        "text_key", F.coalesce("component", "node").alias("class")), "classes")
+    told = staged(rows.select("__row", "__id", "text_key").join(linked, "text_key"), "class-rows")
     order = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    best = told.groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("class_size"))
-    return told.join(best, "class").select("__row", "__id", F.col("best.id").alias("class_id"), "class_size",
+    best = staged(told.groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("class_size")), "class-heads")
+    return told.join(best, "class").select("__row", "__id", "text_key", F.col("best.id").alias("class_id"), "class_size",
                                            (F.col("__row") == F.col("best.row")).alias("kept"))
 
 
@@ -241,12 +280,15 @@ def near_groups(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     equal words make them similar. Equal texts, empty and null ones too, are one
     class. Repeated rows are rows of their own. Other columns are ignored.
     """
-    base = with_rows(docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")), "texts")
-    return grouped(base, threshold).drop("__row").withColumnRenamed("__id", id_col)
+    base = docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text"))
+    return grouped(base, threshold).select(F.col("__id").alias(id_col), "class_id", "class_size", "kept")
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The one row of each class that stays, all columns as they were."""
-    base = with_rows(docs.select(carried(docs), F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")), "texts")
-    gone = grouped(base.select("__row", "__id", "__text"), threshold).where("not kept").select("__row")
-    return base.select("__row", "__doc").join(gone, "__row", "left_anti").select("__doc.*")
+    """The one row of each class that stays, all columns as they were; of repeated rows with one id and text, any."""
+    base = docs.select(carried(docs), F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text"))
+    heads = grouped(base.select("__id", "__text"), threshold).where("kept").select(
+        "text_key", F.col("__id").alias("head"))
+    rows = base.select("__doc", "__id", text_key().alias("text_key"))
+    same = (rows["text_key"] == heads["text_key"]) & rows["__id"].eqNullSafe(heads["head"])
+    return rows.join(heads, same, "left_semi").dropDuplicates(["text_key", "__id"]).select("__doc.*")
