@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -30,6 +30,8 @@ from navrecon.llm.common import carried, importable, text_of
 from navrecon.llm.near_dedup import shingles, sketches, word_hashes
 
 SEGMENT = 128
+#: Segments that fitting works on at a time.
+CHAINS = 2048
 #: Words whose emission a worker keeps; beyond, it starts anew.
 CACHED = 400_000
 #: A feature's tie to toxic documents counts from here (chi square of one degree of freedom).
@@ -39,10 +41,16 @@ RATIO = 8.0
 EDGES = ".,;:!?\"'()[]{}<>*_~"
 
 
-def features(word: str) -> list[str]:
+#: Features of a word at most.
+WIDTH = 8
+
+
+def features(word: str) -> list[int]:
+    """Hashes (not 0) of the word without punctuation, its beginnings and its end."""
     w = word.strip(EDGES) or word
     n = len(w)
-    return ["=" + w, "$" + w[-4:], *["^" + w[:k] for k in (3, 4, 5, 6, 7, 9) if n >= k]]
+    names = ["=" + w, "$" + w[-4:], *["^" + w[:k] for k in (3, 4, 5, 6, 7, 9) if n >= k]]
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) or 1 for x in names]
 
 
 # ---- the chain -------------------------------------------------------------
@@ -155,23 +163,14 @@ def document_facts(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 # ---- fitting ---------------------------------------------------------------
 
-def tied(docs: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
-    """G squared of each feature that toxic documents hold more often than others."""
-    held: tuple[Counter, Counter] = Counter(), Counter()
-    for own, t in zip(docs, toxic.tolist(), strict=True):
-        held[int(t)].update(own)
-    n1, n = int(toxic.sum()), len(docs)
-    out = {}
-    for f, a in held[1].items():
-        b = held[0].get(f, 0)
-        if a * (n - n1) < RATIO * b * n1:
-            continue
-        g = 2 * sum(o * math.log(o / e) for o, e in (
-            (a, (a + b) * n1 / n), (b, (a + b) * (n - n1) / n), (n1 - a, (n - a - b) * n1 / n),
-            (n - n1 - b, (n - a - b) * (n - n1) / n)) if o > 0 and e > 0)
-        if g >= TIED:
-            out[f] = g
-    return out
+def tied(a: np.ndarray, b: np.ndarray, toxic: int, other: int) -> np.ndarray:
+    """Is a feature that `a` of the toxic and `b` of the other documents hold tied to the toxic ones?"""
+    n, g = toxic + other, np.zeros(len(a))
+    for seen, held, size in ((a, a + b, toxic), (b, a + b, other), (toxic - a, n - a - b, toxic), (other - b, n - a - b, other)):
+        expected = held * size / n
+        full = (seen > 0) & (expected > 0)
+        g[full] += 2 * seen[full] * np.log(seen[full] / expected[full])
+    return (g >= TIED) & (a * other >= RATIO * b * toxic) & (a > 0)
 
 
 def distinct(texts: list[str]) -> list[int]:
@@ -192,63 +191,72 @@ def fit(texts: list[str], toxic: list[int], prior: float, rounds: int = 30) -> d
     texts, y = [texts[i] for i in kept], np.array([toxic[i] for i in kept], bool)
     if y.all() or not y.any():
         return None
-    split = [t.lower().split() for t in texts]
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for d in split for w in d))}
-    feats = [features(w) for w in vocabulary]
-    names = list(vocabulary)
-    known = tied([{f for w in set(d) for f in feats[vocabulary[w]]} for d in split], y)
-    worth = np.array([max((known.get(f, 0.0) for f in fs), default=0.0) for fs in feats])
-    lengths = np.array([len(d) for d in split])
-    words = np.fromiter((vocabulary[w] for d in split for w in d), np.int64, lengths.sum())
-    labels = (worth[words] > 0) & np.repeat(y, lengths)
+    # Words become numbers at once; a word's features are a row of a table of numbers.
+    vocabulary: dict[str, int] = {}
+    docs = []
+    for t in texts:
+        own = t.lower().split()
+        docs.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in own), np.int32, len(own)))
+    flat = (f for w in vocabulary for f in (features(w) + [0] * WIDTH)[:WIDTH])
+    table = np.fromiter(flat, np.uint32, WIDTH * len(vocabulary))
+    del vocabulary
+    values, table = np.unique(table, return_inverse=True)
+    table = table.astype(np.int32).reshape(-1, WIDTH)
+    held = np.zeros((2, len(values)), np.int32)
+    for own, bad in zip(docs, y.tolist(), strict=True):
+        held[int(bad), np.unique(table[np.unique(own)])] += 1
+    known = tied(held[1].astype(float), held[0].astype(float), int(y.sum()), int((~y).sum())) & (values != 0)
+    lengths = np.array([len(d) for d in docs])
+    words = np.concatenate(docs) if docs else np.empty(0, np.int32)
+    marked = known[table].any(axis=1)
+    labels = marked[words] & np.repeat(y, lengths)
     # Weights only for features of labelled tokens and those that several words share.
-    uses = Counter(f for fs in feats for f in fs)
-    marked = {f for i in np.unique(words[labels]).tolist() for f in feats[i]}
-    index = {f: i for i, f in enumerate(f for f, c in uses.items() if f in marked or c >= 5)}
-    width = max((len(fs) for fs in feats), default=1)
-    table = np.full((len(names), width), len(index))
-    for i, fs in enumerate(feats):
-        own = [index[f] for f in fs if f in index]
-        table[i, :len(own)] = own
-
-    # Adam on the likelihood of segments as chains, with a bias and a step matrix in logarithms.
-    size = len(index) + 1
-    weights, moves = np.zeros(size + 1), np.array([[0.0, -2.0], [-1.0, -1.0]])  # the last weight is the bias
+    used = np.bincount(table.ravel(), minlength=len(values)) >= 5
+    used[table[np.unique(words[labels])].ravel()] = True
+    used[values == 0] = False
+    size = int(used.sum())
+    place = np.full(len(values), size, np.int32)  # what has no weight of its own
+    place[used] = np.arange(size)
+    table, names = place[table], values[used]
+
+    # Adam on the likelihood of segments as chains; a bias and the steps in logarithms are learned beside the features.
+    weights, moves = np.zeros(size + 2), np.array([[0.0, -2.0], [-1.0, -1.0]])
     weights[-1] = -2.0
-    start, held, doc = segments(lengths)
-    right = np.ones((2, len(doc)))
-    left = np.tile(BEGIN[:, None], len(doc))
-    label_at = np.zeros((SEGMENT, len(doc)), bool)
-    at = start[None, :] + np.arange(SEGMENT)[:, None]
-    here = np.arange(SEGMENT)[:, None] < held[None, :]
-    label_at[here] = labels[at[here]]
-    before = np.vstack([np.zeros((1, len(doc)), bool), label_at[:-1]])
-    seen = np.array([[(here & ~before & ~label_at).sum(), (here & ~before & label_at).sum()],
-                     [(here & before & ~label_at).sum(), (here & before & label_at).sum()]], float)
-    m1 = m2 = np.zeros(size + 1 + 4)
+    start, count, _ = segments(lengths)
+    m1 = m2 = np.zeros(size + 6)
     for turn in range(1, rounds + 1):
-        weights[size - 1] = 0.0  # what has no weight of its own
-        word_emission = weights[table].sum(axis=1) + weights[-1]
-        factor, _ = laid_out(word_emission[words], start, held)
-        p, counts = marginals(factor, here, np.exp(moves), left, right, pairs=True)
-        error = np.bincount(words[at[here]], weights=(label_at - p)[here], minlength=len(names))
-        slope = np.zeros(size + 1 + 4)
-        slope[:size] = np.bincount(table.ravel(), weights=np.repeat(error, width), minlength=size)[:size]
-        slope[size] = error.sum()
-        slope[size + 1:] = (seen - counts).ravel()
-        slope[:size + 1] -= 0.1 * weights
-        slope[size + 1:] -= 0.1 * moves.ravel()
+        emission = weights[table].sum(axis=1) + weights[-1]
+        error, gained = np.zeros(len(table)), np.zeros((2, 2))
+        for i in range(0, len(start), CHAINS):  # a few segments at a time bound the memory
+            at = start[i:i + CHAINS][None, :] + np.arange(SEGMENT)[:, None]
+            factor, here = laid_out(emission[words], start[i:i + CHAINS], count[i:i + CHAINS])
+            n = factor.shape[1]
+            p, expected = marginals(factor, here, np.exp(moves), np.tile(BEGIN[:, None], n), np.ones((2, n)), pairs=True)
+            own = np.zeros(here.shape, bool)
+            own[here] = labels[at[here]]
+            before = np.vstack([np.zeros((1, n), bool), own[:-1]])
+            seen = [[(here & (before == s) & (own == t)).sum() for t in (False, True)] for s in (False, True)]
+            gained += np.array(seen) - expected
+            error += np.bincount(words[at[here]], weights=(own - p)[here], minlength=len(table))
+        slope = np.concatenate([np.bincount(table.ravel(), weights=np.repeat(error, WIDTH), minlength=size + 1)[:size],
+                                [0.0, error.sum()], gained.ravel()])
+        slope[:size + 2] -= 0.1 * weights
+        slope[size + 2:] -= 0.1 * moves.ravel()
         m1, m2 = 0.8 * m1 + 0.2 * slope, 0.95 * m2 + 0.05 * slope * slope
         move = 0.3 * (m1 / (1 - 0.8 ** turn)) / (np.sqrt(m2 / (1 - 0.95 ** turn)) + 1e-8)
-        weights, moves = weights + move[:size + 1], moves + move[size + 1:].reshape(2, 2)
-    weights[size - 1] = 0.0
+        weights, moves = weights + move[:size + 2], moves + move[size + 2:].reshape(2, 2)
+        weights[size] = 0.0
     step = np.exp(moves)
     emission = weights[table].sum(axis=1) + weights[-1]
-    facts = document_facts(token_marginals(emission[words], lengths, step), lengths)
+    stops = np.cumsum(lengths)
+    facts = np.concatenate([document_facts(token_marginals(
+        emission[words[stops[i] - lengths[i]:stops[min(i + 128, len(stops)) - 1]]], lengths[i:i + 128], step), lengths[i:i + 128])
+        for i in range(0, len(lengths), 128)])
     score = logistic(facts, y.astype(float))
     share = y.mean()
     score[0] += math.log(prior / (1 - prior)) - math.log(share / (1 - share))
-    return {"weights": {f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-4},
+    strong = np.flatnonzero(np.abs(weights[:size]) > 1e-3)
+    return {"weights": dict(zip(names[strong].tolist(), weights[strong].tolist(), strict=True)),
             "bias": float(weights[-1]), "step": step.tolist(), "score": score.tolist()}
 
 
@@ -304,7 +312,7 @@ def _scorer(blob: bytes) -> Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-          sample: int = 1500, max_chars: int = 50_000) -> dict | None:
+          sample: int = 1000, max_chars: int = 50_000) -> dict | None:
     """The model from labelled documents that are not held out.
 
     At most `sample` toxic and twice as many other documents are used, those with the
