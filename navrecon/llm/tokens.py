@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -10,10 +11,19 @@ import numpy as np
 
 #: Every document ends with this id.
 END = 1
-#: Words that a worker keeps; beyond, it starts anew. About 60 MB.
-CACHED = 300_000
+#: Words that a worker keeps; beyond, it starts anew. About 100 MB.
+CACHED = 450_000
 #: Words that are encoded by one call.
 CALL = 2000
+#: Anything but characters that are in normal form C and have a simple lower case.
+NOT_PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for letters from 256 on."""
+    kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    moved = (b for b in range(256) if b not in kept)
+    return {**{b: b for b in kept}, **{b: 256 + i for i, b in enumerate(moved)}}
 
 
 class WordEncoder:
@@ -21,47 +31,96 @@ class WordEncoder:
 
     The tokenizer splits at white space before anything else, so a text's ids are
     those of its words in a row. Words new to the cache are encoded many at a time
-    and told apart by their offsets; a word that is not in normal form C, whose offsets
-    may move, is encoded by itself.
+    and told apart by their offsets. Words of plain letters, perhaps with points or
+    commas behind, go to the model without its normaliser, which would change nothing
+    in them; a word that is not in normal form C, whose offsets may move, is encoded by itself.
     """
 
     def __init__(self, path: str, cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # Texts are data: strings that look like control tokens are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        self.bare = Tokenizer.from_file(path)
+        self.bare.encode_special_tokens = True
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = {b: x for b, x in byte_letters().items() if b != 32}  # spaces go on parting words
         self.cached, self.known = cached, {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        plain = []
+    def _keep(self, words: list[str], ids: list[int], cuts: np.ndarray) -> None:
+        data, cuts = np.array(ids, "<u4").tobytes(), (cuts * 4).tolist()
+        for w, a, b in zip(words, cuts, cuts[1:]):
+            self.known[w] = data[a:b]
+
+    def _learn_whole(self, words: list[str]) -> None:
+        """Any words: told apart by the offsets of their ids."""
+        for i in range(0, len(words), CALL):
+            part = words[i:i + CALL]
+            begins = np.cumsum([0] + [len(w) + 1 for w in part])
+            encoding = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            offsets = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
+            self._keep(part, encoding.ids, np.searchsorted(offsets, begins))
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """Words of lower-case letters, each one piece to the model."""
+        for i in range(0, len(words), CALL):
+            part = words[i:i + CALL]
+            letters = " ".join(part).encode().decode("latin-1").translate(self.letters)
+            encoding = self.bare.encode(letters, add_special_tokens=False)
+            numbers = np.array(encoding.word_ids, np.int64)
+            self._keep(part, encoding.ids, np.searchsorted(numbers, np.arange(len(part) + 1)))
+
+    def _learn_plain(self, words: set[str]) -> None:
+        """Words of texts in plain lower-case characters: most are letters, perhaps with points or commas behind."""
+        letters, ended, whole = [], [], []
+        for w in words:
+            if w.isalpha():
+                letters.append(w)
+            elif (core := w.rstrip(".,")).isalpha():
+                ended.append((w, core, w[len(core):]))
+            else:
+                whole.append(w)
+        new = {x for _, core, tail in ended for x in (core, tail)}.difference(self.known, letters)
+        letters += [x for x in new if x.isalpha()]
+        self._learn_whole(whole + [x for x in new if not x.isalpha()])
+        self._learn_letters(letters)
+        known = self.known
+        for w, core, tail in ended:
+            known[w] = known[core] + known[tail]
+
+    def _learn_other(self, words: set[str]) -> None:
+        normal = []
         for w in words:
             if w.isascii() or unicodedata.is_normalized("NFC", w):
-                plain.append(w)
+                normal.append(w)
             else:
                 self.known[w] = self._ids(w).tobytes()
-        for i in range(0, len(plain), CALL):
-            part = plain[i:i + CALL]
-            begins = np.cumsum([0] + [len(w) + 1 for w in part])
-            encoding = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(encoding.ids, "<u4").tobytes()
-            offsets = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
-            cuts = (np.searchsorted(offsets, begins) * 4).tolist()
-            for w, a, b in zip(part, cuts, cuts[1:]):
-                self.known[w] = ids[a:b]
+        self._learn_whole(normal)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; None counts as empty."""
-        # A word's case does not matter; lowering ASCII here halves the distinct words.
-        split = [((t.lower() if t.isascii() else t) if t else "").replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > self.cached:
+        split, plain, other = [], set(), set()
+        for t in texts:
+            t = t or ""
+            if NOT_PLAIN.search(t):
+                words = t.replace("\n", " ").split(" ")
+                other.update(words)
+            else:
+                # Case does not matter to the ids; lowering here leaves fewer distinct words.
+                words = t.lower().replace("\n", " ").split(" ")
+                plain.update(words)
+            split.append(words)
+        new = plain.difference(self.known)
+        if len(self.known) + len(new) + len(other) > self.cached:
             self.known.clear()
-            new = set().union(*split)
-        self._learn(list(new))
+            new = plain
+        self._learn_plain(new)
+        self._learn_other(other.difference(self.known))
         known = self.known.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
