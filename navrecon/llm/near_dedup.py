@@ -7,16 +7,18 @@ of several sketches meet in a bucket and are compared by aligning their shingles
 inside a band as wide as the threshold lets edits shift them: similarity is aligned
 shingles over all shingles of the two texts.
 
-A bucket is never expanded into all its pairs. Each round compares the members of a
-bucket with a few pivots of it, joins what is similar into classes, and goes on with
-buckets that still hold several classes. A pivot was compared with everyone of
-another class and leaves; rounds go on until every member has either been a pivot or,
-in a bucket of more than LARGE members, got into the class of one. Large buckets of
-texts that stay apart (a passage in common) are first parted by further sketches.
+A bucket is never expanded into all its pairs at once. Each round compares the members
+of a bucket with a few pivots of it, joins what is similar into classes, and goes on with
+buckets that still hold several classes. A pivot was compared with everyone of another
+class and leaves; nobody else does, so a bucket closes only when one class is left.
+Members of large buckets of several classes (a passage in common) are dealt anew by
+their rarest shingles: of n shingles, the n - ceil(threshold * n) + 1 first ones in one
+order for all texts. Similar texts have at least one of them in common, so no pair is lost.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left
 
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 from navrecon.llm.common import carried, importable, staged, text_of
 
 WORDS, SKETCHES, PICKS = 5, 20, 4
-#: Members from which a bucket of several classes counts as large, and how often these are parted.
-LARGE, PARTINGS = 64, 2
+#: Members from which a bucket of several classes counts as large.
+LARGE = 64
+#: Counters of the shingles' frequencies, and pivots of a bucket in the second and later rounds.
+BINS, PIVOTS = 1 << 16, 8
 GRAMS_AT_ONCE = 1 << 16
 
 
@@ -193,63 +197,101 @@ def merged(found: DataFrame, links: DataFrame) -> DataFrame:
         "node", F.coalesce("into", "component").alias("component")), "found")
 
 
-def central(members: DataFrame, number: int) -> DataFrame:
-    """(key, pivot, pivot_class) for the most central members (key, node, class, reach) of each bucket.
+def central(members: DataFrame, number: int, minor_first: bool = False) -> DataFrame:
+    """(key, pivot, pivot_class, pivot_size) for the most central members (key, node, class, reach, size, major) of each bucket.
 
     What shares buckets with many others lies near the middle of its group, so most
-    of the group is similar to it. Spark cuts each map task's rows to the best ones
-    before the shuffle, so a bucket of any size is a few rows here.
+    of the group is similar to it. minor_first takes those outside the bucket's largest
+    class first: once all of them were pivots, one class is left. Spark cuts each map
+    task's rows to the best ones before the shuffle, so a bucket of any size is a few rows here.
     """
-    order = Window.partitionBy("key").orderBy(F.desc("reach"), "node")
-    return (members.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= number)
-                   .select("key", F.col("node").alias("pivot"), F.col("class").alias("pivot_class")))
+    first = [F.col("class") == F.col("major")] if minor_first else []
+    order = Window.partitionBy("key").orderBy(*first, F.desc("reach"), "node")
+    return (members.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= number).select(
+        "key", F.col("node").alias("pivot"), F.col("class").alias("pivot_class"), F.col("size").alias("pivot_size")))
 
 
-def pairs_of(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Each member beside the pivots of its bucket that are of another class."""
-    return (members.join(pivots, "key").where("class <> pivot_class")
+def pairs_of(members: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
+    """Each member beside the pivots of its bucket that are of another class and not too short or long for it."""
+    fits = F.least("size", "pivot_size") >= F.greatest("size", "pivot_size") * F.lit(threshold) - F.lit(1e-6)
+    return (members.join(pivots, "key").where("class <> pivot_class").where(fits)
                    .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
 
+def several_classes(told: DataFrame) -> DataFrame:
+    """told (key, node, class, ...) with n and major, the largest class, of the buckets of several classes."""
+    counted = (told.groupBy("key", "class").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.sum("n").alias("n"), F.count("*").alias("classes"), F.max(F.struct("n", "class"))["class"].alias("major")))
+    return told.join(staged(counted.where("classes > 1").drop("classes"), "open-keys"), "key")
+
+
+def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """(key, node, class, reach, size) of members (node, class, reach, size), once for each of the rarest shingles.
+
+    Texts of similarity threshold share at least threshold * n of either's n shingles.
+    So the first one that they share, in any order that is the same for all, is among
+    the first n - ceil(threshold * n) + 1 of both. Rare ones come first, a passage in
+    common last; frequencies are counted in BINS counters, which only shape the order.
+    """
+    texts = staged(members.join(grams, "node"), "large-members")
+
+    def count(batches):
+        for batch in batches:
+            held = [np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column(0)]
+            bins, n = np.unique(np.concatenate(held) % np.uint64(BINS), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(bins.astype(np.int32)), pa.array(n.astype(np.int64))], ["bin", "n"])
+
+    counted = texts.select("grams").mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(BINS, np.int64)
+    often[counted["bin"].to_numpy()] = counted["n"].to_numpy()
+
+    def run(batches):
+        for batch in batches:
+            keys, at = [], []
+            for i, data in enumerate(batch.column(4)):
+                held = np.frombuffer(data.as_buffer(), np.uint64)
+                first = len(held) - math.ceil(threshold * len(held) - 1e-6) + 1
+                keys.append(held[np.lexsort((held, often[held % np.uint64(BINS)]))[:first]].view(np.int64))
+                at.append(np.full(len(keys[-1]), i))
+            rows = batch.select([0, 1, 2, 3]).take(pa.array(np.concatenate(at)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *rows.columns], ["key", *rows.schema.names])
+
+    return texts.select("node", "class", "reach", "size", "grams").mapInArrow(
+        run, "key long, node long, class long, reach long, size long")
+
+
 def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
     """(node, component) of all texts (node, sketch) that are linked to another."""
     keyed = texts.select("node", F.explode("sketch").alias("key"))
     several = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
     members = staged(keyed.join(several, "key"), "buckets")
     reach = staged(members.groupBy("node").agg(F.sum("n").alias("reach")), "reach")
-    rest = staged(members.join(reach, "node").select("key", "node", "reach"), "bucket-members")
     grams = staged(grams_of(reach.select("node")), "candidate-shingles")
-    width, partings, led, found = 1, 0, None, None
+    sizes = staged(reach.join(grams.select("node", F.expr("octet_length(grams) div 8").alias("size")), "node"), "sizes")
+    rest = staged(members.join(sizes, "node").select("key", "node", "reach", "size"), "bucket-members")
+    turn, found = 0, None
     while True:
         if found is None:
-            open_ = staged(rest.withColumn("class", F.col("node")).join(several, "key"), "open-buckets")
+            open_ = staged(rest.withColumn("class", F.col("node")).withColumn("major", F.col("node"))
+                               .join(several, "key"), "open-buckets")
         else:
-            told = rest.join(found.withColumnRenamed("component", "class"), "node")
-            if led is not None:
-                # In a large bucket, who got into the class of a pivot is done; the others go on.
-                now = led.join(found.withColumnRenamed("node", "pivot"), "pivot").select(
-                    "key", F.col("component").alias("class")).distinct()
-                told = told.join(staged(now, "led-classes"), ["key", "class"], "left_anti")
-            told = staged(told, "told-buckets")
-            counted = told.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
-            open_ = staged(told.join(staged(counted.where("low <> high").select("key", "n"), "open-keys"), "key"), "open-buckets")
+            told = staged(rest.join(found.withColumnRenamed("component", "class"), "node"), "told-buckets")
+            open_ = staged(several_classes(told), "open-buckets")
         if open_.isEmpty():
             return found if found is not None else texts.select("node", F.col("node").alias("component")).limit(0)
-        if found is not None and partings < PARTINGS:
-            # Similar texts agree in further sketches too; texts that only share a passage hardly ever.
-            partings += 1
-            large = open_.where(F.col("n") > LARGE).join(texts, "node").withColumn("turn", F.explode(F.array(*map(F.lit, range(4)))))
-            other = F.element_at("sketch", F.pmod(F.xxhash64("key", "turn"), F.size("sketch")).cast("int") + 1)
-            parted = large.select(F.xxhash64("key", "turn", other).alias("key"), "node", "class", "reach")
-            sizes = staged(parted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "parted-sizes")
-            open_ = staged(parted.join(sizes, "key").unionByName(open_.where(F.col("n") <= LARGE)), "parted-buckets")
-        pivots = staged(central(open_, width), "pivots")
-        links = staged(verified(pairs_of(open_, pivots), grams, threshold), "links")
+        columns = ["key", "node", "class", "reach", "size", "n", "major"]
+        if turn == 1:
+            large = open_.where(F.col("n") > LARGE).select("node", "class", "reach", "size").distinct()
+            parted = staged(rarest(large, grams, threshold), "rarest-shingles")
+            open_ = staged(several_classes(parted).select(columns).unionByName(
+                open_.where(F.col("n") <= LARGE).select(columns)), "parted-buckets")
+        # More pivots a round where many classes stay apart, so that rounds do not grow with a bucket.
+        width = 1 if turn == 0 else PIVOTS << max(0, turn - 3)
+        pivots = staged(central(open_, width, turn > 1), "pivots")
+        links = staged(verified(pairs_of(open_, pivots, threshold), grams, threshold), "links")
         found = merged(reach.select("node", F.col("node").alias("component")) if found is None else found, links)
         rest = open_.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
-        big = rest.where(F.col("n") > LARGE).select("key").distinct()
-        led = pivots.join(big, "key").select("key", "pivot")
-        rest, width = staged(rest.select("key", "node", "reach"), "bucket-members"), min(8, width * 8)
+        rest, turn = staged(rest.select("key", "node", "reach", "size"), "bucket-members"), turn + 1
 
 
 def grouped(base: DataFrame, threshold: float) -> DataFrame:

@@ -123,6 +123,30 @@ def test_near_groups(spark, near_rows, monkeypatch, large):
     assert len(rows) == len(near_rows)
 
 
+def classes_of(spark, texts):
+    """Classes of texts {node: (sketch, shingles)}."""
+    grams = spark.createDataFrame([(i, np.array(g, np.uint64).tobytes()) for i, (_, g) in texts.items()], "node long, grams binary")
+    rows = spark.createDataFrame([(i, s) for i, (s, _) in texts.items()], "node long, sketch array<long>")
+    found = near_dedup.classes(rows, lambda nodes: grams.join(nodes, "node", "left_semi"), 0.8).collect()
+    assert len(found) == len({r.node for r in found})
+    return by_class((r.component, r.node) for r in found)
+
+
+def test_drift_in_one_bucket(spark):
+    """Each version is similar to its neighbours only; all meet in one bucket alone, beside strangers with a passage of theirs."""
+    passage = list(range(10**6, 10**6 + 12))
+    texts = {i: ([7], [*passage, *range(i, i + 20)]) for i in range(300)}
+    texts |= {1000 + i: ([7], [*passage, *range(5000 + 100 * i, 5000 + 100 * i + 20)]) for i in range(100)}
+    assert classes_of(spark, texts) == {frozenset(range(300)), *(frozenset([1000 + i]) for i in range(100))}
+
+
+def test_only_the_large_bucket_in_common(spark):
+    """A similar pair agrees in no sketch but that of a large bucket."""
+    texts = {i: ([7, *range(100 * i + 1000, 100 * i + 1019)], range(100 * i, 100 * i + 20)) for i in range(150)}
+    texts |= {n: ([7, *range(10**6 * n, 10**6 * n + 19)], range(10**7 + n, 10**7 + n + 20)) for n in (500, 501)}
+    assert frozenset([500, 501]) in classes_of(spark, texts)
+
+
 def test_alignment_sees_order():
     words = near_dedup.word_hashes(" ".join("w%d" % i for i in range(200)))
     a = near_dedup.shingles(words)
