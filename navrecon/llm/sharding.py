@@ -1,6 +1,9 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked through their text. Each round, a linked
+Documents with equal texts are linked through their text. They start as runs: groups
+larger than a shard fill whole shards, and what is left of them goes where it has room;
+other groups lie one after the other in the shards' remaining room, so that only those
+over a border are cut; unlinked documents are dealt to all shards. Each round, a linked
 document wants to go to the shard where most of its text's copies are. Quotas hold
 the numbers of rows: wishes between shards cancel out, and what is left over is
 paid back with unlinked documents, so that row counts never differ by more than one.
@@ -10,6 +13,8 @@ the numbers of wishes between shards, shards squared, reach the driver.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,9 +70,78 @@ def chosen(keys: list[str], bounds: list[tuple]) -> F.Column:
     return out
 
 
-def propagate(state: DataFrame, shards: int, rounds: int) -> DataFrame:
-    """state (__row, link or null, shard) with shards moved; counts by shard stay as they are."""
-    for number in range(rounds):
+def reserved(sizes: list[int], groups: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int]]:
+    """(bounds (group, low, high, shard) of groups larger than a shard, rows that the shards have left).
+
+    Each group takes whole shards, then what is left of it, largest first, the
+    smallest room that holds it, or the largest rooms.
+    """
+    room, left, at, bounds = sizes[:], groups[:], [0] * len(groups), []
+
+    def take(g: int, s: int) -> None:
+        step = min(room[s], left[g])
+        bounds.append((g, at[g], at[g] + step, s))
+        room[s], left[g], at[g] = room[s] - step, left[g] - step, at[g] + step
+
+    for g in range(len(groups)):
+        for s, size in enumerate(sizes):
+            if 0 < size == room[s] <= left[g]:
+                take(g, s)
+    for g in sorted(range(len(groups)), key=lambda g: -left[g]):
+        while left[g]:
+            fits = [s for s in range(len(room)) if room[s] >= left[g]]
+            take(g, min(fits, key=room.__getitem__) if fits else max(range(len(room)), key=room.__getitem__))
+    return bounds, room
+
+
+def shares(room: list[int], number: int) -> list[int]:
+    """number rows dealt to the shards in proportion to their room."""
+    total, at, out = max(1, sum(room)), 0, []
+    for r in room:
+        out.append(number * (at + r) // total - number * at // total)
+        at += r
+    return out
+
+
+def in_row(numbers: list[int], part: int) -> list[tuple[int, int, int, int]]:
+    """Bounds (part, low, high, shard) that give the first ranks to shard 0, the next to shard 1 and so on."""
+    ends = [sum(numbers[:s + 1]) for s in range(len(numbers))]
+    return [(part, end - n, end, s) for s, (n, end) in enumerate(zip(numbers, ends, strict=True)) if n]
+
+
+FREE, SMALL = -2, -1
+
+
+def started(base: DataFrame, shards: int) -> DataFrame:
+    """(__row, link or null, part, shard) of base (__row, __text): part is FREE, SMALL or the number of a large group."""
+    groups = staged(base.groupBy("__text").agg(F.count("*").alias("n")).where("n > 1").withColumnRenamed("__text", "link"), "links")
+    total, linked = base.count(), groups.agg(F.sum("n").alias("n")).first().n or 0
+    sizes = [total // shards + (s < total % shards) for s in range(shards)]
+    # Fewer than there are shards.
+    large = groups.where(F.col("n") > max(sizes)).orderBy(F.desc("n"), "link").collect()
+    bounds, room = reserved(sizes, [r.n for r in large])
+    small = shares(room, linked - sum(r.n for r in large))
+    bounds += in_row(small, SMALL) + in_row([r - n for r, n in zip(room, small, strict=True)], FREE)
+    part = F.when(F.col("link").isNull(), FREE)
+    for g, r in enumerate(large):
+        part = part.when(F.col("link") == F.lit(bytes(r.link)), g)
+    rows = staged(base.select("__row", "__text").join(groups.select("link", F.col("link").alias("__text")), "__text", "left")
+                      .select("__row", "link", part.otherwise(SMALL).alias("part")), "linked-rows")
+    first = staged(running(groups.where(F.col("n") <= max(sizes)), [], ["link"], "first", F.col("n")).select("link", "first"), "first-ranks")
+    inner = staged(running(rows.where(F.col("part") == SMALL), ["link"], ["__row"], "inner"), "inner-ranks")
+    runs = inner.join(first, "link").withColumn("rank", F.col("first") + F.col("inner"))
+    others = running(rows.where(F.col("part") != SMALL), ["part"], ["__row"], "rank")
+    columns = ["__row", "link", "part", chosen(["part"], bounds).alias("shard")]
+    return runs.select(*columns).unionByName(others.select(*columns))
+
+
+def propagate(state: DataFrame, shards: int, rounds: int | None = None) -> DataFrame:
+    """state (__row, link or null, shard) with shards moved; counts by shard stay as they are.
+
+    A row moves only to where most of its group is, so that the rows at their
+    group's shard grow with every round: without rounds it ends when no move is left.
+    """
+    for number in count() if rounds is None else range(rounds):
         votes = state.where("link is not null").groupBy("link", "shard").agg(F.count("*").alias("n"))
         # A shard's own turn decides ties, so that small groups spread over all shards.
         turn = F.pmod(F.xxhash64("link") + F.col("shard"), F.lit(shards))
@@ -100,25 +174,23 @@ def propagate(state: DataFrame, shards: int, rounds: int) -> DataFrame:
     return state
 
 
-def assign_shards(docs: DataFrame, shards: int = 8, rounds: int = 6, id_col: str = "doc_id",
+def assign_shards(docs: DataFrame, shards: int = 8, rounds: int | None = None, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id_col, size, text_crc32, linked, shard, slot (gapless in the shard).
 
     size is the text's bytes in UTF-8 plus 1; a null text has none and counts as an
     empty one. linked: another row has the same text. Rows by shard differ by one at
-    most. A group that is larger than a shard fills its shard as far as free rows can
-    make room and else stays where it began. Repeated rows are rows of their own; a
+    most. A group that is larger than a shard fills whole shards; what is left of it is
+    in as few others as have room. rounds ends the moves early. Repeated rows are rows of their own; a
     null id is kept. Other columns are ignored. An empty table gives an empty table.
     """
     text = text_of(text_col)
     base = with_rows(docs.select(
         F.col(f"`{id_col}`").alias("__id"), (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("__text")), "sizes")
-    several = base.groupBy("__text").agg(F.count("*").alias("n")).where("n > 1").select("__text", F.col("__text").alias("link"))
-    start = running(base.select("__row", "__text"), [], ["__row"], "rank").withColumn(
-        "shard", F.pmod("rank", F.lit(shards)).cast("int"))
-    state = staged(start.join(several, "__text", "left").select("__row", "link", "shard"), "shards")
-    state = propagate(state, shards, rounds)
+    start = staged(started(base, shards), "shards")
+    moved = propagate(start.where(F.col("part") < 0).select("__row", "link", "shard"), shards, rounds)
+    state = staged(moved.unionByName(start.where(F.col("part") >= 0).select("__row", "link", "shard")), "placed")
     placed = running(state, ["shard"], ["__row"], "slot")
     return base.join(placed, "__row").select(
         F.col("__id").alias(id_col), "size", "text_crc32", F.col("link").isNotNull().alias("linked"), "shard", "slot")

@@ -60,6 +60,29 @@ def test_links_end_up_together(spark):
     assert {r["rows"] for r in sharding.shard_rows(placed).collect()} <= {len(docs) // 8, len(docs) // 8 + 1}
 
 
+def test_reserved_shards():
+    bounds, room = sharding.reserved([10, 10, 10, 10, 10, 9], [26, 13])
+    assert sum(room) == 59 - 39 and min(room) >= 0
+    assert Counter(g for g, *_ in bounds) == {0: 3, 1: 2}
+    assert sharding.shares([0, 5, 5], 7) == [0, 3, 4] and sharding.shares([0, 0], 0) == [0, 0]
+
+
+def test_hot_groups_fill_whole_shards(spark):
+    """A third and a fifth of all rows are one text each, and hardly a row is unlinked."""
+    docs = [(i, "hot") for i in range(800)] + [(1000 + i, "warm") for i in range(480)]
+    docs += [(2000 + i, "text %d" % (i // 4)) for i in range(1100)] + [(9000 + i, "alone %d" % i) for i in range(20)]
+    random.Random(2).shuffle(docs)
+    rows = sharding.assign_shards(spark.createDataFrame(docs, "doc_id long, text string"), 8).collect()
+    check_shards(rows, docs, 8)
+    places = defaultdict(Counter)
+    for r in rows:
+        if r.linked:
+            places[r.text_crc32][r.shard] += 1
+    assert sorted(places[zlib.crc32(b"hot")].values()) == [200, 300, 300]
+    assert sorted(places[zlib.crc32(b"warm")].values()) == [180, 300]
+    assert sum(len(p) > 1 for p in places.values()) <= 2 + 7
+
+
 def brute_top(vectors, queries, k):
     ok = {i: np.floor(64 * np.array(v, float)).astype(np.int64) for i, v in vectors
           if i is not None and v is not None and None not in v and np.isfinite(np.array(v, float)).all()}
