@@ -43,7 +43,8 @@ def op5_owned_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(common.table(spark, folder, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(secrets.spans_text(F.col("secrets"), secrets.BASE), 256).alias("base_sha256"),
-                        secrets.spans_text(F.col("secrets")).alias("spans"), "n_owned", "n_copied")
+                        secrets.spans_text(F.col("secrets")).alias("spans"), "n_owned", "n_copied",
+                        "n_live_all", "n_copied_all")
 
 
 def op6_balanced_propagation(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Secret scan with corpus-wide ownership of every value.
 
 Patterns find candidate values in whole texts. Their hashes are counted over the
-corpus by distinct repositories and owners: a value that several owners hold is a
-copied example, one that a single owner holds looks live. The latter adds spans of
-kind `owned` to the base kinds. Only DataFrame functions run.
+corpus by distinct repositories and owners: a value that many owners or many
+repositories hold is a copied example, any other looks live. Every candidate gets this
+verdict; live runs of key characters add spans of kind `owned` to the base kinds. Only
+DataFrame functions run.
 
 Positions come from the pieces between matches: a match starts after all pieces and
 matches before it, summed by a window over the document's own matches.
@@ -56,14 +57,16 @@ def matches(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_co
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repo_col: str = "doc_id", max_owners: int = 1) -> DataFrame:
-    """One row for each row of docs: id_col, n_<kind> for each kind, n_copied, secrets (sorted spans).
+                 repo_col: str = "doc_id", max_owners: int = 1, max_repos: int = 10) -> DataFrame:
+    """One row for each row of docs: id_col, n_<kind> for each kind, n_copied, n_live_all, n_copied_all, secrets (sorted spans).
 
-    secrets is an array of (start, kind, kind_name, end, owners, repos), code points,
-    end exclusive, ordered by start, then kind as listed. Base kinds are always
-    listed. A run of 20 or more key characters with a digit is listed as `owned` when
-    at most max_owners distinct owners hold its value; runs that more owners hold are
-    counted in n_copied. Owners and repositories are counted over all rows; a null
+    secrets is an array of (start, kind, kind_name, end, owners, repos, copied), code
+    points, end exclusive, ordered by start, then kind as listed. A value is copied
+    when more than max_owners distinct owners or more than max_repos distinct pairs
+    of owner and repository hold it, else live. Base kinds are always listed. A run of
+    20 or more key characters with a digit is listed as `owned` when it is live, else
+    counted in n_copied. n_live_all and n_copied_all count the matches of all kinds by
+    their verdict; a value that matches two kinds counts for both. Owners and repositories are counted over all rows; a null
     owner or repository is the empty one. Null text is empty. Repeated rows each give
     a row, and count once for owners. Columns of other names are ignored.
     """
@@ -80,14 +83,17 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos")), "owned-values")
     judged = placed.join(held, "value", "left")
     owned = F.col("kind") == list(KINDS).index("owned")
-    listed = F.col("valid") & (~owned | (F.col("owners") <= max_owners))
+    copied = (F.col("owners") > max_owners) | (F.col("repos") > max_repos)
+    listed = F.col("valid") & (~owned | ~copied)
     names = F.array(*[F.lit(k) for k in KINDS])
     span = F.struct(F.col("start"), F.col("kind"), F.element_at(names, F.col("kind") + 1).alias("kind_name"),
-                    (F.col("start") + F.col("size")).alias("end"), "owners", "repos")
+                    (F.col("start") + F.col("size")).alias("end"), "owners", "repos", copied.alias("copied"))
     counts = [F.count(F.when(listed & (F.col("kind") == n), 1)).alias(f"n_{k}") for n, k in enumerate(KINDS)]
     return (judged.groupBy("row").agg(
                 F.first("id").alias(id_col), *counts,
                 F.count(F.when(F.col("valid") & owned & ~listed, 1)).alias("n_copied"),
+                F.count(F.when(F.col("valid") & ~copied, 1)).alias("n_live_all"),
+                F.count(F.when(F.col("valid") & copied, 1)).alias("n_copied_all"),
                 F.sort_array(F.collect_list(F.when(listed, span))).alias("secrets"))
             .drop("row"))
 

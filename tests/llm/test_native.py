@@ -114,6 +114,23 @@ def test_secrets_ownership(leaks, clashing, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_copied_by_repositories(spark):
+    """One owner's example in many documents is copied, and base kinds get the verdict too."""
+    example, own = "eXample0" * 4, "zQ9" * 8
+    rows = [(i, f"see {example}", "hot") for i in range(11)]
+    rows += [(20 + i, f"see {own}", "hot") for i in range(10)]
+    rows += [(40, "password=changeme", "a"), (41, "password=changeme", "b"), (42, "password=private1", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    verdict = lambda r: (r.n_assign, r.n_owned, r.n_copied, r.n_live_all, r.n_copied_all)
+    assert {verdict(got[i]) for i in range(11)} == {(0, 0, 1, 0, 1)}
+    assert {verdict(got[20 + i]) for i in range(10)} == {(0, 1, 0, 1, 0)}
+    assert verdict(got[40]) == verdict(got[41]) == (1, 0, 0, 0, 1) and verdict(got[42]) == (1, 0, 0, 1, 0)
+    assert [s.copied for i in (40, 42) for s in got[i].secrets] == [True, False]
+    wide = {r.doc_id: r for r in secrets.find_secrets(docs, max_owners=2, max_repos=11).collect()}
+    assert sum(r.n_copied_all for r in wide.values()) == 0
+
+
 def test_exponent_and_passes(spark, messy, clashing, empty):
     rows = [(i, "w " * (i % 5 + 1), "big" if i % 10 < 7 else "s%d" % (i % 10)) for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
