@@ -74,3 +74,16 @@ def running(df: DataFrame, keys: list[str], tie: list[str], name: str, value: Co
     return (inner.join(totals, [*keys, "__block"])
                  .withColumn(name, F.col("__before") + F.col("__inner"))
                  .drop("__hash", "__block", "__value", "__inner", "__before"))
+
+
+def finite(column: str) -> Column:
+    """Is the vector there, with no null and no non-finite component?"""
+    v = F.col(f"`{column}`")
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(v.isNotNull() & ~bad, F.lit(False))
+
+
+def quantised(column: str, scale: float, limit: int) -> Column:
+    """floor(scale * x) of each component as a long; what is beyond limit counts as limit."""
+    return F.transform(F.col(f"`{column}`"), lambda x: F.floor(F.least(F.lit(float(limit)), F.greatest(
+        F.lit(float(-limit)), F.lit(float(scale)) * x.cast("double")))))
