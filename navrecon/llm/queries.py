@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navrecon.llm import (common, dac, exact_dedup, line_dedup, mixing, near_dedup, negatives, packing, secrets, sharding,
-                           topk, toxicity, vector_codes)
+from navrecon.llm import (common, dac, exact_dedup, language, line_dedup, mixing, near_dedup, negatives, packing, secrets,
+                           sharding, topk, toxicity, vector_codes)
 from navrecon.session import fresh_dir
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -89,6 +89,16 @@ def op11_vertical_scan(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine_negatives(common.table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op12_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, by models of the three quarters that are not held out."""
+    docs = common.table(spark, folder, "documents").select("doc_id", "text", "lang")
+    quarter = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    told = language.identify(docs.select("doc_id", "text"), language.train(docs, quarter != 2))
+    return told.select("doc_id", F.coalesce(quarter == 2, F.lit(False)).alias("held_out"), "lang_pred",
+                       F.col("lang_score").alias("score"), F.col("lang_entropy").alias("entropy"),
+                       F.col("lang_rejected").alias("rejected"))
+
+
 def op13_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Codes of all vectors, their errors, and the digest of the codebooks."""
     coded, books = vector_codes.compress(common.table(spark, folder, "embeddings"))
@@ -98,7 +108,8 @@ def op13_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_shortest_pack_first, op2_polynomial_dedup, op3_order_minhash, op4_addressable_codes,
                             op5_owned_secrets, op6_balanced_propagation, op7_shared_lines, op8_histogram_top_k,
-                            op9_temperature_mixture, op10_chain_field, op11_vertical_scan, op13_dual_tree)}
+                            op9_temperature_mixture, op10_chain_field, op11_vertical_scan, op12_kneser_ney,
+                            op13_dual_tree)}
 
 STRIP = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
