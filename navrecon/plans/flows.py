@@ -5,19 +5,23 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navrecon.functions.checks import gap, limit, twrr_variance, twrr_within
 from navrecon.functions.finance import growth_factor, net_flow, period_return
 from navrecon.functions.text import parse_date
 from navrecon.operators import quality, reconcile
-from navrecon.operators.latest import PERFORMANCE_KEY, keep_latest
+from navrecon.operators.latest import keep_latest
 from navrecon.operators.running import cumulative_metrics, running_metrics
+from navrecon.plans.carry import upsert_running
 from navrecon.schemas import (
-    COMPLETED, FAILED, FLOW_TOLERANCE, PERFORMANCE, PROCESSING_LOG, QUALITY_ISSUES, STANDARD_FIELDS, TWRR_TOLERANCE,
-    WITH_WARNINGS,
+    COMPLETED, FAILED, FLOW_TOLERANCE, PERFORMANCE, PROCESSING_LOG, QUALITY_ISSUES, REQUIRED_FIELDS, STANDARD_FIELDS,
+    TWRR_TOLERANCE, WITH_WARNINGS,
 )
 from navrecon.session import fresh_dir
 from navrecon.sources import files, mapping, store
@@ -69,31 +73,36 @@ CONTENT = ("ending_market_value", "beginning_market_value", "vendor_twrr", "cont
            "appreciation", "fees", "other_adjustments", "benchmark_return", "account_name", "portfolio_id")
 
 
-def text_rows(raw: DataFrame, settings: LoadSettings = LoadSettings()) -> DataFrame:
-    """Vendor rows under standard names, all fields present as text."""
-    named = mapping.normalize_columns(raw, settings.aliases)
-    return named.select(*[
-        (F.col(c) if c in named.columns else F.lit(None)).cast("string").alias(c) for c in STANDARD_FIELDS])
+#: Where the readers put the raw line of a row that does not fit its header.
+MALFORMED = "raw_line"
+#: Why a row cannot be stored, in the order in which the reasons are tried.
+REASONS = ("malformed_line", "missing_account_id", "missing_or_invalid_date", "invalid_value")
 
 
-def reject_reason(settings: LoadSettings = LoadSettings()) -> Column:
-    """Why a text row cannot become a table row, or null: no account, no readable date, a value beyond its type."""
-    return F.when(F.coalesce(F.trim("account_id"), F.lit("")) == "", "missing_account_id").when(
-        parse_date("as_of_date", settings.formats).isNull(), "missing_or_invalid_date").when(
-        F.size(quality.issue_array(quality.type_rules(settings.formats))) > 0, "invalid_value")
+def text_rows(raw: DataFrame, settings: LoadSettings = LoadSettings(), keep: tuple[str, ...] = (MALFORMED,)) -> DataFrame:
+    """Vendor rows under standard names, all fields present as text, beside the columns to keep."""
+    kept = tuple(c for c in keep if c in raw.columns)
+    named = mapping.normalize_columns(raw, settings.aliases, kept)
+    return named.select(*kept, *[
+        (F.col(c) if c in named.columns else F.lit(None)).cast("string").alias(c) for c in STANDARD_FIELDS])
 
 
-def split_rows(rows: DataFrame, settings: LoadSettings = LoadSettings()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(typed rows to store, rejected text rows, surplus typed rows of a repeated key) of staged text rows with _line.
+def reject_reason(settings: LoadSettings = LoadSettings(), malformed: Column | None = None) -> Column:
+    """Why a text row cannot become a table row, or null: a line that does not fit its header, no account, no
+    readable date, a value beyond its type."""
+    malformed = F.lit(False) if malformed is None else malformed.isNotNull()
+    return F.when(malformed, REASONS[0]).when(
+        F.coalesce(F.trim("account_id"), F.lit("")) == "", REASONS[1]).when(
+        parse_date("as_of_date", settings.formats).isNull(), REASONS[2]).when(
+        F.size(quality.issue_array(quality.type_rules(settings.formats))) > 0, REASONS[3])
 
-    Every row is in exactly one of the three. Rows are set apart before the key is
-    enforced, so unreadable rows never take a readable one's place.
-    """
-    told = rows.withColumn("reject_reason", reject_reason(settings))
-    typed = mapping.cast_types(told.where("reject_reason is null").drop("reject_reason"), settings.formats)
-    kept = keep_latest(typed, newest=(*CONTENT, "_line"))
-    surplus = typed.join(kept.select("_line"), "_line", "left_anti")
-    return kept, told.where("reject_reason is not null"), surplus
+
+def malformed_issues(damaged: DataFrame) -> DataFrame:
+    return damaged.select(
+        "account_id", F.lit(None).cast("date").alias("as_of_date"), F.lit("malformed_line").alias("issue_type"),
+        F.lit("the line has more or fewer fields than its header").alias("issue_description"),
+        F.lit(None).cast("string").alias("field_name"), F.lit("as many fields as the header").alias("expected_value"),
+        F.col(MALFORMED).alias("actual_value"), F.lit("HIGH").alias("severity"), "created_at")
 
 
 def duplicate_issues(surplus: DataFrame) -> DataFrame:
@@ -124,56 +133,101 @@ def load_id(vendor: str, name: str) -> str:
     return hashlib.md5(f"{vendor}/{name}".encode()).hexdigest()
 
 
+@dataclass
+class LoadedRows:
+    """Counts of a load and its staged rows: the text rows read, and what the table got."""
+
+    total: int
+    valid: int
+    stored: int
+    rejected: int
+    duplicates: int
+    inserted: int
+    updated: int
+    read: DataFrame
+    merged: DataFrame
+
+
+def load_rows(
+    spark: SparkSession, lined: DataFrame, part: str, target: str, settings: LoadSettings = LoadSettings(),
+) -> LoadedRows:
+    """Load text rows with audit columns: what process_file does for a file, for any rows.
+
+    The source is read once, into staged rows told apart by whether they can be stored;
+    the counts are observed on the writes themselves.
+    """
+    folder = fresh_dir(spark, "staged")
+    malformed = F.col(MALFORMED) if MALFORMED in lined.columns else F.lit(None).cast("string")
+    told = lined.withColumns({
+        MALFORMED: malformed, "_line": F.monotonically_increasing_id(),
+        "reject_reason": reject_reason(settings, malformed)})
+    told = told.withColumn("_good", F.col("reject_reason").isNull())
+    complete = reduce(and_, [mapping.cast_field(c, settings.formats).isNotNull() for c in settings.required or REQUIRED_FIELDS])
+    read = Observation()
+    told.observe(
+        read, F.count(F.lit(1)).alias("total"), F.count_if(complete & malformed.isNull()).alias("valid"),
+        *[F.count_if(F.col("reject_reason") == r).alias(r) for r in REASONS]).write.partitionBy("_good").parquet(f"{folder}/text")
+    rows = spark.read.schema(told.schema).parquet(f"{folder}/text")
+    good = mapping.cast_types(rows.where("_good").drop("_good", "reject_reason", MALFORMED), settings.formats)
+    ready = derive(keep_latest(good, newest=(*CONTENT, "_line")), strict=False, tolerance=settings.twrr_tolerance)
+    kept = Observation()
+    schema = T.StructType([*PERFORMANCE, T.StructField("_line", T.LongType())])
+    mapping.conform(ready, schema).observe(kept, F.count(F.lit(1)).alias("stored")).write.parquet(f"{folder}/rows")
+    ready = spark.read.schema(schema).parquet(f"{folder}/rows")
+    counts = read.get
+    total, stored, rejected = counts["total"], kept.get["stored"], sum(counts[r] for r in REASONS)
+    duplicates = total - rejected - stored
+    left_out = rows.where("not _good")
+    issues = quality.issues(rows.where(F.col(MALFORMED).isNull()), formats=settings.formats).drop("data_source", "file_name")
+    if duplicates:
+        # Read only where there are any. Surplus rows are found by line, so a key repeated very often is no group.
+        surplus = good.join(ready.select("_line"), "_line", "left_anti")
+        issues = issues.unionByName(duplicate_issues(surplus))
+        as_text = [F.col(c).cast("string") if c in STANDARD_FIELDS else F.col(c) for c in good.columns]
+        left_out = left_out.unionByName(surplus.select(*as_text, F.lit("duplicate_key").alias("reject_reason")),
+                                        allowMissingColumns=True)
+    store.write_part(left_out.drop("_line", "_good"), f"{target}-rejected", part)
+    issues = issues.unionByName(malformed_issues(rows.where(F.col(MALFORMED).isNotNull())))
+    store.write_part(mapping.conform(issues, QUALITY_ISSUES), f"{target}-issues", part)
+    merged = upsert_running(spark, target, ready.drop("_line"), newest=("updated_at", "file_name"))
+    return LoadedRows(total, counts["valid"], stored, rejected, duplicates, merged.inserted, merged.updated, rows, merged.rows)
+
+
 def process_file(
     spark: SparkSession, path: str, vendor: str, target: str, now: Column, settings: LoadSettings = LoadSettings(),
     lines: bool = False,
 ) -> LoadResult:
-    """Read, standardise, derive, upsert; keep what cannot be stored.
+    """Read, standardise, derive, upsert with running values; keep what cannot be stored.
 
-    stored + rejected + duplicates = total. Rejected rows and surplus rows of a
-    repeated key go to `<target>-rejected`, all issues to `<target>-issues`, each under
-    this file's id. The file is read once, into a staging folder of text rows; the
-    rest reads that. valid_records counts rows read that have every required field.
+    stored + rejected + duplicates = total. Rejected rows, malformed lines among them, and
+    surplus rows of a repeated key go to `<target>-rejected`, all issues to `<target>-issues`,
+    each under this file's id. valid_records counts rows read that have every required field.
     """
     name = path.rstrip("/").split("/")[-1]
     try:
-        part = load_id(vendor, name)
-        raw = files.read_vendor_file(spark, path, lines)
-        lined = mapping.with_audit(text_rows(raw, settings), vendor, name, now).withColumn(
-            "_line", F.monotonically_increasing_id())
-        folder = fresh_dir(spark, "staged")
-        lined.write.parquet(f"{folder}/text")
-        rows = spark.read.schema(lined.schema).parquet(f"{folder}/text")
-        kept, rejected, surplus = split_rows(rows, settings)
-        finished = financial_metrics(kept, tie="_line", hot_above=None, tolerance=settings.twrr_tolerance)
-        mapping.conform(finished).write.parquet(f"{folder}/rows")
-        ready = spark.read.schema(PERFORMANCE).parquet(f"{folder}/rows")
-        left_out = rejected.unionByName(
-            surplus.select(*[F.col(c).cast("string") if c in STANDARD_FIELDS else F.col(c) for c in rows.columns],
-                           F.lit("duplicate_key").alias("reject_reason")))
-        store.write_part(left_out.drop("_line"), f"{target}-rejected", part)
-        found = quality.issues(rows, formats=settings.formats).drop("data_source", "file_name").unionByName(
-            duplicate_issues(surplus))
-        store.write_part(mapping.conform(found, QUALITY_ISSUES), f"{target}-issues", part)
-        total = rows.count()
-        valid = mapping.cast_types(rows, settings.formats).where(quality.has_required(settings.required)).count()
-        reasons = {r.reject_reason: r.n for r in spark.read.parquet(f"{target}-rejected/load_id={part}").groupBy(
-            "reject_reason").agg(F.count("*").alias("n")).collect()}
-        duplicates = reasons.pop("duplicate_key", 0)
-        stored = ready.count()
-        if stored + sum(reasons.values()) + duplicates != total:
-            raise RuntimeError(f"{total} rows read, but {stored} + {reasons} + {duplicates} accounted for")
-        known = 0
-        if store.table_exists(spark, target):
-            known = ready.select(*PERFORMANCE_KEY).join(
-                store.stored_rows(spark, target).select(*PERFORMANCE_KEY), list(PERFORMANCE_KEY), "left_semi").count()
-        store.upsert_performance(spark, target, ready, newest=("updated_at", "file_name"))
-        return LoadResult("SUCCESS", total, valid, name, vendor, "", stored, sum(reasons.values()), duplicates,
-                          stored - known, known)
+        raw = files.read_vendor_file(spark, path, lines, malformed=MALFORMED)
+        lined = mapping.with_audit(text_rows(raw, settings), vendor, name, now)
+        done = load_rows(spark, lined, load_id(vendor, name), target, settings)
+        return LoadResult("SUCCESS", done.total, done.valid, name, vendor, "", done.stored, done.rejected, done.duplicates,
+                          done.inserted, done.updated)
     except Exception as problem:  # noqa: BLE001 - the log row must name any failure
         return LoadResult("FAILED", 0, 0, name, vendor, str(problem).splitlines()[0])
 
 
+def file_log(done: LoadedRows, now: Column, path: Column | None = None) -> DataFrame:
+    """One log row for each file of a load of several: read and left out, and the keys whose row is its own."""
+    key = ["file_name", "data_source"]
+    read = done.read.groupBy(*key).agg(F.count("*").alias("records_processed"))
+    kept = done.merged.where("_inserted or _updated").groupBy(*key).agg(
+        F.count_if("_inserted").alias("records_inserted"), F.count_if("_updated").alias("records_updated"))
+    joined = read.join(kept, key, "left").na.fill(0)
+    failed = F.col("records_processed") - F.col("records_inserted") - F.col("records_updated")
+    return mapping.conform(joined.select(
+        "*", F.col("data_source").alias("vendor"), (F.col("file_name") if path is None else path).alias("file_path"),
+        now.alias("processing_start_time"), now.alias("processing_end_time"), now.alias("created_at"),
+        failed.alias("records_failed"), F.when(failed == 0, COMPLETED).otherwise(WITH_WARNINGS).alias("status")), PROCESSING_LOG)
+
+
 def log_row(spark: SparkSession, result: LoadResult, path: str, start, end) -> DataFrame:
     """The processing-log row of one load."""
     failed = result.rejected + result.duplicates

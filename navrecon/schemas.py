@@ -41,6 +41,9 @@ PERFORMANCE = _struct(
     ("created_at", _TIME), ("updated_at", _TIME), ("reconciliation_status", _TEXT),
 )
 
+# An account's flow and growth factor within one month.
+MONTH_TOTALS = _struct(("account_id", _TEXT), ("flow_total", T.DecimalType(28, 2)), ("growth_total", T.DoubleType()))
+
 PROCESSING_LOG = _struct(
     ("file_name", _TEXT), ("file_path", _TEXT), ("vendor", _TEXT),
     ("processing_start_time", _TIME), ("processing_end_time", _TIME),

@@ -1,11 +1,18 @@
-"""Stored tables: partitioned parquet, JDBC append, exports and upserts.
+"""Stored tables: versioned months of parquet, JDBC append, exports and upserts.
 
-A table path has one writer at a time; reruns of a job give the same table.
+Every write of the performance table goes to a folder of its own, a version. A small
+manifest lists which version holds each month; a write counts from the moment its
+manifest is renamed into place. Readers see the months of one manifest, so a job or
+driver lost at any point leaves the old table, and a rerun makes the new one. A table
+path has one writer at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +20,77 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navrecon.operators.latest import PERFORMANCE_KEY, update_status, upsert
-from navrecon.schemas import PERFORMANCE
+from navrecon.schemas import MONTH_TOTALS, PERFORMANCE
+from navrecon.session import fresh_dir
 
 PARTITIONS = ("as_of_year", "as_of_month")
+Month = tuple[int, int]
 
 
+class Entry(NamedTuple):
+    """A month of the table: the version that holds its rows, and the one that holds its account totals, if any."""
+
+    year: int
+    month: int
+    version: str
+    totals: str | None = None
+
+
+# ---- manifest --------------------------------------------------------------
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = _file_system(spark, f"{path}/_manifest")
+    if not fs.exists(folder):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().endswith(".json"))
+
+
+def entries(spark: SparkSession, path: str) -> list[Entry]:
+    """What the table holds now; empty for a table that nothing was written to."""
+    names = _manifests(spark, path)
+    if not names:
+        return []
+    fs, newest = _file_system(spark, f"{path}/_manifest/{names[-1]}")
+    stream = fs.open(newest)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return [Entry(*e) for e in json.loads(text)]
+
+
+def commit(spark: SparkSession, path: str, added: Iterable[Entry], replaced: Iterable[Month] = ()) -> None:
+    """A new manifest: without the entries of the replaced months, with the added ones."""
+    gone = set(replaced)
+    kept = [e for e in entries(spark, path) if (e.year, e.month) not in gone]
+    names = _manifests(spark, path)
+    number = int(names[-1].split(".")[0]) + 1 if names else 0
+    fs, draft = _file_system(spark, f"{path}/_manifest/{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft)
+    stream.write(bytearray(json.dumps(sorted([*kept, *added], key=lambda e: e[:3])).encode()))
+    stream.close()
+    _, place = _file_system(spark, f"{path}/_manifest/{number:010d}.json")
+    if fs.exists(place) or not fs.rename(draft, place):
+        raise RuntimeError(f"another writer has changed {path}")
+
+
+def written_months(spark: SparkSession, folder: str) -> list[Month]:
+    """The months below a folder, from its listing alone. A row without date belongs to none: it is refused."""
+    fs, pattern = _file_system(spark, f"{folder}/{PARTITIONS[0]}=*/{PARTITIONS[1]}=*")
+    found = [f.getPath() for f in fs.globStatus(pattern) or []]
+    names = [(p.getParent().getName().split("=")[1], p.getName().split("=")[1]) for p in found]
+    if any(not (y.lstrip("-").isdigit() and m.isdigit()) for y, m in names):
+        raise ValueError("rows without as_of_date cannot be stored; set them apart before")
+    return sorted((int(y), int(m)) for y, m in names)
+
+
+# ---- writing ---------------------------------------------------------------
+
 def with_partitions(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "as_of_year": F.year("as_of_date"), "as_of_month": F.month("as_of_date"),
@@ -33,33 +106,71 @@ def _arrange(df: DataFrame) -> DataFrame:
     )
 
 
+def write_version(df: DataFrame, path: str) -> tuple[str, list[Month]]:
+    """df as a version that no manifest names yet, and its months."""
+    version = uuid.uuid4().hex
+    _arrange(df).write.partitionBy(*PARTITIONS).parquet(f"{path}/rows/version={version}")
+    return version, written_months(df.sparkSession, f"{path}/rows/version={version}")
+
+
 def append_performance(df: DataFrame, path: str) -> None:
-    _arrange(df).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    version, months = write_version(df, path)
+    commit(df.sparkSession, path, [Entry(y, m, version) for y, m in months])
 
 
 def replace_partitions(df: DataFrame, path: str) -> None:
-    """Overwrite only the months that df contains."""
-    (
-        _arrange(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS).parquet(path)
-    )
+    """Put the months that df contains in place of the stored ones."""
+    version, months = write_version(df, path)
+    commit(df.sparkSession, path, [Entry(y, m, version) for y, m in months], months)
+
+
+# ---- reading ---------------------------------------------------------------
+
+def _folders(spark: SparkSession, base: str, schema: T.StructType, places: list[tuple[str, int, int]]) -> DataFrame:
+    """Rows of some months of some versions below base, with the fixed schema: a file with other columns cannot change it."""
+    full = T.StructType([*schema, *[T.StructField(name, T.IntegerType()) for name in PARTITIONS]])
+    if not places:
+        return spark.createDataFrame([], full)
+    folders = [f"{base}/version={v}/as_of_year={y}/as_of_month={m}" for v, y, m in places]
+    wide = T.StructType([*full, T.StructField("version", T.StringType())])
+    return spark.read.schema(wide).option("basePath", base).parquet(*folders).select(full.names)
+
+
+def stored_rows(spark: SparkSession, path: str, months: Iterable[Month] | None = None) -> DataFrame:
+    """The table, or some months of it; other months are not even listed."""
+    wanted = None if months is None else set(months)
+    return _folders(spark, f"{path}/rows", PERFORMANCE, [
+        (e.version, e.year, e.month) for e in entries(spark, path) if wanted is None or (e.year, e.month) in wanted])
+
+
+def stored_totals(spark: SparkSession, path: str, found: list[Entry]) -> DataFrame:
+    """The account totals of the entries that have them."""
+    return _folders(spark, f"{path}/totals", MONTH_TOTALS, [(e.totals, e.year, e.month) for e in found if e.totals])
 
 
 def read_performance(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Stored rows; a date range also filters the partition columns, so other
-    months are not listed or read."""
-    df = spark.read.parquet(path)
-    month = F.col("as_of_year") * 100 + F.col("as_of_month")
+    """Stored rows; of a date range only the months it touches are read."""
+    def month(day: str) -> Month:
+        return int(day[:4]), int(day[5:7])
+
+    months = [(e.year, e.month) for e in entries(spark, path) if (start is None or (e.year, e.month) >= month(start))
+              and (end is None or (e.year, e.month) <= month(end))]
+    df = stored_rows(spark, path, months)
     if start:
-        first = F.lit(start).cast("date")
-        df = df.where((F.col("as_of_date") >= first) & (month >= F.year(first) * 100 + F.month(first)))
+        df = df.where(F.col("as_of_date") >= F.lit(start).cast("date"))
     if end:
-        last = F.lit(end).cast("date")
-        df = df.where((F.col("as_of_date") <= last) & (month <= F.year(last) * 100 + F.month(last)))
+        df = df.where(F.col("as_of_date") <= F.lit(end).cast("date"))
     return df.drop(*PARTITIONS)
 
 
-def touched_months(df: DataFrame) -> list[tuple[int, int]]:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Has a write to the table ever been completed?"""
+    return bool(_manifests(spark, path))
+
+
+# ---- changing --------------------------------------------------------------
+
+def touched_months(df: DataFrame) -> list[Month]:
     """The distinct months in df: a calendar-bounded list, not data-sized.
 
     A row without date belongs to no month and could never be rewritten: it is refused.
@@ -71,60 +182,37 @@ def touched_months(df: DataFrame) -> list[tuple[int, int]]:
 
 
 def rewrite_months(
-    spark: SparkSession, path: str, months: list[tuple[int, int]], change: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, path: str, months: list[Month], change: Callable[[DataFrame], DataFrame],
+    keep_totals: bool = False,
 ) -> None:
-    """Apply `change` to the rows of some months and rewrite just those months.
+    """Apply `change` to the rows of some months and put the result in their place; only these are read.
 
-    Only the named months are read. The files are exchanged when the write job
-    commits, after every read has ended, so a lost executor only repeats tasks.
+    keep_totals says that `change` leaves flows and returns alone, so that the account totals still hold.
     """
     if not months:
         return
-    condition = F.lit(False)
-    for year in sorted({y for y, _ in months}):
-        condition = condition | (
-            (F.col("as_of_year") == year) & F.col("as_of_month").isin([m for y, m in months if y == year])
-        )
-    rows = stored_rows(spark, path).where(condition).drop(*PARTITIONS)
-    replace_partitions(change(rows), path)
-
-
-def stored_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The table with its fixed schema: one file with other columns cannot change it."""
-    schema = T.StructType([*PERFORMANCE, *[T.StructField(name, T.IntegerType()) for name in PARTITIONS]])
-    return spark.read.schema(schema).parquet(path)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Is there a data file? What a failed first write left behind is none."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    before = {(e.year, e.month): e.totals for e in entries(spark, path)} if keep_totals else {}
+    version, written = write_version(change(stored_rows(spark, path, months).drop(*PARTITIONS)), path)
+    commit(spark, path, [Entry(*m, version, before.get(m)) for m in written], months)
 
 
 def upsert_performance(spark: SparkSession, path: str, incoming: DataFrame, newest: tuple[str, ...]) -> None:
     """Insert or replace by (account_id, as_of_date), touching only its months.
 
-    Rows without a date are refused before anything is written. A month is exchanged
-    when the job commits: a driver lost in that moment can leave a month half written,
-    so a load that did not report success has to be run again.
+    Rows without a date are refused, and nothing is changed. The incoming rows are staged,
+    so that their plan runs once. Running values are taken as they come; plans.carry keeps them right.
     """
-    months = touched_months(incoming)
-    if not table_exists(spark, path):
-        replace_partitions(upsert(incoming.limit(0), incoming, newest=newest), path)
-        return
-    rewrite_months(
-        spark, path, months, lambda rows: upsert(rows, incoming, newest=newest)
-    )
+    folder = fresh_dir(spark, "incoming")
+    incoming.write.parquet(folder)
+    rows = spark.read.schema(incoming.schema).parquet(folder)
+    rewrite_months(spark, path, touched_months(rows), lambda known: upsert(known, rows, newest=newest))
 
 
 def set_file_status(spark: SparkSession, path: str, file_name: str, vendor: str, status: str, now) -> None:
     """Status update of one file, rewriting only the months it has rows in."""
-    hit = spark.read.parquet(path).where((F.col("file_name") == file_name) & (F.col("data_source") == vendor))
+    hit = stored_rows(spark, path).where((F.col("file_name") == file_name) & (F.col("data_source") == vendor))
     rewrite_months(
-        spark, path, touched_months(hit), lambda rows: update_status(rows, file_name, vendor, status, now)
+        spark, path, touched_months(hit), lambda rows: update_status(rows, file_name, vendor, status, now), keep_totals=True
     )
 
 
@@ -135,7 +223,9 @@ def write_part(df: DataFrame, path: str, part: str) -> None:
 
 def read_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All loads' rows; a table that nothing was written to is empty."""
-    if not table_exists(spark, path):
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 

@@ -13,11 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navrecon.operators.monitor import merge_parts
-from navrecon.sources import mapping
-
-
-def text_schema(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+from navrecon.plans import flows
+from navrecon.sources import files, manifest, mapping, store
 
 
 def _same(batch: DataFrame) -> DataFrame:
@@ -39,23 +36,66 @@ def _run(stream: DataFrame, target: str, checkpoint: str, change: Callable[[Data
     query.awaitTermination()
 
 
+ARRIVED = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+
+
+def arrivals(spark: SparkSession, incoming: str, files_per_batch: int) -> DataFrame:
+    """The paths of CSV and JSON files as they arrive below a folder, each once; no content is read."""
+    return (
+        spark.readStream.format("binaryFile").schema(ARRIVED).option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.{csv,json}").option("maxFilesPerTrigger", files_per_batch)
+        .load(incoming).select("path", "length").where("length > 0"))
+
+
+def file_of(path: Column) -> Column:
+    """The name of an arrived file from its encoded path; of a part of a folder named like a file, the folder's."""
+    def decoded(place: int) -> Column:
+        return F.url_decode(F.replace(F.element_at(F.split(path, "/"), place), F.lit("+"), F.lit("%2B")))
+    return F.when(decoded(-2).rlike("[.](csv|json)$"), decoded(-2)).otherwise(decoded(-1))
+
+
+def read_arrived(
+    spark: SparkSession, paths: list[str], now: Column, settings: flows.LoadSettings, lines: bool,
+) -> DataFrame | None:
+    """Text rows with audit columns of CSV and JSON files of any vendor, told from their names."""
+    out = None
+    for suffix in (".csv", ".json"):
+        own = [p for p in paths if p.endswith(suffix)]
+        if own:
+            raw = files.read_vendor_file(spark, own, lines, malformed=flows.MALFORMED, lineage=True)
+            text = flows.text_rows(raw, settings, (flows.MALFORMED, "_path")).withColumn("file_name", file_of(F.col("_path")))
+            rows = mapping.with_audit(text.drop("_path"), manifest.vendor_of("file_name"), F.col("file_name"), now)
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def ingest_files(
-    spark: SparkSession, incoming: str, columns: list[str], target: str, checkpoint: str,
-    vendor: str, now: Column, files_per_batch: int = 1000, keep: tuple[str, ...] = (),
+    spark: SparkSession, incoming: str, target: str, checkpoint: str, now: Column, files_per_batch: int = 1000,
+    settings: flows.LoadSettings = flows.LoadSettings(), lines: bool = False,
 ) -> None:
-    """Load every CSV file below `incoming` that earlier runs have not loaded.
-
-    The checkpoint remembers the files; the running values are left to the batch
-    job, which sees whole accounts.
+    """Load every CSV and JSON file below `incoming` that earlier runs have not loaded.
+
+    Each batch is a whole load under its number: rejected rows, surplus rows and issues
+    are kept, the key holds, running values go on, and every file gets its log row, so
+    that stored + rejected + duplicates = rows read. The checkpoint remembers the files;
+    a batch repeated after a failure replaces its parts and changes no stored row.
+    A batch's list of paths (files_per_batch at most) is what comes to the driver.
+    lines: JSON files hold a record per line.
     """
-    raw = (
-        # A file whose header is not these columns fails the batch instead of being read by position.
-        spark.readStream.schema(text_schema(columns)).option("header", True).option("enforceSchema", False)
-        .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.csv").csv(incoming)
-    )
-    named = raw.withColumn("_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    typed = mapping.cast_types(mapping.normalize_columns(named, keep=("_file", *keep)))
-    _run(mapping.with_audit(typed, vendor, F.col("_file"), now).drop("_file"), target, checkpoint)
+    def load(batch: DataFrame, number: int) -> None:
+        # The batch belongs to the stream's own session; its paths are read by that session too.
+        session = batch.sparkSession
+        rows = read_arrived(session, sorted(r.path for r in batch.collect()), now, settings, lines)
+        if rows is not None:
+            done = flows.load_rows(session, rows, f"batch-{number:010d}", target, settings)
+            store.write_part(flows.file_log(done, now), f"{target}-log", f"batch-{number:010d}")
+
+    query = (
+        arrivals(spark, incoming, files_per_batch).writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
 def log_windows(lines: DataFrame, parts: Callable[[DataFrame], DataFrame], target: str, checkpoint: str) -> None:

@@ -1,8 +1,10 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from navrecon.operators import latest
-from navrecon.plans import flows
+from navrecon.plans import carry, flows
 from navrecon.session import fresh_dir
 from navrecon.sources import projection, store
 from pyspark.sql import functions as F
@@ -63,7 +65,7 @@ def test_date_range_prunes_partitions(spark, perf):
     store.append_performance(perf(*[{"as_of_date": dt.date(2024, m, 1)} for m in range(1, 13)]), path)
     df = store.read_performance(spark, path, "2024-03-01", "2024-04-30")
     assert df.count() == 2
-    assert "as_of_month" in df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert {f.split("as_of_month=")[1].split("/")[0] for f in df.inputFiles()} == {"3", "4"}
 
 
 def test_export_keeps_order(spark):
@@ -78,3 +80,79 @@ def test_log_counts_add_up(spark):
     log = flows.processing_log(rows)
     total = log.agg(F.sum("records_processed"), F.sum(F.col("records_inserted") + F.col("records_updated"))).first()
     assert total[0] == total[1] == rows.count()
+
+
+def month_rows(perf, day, **values):
+    return perf(*[{"as_of_date": dt.date(*day), **v} for v in ([values] if values else [{}])])
+
+
+def test_a_write_that_fails_before_its_manifest_changes_nothing(spark, perf, monkeypatch):
+    path = fresh_dir(spark, "perf")
+    newest = ("updated_at",)
+    store.upsert_performance(spark, path, month_rows(perf, (2024, 1, 31), income=1), newest)
+    later = perf({"as_of_date": dt.date(2024, 1, 31), "income": 2, "updated_at": dt.datetime(2025, 1, 1)},
+                 {"as_of_date": dt.date(2024, 2, 29), "income": 2})
+    rows = lambda: {(r.as_of_date.month, int(r.income)) for r in store.read_performance(spark, path).collect()}
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "commit", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            store.upsert_performance(spark, path, later, newest)
+    assert rows() == {(1, 1)}
+    store.upsert_performance(spark, path, later, newest)
+    assert rows() == {(1, 2), (2, 2)}
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, perf, monkeypatch):
+    path = fresh_dir(spark, "perf")
+    store.append_performance(month_rows(perf, (2024, 1, 31)), path)
+    seen = store._manifests(spark, path)
+    store.append_performance(month_rows(perf, (2024, 2, 29)), path)
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "_manifests", lambda *_: seen)
+        with pytest.raises(RuntimeError, match="another writer"):
+            store.append_performance(month_rows(perf, (2024, 3, 31)), path)
+    assert {r.as_of_date.month for r in store.read_performance(spark, path).collect()} == {1, 2}
+    with pytest.raises(ValueError, match="without as_of_date"):
+        store.append_performance(perf({"as_of_date": None}), path)
+    assert store.read_performance(spark, path).count() == 2
+
+
+def account_days(perf, days):
+    return perf(*[{"account_id": a, "as_of_date": dt.date(2024, m, d), "net_flow": f, "calculated_twrr": r, "file_name": n}
+                  for a, m, d, f, r, n in days])
+
+
+def test_running_values_over_loads_in_any_order(spark, perf):
+    days = [("A", 1, 5, 10, "0.1", "x"), ("A", 1, 20, 1, "-0.5", "y"), ("A", 3, 1, 5, None, "x"), ("A", 4, 2, 0, "2", "y"),
+            ("B", 2, 2, 7, "0.3", "x"), ("B", 4, 1, None, "-1.5", "y"), ("C", 4, 9, 3, "0.01", "x")]
+    found = []
+    for order in (["xy"], ["x", "y"], ["y", "x"], ["y", "x", "y"]):
+        path = fresh_dir(spark, "perf")
+        for names in order:
+            carry.upsert_running(spark, path, account_days(perf, [d for d in days if d[5] in names]), ("updated_at", "file_name"))
+        found.append(sorted((r.account_id, r.as_of_date, r.cumulative_net_flow, round(r.cumulative_twrr, 12))
+                            for r in store.read_performance(spark, path).collect()))
+    assert found[0] == found[1] == found[2] == found[3]
+    assert [(float(f), g) for a, _, f, g in found[0] if a == "A"] == [(10, 0.1), (11, -0.45), (16, -0.45), (16, 0.65)]
+
+
+def test_only_months_of_the_loaded_accounts_are_restated(spark, perf):
+    path, newest = fresh_dir(spark, "perf"), ("updated_at", "file_name")
+    carry.upsert_running(spark, path, account_days(perf, [("A", 1, 5, 1, "0.1", "x"), ("B", 2, 5, 1, "0.1", "x"), ("A", 3, 5, 1, "0.1", "x")]), newest)
+    before = {e[:2]: e.version for e in store.entries(spark, path)}
+    done = carry.upsert_running(spark, path, account_days(perf, [("A", 1, 6, 1, "0.1", "y"), ("A", 1, 5, 9, "0.1", "z")]), newest)
+    after = {e[:2]: e.version for e in store.entries(spark, path)}
+    assert {m for m in after if after[m] != before[m]} == {(2024, 1), (2024, 3)}
+    assert (done.inserted, done.updated) == (1, 1)
+    assert [int(r.cumulative_net_flow) for r in store.read_performance(spark, path).where("account_id = 'A'").orderBy("as_of_date").collect()] == [9, 10, 11]
+    # Totals outlive a status change, and are added up anew for months written without them.
+    store.set_file_status(spark, path, "x", "vendor_a", "COMPLETED", stamp("2030-01-01"))
+    assert all(e.totals for e in store.entries(spark, path))
+    store.replace_partitions(store.stored_rows(spark, path, [(2024, 1)]).drop(*store.PARTITIONS), path)
+    assert [e.totals is None for e in store.entries(spark, path)] == [True, False, False]
+    carry.upsert_running(spark, path, account_days(perf, [("A", 4, 6, 1, "0.1", "y")]), newest)
+    assert int(store.read_performance(spark, path, "2024-04-01").first().cumulative_net_flow) == 12
