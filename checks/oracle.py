@@ -32,13 +32,19 @@ def dbl(*names: str) -> str:
 
 
 def rnd(expr: str, digits: int = 6) -> str:
-    return f"ROUND({expr}, {digits}) + CAST(0 AS DOUBLE)"
+    return f"FLOOR(({expr}) * CAST(1e{digits} AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1e{digits} AS DOUBLE)"
 
 
 def mean(c: str) -> str:
     return f"CAST(SUM({c}) AS DOUBLE) / NULLIF(COUNT({c}), 0)"
 
 
+def deviation(c: str, ddof: int) -> str:
+    """Standard deviation from exact decimal sums."""
+    total, squares = f"CAST(SUM({c}) AS DOUBLE)", f"CAST(SUM(CAST({c} AS DECIMAL(19,8)) * CAST({c} AS DECIMAL(19,8))) AS DOUBLE)"
+    return f"SQRT(GREATEST({squares} - {total} * {total} / COUNT({c}), CAST(0 AS DOUBLE)) / (COUNT({c}) - {ddof}))"
+
+
 def rate(part: str, whole: str, digits: int = 2) -> str:
     return f"ROUND({part} * CAST(100 AS DOUBLE) / NULLIF({whole}, 0), {digits})"
 
@@ -154,6 +160,13 @@ BLOCKS = {
       CASE WHEN TRIM(account_id) = '' THEN 'missing_account_id' WHEN {DATE_OF_TEXT} IS NULL THEN 'missing_or_invalid_date'
         WHEN {' OR '.join(f"({c} IS NOT NULL AND TRY_CAST({c} AS {M if c not in ('benchmark_return', 'vendor_twrr') else R}) IS NULL)" for c in NUMERIC)}
         THEN 'invalid_value' END AS reason FROM raw_text""", ["raw_text"]),
+    "loaded": (f"""SELECT *, CAST(COALESCE(c, 0) - COALESCE(d, 0) AS {M}) AS flow FROM (
+      SELECT account_id, day, 'vendor_a_' || CAST(1 + period_id % 2 AS VARCHAR) || '.csv' AS file_name,
+        CAST(beginning_market_value AS {M}) AS b, CAST(ending_market_value AS {M}) AS e, CAST(vendor_twrr AS {R}) AS v,
+        CAST(contributions AS {M}) AS c, CAST(distributions AS {M}) AS d, CAST(income AS {M}) AS i
+        FROM load_rows WHERE reason IS NULL)
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY account_id, day ORDER BY file_name DESC, e DESC NULLS LAST,
+        b DESC NULLS LAST, v DESC NULLS LAST, c DESC NULLS LAST, d DESC NULLS LAST, i DESC NULLS LAST) = 1""", ["load_rows"]),
     "load_parts": ("""SELECT reason AS part, COUNT(*) AS n FROM load_rows WHERE reason IS NOT NULL GROUP BY 1
       UNION ALL SELECT 'stored', COUNT(*) FROM (SELECT DISTINCT account_id, day FROM load_rows WHERE reason IS NULL)
       UNION ALL SELECT 'duplicate_key', n FROM (SELECT COUNT(*) - COUNT(DISTINCT (account_id, day)) AS n
@@ -197,9 +210,9 @@ BLOCKS = {
       PRODUCT(1 + COALESCE(CAST(calculated_twrr AS DOUBLE), 0)) OVER w - 1 AS cumulative_twrr
       FROM performance WINDOW w AS (PARTITION BY account_id ORDER BY as_of_date, period_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", ["performance"]),
-    "outliers": ("""SELECT p.*, mean_twrr, std_twrr FROM ported p JOIN (
-      SELECT data_source, file_name, portfolio_id, AVG(CAST(calculated_twrr AS DOUBLE)) AS mean_twrr,
-        STDDEV_SAMP(CAST(calculated_twrr AS DOUBLE)) AS std_twrr FROM ported GROUP BY 1, 2, 3
+    "outliers": (f"""SELECT p.*, mean_twrr, std_twrr FROM ported p JOIN (
+      SELECT data_source, file_name, portfolio_id, {mean('calculated_twrr')} AS mean_twrr,
+        {deviation('calculated_twrr', 1)} AS std_twrr FROM ported GROUP BY 1, 2, 3
         HAVING COUNT(calculated_twrr) > 1) s
       ON p.data_source = s.data_source AND p.file_name = s.file_name AND p.portfolio_id = s.portfolio_id
       WHERE ABS(CAST(calculated_twrr AS DOUBLE) - mean_twrr) > 3 * std_twrr""", ["ported"]),
@@ -226,16 +239,18 @@ BLOCKS = {
       ["issues", "stored", "accounts", "outliers"]),
     "fresh": (f"""SELECT *, {ret('beginning_market_value', 'ending_market_value', 'flow')} AS fresh_twrr
       FROM performance""", ["performance"]),
-    "twice": ("""SELECT *, SUM(COALESCE(net_flow, 0)) OVER w AS sum_old, SUM(flow) OVER w AS sum_new,
-      PRODUCT(1 + COALESCE(CAST(calculated_twrr AS DOUBLE), 0)) OVER w AS growth_old,
+    "twice": ("""SELECT *, CASE WHEN period_id % 107 <> 0 THEN SUM(COALESCE(net_flow, 0)) OVER w
+        + CASE WHEN period_id % 101 = 0 THEN 1 ELSE 0 END END AS sum_old, SUM(flow) OVER w AS sum_new,
+      CASE WHEN period_id % 107 <> 0 THEN PRODUCT(1 + COALESCE(CAST(calculated_twrr AS DOUBLE), 0)) OVER w
+        + CASE WHEN period_id % 103 = 0 THEN CAST(0.001 AS DOUBLE) ELSE 0 END END AS growth_old,
       PRODUCT(1 + COALESCE(CAST(fresh_twrr AS DOUBLE), 0)) OVER w AS growth_new
       FROM fresh WINDOW w AS (PARTITION BY account_id ORDER BY as_of_date, period_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", ["fresh"]),
     "recomputed": ("""SELECT data_source, file_name, COUNT(*) AS rows_checked,
       COUNT(*) FILTER (WHERE ABS(net_flow - flow) > 0.01) AS net_flow_mismatches,
       COUNT(*) FILTER (WHERE ABS(calculated_twrr - fresh_twrr) > 0.0001) AS twrr_mismatches,
-      COUNT(*) FILTER (WHERE ABS(sum_old - sum_new) > 0.01) AS cumulative_flow_mismatches,
-      COUNT(*) FILTER (WHERE ABS(growth_old - growth_new) > CAST(0.0001 AS DOUBLE)) AS cumulative_twrr_mismatches
+      COUNT(*) FILTER (WHERE COALESCE(ABS(sum_old - sum_new) > 0.01, TRUE)) AS cumulative_flow_mismatches,
+      COUNT(*) FILTER (WHERE COALESCE(ABS(growth_old - growth_new) > CAST(0.0001 AS DOUBLE), TRUE)) AS cumulative_twrr_mismatches
       FROM twice GROUP BY 1, 2""", ["twice"]),
     "arrivals": ("""SELECT
       CASE o_orderkey % 6 WHEN 3 THEN 'processing/' WHEN 4 THEN 'archive/' WHEN 5 THEN 'error/' ELSE 'incoming/' END
@@ -543,7 +558,7 @@ ORACLE: dict[str, str] = {
       "outliers"),
     "outliers_pop": sql(f"""SELECT p.portfolio_id, account_id, as_of_date, {dbl('calculated_twrr')},
       {rnd('m')} AS mean_twrr, {rnd('sd')} AS std_twrr FROM ported p JOIN (SELECT portfolio_id,
-        AVG(CAST(calculated_twrr AS DOUBLE)) AS m, STDDEV_POP(CAST(calculated_twrr AS DOUBLE)) AS sd FROM ported
+        {mean('calculated_twrr')} AS m, {deviation('calculated_twrr', 0)} AS sd FROM ported
         GROUP BY 1 HAVING COUNT(calculated_twrr) > 1) s ON p.portfolio_id = s.portfolio_id
       WHERE ABS(CAST(p.calculated_twrr AS DOUBLE) - m) > 2 * sd""", "ported"),
     "outliers_abs": sql(f"""SELECT period_id, account_id, as_of_date, {dbl('calculated_twrr')} FROM performance
@@ -728,16 +743,28 @@ ORACLE: dict[str, str] = {
     "recent_errors": sql("""SELECT * FROM lines WHERE message LIKE '%ERROR%' ORDER BY ts DESC, event_id DESC
       LIMIT 100""", "lines"),
     # streaming
-    "stream_ingest": sql(f"""SELECT period_id, NULLIF(account_id, '') AS account_id, {typed('as_of_date')},
-      {typed('beginning_market_value')}, {typed('ending_market_value')}, {typed('vendor_twrr')},
-      'vendor_a' AS data_source, 'PENDING' AS reconciliation_status FROM raw_text""", "raw_text"),
+    "stream_ingest": sql("SELECT part, n FROM load_parts", "load_parts"),
     "stream_log_errors_5m": ERRORS_5M,
     "stream_log_perf_1h": PERF_1H,
     "stream_log_recon_1h": RECON_1H,
     "stream_log_quality_1h": QUALITY_1H,
     "stream_metric_windows": METRICS,
     # load and store
-    "load_file": sql("SELECT part, n FROM load_parts", "load_parts"),
+    "load_file": sql("""SELECT part, n, 'vendor_a' AS data_source, 'vendor_a_all.csv' AS file_name, 'navrecon' AS processed_by,
+      TIMESTAMP '2001-08-02 00:00:00' AS created_at, TIMESTAMP '2001-08-02 00:00:00' AS updated_at,
+      'PENDING' AS reconciliation_status FROM load_parts""", "load_parts"),
+    "load_two_files": sql(f"""SELECT account_id, day AS as_of_date, file_name, CAST(e AS DOUBLE) AS ending_market_value,
+      CAST(SUM(flow) OVER w AS DOUBLE) AS cumulative_net_flow,
+      {rnd('PRODUCT(1 + COALESCE(CAST(tw AS DOUBLE), 0)) OVER w - 1')} AS cumulative_twrr
+      FROM (SELECT *, {ret('b', 'e', 'flow')} AS tw FROM loaded)
+      WINDOW w AS (PARTITION BY account_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", "loaded"),
+    "stored_recompute_check": sql("""SELECT 'vendor_a' AS data_source, 'vendor_a_all.csv' AS file_name,
+      COUNT(DISTINCT (account_id, day)) AS rows_checked, CAST(0 AS BIGINT) AS net_flow_mismatches,
+      CAST(0 AS BIGINT) AS twrr_mismatches, CAST(0 AS BIGINT) AS cumulative_flow_mismatches,
+      CAST(0 AS BIGINT) AS cumulative_twrr_mismatches FROM load_rows WHERE reason IS NULL""", "load_rows"),
+    "export_read_back": sql("""SELECT account_id, CAST(as_of_date AS VARCHAR) AS as_of_date, field_name,
+      CAST(variance AS DOUBLE) AS variance, CAST(within_tolerance AS VARCHAR) AS within_tolerance, TRUE AS in_order
+      FROM checks""", "checks"),
     "load_issues": sql("""SELECT issue_type, severity, COUNT(*) AS n FROM issues GROUP BY 1, 2
       UNION ALL SELECT 'duplicate_key', 'MEDIUM', n FROM load_parts WHERE part = 'duplicate_key'""",
       "issues", "load_parts"),
@@ -756,16 +783,18 @@ ORACLE: dict[str, str] = {
       WHERE r.file_name = 'vendor_a_performance_1997.csv'""", "reports", "stored"),
     "csv_scan": sql("""SELECT period_id,
       CASE WHEN period_id % 3 < 2 THEN TRY_CAST(beginning_market_value AS DOUBLE) END AS beginning_market_value,
-      TRY_CAST(ending_market_value AS DOUBLE) AS ending_market_value,
-      CASE WHEN period_id % 3 < 2 THEN CAST(fees AS DOUBLE) END AS fees FROM raw_text""", "raw_text"),
+      CASE WHEN period_id % 9 <> 2 THEN TRY_CAST(ending_market_value AS DOUBLE) END AS ending_market_value,
+      CASE WHEN period_id % 3 < 2 THEN CAST(fees AS DOUBLE) END AS fees,
+      CASE period_id % 9 WHEN 2 THEN CAST(period_id AS VARCHAR) || ',' || account_id
+        WHEN 5 THEN CAST(period_id AS VARCHAR) || ',' || account_id || ',' || COALESCE(ending_market_value, '') || ',more' END
+        AS raw_line FROM raw_text""", "raw_text"),
     "list_arrivals": """SELECT * FROM (VALUES ('va_100.csv', 'vendor_a', TRUE), ('vb_a+b.csv', 'vendor_b', TRUE),
       ('vc_a b.csv', 'vendor_c', TRUE)) t(file_name, vendor, has_content)
       WHERE (SELECT COUNT(DISTINCT o_orderkey % 3) FROM orders) = 3""",
     "partitioned_store": sql(f"""SELECT account_id, as_of_date, {dbl('ending_market_value')} FROM stored
       WHERE as_of_date BETWEEN DATE '1995-02-10' AND DATE '1996-03-05'""", "stored"),
     "upsert_on_disk": sql("""SELECT account_id, as_of_date,
-      CAST(CASE WHEN MONTH(as_of_date) % 2 > 0 THEN fees ELSE 0 END AS DOUBLE) AS fees FROM stored
-      WHERE MONTH(as_of_date) % 2 > 0 OR MONTH(as_of_date) % 3 > 0""", "stored"),
+      CAST(CASE WHEN MONTH(as_of_date) % 2 > 0 THEN fees ELSE 0 END AS DOUBLE) AS fees FROM stored""", "stored"),
     "status_on_disk": sql("""SELECT file_name, CASE WHEN file_name = 'vendor_a_performance_1998.csv'
       THEN 'COMPLETED_WITH_ISSUES' ELSE reconciliation_status END AS reconciliation_status, COUNT(*) AS n
       FROM stored GROUP BY 1, 2""", "stored"),

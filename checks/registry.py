@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,9 @@ def plain(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
         if digits and field.name in digits:
-            column = F.round(column, digits[field.name]) + F.lit(0.0)
+            # The same two double operations in both engines: their own ROUNDs treat ties differently.
+            scale = float(10 ** digits[field.name])
+            column = F.floor(column * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
         out.append(column.alias(field.name))
     return df.select(*out)
 
@@ -64,6 +66,17 @@ def accumulated(s, d):
     return cumulative_metrics(stored(s, d))
 
 
+@lru_cache(maxsize=16)
+def kept_running(s, d):
+    """All rows with running values as a table would keep them, some of them wrong and some missing."""
+    def planted(name: str, every: int, slip: str):
+        wrong = F.when(F.col("period_id") % every == 0, F.lit(slip).cast("decimal(4,3)")).otherwise(F.lit(0).cast("decimal(4,3)"))
+        return F.when(F.col("period_id") % 107 != 0, F.col(name) + wrong).alias(name)
+    rows = cumulative_metrics(p.performance(s, d))
+    other = [c for c in rows.columns if not c.startswith("cumulative_")]
+    return rows.select(*other, planted("cumulative_net_flow", 101, "1"), planted("cumulative_twrr", 103, "0.001"))
+
+
 @lru_cache(maxsize=16)
 def with_portfolio(s, d):
     return reconcile.with_portfolio(stored(s, d), p.accounts(s, d))
@@ -671,7 +684,7 @@ def quality_rates(s, d):
 
 @query()
 def recompute_check(s, d):
-    return flows.recompute_check(p.performance(s, d))
+    return flows.recompute_check(kept_running(s, d))
 
 
 @query()
@@ -680,7 +693,7 @@ def file_gate(s, d):
     facts = flows.reconciliation_facts(owned)
     return flows.file_gate(
         all_issues(s, d, facts), flows.reconcile_files(owned, facts),
-        flows.recompute_check(p.performance(s, d)))
+        flows.recompute_check(kept_running(s, d)))
 
 
 # -- monitoring --------------------------------------------------------------
@@ -736,16 +749,14 @@ def recent_errors(s, d):
 
 @query()
 def stream_ingest(s, d):
-    """Vendor A files written from the tables, then loaded by the file stream."""
+    """Vendor A's CSV and vendor C's nested JSON arrive together and are loaded by the file stream: its parts on disk."""
     root = fresh_dir(s, "ingest")
-    raw = layout(p.raw_text(s, d), VENDOR_A_NAMES)
-    raw.write.option("header", True).csv(f"{root}/incoming")
-    jobs.ingest_files(
-        s, f"{root}/incoming", raw.columns, f"{root}/table", f"{root}/progress", "vendor_a",
-        F.lit("2001-08-02 00:00:00").cast("timestamp_ntz"), keep=("period_id",))
-    return s.read.parquet(f"{root}/table").select(
-        F.col("period_id").cast("long"), "account_id", "as_of_date", "beginning_market_value",
-        "ending_market_value", "vendor_twrr", "data_source", "reconciliation_status")
+    raw = p.raw_text(s, d)
+    layout(raw.where("period_id % 2 = 0"), VENDOR_A_NAMES).drop("period_id").write.option("header", True).csv(
+        f"{root}/incoming/vendor_a_all.csv")
+    nested_raw(raw.where("period_id % 2 = 1")).drop("period_id").write.json(f"{root}/incoming/vendor_c_all.json")
+    jobs.ingest_files(s, f"{root}/incoming", f"{root}/table", f"{root}/progress", F.lit(LOADED).cast("timestamp_ntz"), lines=True)
+    return load_parts(s, f"{root}/table")
 
 
 def _stream(s, d, parts, finish, by=(), lines=p.log_lines_of):
@@ -816,15 +827,58 @@ def load(s, root: str, name: str = "vendor_a_all.csv") -> flows.LoadResult:
     return flows.load_file(s, f"{root}/{name}", "vendor_a", f"{root}/table", moment("2001-08-01 23:00:00"), moment())
 
 
+def load_parts(s, target: str, *by: str) -> DataFrame:
+    """Stored rows, and rows left out by reason, from the tables on disk."""
+    rejected = s.read.parquet(f"{target}-rejected").groupBy(F.col("reject_reason").alias("part"), *by)
+    stored_part = store.stored_rows(s, target).groupBy(F.lit("stored").alias("part"), *by)
+    return rejected.agg(F.count("*").alias("n")).unionByName(stored_part.agg(F.count("*").alias("n")))
+
+
 @query()
 def load_file(s, d):
-    """All rows read are stored, rejected or surplus rows of a repeated key: counts from the tables on disk."""
+    """All rows read are stored, rejected or surplus rows of a repeated key, with their audit columns: from the tables on disk."""
     root = fresh_dir(s, "load")
     vendor_files(s, d, root)
     load(s, root)
-    rejected = s.read.parquet(f"{root}/table-rejected").groupBy(F.col("reject_reason").alias("part"))
-    stored_part = store.stored_rows(s, f"{root}/table").groupBy(F.lit("stored").alias("part"))
-    return rejected.agg(F.count("*").alias("n")).unionByName(stored_part.agg(F.count("*").alias("n")))
+    return load_parts(s, f"{root}/table", "data_source", "file_name", "processed_by", "created_at", "updated_at",
+                      "reconciliation_status")
+
+
+@query({"cumulative_twrr": 6})
+def load_two_files(s, d):
+    """The later file is loaded first: running values go over both files as over one."""
+    root = fresh_dir(s, "load")
+    raw = layout(p.raw_text(s, d), VENDOR_A_NAMES)
+    for name, rest in (("vendor_a_2.csv", 1), ("vendor_a_1.csv", 0)):
+        raw.where(F.col("period_id") % 2 == rest).drop("period_id").write.option("header", True).csv(f"{root}/{name}")
+        load(s, root, name)
+    return store.read_performance(s, f"{root}/table").select(
+        "account_id", "as_of_date", "file_name", "ending_market_value", "cumulative_net_flow", "cumulative_twrr")
+
+
+@query()
+def stored_recompute_check(s, d):
+    """Stored running values of a loaded file, checked against fresh ones."""
+    root = fresh_dir(s, "load")
+    vendor_files(s, d, root)
+    load(s, root)
+    return flows.stored_recompute_check(s, f"{root}/table")
+
+
+@query()
+def export_read_back(s, d):
+    """The reconciliation report written as CSV and read back; is each part in order?"""
+    root = fresh_dir(s, "export")
+    table = stored(s, d)
+    store.export_csv(report.export_report(reconcile.results(table), table), f"{root}/report")
+    key = ("account_id", "as_of_date", "field_name")
+    place = Window.partitionBy("part").orderBy("at")
+    read = s.read.option("header", True).csv(f"{root}/report").select(
+        "*", F.col("_metadata.file_name").alias("part"), F.struct(
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+    now, before = F.struct(*key), F.lag(F.struct(*key)).over(place)
+    return read.select(*key, F.col("variance").cast("double").alias("variance"), "within_tolerance",
+                       F.coalesce(before <= now, F.lit(True)).alias("in_order"))
 
 
 @query()
@@ -883,16 +937,23 @@ def reconcile_flow(s, d):
 
 @query()
 def csv_scan(s, d):
-    """Two files with their columns in another order, and one that lacks some, read together by name."""
+    """Files with their columns in another order, one that lacks some, and one with damaged lines, read together by name."""
     root = fresh_dir(s, "csv")
     rows = p.raw_text(s, d).select(*ROW, "beginning_market_value", "ending_market_value", "fees")
     out = lambda df, name: df.write.option("header", True).csv(f"{root}/{name}")
     out(rows.where("period_id % 3 = 0"), "a")
     out(rows.where("period_id % 3 = 1").select(*reversed(rows.columns)), "b")
-    out(rows.where("period_id % 3 = 2").select(*ROW, "ending_market_value"), "c")
-    read = files.read_csv(s, root, glob="*.csv")
+    # Lines as they are, a header in each part: of these rows a third is one field short, a third has one more.
+    cells = [F.col("period_id").cast("string"), F.coalesce("account_id", F.lit("")), F.coalesce("ending_market_value", F.lit(""))]
+    line = F.when(F.col("period_id") % 9 == 2, F.concat_ws(",", *cells[:2])).when(
+        F.col("period_id") % 9 == 5, F.concat_ws(",", *cells, F.lit("more"))).otherwise(F.concat_ws(",", *cells))
+    lines = rows.where("period_id % 3 = 2").select(line.alias("value"), F.lit(1).alias("at"), (F.col("period_id") % 4).alias("part"))
+    heads = s.range(4).select(F.lit("period_id,account_id,ending_market_value"), F.lit(0), "id")
+    (lines.union(heads).repartition("part").sortWithinPartitions("part", "at").select("value", "part")
+     .write.partitionBy("part").text(f"{root}/c"))
+    read = files.read_csv(s, root, glob="part-*", malformed="raw_line")
     return read.select(F.col("period_id").cast("long"), F.col("beginning_market_value").cast("double"),
-                       F.col("ending_market_value").try_cast("double"), F.col("fees").cast("double"))
+                       F.col("ending_market_value").try_cast("double"), F.col("fees").cast("double"), "raw_line")
 
 
 @query()
@@ -918,10 +979,10 @@ def partitioned_store(s, d):
 
 @query()
 def upsert_on_disk(s, d):
-    """Stored rows without their later versions, then the later versions upserted on disk."""
+    """All rows stored as an earlier version without fees, then the months of every second month upserted on disk."""
     root = fresh_dir(s, "upsert")
     rows = mapping.conform(stored(s, d))
-    first = rows.where(F.month("as_of_date") % 3 > 0).withColumn("updated_at", F.col("created_at") - F.expr("INTERVAL 1 DAY"))
+    first = rows.withColumn("updated_at", F.col("created_at") - F.expr("INTERVAL 1 DAY"))
     store.upsert_performance(s, f"{root}/table", first.withColumn("fees", F.lit(0).cast("decimal(18,2)")), newest=("updated_at", "file_name"))
     store.upsert_performance(s, f"{root}/table", rows.where(F.month("as_of_date") % 2 > 0), newest=("updated_at", "file_name"))
     return store.read_performance(s, f"{root}/table").select("account_id", "as_of_date", "fees")

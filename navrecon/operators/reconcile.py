@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navrecon.functions.checks import flow_outcome, twrr_outcome, value_outcome
-from navrecon.schemas import COMPLETED, WITH_ISSUES
+from navrecon.schemas import COMPLETED, RATE, WITH_ISSUES
 from navrecon.session import broadcast_if_small
 
 FILE_KEY = ("data_source", "file_name")
@@ -101,13 +101,16 @@ def portfolio_stats(
     folded before the shuffle, so a portfolio with a third of all rows costs no
     task more than its share. Kept for broadcast once its size is measured.
     `extra` aggregates ride along in the same pass."""
-    x = F.col(value).cast("double")
+    # Sums of decimals are exact, so the result does not depend on how the rows are dealt.
+    x = F.col(value).cast(RATE)
+    n, total, squares = F.count(x), F.sum(x).cast("double"), F.sum(x * x).cast("double")
+    spread = F.greatest(squares - total * total / n, F.lit(0.0))
     return broadcast_if_small(rows.groupBy(*by).agg(
         F.count_distinct("as_of_date").alias("unique_dates"),
         F.count_distinct("account_id").alias("total_accounts"),
-        F.avg(x).alias("mean_twrr"),
-        (F.stddev_samp if ddof else F.stddev_pop)(x).alias("std_twrr"),
-        F.count(value).alias("known_returns"),
+        F.try_divide(total, n).alias("mean_twrr"),
+        F.when(n > ddof, F.sqrt(spread / (n - ddof))).alias("std_twrr"),
+        n.alias("known_returns"),
         *extra,
     ))
 

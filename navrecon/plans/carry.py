@@ -11,7 +11,6 @@ Months, their totals and their running values change together, by one manifest.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -115,8 +114,6 @@ def upsert_running(spark: SparkSession, path: str, incoming: DataFrame, newest:
         "cumulative_net_flow": F.col("_flow_before") + F.col("_flow"),
         "cumulative_twrr": F.col("_growth_before") * F.col("_growth") - F.lit(1.0)})
     version, written = store.write_version(mapping.conform(finished), path)
-    totals_version = uuid.uuid4().hex
-    (totals.hint("rebalance", *[F.col(c) for c in store.PARTITIONS]).write.partitionBy(*store.PARTITIONS)
-     .parquet(f"{path}/totals/version={totals_version}"))
-    store.commit(spark, path, [store.Entry(*m, version, totals_version) for m in written], months)
+    store.write_totals(totals, path, version)
+    store.commit(spark, path, [store.Entry(*m, version, version) for m in written], months)
     return Merged(counted.get["inserted"], counted.get["updated"], rows)

@@ -87,14 +87,13 @@ def text_rows(raw: DataFrame, settings: LoadSettings = LoadSettings(), keep: tup
         (F.col(c) if c in named.columns else F.lit(None)).cast("string").alias(c) for c in STANDARD_FIELDS])
 
 
-def reject_reason(settings: LoadSettings = LoadSettings(), malformed: Column | None = None) -> Column:
+def reject_reason(issues: str, settings: LoadSettings = LoadSettings()) -> Column:
     """Why a text row cannot become a table row, or null: a line that does not fit its header, no account, no
-    readable date, a value beyond its type."""
-    malformed = F.lit(False) if malformed is None else malformed.isNotNull()
-    return F.when(malformed, REASONS[0]).when(
+    readable date, a value beyond its type (told from the row's array of issues)."""
+    return F.when(F.col(MALFORMED).isNotNull(), REASONS[0]).when(
         F.coalesce(F.trim("account_id"), F.lit("")) == "", REASONS[1]).when(
         parse_date("as_of_date", settings.formats).isNull(), REASONS[2]).when(
-        F.size(quality.issue_array(quality.type_rules(settings.formats))) > 0, REASONS[3])
+        F.exists(issues, lambda x: F.startswith(x["issue_type"], F.lit("invalid_"))), REASONS[3])
 
 
 def malformed_issues(damaged: DataFrame) -> DataFrame:
@@ -157,18 +156,20 @@ def load_rows(
     the counts are observed on the writes themselves.
     """
     folder = fresh_dir(spark, "staged")
-    malformed = F.col(MALFORMED) if MALFORMED in lined.columns else F.lit(None).cast("string")
-    told = lined.withColumns({
-        MALFORMED: malformed, "_line": F.monotonically_increasing_id(),
-        "reject_reason": reject_reason(settings, malformed)})
-    told = told.withColumn("_good", F.col("reject_reason").isNull())
+    if MALFORMED not in lined.columns:
+        lined = lined.withColumn(MALFORMED, F.lit(None).cast("string"))
+    rules = quality.issue_array(quality.record_rules() + quality.type_rules(settings.formats))
+    told = (
+        lined.withColumns({"_line": F.monotonically_increasing_id(), "_issues": rules})
+        .withColumn("reject_reason", reject_reason("_issues", settings))
+        .withColumn("_good", F.col("reject_reason").isNull()))
     complete = reduce(and_, [mapping.cast_field(c, settings.formats).isNotNull() for c in settings.required or REQUIRED_FIELDS])
     read = Observation()
     told.observe(
-        read, F.count(F.lit(1)).alias("total"), F.count_if(complete & malformed.isNull()).alias("valid"),
+        read, F.count(F.lit(1)).alias("total"), F.count_if(complete & F.col(MALFORMED).isNull()).alias("valid"),
         *[F.count_if(F.col("reject_reason") == r).alias(r) for r in REASONS]).write.partitionBy("_good").parquet(f"{folder}/text")
     rows = spark.read.schema(told.schema).parquet(f"{folder}/text")
-    good = mapping.cast_types(rows.where("_good").drop("_good", "reject_reason", MALFORMED), settings.formats)
+    good = mapping.cast_types(rows.where("_good").drop("_good", "_issues", "reject_reason", MALFORMED), settings.formats)
     ready = derive(keep_latest(good, newest=(*CONTENT, "_line")), strict=False, tolerance=settings.twrr_tolerance)
     kept = Observation()
     schema = T.StructType([*PERFORMANCE, T.StructField("_line", T.LongType())])
@@ -178,7 +179,9 @@ def load_rows(
     total, stored, rejected = counts["total"], kept.get["stored"], sum(counts[r] for r in REASONS)
     duplicates = total - rejected - stored
     left_out = rows.where("not _good")
-    issues = quality.issues(rows.where(F.col(MALFORMED).isNull()), formats=settings.formats).drop("data_source", "file_name")
+    issues = rows.where(F.col(MALFORMED).isNull()).select(
+        "account_id", parse_date("as_of_date", settings.formats).alias("as_of_date"), F.explode("_issues").alias("_issue"),
+        "created_at").select("account_id", "as_of_date", "_issue.*", "created_at")
     if duplicates:
         # Read only where there are any. Surplus rows are found by line, so a key repeated very often is no group.
         surplus = good.join(ready.select("_line"), "_line", "left_anti")
@@ -186,7 +189,7 @@ def load_rows(
         as_text = [F.col(c).cast("string") if c in STANDARD_FIELDS else F.col(c) for c in good.columns]
         left_out = left_out.unionByName(surplus.select(*as_text, F.lit("duplicate_key").alias("reject_reason")),
                                         allowMissingColumns=True)
-    store.write_part(left_out.drop("_line", "_good"), f"{target}-rejected", part)
+    store.write_part(left_out.drop("_line", "_good", "_issues"), f"{target}-rejected", part)
     issues = issues.unionByName(malformed_issues(rows.where(F.col(MALFORMED).isNotNull())))
     store.write_part(mapping.conform(issues, QUALITY_ISSUES), f"{target}-issues", part)
     merged = upsert_running(spark, target, ready.drop("_line"), newest=("updated_at", "file_name"))
@@ -314,22 +317,21 @@ def quality_issues(
     )
 
 
-def recompute_check(performance: DataFrame) -> DataFrame:
+def recompute_check(performance: DataFrame, **layout) -> DataFrame:
     """Rows whose stored values differ from recomputed ones, counted per file.
 
-    Stored and recomputed running values come from one pass, side by side.
+    The stored running values are compared with running values of the recomputed flows
+    and returns; one that is missing counts as wrong.
     """
     fresh = performance.withColumn("_flow", net_flow("contributions", "distributions")).withColumn(
         "_return", period_return("beginning_market_value", "ending_market_value", "_flow"))
     both = running_metrics(
-        fresh,
-        sums={"_sum_old": F.coalesce("net_flow", F.lit(0)), "_sum_new": F.col("_flow")},
-        products={"_growth_old": growth_factor("calculated_twrr"), "_growth_new": growth_factor("_return")},
-    )
+        fresh, sums={"_sum": F.col("_flow")}, products={"_growth": growth_factor("_return")}, **layout)
     flow_off = gap("net_flow", "_flow") > limit(FLOW_TOLERANCE)
     twrr_off = gap("calculated_twrr", "_return") > limit(TWRR_TOLERANCE)
-    sum_off = gap("_sum_old", "_sum_new") > limit(FLOW_TOLERANCE)
-    growth_off = F.abs(F.col("_growth_old") - F.col("_growth_new")) > F.lit(float(TWRR_TOLERANCE))
+    sum_off = F.coalesce(gap("cumulative_net_flow", "_sum") > limit(FLOW_TOLERANCE), F.lit(True))
+    growth_off = F.coalesce(
+        F.abs(F.col("cumulative_twrr") - (F.col("_growth") - F.lit(1.0))) > F.lit(float(TWRR_TOLERANCE)), F.lit(True))
     return both.groupBy("data_source", "file_name").agg(
         F.count("*").alias("rows_checked"), F.count_if(flow_off).alias("net_flow_mismatches"),
         F.count_if(twrr_off).alias("twrr_mismatches"), F.count_if(sum_off).alias("cumulative_flow_mismatches"),
@@ -337,6 +339,12 @@ def recompute_check(performance: DataFrame) -> DataFrame:
     )
 
 
+def stored_recompute_check(spark: SparkSession, target: str) -> DataFrame:
+    """recompute_check over a stored table; its key is unique, so a day needs no tie-break."""
+    rows = store.stored_rows(spark, target).drop(*store.PARTITIONS)
+    return recompute_check(rows.withColumn("_tie", F.lit(0)), tie="_tie", hot_above=None)
+
+
 def file_gate(issues: DataFrame, reports: DataFrame, recomputed: DataFrame) -> DataFrame:
     """Three validation branches to one status per file: the worst result decides.
 

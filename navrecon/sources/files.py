@@ -67,7 +67,8 @@ def read_csv(
     Spark would take one file's header for all files of a scan. Files are therefore
     grouped by their header, and each group is a scan of its own; a column that a group
     lacks is null. With `malformed`, that column holds the raw line of a row with more or
-    fewer fields than its header, else null; without it such rows are filled up or cut.
+    fewer fields than its header, else null; without it such rows are filled up or cut. Spark
+    refuses queries of that column alone: use it beside another one, or stage the rows.
     A line break in quotes makes two malformed lines; quoted_breaks=True reads it right,
     at the price of one task per file. lineage adds the column _path.
     """
@@ -77,7 +78,8 @@ def read_csv(
         reader = spark.read.option("header", True).option("multiLine", quoted_breaks)
         if malformed:
             schema = schema.add(malformed, T.StringType())
-            reader = reader.option("columnNameOfCorruptRecord", malformed)
+            # Fields are counted only where all of them are parsed, whatever a query goes on to use.
+            reader = reader.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
         rows = reader.schema(schema).csv(group)
         rows = rows.select("*", F.col("_metadata.file_path").alias("_path")) if lineage else rows
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)

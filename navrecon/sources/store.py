@@ -143,9 +143,20 @@ def stored_rows(spark: SparkSession, path: str, months: Iterable[Month] | None =
         (e.version, e.year, e.month) for e in entries(spark, path) if wanted is None or (e.year, e.month) in wanted])
 
 
+def write_totals(totals: DataFrame, path: str, version: str) -> None:
+    """Account totals of some months as the totals of a version, in few files ordered by month."""
+    totals.sortWithinPartitions(*PARTITIONS).write.parquet(f"{path}/totals/version={version}")
+
+
 def stored_totals(spark: SparkSession, path: str, found: list[Entry]) -> DataFrame:
-    """The account totals of the entries that have them."""
-    return _folders(spark, f"{path}/totals", MONTH_TOTALS, [(e.totals, e.year, e.month) for e in found if e.totals])
+    """The account totals of the entries that have them, each month from its own version."""
+    schema = T.StructType([*MONTH_TOTALS, *[T.StructField(name, T.IntegerType()) for name in PARTITIONS]])
+    out = spark.createDataFrame([], schema)
+    for version in sorted({e.totals for e in found if e.totals}):
+        months = [e.year * 100 + e.month for e in found if e.totals == version]
+        rows = spark.read.schema(schema).parquet(f"{path}/totals/version={version}")
+        out = out.unionByName(rows.where((F.col(PARTITIONS[0]) * 100 + F.col(PARTITIONS[1])).isin(months)))
+    return out
 
 
 def read_performance(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -192,6 +192,65 @@ def test_csv_files_with_other_headers_are_read_by_name(spark):
     assert {(r.account_id, r.beginning_mv, r.ending_mv) for r in rows} == {("X", "1", "2"), ("Y", "1", "2")}
 
 
+DAMAGED = HEAD + """
+A,,P1,2024-01-31,1,0,0,0,0,0,0,2,0.01,
+B,,P1,2024-01-31,1,0,0,0
+C,,P1,2024-01-31,1,0,0,0,0,0,0,2,0.01,,more
+D,"two
+lines",P1,2024-01-31,1,0,0,0,0,0,0,2,0.01,
+E,"a, b",P1,2024-01-31,1,0,0,0,0,0,0,2,0.01,
+"""
+
+
+def test_lines_that_do_not_fit_their_header_are_rejected(spark):
+    path, target = write(spark, "vendor_a_1.csv", DAMAGED), fresh_dir(spark, "table")
+    result = flows.process_file(spark, path, "vendor_a", target, now())
+    assert (result.total_records, result.valid_records, result.stored, result.rejected) == (6, 2, 2, 4)
+    left = spark.read.parquet(f"{target}-rejected").collect()
+    assert {r.reject_reason for r in left} == {"malformed_line"}
+    lines = DAMAGED.splitlines()
+    assert sorted(r.raw_line for r in left) == sorted([*lines[2:4], *lines[4:6]])
+    issues = store.read_parts(spark, f"{target}-issues", QUALITY_ISSUES).where("issue_type = 'malformed_line'").collect()
+    assert sorted(r.actual_value for r in issues) == sorted(r.raw_line for r in left)
+    # Whatever columns are used, and with quoted breaks read right.
+    read = files.read_csv(spark, path, malformed="raw")
+    assert sum(r.raw is not None for r in read.select("acct_id", "raw").collect()) == 4
+    whole = files.read_csv(spark, path, malformed="raw", quoted_breaks=True).collect()
+    assert [(r.acct_id, r.acct_name) for r in whole if r.raw is None] == [("A", None), ("D", "two\nlines"), ("E", "a, b")]
+    bad = write(spark, "vendor_c_1.json", '{"account": {"id": "A"}}\n{"account": {"id"\n')
+    rows = files.read_vendor_file(spark, bad, lines=True, malformed="raw").collect()
+    assert [(r.account_id, r.raw is not None) for r in rows] == [("A", False), (None, True)]
+
+
+def jobs_of(spark, work):
+    spark.sparkContext.setJobGroup(fresh_dir(spark, "g"), "counted")
+    group = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+    work()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_many_files_take_a_constant_number_of_jobs(spark):
+    counts = []
+    for n in (3, 400):
+        folder = fresh_dir(spark, "many")
+        os.makedirs(folder)
+        for i in range(n):
+            with open(f"{folder}/f{i}.csv", "w") as out:
+                out.write("a,b\n1,2\n" if i % 2 else "\n\ufeffb,a\n2,1\n")
+        counts.append(jobs_of(spark, lambda: files.csv_layouts(spark, folder)))
+        rows = files.read_csv(spark, folder, glob="*.csv").collect()
+        assert len(rows) == n and {(r.a, r.b) for r in rows} == {("1", "2")}
+    assert counts[0] <= 2 and counts[1] <= 3  # listing many files is a job of its own
+
+
+def test_a_load_counts_what_it_writes(spark):
+    """Counts are observed on the writes: no job only counts rows."""
+    path, target = write(spark, "vendor_a_1.csv", CSV), fresh_dir(spark, "table")
+    found = []
+    taken = jobs_of(spark, lambda: found.append(flows.process_file(spark, path, "vendor_a", target, now())))
+    assert found[0].stored == 2 and taken <= 24
+
+
 def test_names_that_are_no_encoding(spark):
     found = spark.createDataFrame([("incoming/va_100%.csv", 5), ("incoming/vb_1%20a.csv", 5)], "file_key string, file_size long")
     assert {(r.file_name, r.vendor) for r in manifest.route_files(found).collect()} == {

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 from navrecon.operators import reconcile
+from navrecon.operators.running import cumulative_metrics
 from navrecon.plans import flows
 from pyspark.sql import functions as F
 
@@ -130,10 +131,17 @@ def test_account_pass_rate(perf, flags, rate, status):
 def test_recompute_finds_a_slip_and_its_running_effect(perf):
     base = {k: v for k, v in BALANCED.items() if k not in ("calculated_twrr", "vendor_twrr")}
     rows = flows.derive(perf(*[{**base, "as_of_date": dt.date(2024, 1, d)} for d in range(1, 6)]), strict=False)
-    assert tuple(flows.recompute_check(rows).first())[2:] == (5, 0, 0, 0, 0)
+    whole = cumulative_metrics(rows)
+    found = lambda df: tuple(flows.recompute_check(df).first())[2:]
+    assert found(whole) == (5, 0, 0, 0, 0)
     slipped = rows.withColumn("net_flow", F.when(F.col("period_id") == 2, F.col("net_flow") + 5).otherwise(F.col("net_flow")))
-    assert flows.recompute_check(slipped).first().net_flow_mismatches == 1
-    assert flows.recompute_check(slipped).first().cumulative_flow_mismatches == 3
+    assert found(cumulative_metrics(slipped)) == (5, 1, 0, 3, 0)
+    # What is stored is what is compared: a wrong or missing running value is found, whatever its parts are.
+    third = F.col("period_id") == 3
+    for name, place in (("cumulative_net_flow", 3), ("cumulative_twrr", 4)):
+        for value in (F.col(name) + 1, F.lit(None)):
+            wrong = whole.withColumn(name, F.when(third, value).otherwise(F.col(name)))
+            assert found(wrong) == tuple([5] + [int(k == place) for k in range(1, 5)])
 
 
 def test_gate_takes_the_worst_branch(spark):

@@ -5,7 +5,9 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
+from navrecon.operators import running
 from navrecon.operators.running import cumulative_metrics, hot_accounts, running_metrics
+from navrecon.session import fresh_dir
 from pyspark.sql import functions as F
 
 
@@ -40,13 +42,13 @@ def brute(rows, log=False):
     return out
 
 
-@pytest.mark.parametrize("width", [1, 1000, 1 << 24])
+@pytest.mark.parametrize("width", [1, 40, 1 << 20])
 @pytest.mark.parametrize("hot_above", [0, 150, 10_000])
 @pytest.mark.parametrize("mode", ["product", "log"])
 def test_running_values_match_brute_force(spark, width, hot_above, mode):
     rows = rows_with_hot_account()
     df = spark.createDataFrame(rows, SCHEMA)
-    out = cumulative_metrics(df, mode=mode, block_width=width, hot_above=hot_above).collect()
+    out = cumulative_metrics(df, mode=mode, chunk_rows=width, hot_above=hot_above).collect()
     expected = brute(rows, log=mode == "log")
     assert len(out) == len(rows)
     for row in out:
@@ -78,20 +80,27 @@ def test_hot_accounts_are_found_and_null_is_an_account(spark):
     assert hot_accounts(df, "account_id", 4) is None
 
 
-def test_hot_rows_meet_only_a_window_over_chunks(spark):
-    df = spark.createDataFrame(rows_with_hot_account(60), SCHEMA)
-    plan = running_metrics(df, {"s": F.col("net_flow")}, hot_above=15)._jdf.queryExecution().optimizedPlan().toString()
+def test_a_hot_account_is_dealt_into_equal_chunks(spark, monkeypatch):
+    """A third of all rows in one account, a third of those on one day, tie-breaks far apart: no task has many of them."""
+    rows = [(i * 10**9 + 7, "hot" if i % 3 == 0 else f"a{i % 500}", dt.date(2024, 1, 1) + dt.timedelta(i % 7 if i % 9 else 0),
+             Decimal(1), None) for i in range(30_000)]
+    folders = []
+    monkeypatch.setattr(running, "fresh_dir", lambda s, label: folders.append(fresh_dir(s, label)) or folders[-1])
+    out = running_metrics(spark.createDataFrame(rows, SCHEMA), {"s": F.col("net_flow")}, hot_above=5000, chunk_rows=500)
+    assert out.where("account_id = 'hot'").agg(F.max("s")).first()[0] == 10_000 and out.count() == 30_000
+    sizes = [r[0] for r in spark.read.parquet(folders[0]).groupBy("account_id", "_chunk").count().select("count").collect()]
+    assert sum(sizes) == 10_000 and len(sizes) >= 18 and max(sizes) < 1000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    # Ordinary accounts, hot chunks, and the few totals of hot accounts.
-    assert len(windows) == 3 and sum("[account_id" in w and "_block" in w.rsplit("], [", 1)[0] for w in windows) >= 1
-    assert "LeftAnti" in plan and "LeftSemi" in plan
+    # Ordinary accounts, hot chunks, and the totals of hot accounts, one for each chunk.
+    assert len(windows) == 3 and sum("_chunk" in w.rsplit("], [", 1)[0] for w in windows) >= 1
 
 
 @pytest.mark.parametrize("hot", [None, 0, 3, 10**6])
 def test_types_do_not_depend_on_size(perf, hot):
     rows = perf(*[{"account_id": "A" if i % 2 else f"B{i}", "as_of_date": dt.date(2024, 1, 1) + dt.timedelta(i),
                    "net_flow": i} for i in range(12)])
-    out = cumulative_metrics(rows, hot_above=hot, block_width=4)
+    out = cumulative_metrics(rows, hot_above=hot, chunk_rows=4)
     assert dict(out.dtypes)["cumulative_net_flow"] == "decimal(28,2)" and dict(out.dtypes)["cumulative_twrr"] == "double"
     assert sum(r.cumulative_net_flow for r in out.where("account_id = 'A'").collect()) == sum(
         sum(range(1, i + 1, 2)) for i in range(1, 12, 2))
