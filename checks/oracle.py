@@ -758,6 +758,10 @@ ORACLE: dict[str, str] = {
       {rnd('PRODUCT(1 + COALESCE(CAST(tw AS DOUBLE), 0)) OVER w - 1')} AS cumulative_twrr
       FROM (SELECT *, {ret('b', 'e', 'flow')} AS tw FROM loaded)
       WINDOW w AS (PARTITION BY account_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", "loaded"),
+    "dashboard_from_parts": sql(f"""SELECT COUNT(DISTINCT file_name) AS total_files_processed,
+      CAST(1 AS BIGINT) AS total_vendors, COUNT(DISTINCT account_id) AS total_accounts, COUNT(*) AS total_records,
+      CAST(SUM(e) AS DOUBLE) AS total_aum, {rnd(mean('tw'))} AS avg_twrr
+      FROM (SELECT *, {ret('b', 'e', 'flow')} AS tw FROM loaded)""", "loaded"),
     "stored_recompute_check": sql("""SELECT 'vendor_a' AS data_source, 'vendor_a_all.csv' AS file_name,
       COUNT(DISTINCT (account_id, day)) AS rows_checked, CAST(0 AS BIGINT) AS net_flow_mismatches,
       CAST(0 AS BIGINT) AS twrr_mismatches, CAST(0 AS BIGINT) AS cumulative_flow_mismatches,

@@ -16,7 +16,7 @@ from navrecon.functions.finance import annualize, net_flow, period_return, regis
 from navrecon.functions.text import field_label, parse_date, rate_tier, surrogate_id
 from navrecon.operators import latest, monitor, quality, reconcile, report
 from navrecon.operators.running import cumulative_metrics
-from navrecon.plans import flows
+from navrecon.plans import flows, summary
 from navrecon.schemas import ALARMS
 from navrecon.session import fresh_dir
 from navrecon.sources import files, manifest, mapping, store
@@ -865,6 +865,19 @@ def stored_recompute_check(s, d):
     return flows.stored_recompute_check(s, f"{root}/table")
 
 
+@query({"avg_twrr": 6})
+def dashboard_from_parts(s, d):
+    """Headline totals from the summary of a table with two files, refreshed after each load."""
+    root = fresh_dir(s, "summary")
+    raw = layout(p.raw_text(s, d), VENDOR_A_NAMES)
+    for name, rest in (("vendor_a_1.csv", 0), ("vendor_a_2.csv", 1)):
+        raw.where(F.col("period_id") % 2 == rest).drop("period_id").write.option("header", True).csv(f"{root}/{name}")
+    for name in ("vendor_a_1.csv", "vendor_a_2.csv"):
+        load(s, root, name)
+        summary.refresh(s, f"{root}/table")
+    return summary.dashboard_metrics(summary.parts(s, f"{root}/table"), summary.account_bits(s, f"{root}/table"), AS_OF, 7)
+
+
 @query()
 def export_read_back(s, d):
     """The reconciliation report written as CSV and read back; is each part in order?"""

@@ -28,12 +28,13 @@ Month = tuple[int, int]
 
 
 class Entry(NamedTuple):
-    """A month of the table: the version that holds its rows, and the one that holds its account totals, if any."""
+    """A month of the table: the version that holds its rows, and those of its account totals and summary, if any."""
 
     year: int
     month: int
     version: str
     totals: str | None = None
+    summary: str | None = None
 
 
 # ---- manifest --------------------------------------------------------------
@@ -148,17 +149,22 @@ def write_totals(totals: DataFrame, path: str, version: str) -> None:
     totals.sortWithinPartitions(*PARTITIONS).write.parquet(f"{path}/totals/version={version}")
 
 
-def stored_totals(spark: SparkSession, path: str, found: list[Entry]) -> DataFrame:
-    """The account totals of the entries that have them, each month from its own version."""
-    schema = T.StructType([*MONTH_TOTALS, *[T.StructField(name, T.IntegerType()) for name in PARTITIONS]])
+def read_months(spark: SparkSession, base: str, schema: T.StructType, places: set[tuple[str, int, int]]) -> DataFrame:
+    """Rows of (version, year, month) places; a version's months lie together, ordered by month."""
     out = spark.createDataFrame([], schema)
-    for version in sorted({e.totals for e in found if e.totals}):
-        months = [e.year * 100 + e.month for e in found if e.totals == version]
-        rows = spark.read.schema(schema).parquet(f"{path}/totals/version={version}")
+    for version in sorted({v for v, _, _ in places}):
+        months = [y * 100 + m for v, y, m in places if v == version]
+        rows = spark.read.schema(schema).parquet(f"{base}/version={version}")
         out = out.unionByName(rows.where((F.col(PARTITIONS[0]) * 100 + F.col(PARTITIONS[1])).isin(months)))
     return out
 
 
+def stored_totals(spark: SparkSession, path: str, found: list[Entry]) -> DataFrame:
+    """The account totals of the entries that have them, each month from its own version."""
+    schema = T.StructType([*MONTH_TOTALS, *[T.StructField(name, T.IntegerType()) for name in PARTITIONS]])
+    return read_months(spark, f"{path}/totals", schema, {(e.totals, e.year, e.month) for e in found if e.totals})
+
+
 def read_performance(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Stored rows; of a date range only the months it touches are read."""
     def month(day: str) -> Month:
