@@ -419,6 +419,7 @@ ORACLE: dict[str, str] = {
     "union_vendors": sql(f"SELECT period_id, {TYPED}, data_source AS vendor FROM raw_text", "raw_text"),
     # filters and rows
     "recon_results": sql(f"SELECT {CHECK_ROW} {CHECK_JOIN}", "checks"),
+    "recon_results_bucketed": sql(f"SELECT {CHECK_ROW} {CHECK_JOIN}", "checks"),
     "recon_results_filtered": sql(f"""SELECT {CHECK_ROW} {CHECK_JOIN} WHERE p.data_source = 'vendor_b'
       AND field_name = 'twrr' AND c.as_of_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""", "checks"),
     "recon_failures": sql(f"SELECT {CHECK_ROW} {CHECK_JOIN} WHERE within_tolerance = FALSE", "checks"),
@@ -744,6 +745,14 @@ ORACLE: dict[str, str] = {
       LIMIT 100""", "lines"),
     # streaming
     "stream_ingest": sql("SELECT part, n FROM load_parts", "load_parts"),
+    "stream_closed_windows": sql("""SELECT * FROM (WITH e AS (SELECT event_type AS metric_name, ts,
+        TIME_BUCKET(INTERVAL '10 minutes', ts) AS window_start, CAST(value AS DECIMAL(18,4)) AS v,
+        ts < TIMESTAMP '2024-01-15 00:00:00' AND event_id % 50 <> 0 AS first FROM events),
+      m AS (SELECT MAX(ts) FILTER (WHERE first) AS w1, MAX(ts) AS w2 FROM e),
+      t AS (SELECT e.*, NOT first AND window_start + INTERVAL 10 MINUTE <= w1 AS late, w2 FROM e, m)
+      SELECT metric_name, window_start, COUNT(*) FILTER (WHERE NOT late) AS n,
+        CAST(SUM(v) FILTER (WHERE NOT late) AS DOUBLE) AS sum_value, COUNT(*) FILTER (WHERE late) AS late
+      FROM t WHERE window_start + INTERVAL 10 MINUTE <= w2 GROUP BY 1, 2 HAVING COUNT(*) FILTER (WHERE NOT late) > 0)"""),
     "stream_log_errors_5m": ERRORS_5M,
     "stream_log_perf_1h": PERF_1H,
     "stream_log_recon_1h": RECON_1H,
@@ -826,3 +835,4 @@ ORACLE: dict[str, str] = {
       'ending_market_value', 'flow', 'beginning_market_value > 0 AND CAST(beginning_market_value AS DOUBLE) + CAST(flow AS DOUBLE) / 2 <> 0')}
       AS DOUBLE) AS twrr FROM records""", "records"),
 }
+ORACLE["stream_alarm_set"] = ORACLE["alarm_set"]

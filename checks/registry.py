@@ -245,6 +245,19 @@ def recon_results(s, d):
     return report.recon_results(reconcile.results(table), table).select(*CHECK_ROW)
 
 
+@query()
+def recon_results_bucketed(s, d):
+    """Checks and rows both written bucketed by their key, joined without a shuffle."""
+    root, table = fresh_dir(s, "bucketed"), stored(s, d)
+    tables = {"rows": mapping.conform(table), "checks": reconcile.results(table)}
+    read = {}
+    for name, df in tables.items():
+        known = f"bucketed_{name}_{root[-8:]}"
+        store.write_bucketed(df, known, f"{root}/{name}", 8)
+        read[name] = store.open_bucketed(s, known, f"{root}/{name}", df.schema, 8)
+    return report.recon_results(read["checks"], read["rows"]).select(*CHECK_ROW)
+
+
 @query()
 def recon_results_filtered(s, d):
     table = stored(s, d)
@@ -795,6 +808,26 @@ def stream_metric_windows(s, d):
                    p.metric_points_of)
 
 
+#: Rows before this moment come first; every 50th of them comes after all others.
+FIRST_HALF = "2024-01-15 00:00:00"
+
+
+@query()
+def stream_closed_windows(s, d):
+    """Windows closed by a watermark without delay, and the rows that came too late for them."""
+    root = fresh_dir(s, "closed")
+    events = p._table(s, d, "events")
+    first = (F.col("ts") < F.lit(FIRST_HALF).cast("timestamp_ntz")) & (F.col("event_id") % 50 != 0)
+    parts = lambda points: monitor.metric_parts(points, 600)
+    for arrival, rows in enumerate((events.where(first), events.where(~first))):
+        rows.write.parquet(f"{root}/events/{arrival}")
+        stream = lambda: p.metric_points_of(s.readStream.schema(events.schema).parquet(f"{root}/events/*"))
+        jobs.log_windows(stream(), parts, f"{root}/all", f"{root}/all-progress")
+        jobs.closed_windows(stream(), parts, "0 seconds", f"{root}/closed", f"{root}/closed-progress")
+    return jobs.late_counts(s, f"{root}/all", f"{root}/closed", ("metric_name",)).select(
+        "metric_name", "window_start", "n", F.col("total").alias("sum_value"), "late")
+
+
 #: The fixed alarms, watching the metrics that the test tables have.
 WATCHED = [(name, ("view", "click", "error", "purchase", "signup")[i % 5], statistic, seconds * 12, periods, operator,
             {"Sum": 60.0, "Average": 50.0}[statistic])
@@ -807,6 +840,17 @@ def alarm_set(s, d):
     return monitor.alarm_states(p.metric_points(s, d), monitor.alarm_table(s, WATCHED))
 
 
+@query()
+def stream_alarm_set(s, d):
+    """The same alarms kept by a stream that gets the samples in no order, two files a batch."""
+    root = fresh_dir(s, "alarms")
+    events = p._table(s, d, "events")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(f"{root}/events")
+    stream = s.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/events")
+    jobs.watch_alarms(p.metric_points_of(stream), monitor.alarm_table(s, WATCHED), f"{root}/watch", f"{root}/progress")
+    return jobs.current_alarms(s, f"{root}/watch")
+
+
 # -- load and store: files are written from the tables, loaded, and the stored tables read back --------------
 
 LOADED = "2001-08-02 00:00:00"

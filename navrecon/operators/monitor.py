@@ -152,20 +152,27 @@ def alarm_table(spark: SparkSession, alarms: list[tuple]) -> DataFrame:
         "alarm string, metric_name string, statistic string, seconds int, periods int, operator string, limit double"))
 
 
-def alarm_states(points: DataFrame, definitions: DataFrame, day: int = 86_400) -> DataFrame:
-    """(alarm, metric_name, window_start, metric_value, breach, state) of every alarm and period that has samples.
+ALARM_KEYS = ("alarm", "metric_name", "statistic", "seconds", "periods", "operator", "limit")
 
-    An alarm is raised when its period and the ones before it, `periods` in all,
-    breach; a period without samples does not. Each definition has its own statistic,
-    period length and comparison. Samples are folded per period first; the runs of
-    breaching periods are found in windows of one alarm and day, to which the last
-    periods of the day before are carried, so no window covers more than that.
-    """
+
+def alarm_parts(points: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Sum and number of the samples of each alarm and period: parts of several batches add up."""
     named = points.join(F.broadcast(definitions), "metric_name")
     at = F.unix_seconds(F.col("ts").cast("timestamp"))
-    keys = ["alarm", "metric_name", "statistic", "seconds", "periods", "operator", "limit"]
-    folded = named.groupBy(*keys, (at - at % F.col("seconds")).alias("_at")).agg(
+    return named.groupBy(*ALARM_KEYS, (at - at % F.col("seconds")).alias("_at")).agg(
         F.sum("value").alias("_sum"), F.count("value").alias("_n"))
+
+
+def merge_alarm_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*ALARM_KEYS, "_at").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
+
+
+def alarm_runs(folded: DataFrame, day: int = 86_400) -> DataFrame:
+    """The state of each folded period: how many breaching periods without a gap end with it.
+
+    Runs are found in windows of one alarm and day, to which the last periods of the day
+    before are carried, so no window covers more than that.
+    """
     value = F.when(F.col("statistic") == "Sum", F.col("_sum").cast("double")).otherwise(
         F.try_divide(F.col("_sum").cast("double"), F.col("_n")))
     breach = F.lit(False)
@@ -186,6 +193,16 @@ def alarm_states(points: DataFrame, definitions: DataFrame, day: int = 86_400) -
         F.when(F.col("breach") & (length >= F.col("periods")), "ALARM").otherwise("OK").alias("state"))
 
 
+def alarm_states(points: DataFrame, definitions: DataFrame, day: int = 86_400) -> DataFrame:
+    """(alarm, metric_name, window_start, metric_value, breach, state) of every alarm and period that has samples.
+
+    An alarm is raised when its period and the ones before it, `periods` in all,
+    breach; a period without samples does not. Each definition has its own statistic,
+    period length and comparison. Samples are folded per period first.
+    """
+    return alarm_runs(alarm_parts(points, definitions), day)
+
+
 def kpi_metrics(performance: DataFrame, routed: DataFrame, log: DataFrame) -> DataFrame:
     """Published metrics in long form, each from one global pass."""
     rows = performance.agg(

@@ -233,6 +233,24 @@ def set_file_status(spark: SparkSession, path: str, file_name: str, vendor: str,
     )
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int = 64) -> None:
+    """df as a table bucketed and sorted by (account_id, as_of_date), one file for each bucket.
+
+    Two such tables with as many buckets join, aggregate and rank by that key without a
+    shuffle. The files lie at path; the name is in the session's catalog.
+    """
+    (df.repartition(buckets, *PERFORMANCE_KEY).write.mode("overwrite").bucketBy(buckets, *PERFORMANCE_KEY)
+     .sortBy(*PERFORMANCE_KEY).option("path", path).saveAsTable(name))
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, schema: T.StructType, buckets: int = 64) -> DataFrame:
+    """A table that write_bucketed wrote, also in a session whose catalog does not know it."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(PERFORMANCE_KEY)}) "
+              f"SORTED BY ({', '.join(PERFORMANCE_KEY)}) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def write_part(df: DataFrame, path: str, part: str) -> None:
     """One load's rows of a growing table (check results, issues, rejected rows, log): a rerun replaces them."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/load_id={part}")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from navrecon.operators import monitor
 from navrecon.operators.monitor import merge_parts
 from navrecon.plans import flows
 from navrecon.sources import files, manifest, mapping, store
@@ -123,3 +124,81 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a folder as a stream."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
+def closed_windows(
+    stream: DataFrame, parts: Callable[[DataFrame], DataFrame], delay: str, target: str, checkpoint: str, ts: str = "ts",
+) -> None:
+    """The windows of `parts` in append mode: each is written once, when the watermark has passed its end.
+
+    The state holds the windows still open. Rows that come later than `delay` behind the
+    latest time seen are not in them; late_counts tells how many there were.
+    """
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    _run(parts(timed), target, checkpoint)
+
+
+def late_counts(spark: SparkSession, all_parts: str, closed: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Closed windows with n, the rows they were closed with, and late, those that came after.
+
+    all_parts are the additive parts that log_windows keeps of the same stream: they hold every row.
+    """
+    def facts(path: str) -> DataFrame:
+        return merge_parts(spark.read.parquet(path).withColumn(
+            "window_start", F.col("window_start").cast("timestamp_ntz")), by)
+
+    whole = facts(all_parts).select(*by, "window_start", F.col("n").alias("_all"))
+    return facts(closed).join(whole, [*by, "window_start"]).withColumn("late", F.col("_all") - F.col("n")).drop("_all")
+
+
+DAY = 86_400
+
+
+def _alarm_schema(definitions: DataFrame, batch: bool) -> T.StructType:
+    kinds = {f.name: f.dataType for f in definitions.schema}
+    fields = [T.StructField(n, kinds[n]) for n in monitor.ALARM_KEYS]
+    fields += [T.StructField("_at", T.LongType()), T.StructField("_sum", T.DecimalType(38, 4)), T.StructField("_n", T.LongType())]
+    return T.StructType([*fields, *([T.StructField("batch", T.LongType())] if batch else []), T.StructField("_day", T.LongType())])
+
+
+def watch_alarms(points: DataFrame, definitions: DataFrame, target: str, checkpoint: str) -> None:
+    """Alarm states kept up to date by a stream of samples, in whatever order they come.
+
+    A batch writes the additive parts of the periods it saw, by day. It then judges again
+    only those periods and the ones they can still change: the next periods - 1 of the
+    alarm. For that it reads the parts of these and of the periods - 1 before, no older
+    history. States go to the batch's own folder; a repeated batch replaces both.
+    """
+    def judge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        held = _alarm_schema(definitions, False)
+        fresh = monitor.alarm_parts(batch, definitions).withColumn("_day", F.floor(F.col("_at") / DAY))
+        fresh.select(*[F.col(f.name).cast(f.dataType) for f in held]).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("_day").parquet(f"{target}/parts/batch={number}")
+        mine = spark.read.schema(held).parquet(f"{target}/parts/batch={number}").select(*monitor.ALARM_KEYS, "_at")
+
+        def around(first: Column, last: Column) -> DataFrame:
+            places = F.sequence(F.col("_at") + first * F.col("seconds"), F.col("_at") + last * F.col("seconds"), F.col("seconds").cast("long"))
+            return mine.select("alarm", "metric_name", F.explode(places).alias("_at")).distinct()
+
+        reach = F.col("periods") - 1
+        needed = around(-reach, reach).withColumn("_day", F.floor(F.col("_at") / DAY))
+        known = spark.read.schema(_alarm_schema(definitions, True)).parquet(f"{target}/parts")
+        # A repeated batch must not see later ones. The days of the needed periods prune the folders that are read.
+        days = [r[0] for r in needed.select("_day").distinct().collect()]
+        parts = known.where((F.col("batch") <= number) & F.col("_day").isin(days)).join(
+            needed.drop("_day"), ["alarm", "metric_name", "_at"], "left_semi")
+        states = monitor.alarm_runs(monitor.merge_alarm_parts(parts), DAY)
+        changed = around(F.lit(0), reach).select("alarm", "metric_name", F.timestamp_seconds("_at").cast("timestamp_ntz").alias("window_start"))
+        states.join(changed, ["alarm", "metric_name", "window_start"], "left_semi").write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{target}/states/batch={number}")
+
+    points.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start().awaitTermination()
+
+
+def current_alarms(spark: SparkSession, target: str) -> DataFrame:
+    """The newest state of every alarm and period."""
+    rows = spark.read.parquet(f"{target}/states")
+    newest = F.max_by(F.struct("metric_value", "breach", "state"), "batch").alias("s")
+    return rows.groupBy("alarm", "metric_name", "window_start").agg(newest).select("alarm", "metric_name", "window_start", "s.*")

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from navrecon.operators import latest, report
+from navrecon.operators import latest, reconcile, report
 from navrecon.plans import carry, flows, summary
 from navrecon.session import fresh_dir
 from navrecon.sources import mapping, projection, store
@@ -190,3 +190,22 @@ def test_summaries_from_parts_equal_full_scans(spark):
         same_rows(summary.file_details(parts, bits).withColumn("avg_twrr", F.round("avg_twrr", 9)),
                   report.file_details(whole).withColumn("avg_twrr", F.round("avg_twrr", 9)))
     assert len({e.summary for e in store.entries(spark, path)}) > 1
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    root = fresh_dir(spark, "bucketed")
+    rows = latest.keep_latest(projection.performance(spark, DATA))
+    read = []
+    for name, df in (("rows", mapping.conform(rows)), ("checks", reconcile.results(rows))):
+        store.write_bucketed(df, f"{name}_{root[-8:]}", f"{root}/{name}", 4)
+        spark.sql(f"DROP TABLE {name}_{root[-8:]}")  # another session: the files stay
+        read.append(store.open_bucketed(spark, f"{name}_{root[-8:]}", f"{root}/{name}", df.schema, 4))
+    joined = report.recon_results(read[1], read[0])
+    # Even where neither side could be broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert joined.count() == reconcile.results(rows).count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
