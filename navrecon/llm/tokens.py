@@ -40,14 +40,18 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        # Texts are data: strings that look like control tokens are ordinary text.
+        # Added tokens are looked for in whole texts, before all else; a word that only looks like one is ordinary.
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = re.compile("|".join(f"({re.escape(a)})" for a in sorted(added, key=len, reverse=True)) or r"(?!)")
+        # No word holds a space, so these keys are free.
+        self.marks = {f" {a}": np.array([i], "<u4").tobytes() for a, i in added.items()}
         self.tokenizer.encode_special_tokens = True
         self.bare = Tokenizer.from_file(path)
         self.bare.encode_special_tokens = True
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = {b: x for b, x in byte_letters().items() if b != 32}  # spaces go on parting words
-        self.cached, self.known = cached, {}
+        self.cached, self.known = cached, dict(self.marks)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -105,8 +109,8 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; None counts as empty."""
         split, plain, other = [], set(), set()
-        for t in texts:
-            t = t or ""
+
+        def words_of(t: str) -> list[str]:
             if NOT_PLAIN.search(t):
                 words = t.replace("\n", " ").split(" ")
                 other.update(words)
@@ -114,10 +118,21 @@ class WordEncoder:
                 # Case does not matter to the ids; lowering here leaves fewer distinct words.
                 words = t.lower().replace("\n", " ").split(" ")
                 plain.update(words)
-            split.append(words)
+            return words
+
+        for t in texts:
+            t = t or ""
+            if "<" not in t or not self.added.search(t):
+                split.append(words_of(t))
+                continue
+            words, at = [], 0
+            for hit in self.added.finditer(t):
+                words += [*words_of(t[at:hit.start()]), " " + hit.group()]
+                at = hit.end()
+            split.append(words + words_of(t[at:]))
         new = plain.difference(self.known)
         if len(self.known) + len(new) + len(other) > self.cached:
-            self.known.clear()
+            self.known = dict(self.marks)
             new = plain
         self._learn_plain(new)
         self._learn_other(other.difference(self.known))

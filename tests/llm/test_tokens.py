@@ -12,13 +12,13 @@ from navrecon.session import fresh_dir
 from tokenizers import Tokenizer
 
 ODD = ["", " ", "\n\n", "it's I'LL we've 'tis o'clock's", "é ́x à́b", "İstanbul ΣΑΣ ß ﬁ K", "a b\tc\r\nd\x0be",
-       "<|endoftext|> <|startoftext|>x", "12345 ½ ② x2y", "日本語 テスト 🙂🙂 ...!!! --", "x" * 5000, "\x00\x01 �", "...)). (a.b,c"]
+       "<|endoftext|> <|startoftext|>x", "a<|endoftext|>b<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> a<|EndOfText|> <|endoftext |>",
+       "é\u0301<|endoftext|>\u0301x  <|startoftext|>  ", "a < b <| <|endoftext|", "12345 ½ ② x2y", "日本語 テスト 🙂🙂 ...!!! --", "x" * 5000, "\x00\x01 �", "...)). (a.b,c"]
 
 
 @pytest.fixture(scope="module")
 def direct():
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     return lambda t: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
 
 
@@ -30,9 +30,10 @@ def test_words_give_the_ids_of_the_text(direct, spark):
         want = [direct(t)[:-4] for t in part]
         assert encoder(WORDS).encode(part) == want and small.encode(part) == want
     rng = random.Random(1)
+    assert list(direct("a <|endoftext|> b")) != list(direct("a <|ENDOFTEXT|> b"))
     letters = "ab 'é́s.\n\t1Σİ"
     for _ in range(300):
-        t = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        t = "".join(rng.choice([*letters, "<|endoftext|>"]) for _ in range(rng.randint(0, 30)))
         assert encoder(WORDS).encode([t]) == [direct(t)[:-4]], repr(t)
 
 
