@@ -23,7 +23,8 @@ KINDS = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     # Shorter runs would be dropped anyway, and a run cannot begin inside another.
     "hex": (r"[0-9a-f]{24,}", 0, 24),
-    "owned": (r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}", 0, 20),
+    # Whole runs; those without a digit are dropped afterwards, as a look ahead from each place would take quadratic time.
+    "owned": (r"[A-Za-z0-9+/_-]{20,}", 0, 20),
 }
 BASE = ("assign", "access", "hex")
 
@@ -53,7 +54,8 @@ def matches(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_co
     return (base.withColumn("m", F.explode_outer(F.concat(*found)))
                 .select("row", "id", "owner", "repo", "m.kind", "m.pos", "m.gap", "m.size",
                         F.md5(F.col("m.value").cast("binary")).alias("value"),
-                        F.char_length("m.value").alias("chars")))
+                        F.when((F.col("m.kind") == list(KINDS).index("owned")) & ~F.col("m.value").rlike("[0-9]"), 0)
+                        .otherwise(F.char_length("m.value")).alias("chars")))
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
