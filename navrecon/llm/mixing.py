@@ -54,13 +54,14 @@ def exponent(stats: DataFrame, target_entropy: float | None, max_passes: float |
         entropy = math.log(row.z) - a * row.t / row.z
         return entropy >= target_entropy * math.log(row.n) - 1e-12
 
+    ends = stats.agg(F.max("share").alias("top"), F.min("share").alias("least")).first()
+    if ends.top is None:
+        return 1.0
+
     def few_passes(a: float) -> bool:
         # Passes of a source against the one with fewest: (s / s_max) ** (a - 1).
-        row = stats.agg(F.max("share").alias("top"), F.min("share").alias("least")).first()
-        return (row.least / row.top) ** (a - 1) <= max_passes + 1e-12
+        return (ends.least / ends.top) ** (a - 1) <= max_passes + 1e-12
 
-    if stats.isEmpty():
-        return 1.0
     a = 1.0 if target_entropy is None else bisect(even_enough, largest=True)
     return a if max_passes is None else max(a, bisect(few_passes, largest=False))
 
@@ -84,7 +85,8 @@ def plan(stats: DataFrame, target_entropy: float | None, max_passes: float | Non
 
 def mix_sources(docs: DataFrame, target_entropy: float | None = 0.95, max_passes: float | None = 4.0,
                 budget: float | None = None, source_col: str = "source", id_col: str = "doc_id",
-                text_col: str = "text", block_tokens: int = 1 << 16, seed: int = 17) -> DataFrame:
+                text_col: str = "text", block_tokens: int = 1 << 16, block_share: float = 0.01,
+                seed: int = 17) -> DataFrame:
     """docs, each row as often as its source's weight asks, with source_weight, mix_copy, mix_block, mix_at.
 
     Tokens of a text are its words plus one. mix_copy counts a row's copies from 0;
@@ -93,7 +95,9 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = 0.95, max_passes
     Without a budget (in tokens), every row occurs at least once. With one, a source
     whose goal is less than its tokens gives only its first blocks: blocks are
     taken as long as fewer than goal tokens came before them, so a goal is
-    exceeded by less than one block. A null source is one source of its own; null or
+    exceeded by less than one block. A block has about block_tokens tokens, at most about
+    the share block_share of its source, so that small sources meet their weights too (one
+    text is never cut, so a block is at least a text). A null source is one source of its own; null or
     empty texts count one token; repeated rows are rows of their own. Columns named
     like the results are replaced. An empty table gives an empty table.
     """
@@ -105,7 +109,8 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = 0.95, max_passes
     keys = ["__none", "__source"]
     sources = plan(staged(work.groupBy(*keys).agg(F.sum("__tokens").alias("tokens")), "source-tokens"),
                    target_entropy, max_passes, budget)
-    sources = staged(sources.withColumn("blocks", F.ceil(F.col("tokens") / block_tokens))
+    sources = staged(sources.withColumn("blocks", F.ceil(F.col("tokens") / F.least(
+        F.lit(float(block_tokens)), F.greatest(F.lit(1.0), F.col("tokens") * block_share))))
                             .withColumn("whole", F.floor(F.col("goal") / F.col("tokens")))
                             .withColumn("part", F.col("goal") % F.col("tokens")), "source-plan")
     # One row for each source: far below the limit of broadcasting unless there are millions; Spark decides by size.

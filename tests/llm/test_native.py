@@ -1,6 +1,7 @@
 """Line dedup, mixing, secrets, ranks: against plain Python."""
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -177,3 +178,31 @@ def test_sha_of_query_equals_text(spark):
         spans = brute_base(r.text)
         assert got[r.doc_id].base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
         assert [got[r.doc_id][f"n_{k}"] for k, *_ in BASE] == [sum(s.startswith(k) for s in spans) for k, *_ in BASE]
+
+
+def test_long_runs_of_letters_take_seconds(spark):
+    import time
+    docs = spark.createDataFrame([(1, "a" * 1_000_000 + " AKIA" + "B" * 30 + " " + "x" * 19 + "7", "s"), (2, "-" * 300_000 + "1", "s")],
+                                 "doc_id long, text string, source string")
+    begun = time.time()
+    rows = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    assert time.time() - begun < 30
+    assert (rows[1].n_owned, rows[1].n_access, rows[2].n_owned) == (1, 1, 1)
+    assert rows[1].secrets[-1].end == 1_000_000 + 1 + 34 + 1 + 20
+
+
+def test_small_sources_meet_their_weights_with_the_default_block(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(["w"] * rng.randint(3, 12)), "big" if i % 10 < 7 else "mid" if i % 10 < 9 else "small") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs, target_entropy=None, max_passes=1.3).collect()
+    tokens = {}
+    for r in mixed:
+        size = len(r.text.split()) + 1
+        got = tokens.setdefault(r.source, [0, r.source_weight])
+        got[0] += size
+    total = sum(t for t, _ in tokens.values())
+    assert set(tokens) == {"big", "mid", "small"}
+    for found, weight in tokens.values():
+        assert abs(found / total - weight) < 0.02 * weight
+    assert {r.doc_id for r in mixed} == set(range(6000))
