@@ -141,9 +141,12 @@ def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> Da
                 keys = pa.array(row["doc_ids"], batch.schema.field("doc_ids").type.value_type)
                 for i in range(0, len(ends), 1024):
                     a, b = starts[i:i + 1024], ends[i:i + 1024]
-                    ids = [data[4 * x:4 * y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+                    # The documents' ids lie one after the other: cut by offsets, without a copy for each.
+                    cuts = (4 * (np.append(a, b[-1]) - a[0])).astype(np.int32)
+                    ids = pa.Array.from_buffers(pa.binary(), len(a), [
+                        None, pa.py_buffer(cuts), pa.py_buffer(data[4 * int(a[0]):4 * int(b[-1])])])
                     yield pa.RecordBatch.from_arrays(
-                        [keys[i:i + 1024], pa.array(a + row["first"]), pa.array(b - a), pa.array(ids, pa.binary())],
+                        [keys[i:i + 1024], pa.array(a + row["first"]), pa.array(b - a), ids],
                         [id_col, "start", "n_tokens", "ids"])
 
     narrow = rows.select("doc_ids", "doc_tokens", "levels", "bitmaps", "first")
