@@ -14,11 +14,19 @@ class and leaves; nobody else does, so a bucket closes only when one class is le
 Members of large buckets of several classes (a passage in common) are dealt anew by
 their rarest shingles: of n shingles, the n - ceil(threshold * n) + 1 first ones in one
 order for all texts. Similar texts have at least one of them in common, so no pair is lost.
+
+From the second round on a member meets a pivot only if their outlines allow it. An outline
+is the parity of the number of shingles in each of OUTLINE bins: two texts differ in at least
+as many shingles as their outlines do in bits, so a pair that differs in more than the
+threshold permits is left out by the join itself, without its shingles. Unlike texts with a
+passage in common thus cost a few machine words a pair and no row. Outlines of texts of
+several thousand shingles are too full to tell; such pairs are aligned as before.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 import zlib
 from bisect import bisect_left
 
@@ -33,8 +41,10 @@ WORDS, SKETCHES, PICKS = 5, 20, 4
 #: Members from which a bucket of several classes counts as large.
 LARGE = 64
 #: Counters of the shingles' frequencies, and pivots of a bucket in the second and later rounds.
-BINS, PIVOTS = 1 << 16, 8
+BINS, PIVOTS = 1 << 20, 8
 GRAMS_AT_ONCE = 1 << 16
+#: Bits of an outline, and bytes of texts or shingles that a Python worker is handed at a time.
+OUTLINE, BATCH_BYTES = 2048, 1 << 24
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -116,6 +126,13 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return found if found >= threshold - 1e-12 else 0.0
 
 
+def leave_room() -> None:
+    """A reused Python worker gives up what other operators keep in it (vocabularies, word scores)."""
+    for name, cache in (("toxicity", "_scorer"), ("tokens", "encoder"), ("language", "_scratch")):
+        if module := sys.modules.get(f"navrecon.llm.{name}"):
+            getattr(module, cache).cache_clear()
+
+
 def text_key():
     """A text's identity: its MD5."""
     return F.unhex(F.md5(F.col("__text").cast("binary")))
@@ -124,6 +141,7 @@ def text_key():
 def sketch_rows(base: DataFrame) -> DataFrame:
     """(__row, __id, text_key, sketch array<long>) of base (__id, __text)."""
     def run(batches):
+        leave_room()
         for batch in batches:
             *keys, texts = batch.columns
             made = pa.array([sketches(shingles(word_hashes(t.as_py()))) for t in texts], pa.list_(pa.int64()))
@@ -146,6 +164,28 @@ def shingle_rows(base: DataFrame, wanted: DataFrame) -> DataFrame:
     return once.join(wanted, "text_key").select("node", "__text").mapInArrow(run, "node long, grams binary")
 
 
+def outline_type() -> pa.DataType:
+    return pa.struct([(f"m{i}", pa.int64()) for i in range(OUTLINE // 64)])
+
+
+def outlines(grams: DataFrame) -> DataFrame:
+    """(node, size, outline) of grams: the number of shingles and, bit by bit, the parity of their number in each bin."""
+    def run(batches):
+        for batch in batches:
+            held = [np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column(1)]
+            bits = np.zeros((len(held), OUTLINE), np.uint8)
+            for i, g in enumerate(held):
+                bits[i] = np.bincount((mixed(g) % np.uint64(OUTLINE)).astype(np.int64), minlength=OUTLINE) & 1
+            words = np.packbits(bits, axis=1).view(np.int64)
+            outline = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(words[:, i])) for i in range(words.shape[1])],
+                                                 fields=list(outline_type()))
+            size = pa.array([len(g) for g in held], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), size, outline], ["node", "size", "outline"])
+
+    fields = ",".join(f"m{i}:bigint" for i in range(OUTLINE // 64))
+    return grams.select("node", "grams").mapInArrow(run, f"node long, size long, outline struct<{fields}>")
+
+
 def verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     def run(batches):
@@ -211,10 +251,19 @@ def central(members: DataFrame, number: int, minor_first: bool = False) -> DataF
         "key", F.col("node").alias("pivot"), F.col("class").alias("pivot_class"), F.col("size").alias("pivot_size")))
 
 
-def pairs_of(members: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
-    """Each member beside the pivots of its bucket that are of another class and not too short or long for it."""
+def pairs_of(members: DataFrame, pivots: DataFrame, threshold: float, known: DataFrame | None = None) -> DataFrame:
+    """Each member beside the pivots of its bucket that are of another class and not too short or long for it;
+    with known outlines (node, outline), only where these do not differ in too many bits."""
     fits = F.least("size", "pivot_size") >= F.greatest("size", "pivot_size") * F.lit(threshold) - F.lit(1e-6)
-    return (members.join(pivots, "key").where("class <> pivot_class").where(fits)
+    if known is not None:
+        members = members.select("key", "node", "class", "size").join(known, "node")
+        pivots = pivots.join(known.select(F.col("node").alias("pivot"), F.col("outline").alias("pivot_outline")), "pivot")
+        unlike = sum((F.bit_count(F.col("outline")[f"m{i}"].bitwiseXOR(F.col("pivot_outline")[f"m{i}"]))
+                      for i in range(OUTLINE // 64)), F.lit(0))
+        # Of both texts' shingles, 2 * threshold / (1 + threshold) are aligned at least; the rest may differ.
+        fits &= unlike <= (F.col("size") + F.col("pivot_size")) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
+    other = F.col("class") != F.col("pivot_class")
+    return (members.join(pivots, (members["key"] == pivots["key"]) & other & fits)
                    .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
 
@@ -231,7 +280,8 @@ def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
     Texts of similarity threshold share at least threshold * n of either's n shingles.
     So the first one that they share, in any order that is the same for all, is among
     the first n - ceil(threshold * n) + 1 of both. Rare ones come first, a passage in
-    common last; frequencies are counted in BINS counters, which only shape the order.
+    common last; frequencies are counted in BINS counters, which only shape the order. What is alone
+    in its counter is in no other of these texts and makes no row.
     """
     texts = staged(members.join(grams, "node"), "large-members")
 
@@ -251,7 +301,9 @@ def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
             for i, data in enumerate(batch.column(4)):
                 held = np.frombuffer(data.as_buffer(), np.uint64)
                 first = len(held) - math.ceil(threshold * len(held) - 1e-6) + 1
-                keys.append(held[np.lexsort((held, often[held % np.uint64(BINS)]))[:first]].view(np.int64))
+                n = often[held % np.uint64(BINS)]
+                chosen = np.lexsort((held, n))[:first]
+                keys.append(held[chosen[n[chosen] > 1]].view(np.int64))
                 at.append(np.full(len(keys[-1]), i))
             rows = batch.select([0, 1, 2, 3]).take(pa.array(np.concatenate(at)))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *rows.columns], ["key", *rows.schema.names])
@@ -267,7 +319,9 @@ def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
     members = staged(keyed.join(several, "key"), "buckets")
     reach = staged(members.groupBy("node").agg(F.sum("n").alias("reach")), "reach")
     grams = staged(grams_of(reach.select("node")), "candidate-shingles")
-    sizes = staged(reach.join(grams.select("node", F.expr("octet_length(grams) div 8").alias("size")), "node"), "sizes")
+    drawn = staged(outlines(grams), "outlines")
+    sizes = staged(reach.join(drawn.select("node", "size"), "node"), "sizes")
+    known = drawn.select("node", "outline")
     rest = staged(members.join(sizes, "node").select("key", "node", "reach", "size"), "bucket-members")
     turn, found = 0, None
     while True:
@@ -288,7 +342,7 @@ def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
         # More pivots a round where many classes stay apart, so that rounds do not grow with a bucket.
         width = 1 if turn == 0 else PIVOTS << max(0, turn - 3)
         pivots = staged(central(open_, width, turn > 1), "pivots")
-        links = staged(verified(pairs_of(open_, pivots, threshold), grams, threshold), "links")
+        links = staged(verified(pairs_of(open_, pivots, threshold, known if turn else None), grams, threshold), "links")
         found = merged(reach.select("node", F.col("node").alias("component")) if found is None else found, links)
         rest = open_.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
         rest, turn = staged(rest.select("key", "node", "reach", "size"), "bucket-members"), turn + 1
@@ -297,6 +351,7 @@ def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
 def grouped(base: DataFrame, threshold: float) -> DataFrame:
     """(__row, __id, text_key, class_id, class_size, kept) for each row of base (__id, __text)."""
     importable(base.sparkSession)
+    base.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = staged(sketch_rows(base), "sketches")
     # Texts are numbered, so that all that follows moves short rows.
     numbered = staged(rows.groupBy("text_key").agg(F.first("sketch").alias("sketch"))
