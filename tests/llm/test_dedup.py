@@ -182,3 +182,29 @@ def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (7, 8), (7, 7)]
     found = near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r.node, r.component) for r in found} == {(2, 1), (3, 1), (4, 1), (5, 1), (8, 7), (9, 7)}
+
+
+def test_outlines_exclude_no_similar_pair(spark):
+    """Bits that differ never outnumber shingles that differ; most pairs far below the threshold are told apart."""
+    rng = random.Random(3)
+    words = ["o%d" % i for i in range(300)]
+    texts = [" ".join(varied(rng, words, k % 12)) for k in range(40)] + ["", "one", " ".join(["again"] * 90)]
+    grams = [near_dedup.shingles(near_dedup.word_hashes(t)) for t in texts]
+    df = spark.createDataFrame([(i, g.tobytes()) for i, g in enumerate(grams)], "node long, grams binary")
+    told = {r.node: r for r in near_dedup.outlines(df).collect()}
+    assert [told[i].size for i in range(len(grams))] == [len(g) for g in grams]
+    for a in range(len(grams)):
+        for b in range(a):
+            bits = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(told[a].outline, told[b].outline))
+            unlike = len(np.setxor1d(grams[a], grams[b]))
+            assert bits <= unlike and (bits - unlike) % 2 == 0
+            if unlike <= 200:
+                assert bits >= 0.8 * unlike
+
+
+def test_recall_on_documents(spark):
+    """Every pair of similar documents of the small table ends in one class, and no class is larger than what such pairs link."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    found = by_class((r.class_id, r.doc_id) for r in near_dedup.near_groups(docs).collect())
+    assert found == brute_near([r for r in rows if r[1].split()]) | by_class((0, i) for i, t in rows if not t.split())
