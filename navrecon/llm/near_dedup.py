@@ -375,7 +375,9 @@ def near_groups(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     where there is no other), kept marks the one row that stays. Words are split at
     white space and lower-cased. Texts of fewer than five words are one shingle: only
     equal words make them similar. Equal texts, empty and null ones too, are one
-    class. Repeated rows are rows of their own. Other columns are ignored.
+    class. Repeated rows are rows of their own. Other columns are ignored. Sets the session's
+    spark.sql.execution.arrow.maxBytesPerBatch to BATCH_BYTES, so that long texts reach
+    Python workers a few at a time.
     """
     base = docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text"))
     return grouped(base, threshold).select(F.col("__id").alias(id_col), "class_id", "class_size", "kept")
