@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import unicodedata
 from functools import lru_cache
 
@@ -11,12 +12,16 @@ import numpy as np
 
 #: Every document ends with this id.
 END = 1
+#: The word that stands for this id behind a document.
+STOP = "end of document"
 #: Words that a worker keeps; beyond, it starts anew. About 100 MB.
 CACHED = 450_000
 #: Words that are encoded by one call.
 CALL = 2000
 #: Anything but characters that are in normal form C and have a simple lower case.
 NOT_PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
+#: What may end a word as one piece of its own; an apostrophe may begin a piece with letters.
+TAIL = string.punctuation.replace("'", "")
 
 
 def byte_letters() -> dict[int, int]:
@@ -31,8 +36,8 @@ class WordEncoder:
 
     The tokenizer splits at white space before anything else, so a text's ids are
     those of its words in a row. Words new to the cache are encoded many at a time
-    and told apart by their offsets. Words of plain letters, perhaps with points or
-    commas behind, go to the model without its normaliser, which would change nothing
+    and told apart by their offsets. Words of plain letters, perhaps with
+    punctuation behind, go to the model without its normaliser, which would change nothing
     in them; a word that is not in normal form C, whose offsets may move, is encoded by itself.
     """
 
@@ -44,7 +49,7 @@ class WordEncoder:
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added = re.compile("|".join(f"({re.escape(a)})" for a in sorted(added, key=len, reverse=True)) or r"(?!)")
         # No word holds a space, so these keys are free.
-        self.marks = {f" {a}": np.array([i], "<u4").tobytes() for a, i in added.items()}
+        self.marks = {f" {a}": np.array([i], "<u4").tobytes() for a, i in [*added.items(), (STOP, END)]}
         self.tokenizer.encode_special_tokens = True
         self.bare = Tokenizer.from_file(path)
         self.bare.encode_special_tokens = True
@@ -80,12 +85,12 @@ class WordEncoder:
             self._keep(part, encoding.ids, np.searchsorted(numbers, np.arange(len(part) + 1)))
 
     def _learn_plain(self, words: set[str]) -> None:
-        """Words of texts in plain lower-case characters: most are letters, perhaps with points or commas behind."""
+        """Words of texts in plain lower-case characters: most are letters, perhaps with punctuation behind."""
         letters, ended, whole = [], [], []
         for w in words:
             if w.isalpha():
                 letters.append(w)
-            elif (core := w.rstrip(".,")).isalpha():
+            elif (core := w.rstrip(TAIL)).isalpha():
                 ended.append((w, core, w[len(core):]))
             else:
                 whole.append(w)
@@ -106,8 +111,8 @@ class WordEncoder:
                 self.known[w] = self._ids(w).tobytes()
         self._learn_whole(normal)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; None counts as empty."""
+    def encode(self, texts: list[str], ended: bool = False) -> list[bytes]:
+        """Ids of each text, with the end id if ended; None counts as empty."""
         split, plain, other = [], set(), set()
 
         def words_of(t: str) -> list[str]:
@@ -130,6 +135,9 @@ class WordEncoder:
                 words += [*words_of(t[at:hit.start()]), " " + hit.group()]
                 at = hit.end()
             split.append(words + words_of(t[at:]))
+        if ended:
+            for words in split:
+                words.append(f" {STOP}")
         new = plain.difference(self.known)
         if len(self.known) + len(new) + len(other) > self.cached:
             self.known = dict(self.marks)
@@ -148,7 +156,6 @@ def encoder(path: str) -> WordEncoder:
 
 def encode_all(path: str, texts, step: int = 128):
     """The ids of each text with the end id, a few texts at a time."""
-    end, own = np.array([END], "<u4").tobytes(), encoder(path)
+    own = encoder(path)
     for i in range(0, len(texts), step):
-        for ids in own.encode(texts[i:i + step].to_pylist()):
-            yield ids + end
+        yield from own.encode(texts[i:i + step].to_pylist(), ended=True)
