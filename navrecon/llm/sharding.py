@@ -1,12 +1,14 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked through their text. They start as runs: groups
-larger than a shard fill whole shards, and what is left of them goes where it has room;
-other groups lie one after the other in the shards' remaining room, so that only those
-over a border are cut; unlinked documents are dealt to all shards. Each round, a linked
-document wants to go to the shard where most of its text's copies are. Quotas hold
-the numbers of rows: wishes between shards cancel out, and what is left over is
-paid back with unlinked documents, so that row counts never differ by more than one.
+Documents with equal texts are linked through their text. All are dealt to the shards
+by a hash of the row, whatever their links; only groups larger than a shard, which no move can
+bring together, fill whole shards, and what is left of them goes where it has room.
+Each round, a linked document wants to go to the shard where most of its text's copies
+are. Quotas hold the numbers of rows: wishes between shards cancel out, and what is left
+over is paid back with unlinked documents, so that row counts never differ by more than
+one. When a round has little left to move, the quotas being what keeps groups apart,
+the groups that are still cut are laid one after the other into the places that they
+and the unlinked documents hold, so that only those over a border stay cut.
 Rounds are joins and folded counts over a narrow table of (row, link, shard); only
 the numbers of wishes between shards, shards squared, reach the driver.
 """
@@ -94,12 +96,12 @@ def reserved(sizes: list[int], groups: list[int]) -> tuple[list[tuple[int, int,
     return bounds, room
 
 
-def shares(room: list[int], number: int) -> list[int]:
-    """number rows dealt to the shards in proportion to their room."""
-    total, at, out = max(1, sum(room)), 0, []
-    for r in room:
-        out.append(number * (at + r) // total - number * at // total)
-        at += r
+def filled(room: list[int], number: int) -> list[int]:
+    """number rows put into the largest rooms first, so that they lie in as few shards as can be."""
+    out = [0] * len(room)
+    for s in sorted(range(len(room)), key=lambda s: -room[s]):
+        out[s] = min(room[s], number)
+        number -= out[s]
     return out
 
 
@@ -113,33 +115,61 @@ FREE, SMALL = -2, -1
 
 
 def started(base: DataFrame, shards: int) -> DataFrame:
-    """(__row, link or null, part, shard) of base (__row, __text): part is FREE, SMALL or the number of a large group."""
+    """(__row, link or null, part, shard) of base (__row, __text): part is FREE, SMALL or the number of a large group.
+
+    Rows that are FREE or SMALL are dealt by a hash, in the numbers that the large groups leave.
+    """
     groups = staged(base.groupBy("__text").agg(F.count("*").alias("n")).where("n > 1").withColumnRenamed("__text", "link"), "links")
-    total, linked = base.count(), groups.agg(F.sum("n").alias("n")).first().n or 0
+    total = base.count()
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
     # Fewer than there are shards.
     large = groups.where(F.col("n") > max(sizes)).orderBy(F.desc("n"), "link").collect()
     bounds, room = reserved(sizes, [r.n for r in large])
-    small = shares(room, linked - sum(r.n for r in large))
-    bounds += in_row(small, SMALL) + in_row([r - n for r, n in zip(room, small, strict=True)], FREE)
     part = F.when(F.col("link").isNull(), FREE)
     for g, r in enumerate(large):
         part = part.when(F.col("link") == F.lit(bytes(r.link)), g)
     rows = staged(base.select("__row", "__text").join(groups.select("link", F.col("link").alias("__text")), "__text", "left")
-                      .select("__row", "link", part.otherwise(SMALL).alias("part")), "linked-rows")
-    first = staged(running(groups.where(F.col("n") <= max(sizes)), [], ["link"], "first", F.col("n")).select("link", "first"), "first-ranks")
-    inner = staged(running(rows.where(F.col("part") == SMALL), ["link"], ["__row"], "inner"), "inner-ranks")
-    runs = inner.join(first, "link").withColumn("rank", F.col("first") + F.col("inner"))
-    others = running(rows.where(F.col("part") != SMALL), ["part"], ["__row"], "rank")
-    columns = ["__row", "link", "part", chosen(["part"], bounds).alias("shard")]
-    return runs.select(*columns).unionByName(others.select(*columns))
+                      .select("__row", "link", part.otherwise(SMALL).alias("part"))
+                      .withColumn("pool", F.greatest("part", F.lit(SMALL))), "linked-rows")
+    ranked = running(rows, ["pool"], ["__row"], "rank")
+    return ranked.select("__row", "link", "part", chosen(["pool"], bounds + in_row(room, SMALL)).alias("shard"))
+
 
+def laid(state: DataFrame, shards: int) -> DataFrame:
+    """state (__row, link or null, shard) with the groups that are still cut laid in runs, if that lessens the cut.
 
-def propagate(state: DataFrame, shards: int, rounds: int | None = None) -> DataFrame:
+    Rows of cut groups and unlinked rows change places among themselves; whole groups
+    and counts by shard stay.
+    """
+    votes = state.where("link is not null").groupBy("link", "shard").agg(F.count("*").alias("n"))
+    cut = staged(votes.groupBy("link").agg(F.sum("n").alias("n"), F.count("*").alias("shards")).where("shards > 1")
+                      .select("link", "n"), "cut-groups")
+    if cut.isEmpty():
+        return state
+    first = staged(running(cut, [], ["link"], "first", F.col("n")).select("link", "first"), "first-ranks")
+    told = staged(state.join(first, "link", "left"), "told-rows")
+    counts = (told.where("first is not null or link is null").groupBy("shard", F.col("link").isNull().alias("free"))
+                  .agg(F.count("*").alias("n")).collect())
+    room = [sum(r.n for r in counts if r.shard == s) for s in range(shards)]
+    runs = filled(room, sum(r.n for r in counts if not r.free))
+    bounds = in_row(runs, SMALL) + in_row([r - n for r, n in zip(room, runs, strict=True)], FREE)
+    inner = running(staged(told.where("first is not null"), "cut-rows"), ["link"], ["__row"], "inner").select(
+        "__row", "link", F.lit(SMALL).alias("part"), (F.col("first") + F.col("inner")).alias("rank"))
+    free = running(told.where("link is null").withColumn("part", F.lit(FREE)), ["part"], ["__row"], "rank").select(
+        "__row", "link", "part", "rank")
+    after = staged(inner.unionByName(free).select("__row", "link", chosen(["part"], bounds).alias("shard"))
+                        .unionByName(told.where("link is not null and first is null").select("__row", "link", "shard")), "laid")
+    return after if cut_rows(after) < cut_rows(state) else state
+
+
+def propagate(state: DataFrame, shards: int, rounds: int | None = None, least: float = 0.001,
+              trace: list[int] | None = None) -> DataFrame:
     """state (__row, link or null, shard) with shards moved; counts by shard stay as they are.
 
     A row moves only to where most of its group is, so that the rows at their
-    group's shard grow with every round: without rounds it ends when no move is left.
+    group's shard grow with every round: without rounds it ends when no more than the
+    share least of the linked rows may move. trace gets, for each round and the end, the
+    number of linked rows that are not at their group's shard (the cut).
     """
     for number in count() if rounds is None else range(rounds):
         votes = state.where("link is not null").groupBy("link", "shard").agg(F.count("*").alias("n"))
@@ -154,8 +184,10 @@ def propagate(state: DataFrame, shards: int, rounds: int | None = None) -> DataF
                        .agg(F.count("*").alias("n")).collect())
         wishes = matrix([(r.shard, r.wanted, r.n) for r in counts if r.wanted is not None], shards)
         free = [sum(r.n for r in counts if r.free and r.shard == s) for s in range(shards)]
+        if trace is not None:
+            trace.append(sum(map(sum, wishes)))
         allowed, back = quotas(wishes, free)
-        if not any(map(any, allowed)):
+        if sum(map(sum, allowed)) <= least * sum(r.n for r in counts if not r.free):
             break
         movers = asked.where("wanted is not null")
         movers = (running(movers, ["shard", "wanted"], ["__row"], "rank").withColumn("to", chosen(
@@ -175,7 +207,7 @@ def propagate(state: DataFrame, shards: int, rounds: int | None = None) -> DataF
 
 
 def assign_shards(docs: DataFrame, shards: int = 8, rounds: int | None = None, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", trace: list[int] | None = None) -> DataFrame:
     """One row for each row of docs: id_col, size, text_crc32, linked, shard, slot (gapless in the shard).
 
     size is the text's bytes in UTF-8 plus 1; a null text has none and counts as an
@@ -189,7 +221,10 @@ def assign_shards(docs: DataFrame, shards: int = 8, rounds: int | None = None, i
         F.col(f"`{id_col}`").alias("__id"), (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("__text")), "sizes")
     start = staged(started(base, shards), "shards")
-    moved = propagate(start.where(F.col("part") < 0).select("__row", "link", "shard"), shards, rounds)
+    moved = propagate(start.where(F.col("part") < 0).select("__row", "link", "shard"), shards, rounds, trace=trace)
+    moved = laid(moved, shards)
+    if trace is not None:
+        trace.append(cut_rows(moved))
     state = staged(moved.unionByName(start.where(F.col("part") >= 0).select("__row", "link", "shard")), "placed")
     placed = running(state, ["shard"], ["__row"], "slot")
     return base.join(placed, "__row").select(
@@ -203,6 +238,12 @@ def cut_share(shards: DataFrame, group: str = "text_crc32") -> DataFrame:
     return best.agg(F.sum("n").alias("linked"), F.sum("most").alias("together"))
 
 
+def cut_rows(state: DataFrame) -> int:
+    """Linked rows of state (link or null, shard) that are not in the shard that holds most of their group."""
+    facts = cut_share(state.select("link", "shard", F.col("link").isNotNull().alias("linked")), "link").first()
+    return (facts.linked or 0) - (facts.together or 0)
+
+
 def shard_rows(placed: DataFrame) -> DataFrame:
     """Rows and bytes by shard."""
     w = Window.partitionBy("shard")

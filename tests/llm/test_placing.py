@@ -46,9 +46,13 @@ def test_links_end_up_together(spark):
         docs += [(10_000 + 100 * g + k, "copied text %d" % g) for k in range(rng.randint(2, 12))]
     docs += [(90_000 + k, "the one hot text") for k in range(900)]
     rng.shuffle(docs)
-    placed = sharding.assign_shards(spark.createDataFrame(docs, "doc_id long, text string"), 8)
+    trace = []
+    placed = sharding.assign_shards(spark.createDataFrame(docs, "doc_id long, text string"), 8, trace=trace)
     rows = placed.collect()
     check_shards(rows, docs, 8)
+    # The cut falls with every round, and the rounds make most of its fall, not the start or the end.
+    assert all(a > b for a, b in zip(trace[:-1], trace[1:-1])) and trace[-1] <= trace[-2]
+    assert trace[0] - trace[-2] > 0.9 * (trace[0] - trace[-1]) and trace[0] > 500
     small = defaultdict(Counter)
     for r in rows:
         if r.linked and r.doc_id < 90_000:
@@ -64,7 +68,7 @@ def test_reserved_shards():
     bounds, room = sharding.reserved([10, 10, 10, 10, 10, 9], [26, 13])
     assert sum(room) == 59 - 39 and min(room) >= 0
     assert Counter(g for g, *_ in bounds) == {0: 3, 1: 2}
-    assert sharding.shares([0, 5, 5], 7) == [0, 3, 4] and sharding.shares([0, 0], 0) == [0, 0]
+    assert sharding.filled([3, 5, 4], 7) == [0, 5, 2] and sharding.filled([0, 0], 0) == [0, 0]
 
 
 def test_hot_groups_fill_whole_shards(spark):
