@@ -34,6 +34,8 @@ SEGMENT = 128
 CHAINS = 2048
 #: Words whose emission a worker keeps; beyond, it starts anew.
 CACHED = 400_000
+#: Code points that are scored at a time, unless one text alone is longer.
+CHARS_AT_ONCE = 1 << 21
 #: A feature's tie to toxic documents counts from here (chi square of one degree of freedom).
 TIED = 16.0
 #: And so many times as often must toxic documents hold it.
@@ -311,6 +313,20 @@ def _scorer(blob: bytes) -> Scorer:
     return Scorer(pickle.loads(blob))
 
 
+def portions(texts: pa.Array, most: int = 512, chars: int = CHARS_AT_ONCE):
+    """The texts in order, at most `most` at a time, and together of about chars code points unless one alone is longer."""
+    part, held = [], 0
+    for t in texts:
+        t = t.as_py()
+        if part and (len(part) == most or held + len(t) > chars):
+            yield part
+            part, held = [], 0
+        part.append(t)
+        held += len(t)
+    if part:
+        yield part
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           sample: int = 1000, max_chars: int = 50_000) -> dict | None:
     """The model from labelled documents that are not held out.
@@ -361,8 +377,8 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     @F.arrow_udf("struct<score:double,spans:array<struct<start:int,end:int>>>")
     def judged(texts: pa.Array) -> pa.Array:
         own, scores, spans = _scorer(blob), [], []
-        for i in range(0, len(texts), 512):
-            s, found = own(texts[i:i + 512].to_pylist())
+        for part in portions(texts):
+            s, found = own(part)
             scores += s.tolist()
             spans += [[{"start": a, "end": b} for a, b in f] for f in found]
         return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(spans, kind)], ["score", "spans"])
