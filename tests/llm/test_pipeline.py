@@ -45,6 +45,27 @@ def test_stages(spark):
     assert sum(r.length for r in pieces if r.start == 0) <= sum(r.length for r in pieces)
 
 
+def test_run_on_odd_tables(spark, messy, clashing, empty, tmp_path):
+    """Nulls, long and empty texts, repeated rows, columns named like results, and no rows at all."""
+    labels = spark.createDataFrame([(1, 0), (5, 0), (None, 1), (100, None)], "doc_id long, toxic int")
+    columns = [c for c in clashing.columns if not c.startswith("__")]
+    found = []
+    for name, docs, told in (("messy", messy, labels), ("clashing", clashing.select(columns), labels),
+                             ("empty", empty, labels.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        told.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        found.append(corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect())
+    assert not found[2] and found[0]
+    # Ids 8 to 10 are one text, 1 to 3 and a null id are empty; one row of each stays.
+    ids = [{r.doc_id for r in rows} for rows in found[:2]]
+    assert ids[0] == ids[1] and {4, 7, 100} <= ids[0]
+    assert len(ids[0] & {8, 9, 10}) == 1 and len(ids[0] & {1, 2, 3}) == 1
+    for rows in found[:2]:
+        assert {r.offset for r in rows if r.sequence_id == 0} and max(r.offset + r.length for r in rows) <= 2048
+        ends = {(r.doc_id, r.start + r.length) for r in rows}
+        assert all((r.doc_id, r.doc_tokens) in ends for r in rows)
+
+
 def test_nothing_else_imports_the_subpackage():
     for path in [*ROOT.glob("navrecon/**/*.py"), *ROOT.glob("checks/*.py"), *ROOT.glob("tests/*.py"), ROOT / "bench.py"]:
         if "llm" not in path.parts:
