@@ -5,8 +5,9 @@ of four symbols is a number of 24 bits. All texts of the languages learned are c
 on Spark; lower orders count the distinct symbols that stand before a sequence. Each
 language's model is a few sorted arrays: sequences with their interpolated
 probability, contexts with their back-off weight. A text gets the language with the
-least cross-entropy for each symbol. A part of the learning texts is held back from a
-first model to calibrate the score and the entropy above which a text is rejected.
+least cross-entropy for each symbol. The learning texts are two halves; each is scored by a
+model of the other, and these scores of all of them, gathered on Spark, calibrate the score
+and the entropy above which a text is rejected.
 
 A language has at most 64 + 64^2 + 64^3 + 64^4 sequences and 64^3 + 64^2 + 65 contexts of
 8 bytes each (138 MB; natural languages fill about one in a hundred): this bounds what
@@ -15,6 +16,7 @@ is collected and sent to the tasks, whatever the size of the corpus.
 
 from __future__ import annotations
 
+import math
 import pickle
 from functools import lru_cache
 
@@ -252,60 +254,107 @@ def judge(texts: list[str | None], model: dict) -> tuple[list[str], list[float],
             ((size == 0) | ((entropy[own, best] - mean) * np.sqrt(size) > limit)).tolist())
 
 
-def calibrated(names: list[str], true: list[str], size: np.ndarray, entropy: np.ndarray, spare: float) -> tuple[float, dict]:
-    """(sharpness of the score, mean entropy and limit of each language) from texts that the model has not seen.
+# ---- calibration, on Spark -------------------------------------------------
 
-    The sharpness is the one of a fixed series with the greatest likelihood. The excess
-    over the mean entropy, times the root of a text's symbols, lies below the limit for
-    all but a share `spare` of a language's texts (without texts there is no limit).
+#: Sharpnesses that are tried; losses are added up as whole numbers of 1 / FINE, excesses counted as ones of 1 / UNIT.
+SHARP, FINE, UNIT = [2.0 ** (k / 2) for k in range(-12, 13)], 1 << 40, 1 << 20
+#: Bits by which each pass over the excesses narrows a limit down, beginning with the leading ones.
+STEPS = (40, 30, 20, 10, 0)
+
+
+def seen_apart(rows: DataFrame, arrays: dict[str, dict]) -> DataFrame:
+    """(lang, size, entropy, losses) of rows (lang, text) by a model that has not seen them.
+
+    There is a row for each text with letters whose language the model has: its symbols and their entropy
+    in that language. losses, minus the logarithm of that language's chance for each of SHARP,
+    are added up for a batch, whose last row has them.
+    """
+    names, blob = sorted(arrays), pickle.dumps([arrays[n] for n in sorted(arrays)])
+
+    def scored(batches):
+        place = {n: k for k, n in enumerate(names)}
+        for batch in batches:
+            langs = batch.column("lang").to_pylist()
+            size, entropy = entropies(batch.column("text").to_pylist(), _unpacked(blob))
+            known = np.array([i for i, n in enumerate(langs) if n in place and size[i] > 0], int)
+            if not len(known):
+                continue
+            own, size, entropy = np.array([place[langs[i]] for i in known]), size[known], entropy[known]
+            at = np.arange(len(known))
+            sums = [int(np.rint(-np.log(np.maximum(chances(size, entropy, s)[at, own], 1e-12)) * FINE).sum()) for s in SHARP]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([langs[i] for i in known], pa.string()), pa.array(size, pa.int64()), pa.array(entropy[at, own]),
+                 pa.array([None] * (len(known) - 1) + [sums], pa.list_(pa.int64()))], ["lang", "size", "entropy", "losses"])
+
+    return rows.select("lang", "text").mapInArrow(scored, "lang string, size long, entropy double, losses array<long>")
+
+
+def limits_of(told: DataFrame, ranks: dict[str, int]) -> dict[str, int]:
+    """For each language the value of its rank, from 0, among the values of told (lang, x): exact, for any number of values.
+
+    Each pass counts the values of the range that the one before has left, by their next
+    bits: at most 2,048 counts for each language and pass, whatever the number of texts.
     """
-    place = {n: k for k, n in enumerate(names)}
-    known = [i for i, t in enumerate(true) if t in place and size[i] > 0]
-    own = np.array([place[true[i]] for i in known], int)
-    size, entropy = size[known], entropy[known]
-    sharp = 1.0
-    if len(known):
-        series = [2.0 ** (k / 2) for k in range(-12, 13)]
-        sharp = min(series, key=lambda s: -np.log(np.maximum(
-            chances(size, entropy, s)[np.arange(len(own)), own], 1e-12)).mean())
-    limits = {}
-    for name, k in place.items():
-        values, sizes = (entropy[own == k, k], size[own == k]) if len(known) else (np.empty(0), np.empty(0))
-        mean = float(np.average(values, weights=sizes)) if len(values) else 0.0
-        limits[name] = (mean, float(np.quantile((values - mean) * np.sqrt(sizes), 1 - spare)) if len(values) else float("inf"))
-    return sharp, limits
+    spark, left = told.sparkSession, dict(ranks)
+    bound, before = {n: 0 for n in ranks}, None
+    for bits in STEPS:
+        rows = told
+        if before is not None:
+            now = spark.createDataFrame(list(bound.items()), "lang string, range long")
+            rows = told.join(F.broadcast(now), "lang").where(F.shiftright("x", before) == F.col("range"))
+        counts = rows.groupBy("lang", F.shiftright("x", bits).alias("range")).agg(F.count("*").alias("n")).collect()
+        for lang in ranks:
+            for r in sorted((r for r in counts if r.lang == lang), key=lambda r: r.range):
+                bound[lang] = r.range
+                if left[lang] < r.n:
+                    break
+                left[lang] -= r.n
+        before = bits
+    return bound
+
+
+def calibrated(told: DataFrame, spare: float) -> tuple[float, dict]:
+    """(sharpness of the score, mean entropy and limit of each language) from told (lang, size, entropy, losses).
+
+    The sharpness is the one of SHARP with the greatest likelihood over all texts. The excess over
+    the mean entropy, times the root of a text's symbols, lies at or below the limit for all but
+    a share `spare` of a language's texts.
+    """
+    losses = told.select(*[F.sum(F.col("losses")[k].cast("decimal(28,0)")).alias(f"s{k}") for k in range(len(SHARP))]).first()
+    if losses[0] is None:
+        return 1.0, {}
+    sharp = SHARP[min(range(len(SHARP)), key=lambda k: losses[k])]
+    total = F.sum((F.col("entropy") * F.col("size")).cast("decimal(28,9)"))
+    facts = {r.lang: r for r in told.groupBy("lang").agg(
+        total.alias("total"), F.sum("size").alias("size"), F.count("*").alias("n")).collect()}
+    means = {n: float(r.total) / r["size"] for n, r in facts.items()}
+    mean = told.sparkSession.createDataFrame(list(means.items()), "lang string, mean double")
+    excess = (F.col("entropy") - F.col("mean")) * F.sqrt("size") * F.lit(UNIT)
+    excesses = staged(told.join(F.broadcast(mean), "lang").select("lang", F.ceil(excess).alias("x")), "excesses")
+    found = limits_of(excesses, {n: max(0, math.ceil(r.n * (1 - spare)) - 1) for n, r in facts.items()})
+    return sharp, {n: (means[n], x / UNIT) for n, x in found.items()}
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample: int = 20_000, spare: float = 0.01) -> dict:
+          spare: float = 0.01) -> dict:
     """The models of all languages of the rows for which learn is true and that have a language and an id.
 
-    All these texts are counted. For calibration a first model leaves out a fifth of
-    them, by a hash of the id; of that fifth about `sample` texts (twice as many at most),
-    by another hash of the id, are scored by it. Null texts and texts without letters teach nothing.
+    All these texts are counted, and all of them calibrate: they are halved by a hash of the id,
+    and each half is scored by a model of the other. A language whose texts are all in one half
+    has no limit. Null texts and texts without letters teach nothing.
     """
     held = F.col(f"`{id_col}`").cast("string")
-    fit = F.xxhash64(held, F.lit(12)) % 5 != 0
     rows = docs.where(learn & F.col(f"`{lang_col}`").isNotNull() & held.isNotNull()).select(
-        F.col(f"`{lang_col}`").cast("string").alias("lang"), fit.alias("fit"), F.xxhash64(held, F.lit(13)).alias("order"),
+        F.col(f"`{lang_col}`").cast("string").alias("lang"), (F.xxhash64(held, F.lit(12)) % 2 == 0).alias("fit"),
         text_of(text_col).alias("text"))
-    counts = counted(rows.select("lang", "fit", "text"))
-    first = arrays_of(smoothed(counts.where("fit > 0").select("lang", "g", F.col("fit").alias("c"))))
-    # Rows stay where they are: a share of the hashes is scored, and only the figures come back.
-    spare_rows = rows.where("not fit")
-    taken = min(1.0, sample / max(1, spare_rows.select("order").count()))
-    apart = spare_rows.where(F.pmod("order", F.lit(1 << 30)) < F.lit(int(taken * (1 << 30))))
-    names, blob = sorted(first), pickle.dumps([first[n] for n in sorted(first)])
-
-    def scored(batches):
-        for batch in batches:
-            size, entropy = entropies(batch.column("text").to_pylist(), _unpacked(blob))
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(size), pa.array(list(entropy), pa.list_(pa.float64()))],
-                                             ["lang", "size", "entropy"])
-
-    told = apart.mapInArrow(scored, "lang string, size long, entropy array<double>").limit(2 * sample).collect() if names else []
-    entropy = np.array([r.entropy for r in told]).reshape(len(told), len(names))
-    sharp, limits = calibrated(names, [r.lang for r in told], np.array([r["size"] for r in told], np.int64), entropy, spare)
+    counts = counted(rows)
+    # Rows stay where they are: each half is scored in place by one half's model at a time.
+    told = None
+    for own, other in (("fit", F.col("all") - F.col("fit")), ("not fit", F.col("fit"))):
+        arrays = arrays_of(smoothed(counts.select("lang", "g", other.alias("c")).where("c > 0")))
+        part = staged(seen_apart(rows.where(own), arrays), "calibration")
+        told = part if told is None else told.unionByName(part)
+    sharp, limits = calibrated(told, spare)
     whole = arrays_of(smoothed(counts.select("lang", "g", F.col("all").alias("c"))))
     return {"names": sorted(whole), "arrays": whole, "sharp": sharp,
             "limits": {n: limits.get(n, (0.0, float("inf"))) for n in whole}}

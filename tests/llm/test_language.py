@@ -148,3 +148,33 @@ def test_held_out_rows_teach_nothing(spark, learned):
     for name in model["names"]:
         for key, (g, p) in model["arrays"][name].items():
             assert (again["arrays"][name][key][0] == g).all() and (again["arrays"][name][key][1] == p).all()
+
+
+def test_all_learning_texts_calibrate(spark, learned):
+    docs, model = learned
+    rows = docs.where("lang is not null and doc_id is not null").where(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2).select(
+        "lang", "text", (F.xxhash64(F.col("doc_id").cast("string"), F.lit(12)) % 2 == 0).alias("half")).collect()
+    names, told = model["names"], []
+    for half in (True, False):
+        other = model_of(spark, {n: [r.text for r in rows if r.lang == n and r.half != half] for n in names})
+        own = [r for r in rows if r.half == half]
+        size, entropy = language.entropies([r.text for r in own], [other[n] for n in names])
+        told += [(names.index(r.lang), s, e) for r, s, e in zip(own, size, entropy, strict=True) if s]
+    assert len(told) > 250  # every learning text with letters, none left out
+    own, size, entropy = (np.array(x) for x in zip(*told, strict=True))
+    for k, name in enumerate(names):
+        mean = np.average(entropy[own == k, k], weights=size[own == k])
+        excess = np.sort((entropy[own == k, k] - mean) * np.sqrt(size[own == k]))
+        assert np.allclose(model["limits"][name], (mean, excess[math.ceil(len(excess) * 0.99) - 1]), atol=1e-5)
+    losses = [-np.log(np.maximum(language.chances(size, entropy, s)[np.arange(len(own)), own], 1e-12)).sum() for s in language.SHARP]
+    assert losses[language.SHARP.index(model["sharp"])] <= min(losses) + 1e-6
+
+
+def test_limits_of_any_number_of_values(spark):
+    rng = random.Random(5)
+    values = {"a": [rng.randint(-10**13, 10**13) for _ in range(300)], "b": [7] * 50 + [-3] * 50, "c": [-1]}
+    df = spark.createDataFrame([(n, x) for n, xs in values.items() for x in xs], "lang string, x long")
+    for share in (0.0, 0.3, 0.5, 0.99):
+        ranks = {n: int(share * len(xs)) for n, xs in values.items()}
+        assert language.limits_of(df, ranks) == {n: sorted(xs)[ranks[n]] for n, xs in values.items()}
