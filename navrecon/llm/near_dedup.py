@@ -45,6 +45,8 @@ BINS, PIVOTS = 1 << 20, 8
 GRAMS_AT_ONCE = 1 << 16
 #: Bits of an outline, and bytes of texts or shingles that a Python worker is handed at a time.
 OUTLINE, BATCH_BYTES = 2048, 1 << 24
+#: Counters in one row, and keys that are sent to all tasks at most (about 100 MB).
+BLOCK, SENT = 1 << 14, 1 << 21
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -152,6 +154,17 @@ def sketch_rows(base: DataFrame) -> DataFrame:
                        "__text").mapInArrow(run, f"__row long, __id {kind}, text_key binary, sketch array<long>")
 
 
+def among(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows of df that a join on column with wanted (staged) can need, so that it shuffles no others.
+
+    Hashes of up to SENT keys go to the tasks. With more keys df stays whole; the join is the same either way.
+    """
+    if wanted.count() > SENT:
+        return df
+    keys = wanted.select(F.xxhash64(column).alias("__key"))
+    return df.join(F.broadcast(keys), F.xxhash64(df[column]) == keys["__key"], "left_semi")
+
+
 def shingle_rows(base: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, grams): the shingles of the wanted texts (node, text_key), once for each text."""
     def run(batches):
@@ -159,8 +172,10 @@ def shingle_rows(base: DataFrame, wanted: DataFrame) -> DataFrame:
             grams = [shingles(word_hashes(t.as_py())).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["node", "grams"])
 
-    # Copies fold to one row before the shuffle.
-    once = base.select(text_key().alias("text_key"), "__text").groupBy("text_key").agg(F.first("__text").alias("__text"))
+    wanted = staged(wanted, "wanted-texts")
+    # Copies fold to one row before the shuffle, and texts without a candidate are left out before it.
+    once = among(base.select(text_key().alias("text_key"), "__text"), "text_key", wanted).groupBy("text_key").agg(
+        F.first("__text").alias("__text"))
     return once.join(wanted, "text_key").select("node", "__text").mapInArrow(run, "node long, grams binary")
 
 
@@ -197,8 +212,11 @@ def verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
                     keep.append(k)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    left = grams.select(F.col("node").alias("a"), F.col("grams").alias("wa"))
-    right = grams.select(F.col("node").alias("b"), F.col("grams").alias("wb"))
+    pairs = staged(pairs, "pairs")
+    ends = staged(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "pair-ends")
+    some = among(grams.select("node", "grams"), "node", ends)
+    left = some.select(F.col("node").alias("a"), F.col("grams").alias("wa"))
+    right = some.select(F.col("node").alias("b"), F.col("grams").alias("wb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long")
 
 
@@ -274,6 +292,45 @@ def several_classes(told: DataFrame) -> DataFrame:
     return told.join(staged(counted.where("classes > 1").drop("classes"), "open-keys"), "key")
 
 
+def counters(grams: DataFrame) -> DataFrame:
+    """(block, at, n): what each task counts of the shingles of grams, a row for each block of BLOCK counters."""
+    def count(batches):
+        held = np.zeros(BINS, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                bins, n = np.unique(np.concatenate([np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column(0)])
+                                    % np.uint64(BINS), return_counts=True)
+                held[bins.astype(np.int64)] += n
+        yield _blocks({b: held[b * BLOCK:(b + 1) * BLOCK] for b in range(BINS // BLOCK)})
+
+    return grams.select("grams").mapInArrow(count, "block int, at array<int>, n array<long>")
+
+
+def _blocks(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """A row for each block that is not all zeros."""
+    at = {b: np.flatnonzero(x) for b, x in held.items() if x.any()}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(at), pa.int32()), pa.array([x.astype(np.int32) for x in at.values()], pa.list_(pa.int32())),
+         pa.array([held[b][x] for b, x in at.items()], pa.list_(pa.int64()))], ["block", "at", "n"])
+
+
+def frequencies(grams: DataFrame) -> np.ndarray:
+    """How many shingles of all texts of grams are in each of BINS counters."""
+    def fold(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, at, n in zip(*batch.columns, strict=True):
+                own = sums.setdefault(block.as_py(), np.zeros(BLOCK, np.int64))
+                own[at.values.to_numpy()] += n.values.to_numpy()
+        yield _blocks(sums)
+
+    told = counters(grams).repartition("block").mapInArrow(fold, "block int, at array<int>, n array<long>").toArrow()
+    often = np.zeros(BINS, np.int64)
+    for block, at, n in zip(*(told[c].to_pylist() for c in ("block", "at", "n")), strict=True):
+        often[block * BLOCK + np.array(at)] = n
+    return often
+
+
 def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
     """(key, node, class, reach, size) of members (node, class, reach, size), once for each of the rarest shingles.
 
@@ -285,15 +342,7 @@ def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
     """
     texts = staged(members.join(grams, "node"), "large-members")
 
-    def count(batches):
-        for batch in batches:
-            held = [np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column(0)]
-            bins, n = np.unique(np.concatenate(held) % np.uint64(BINS), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bins.astype(np.int32)), pa.array(n.astype(np.int64))], ["bin", "n"])
-
-    counted = texts.select("grams").mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
-    often = np.zeros(BINS, np.int64)
-    often[counted["bin"].to_numpy()] = counted["n"].to_numpy()
+    often = frequencies(texts.select("grams"))
 
     def run(batches):
         for batch in batches:

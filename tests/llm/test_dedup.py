@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from navrecon.llm import exact_dedup, near_dedup
 from navrecon.llm.exact_dedup import BASES, CHUNK, PRIMES, chunk_hash
+from pyspark.sql import functions as F
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -208,3 +209,27 @@ def test_recall_on_documents(spark):
     rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
     found = by_class((r.class_id, r.doc_id) for r in near_dedup.near_groups(docs).collect())
     assert found == brute_near([r for r in rows if r[1].split()]) | by_class((0, i) for i, t in rows if not t.split())
+
+
+def test_shingles_are_counted_in_blocks(spark):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 2**63, rng.integers(1, 3000), dtype=np.uint64) for _ in range(60)] + [np.empty(0, np.uint64)]
+    df = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "grams binary").repartition(6)
+    # A task's counts are one row for each block, not for each shingle.
+    assert near_dedup.counters(df).count() <= 6 * near_dedup.BINS // near_dedup.BLOCK
+    want = np.bincount((np.concatenate(texts) % np.uint64(near_dedup.BINS)).astype(np.int64), minlength=near_dedup.BINS)
+    assert (near_dedup.frequencies(df) == want).all()
+    assert not near_dedup.frequencies(df.limit(0)).any()
+
+
+def test_only_wanted_rows_are_shuffled(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "text %d" % (i % 50)) for i in range(200)], "node long, text string")
+    wanted = df.where("node in (3, 7)").select("text")
+    assert {r.text for r in near_dedup.among(df, "text", wanted).collect()} == {"text 3", "text 7"}
+    base = df.select(F.col("text").alias("__text"))
+    keys = df.where("node in (3, 7)").select("node", F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_key"))
+    rows = sorted(near_dedup.shingle_rows(base, keys).collect())
+    assert [r.node for r in rows] == [3, 7]
+    monkeypatch.setattr(near_dedup, "SENT", 1)
+    assert near_dedup.among(df, "text", wanted).count() == 200
+    assert sorted(near_dedup.shingle_rows(base, keys).collect()) == rows
