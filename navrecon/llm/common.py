@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +17,8 @@ NO_ID = 2**63 - 1
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows that one ranked block may hold on average.
 BLOCK_ROWS = 100_000
+#: Bytes of texts that a Python worker is handed at a time.
+BATCH_BYTES = 1 << 24
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,13 +43,22 @@ def text_of(column: str) -> Column:
 
 
 def importable(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it."""
+    """Python workers find this package where the driver found it, and get long texts a few at a time: sets the
+    session's spark.sql.execution.arrow.maxBytesPerBatch to BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
 
 
+def leave_room(own: str = "") -> None:
+    """A reused Python worker gives up what operators other than own keep in it (vocabularies, word scores, models)."""
+    for name, cache in (("toxicity", "_scorer"), ("tokens", "encoder"), ("language", "_scratch"), ("language", "_unpacked")):
+        if name != own and (module := sys.modules.get(f"navrecon.llm.{name}")):
+            getattr(module, cache).cache_clear()
+
+
 def carried(docs: DataFrame, *taken: str) -> Column:
     """The columns of docs that an operator passes through, as one column __doc, so that no name of theirs can
     clash with one of the operator's. A name in taken, which the operator makes itself, gives way."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import SPACE, carried, importable, staged, text_of, with_rows
+from navrecon.llm.common import SPACE, carried, importable, leave_room, staged, text_of, with_rows
 
 CHUNK = 1 << 16
 #: Two primes below 2**31 and a base for each: products stay below 2**63.
@@ -36,7 +36,7 @@ def powers(base: int, prime: int) -> np.ndarray:
     return out
 
 
-def chunk_hash(chunk: bytes, tail: int, base: int, prime: int) -> int:
+def chunk_hash(chunk: bytes | pa.Buffer, tail: int, base: int, prime: int) -> int:
     """Hash of the chunk, shifted by the tail bytes that follow it in its text."""
     data = np.frombuffer(chunk, np.uint8).astype(np.int64) + 1
     own = int(np.dot(data, powers(base, prime)[CHUNK - len(data):])) % prime
@@ -47,9 +47,10 @@ def shifted_hashes(primes: tuple[int, int]):
     """Arrow function: the shifted hashes of binary chunks, one for each prime."""
     @F.arrow_udf("struct<a:long,b:long>")
     def hashes(chunk: pa.Array, tail: pa.Array) -> pa.Array:
-        pairs = list(zip(chunk.to_pylist(), tail.to_pylist(), strict=True))
+        leave_room()
+        # A chunk leaves Arrow when it is hashed, so that a batch is not held twice.
         return pa.StructArray.from_arrays(
-            [pa.array([chunk_hash(c, t, base, prime) for c, t in pairs], pa.int64())
+            [pa.array([chunk_hash(c.as_buffer(), t, base, prime) for c, t in zip(chunk, tail.to_pylist(), strict=True)], pa.int64())
              for base, prime in zip(BASES, primes, strict=True)], ["a", "b"])
     return hashes
 

@@ -26,7 +26,6 @@ several thousand shingles are too full to tell; such pairs are aligned as before
 from __future__ import annotations
 
 import math
-import sys
 import zlib
 from bisect import bisect_left
 
@@ -35,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import carried, importable, staged, text_of
+from navrecon.llm.common import carried, importable, leave_room, staged, text_of
 
 WORDS, SKETCHES, PICKS = 5, 20, 4
 #: Members from which a bucket of several classes counts as large.
@@ -43,8 +42,8 @@ LARGE = 64
 #: Counters of the shingles' frequencies, and pivots of a bucket in the second and later rounds.
 BINS, PIVOTS = 1 << 20, 8
 GRAMS_AT_ONCE = 1 << 16
-#: Bits of an outline, and bytes of texts or shingles that a Python worker is handed at a time.
-OUTLINE, BATCH_BYTES = 2048, 1 << 24
+#: Bits of an outline.
+OUTLINE = 2048
 #: Counters in one row, and keys that are sent to all tasks at most (about 100 MB).
 BLOCK, SENT = 1 << 14, 1 << 21
 
@@ -128,13 +127,6 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return found if found >= threshold - 1e-12 else 0.0
 
 
-def leave_room() -> None:
-    """A reused Python worker gives up what other operators keep in it (vocabularies, word scores)."""
-    for name, cache in (("toxicity", "_scorer"), ("tokens", "encoder"), ("language", "_scratch")):
-        if module := sys.modules.get(f"navrecon.llm.{name}"):
-            getattr(module, cache).cache_clear()
-
-
 def text_key():
     """A text's identity: its MD5."""
     return F.unhex(F.md5(F.col("__text").cast("binary")))
@@ -400,7 +392,6 @@ def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
 def grouped(base: DataFrame, threshold: float) -> DataFrame:
     """(__row, __id, text_key, class_id, class_size, kept) for each row of base (__id, __text)."""
     importable(base.sparkSession)
-    base.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = staged(sketch_rows(base), "sketches")
     # Texts are numbered, so that all that follows moves short rows.
     numbered = staged(rows.groupBy("text_key").agg(F.first("sketch").alias("sketch"))
@@ -425,7 +416,7 @@ def near_groups(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     white space and lower-cased. Texts of fewer than five words are one shingle: only
     equal words make them similar. Equal texts, empty and null ones too, are one
     class. Repeated rows are rows of their own. Other columns are ignored. Sets the session's
-    spark.sql.execution.arrow.maxBytesPerBatch to BATCH_BYTES, so that long texts reach
+    spark.sql.execution.arrow.maxBytesPerBatch (common.importable), so that long texts reach
     Python workers a few at a time.
     """
     base = docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text"))

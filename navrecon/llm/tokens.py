@@ -10,6 +10,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from navrecon.llm.common import leave_room
+
 #: Every document ends with this id.
 END = 1
 #: The word that stands for this id behind a document.
@@ -156,6 +158,7 @@ def encoder(path: str) -> WordEncoder:
 
 def encode_all(path: str, texts, step: int = 128):
     """The ids of each text with the end id, a few texts at a time."""
+    leave_room("tokens")
     own = encoder(path)
     for i in range(0, len(texts), step):
         yield from own.encode(texts[i:i + step].to_pylist(), ended=True)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import carried, importable, text_of
+from navrecon.llm.common import carried, importable, leave_room, text_of
 from navrecon.llm.near_dedup import shingles, sketches, word_hashes
 
 SEGMENT = 128
@@ -307,7 +307,7 @@ class Scorer:
         return score, spans
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _scorer(blob: bytes) -> Scorer:
     import pickle
     return Scorer(pickle.loads(blob))
@@ -376,6 +376,7 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
 
     @F.arrow_udf("struct<score:double,spans:array<struct<start:int,end:int>>>")
     def judged(texts: pa.Array) -> pa.Array:
+        leave_room("toxicity")
         own, scores, spans = _scorer(blob), [], []
         for part in portions(texts):
             s, found = own(part)

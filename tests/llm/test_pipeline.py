@@ -1,9 +1,11 @@
 """Stages against each other, whole queries, and the library without this subpackage."""
+import pickle
 import subprocess
 import sys
 from pathlib import Path
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from checks.compare import duck, rows_of
 from navrecon.llm import near_dedup
@@ -73,3 +75,22 @@ def test_nothing_else_imports_the_subpackage():
     hidden = ("import sys; sys.modules['corpus_pipeline'] = None; sys.modules['navrecon.llm'] = None;"
               "import __spark_entry__ as e; assert not [k for k in e.queries() if k.startswith('op') or k == 'pipeline']")
     assert subprocess.run([sys.executable, "-c", hidden], cwd=ROOT, timeout=120).returncode == 0
+
+
+def test_workers_keep_one_operators_state(spark):
+    from navrecon.llm import common, tokens, toxicity
+    from navrecon.llm.queries import WORDS
+
+    model = {"weights": {}, "bias": 0.0, "step": [[0.0, 0.0], [0.0, 0.0]], "score": [0.0]}
+    blobs = [pickle.dumps({**model, "bias": float(i)}) for i in range(2)]
+    list(tokens.encode_all(WORDS, pa.array(["a text"])))
+    for blob in blobs:
+        toxicity._scorer(blob)
+    # Of scorers the last one stays; the other operators' state goes where an operator begins.
+    assert toxicity._scorer.cache_info().currsize == 1
+    common.leave_room("toxicity")
+    assert toxicity._scorer.cache_info().currsize == 1 and tokens.encoder.cache_info().currsize == 0
+    list(tokens.encode_all(WORDS, pa.array(["a text"])))
+    assert toxicity._scorer.cache_info().currsize == 0 and tokens.encoder.cache_info().currsize == 1
+    common.importable(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == common.BATCH_BYTES
