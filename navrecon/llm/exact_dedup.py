@@ -7,7 +7,8 @@ document is the sum of partial results and no task needs it whole again. Equal
 fingerprints are then compared chunk by chunk: within a group, the smallest and the
 largest of each chunk must be the same bytes, which folds before the shuffle and so
 copes with any number of copies. A fingerprint with unequal texts (a collision) is
-split by the SHA-256 of its texts.
+split by the SHA-256 of its texts. Texts whose fingerprint nobody shares are not shuffled,
+and the table is staged once, each text in it once.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navrecon.llm.common import SPACE, carried, importable, leave_room, staged, text_of, with_rows
+from navrecon.llm.near_dedup import among, without
 
 CHUNK = 1 << 16
 #: Two primes below 2**31 and a base for each: products stay below 2**63.
@@ -83,8 +85,8 @@ def groups(base: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
     mark = ["__a", "__b", "__size"]
     # Group tables are staged, so that joins with them have plain shuffles, whose hot partitions Spark can split.
     several = staged(marks.groupBy(*mark).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n"), "several")
-    rows = marks.join(several, mark).select("__row", *mark)
-    same = (chunks(base).drop("__size").join(rows, "__row")
+    rows = staged(marks.join(several, mark).select("__row", *mark), "equal-fingerprints")
+    same = (chunks(among(base, "__row", rows)).drop("__size").join(rows, "__row")
             .groupBy(*mark, "__at").agg((F.min("__chunk") != F.max("__chunk")).alias("__differs")))
     clash = same.where("__differs").select(*mark).distinct().withColumn("__clash", F.lit(True))
     parted = (marks.join(clash, mark, "left")
@@ -112,6 +114,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that exact_groups drops; all columns as they were."""
-    base = with_rows(docs.select(carried(docs), F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")), "texts")
-    gone = groups(base).where("not kept").select("__row")
-    return base.select("__row", "__doc").join(gone, "__row", "left_anti").select("__doc.*")
+    held = with_rows(docs.select(carried(docs)), "texts")
+    doc = F.col("__doc")
+    base = held.select("__row", doc.getField(id_col).alias("__id"),
+                       F.coalesce(doc.getField(text_col).cast("string"), F.lit("")).alias("__text"))
+    gone = staged(groups(base).where("not kept").select("__row"), "copies")
+    return without(held, "__row", gone).select("__doc.*")

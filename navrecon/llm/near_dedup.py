@@ -157,6 +157,11 @@ def among(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     return df.join(F.broadcast(keys), F.xxhash64(df[column]) == keys["__key"], "left_semi")
 
 
+def without(df: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """The rows of df whose column is not in gone (staged). Up to SENT keys go to the tasks, so that df is not shuffled."""
+    return df.join(F.broadcast(gone) if gone.count() <= SENT else gone, column, "left_anti")
+
+
 def shingle_rows(base: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, grams): the shingles of the wanted texts (node, text_key), once for each text."""
     def run(batches):
@@ -424,10 +429,21 @@ def near_groups(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The one row of each class that stays, all columns as they were; of repeated rows with one id and text, any."""
+    """The one row of each class that stays, all columns as they were; of repeated rows with one id and text, any.
+
+    Only rows whose text and id occur among those that go are shuffled; the others stay as they are.
+    """
     base = docs.select(carried(docs), F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text"))
-    heads = grouped(base.select("__id", "__text"), threshold).where("kept").select(
-        "text_key", F.col("__id").alias("head"))
-    rows = base.select("__doc", "__id", text_key().alias("text_key"))
-    same = (rows["text_key"] == heads["text_key"]) & rows["__id"].eqNullSafe(heads["head"])
-    return rows.join(heads, same, "left_semi").dropDuplicates(["text_key", "__id"]).select("__doc.*")
+    # Nulls in a struct are equal, so that a null id is an id like others.
+    pair = F.struct("text_key", "__id").alias("__pair")
+    several = (grouped(base.select("__id", "__text"), threshold).groupBy(pair)
+               .agg(F.max("kept").alias("head"), F.min("kept").alias("alone")).where("not alone").drop("alone"))
+    several = staged(several.withColumn("__hash", F.xxhash64("__pair")), "not-alone")
+    rows = base.select("__doc", "__id", text_key().alias("text_key")).select("__doc", pair)
+    told = among(rows, "__pair", several).join(several.drop("__hash"), "__pair", "left").where("head is null or head")
+    told = told.dropDuplicates(["__pair"]).select("__doc.*")
+    if several.count() > SENT:
+        return told
+    # An equal hash of another pair only brings a row to the join that need not be there.
+    alone = without(rows.withColumn("__hash", F.xxhash64("__pair")), "__hash", several.select("__hash"))
+    return alone.select("__doc.*").unionByName(told)

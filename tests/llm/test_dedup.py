@@ -233,3 +233,35 @@ def test_only_wanted_rows_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "SENT", 1)
     assert near_dedup.among(df, "text", wanted).count() == 200
     assert sorted(near_dedup.shingle_rows(base, keys).collect()) == rows
+
+
+def test_exact_stages_texts_once_and_shuffles_no_lone_text(messy, monkeypatch, capsys):
+    from navrecon.llm import common
+    seen = {}
+
+    def seeing(df, label, staged=common.staged):
+        seen[label] = staged(df, label)
+        return seen[label]
+
+    for module in (common, exact_dedup):
+        monkeypatch.setattr(module, "staged", seeing)
+    kept = exact_dedup.drop_copies(messy)
+    assert seen["texts"].columns == ["__doc", "__row"]
+    assert seen["equal-fingerprints"].count() < seen["texts"].count()
+    kept.explain()
+    plan = capsys.readouterr().out
+    assert "LeftAnti" in plan and "hashpartitioning" not in plan
+    rows = sorted(map(str, kept.collect()))
+    monkeypatch.setattr(near_dedup, "SENT", 0)
+    again = exact_dedup.drop_copies(messy)
+    assert sorted(map(str, again.select("doc_id", "text").distinct().collect())) == sorted(
+        map(str, kept.select("doc_id", "text").distinct().collect())) and again.count() == len(rows)
+
+
+def test_near_copies_go_without_shuffling_the_rest(messy, monkeypatch, capsys):
+    kept = near_dedup.drop_near_copies(messy)
+    kept.explain()
+    assert "LeftAnti" in capsys.readouterr().out
+    rows = sorted(map(str, kept.collect()))
+    monkeypatch.setattr(near_dedup, "SENT", 0)
+    assert sorted(map(str, near_dedup.drop_near_copies(messy).collect())) == rows
