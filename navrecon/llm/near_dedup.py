@@ -14,6 +14,7 @@ class and leaves; nobody else does, so a bucket closes only when one class is le
 Members of large buckets of several classes (a passage in common) are dealt anew by
 their rarest shingles: of n shingles, the n - ceil(threshold * n) + 1 first ones in one
 order for all texts. Similar texts have at least one of them in common, so no pair is lost.
+Of buckets that hold the same members one is gone through; near copies share many of them.
 
 From the second round on a member meets a pivot only if their outlines allow it. An outline
 is the parity of the number of shingles in each of OUTLINE bins: two texts differ in at least
@@ -46,6 +47,8 @@ GRAMS_AT_ONCE = 1 << 16
 OUTLINE = 2048
 #: Counters in one row, and keys that are sent to all tasks at most (about 100 MB).
 BLOCK, SENT = 1 << 14, 1 << 21
+#: Rows of the corpus for each file of a staged table, from the size on at which cores do not decide.
+FILE_ROWS = 4096
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -127,6 +130,17 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return found if found >= threshold - 1e-12 else 0.0
 
 
+def parts_for(rows: DataFrame) -> int:
+    """Files at most of a table with a few numbers for each of rows (staged): what is small is not written as
+    a file for every shuffle partition."""
+    return max(4 * rows.sparkSession.sparkContext.defaultParallelism, rows.count() // FILE_ROWS + 1)
+
+
+def set_mark() -> list:
+    """Aggregates that tell sets of nodes apart (by 128 bits): h1, h2."""
+    return [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"h{i}") for i in (1, 2)]
+
+
 def text_key():
     """A text's identity: its MD5."""
     return F.unhex(F.md5(F.col("__text").cast("binary")))
@@ -198,7 +212,7 @@ def outlines(grams: DataFrame) -> DataFrame:
     return grams.select("node", "grams").mapInArrow(run, f"node long, size long, outline struct<{fields}>")
 
 
-def verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, grams: DataFrame, threshold: float, parts: int) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     def run(batches):
         for batch in batches:
@@ -209,47 +223,53 @@ def verified(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
                     keep.append(k)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    pairs = staged(pairs, "pairs")
-    ends = staged(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "pair-ends")
+    pairs = staged(pairs.coalesce(parts), "pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    ends = staged(ends.coalesce(parts), "pair-ends")
     some = among(grams.select("node", "grams"), "node", ends)
     left = some.select(F.col("node").alias("a"), F.col("grams").alias("wa"))
     right = some.select(F.col("node").alias("b"), F.col("grams").alias("wb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, parts: int | None = None) -> DataFrame:
     """(node, component): each linked node (a long) with the smallest node it is linked to over any way.
 
     Every round hangs a node's larger, then its smaller neighbours on the smallest one,
-    until nothing changes: rounds grow with the logarithm of the longest way.
+    until all are stars: rounds grow with the logarithm of the longest way. Its tables are
+    written as at most parts files.
     """
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        return staged(df if parts is None else df.coalesce(parts), label)
+
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    before = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Staged: joins with them then have plain shuffles, whose hot partitions (a node with many links) Spark can split.
-        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        least = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        low = kept(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "components")
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
+        now = kept(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "components")
+        # Stars: a node hangs on one other at most, and none on a node that hangs itself.
+        hung = now.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+            now.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+        hung = hung.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+        if hung.agg(F.max((F.col("hangs") > 1) | (F.col("hangs") > 0) & (F.col("holds") > 0))).first()[0] is not True:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = state
 
 
-def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+def merged(found: DataFrame, links: DataFrame, parts: int) -> DataFrame:
     """found (node, component of every node) after new links: only links between components are followed."""
     ends = found.withColumnRenamed("node", "a").withColumnRenamed("component", "ca")
     others = found.withColumnRenamed("node", "b").withColumnRenamed("component", "cb")
     fresh = staged(links.join(ends, "a").join(others, "b").where("ca <> cb").select(
-        F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "component-links")
+        F.col("ca").alias("a"), F.col("cb").alias("b")).distinct().coalesce(parts), "component-links")
     if fresh.isEmpty():
         return found
-    moved = components(fresh).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    moved = components(fresh, parts).select(F.col("node").alias("component"), F.col("component").alias("into"))
     return staged(found.join(moved, "component", "left").select(
-        "node", F.coalesce("into", "component").alias("component")), "found")
+        "node", F.coalesce("into", "component").alias("component")).coalesce(parts), "found")
 
 
 def central(members: DataFrame, number: int, minor_first: bool = False) -> DataFrame:
@@ -282,11 +302,14 @@ def pairs_of(members: DataFrame, pivots: DataFrame, threshold: float, known: Dat
                    .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
 
-def several_classes(told: DataFrame) -> DataFrame:
-    """told (key, node, class, ...) with n and major, the largest class, of the buckets of several classes."""
-    counted = (told.groupBy("key", "class").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.sum("n").alias("n"), F.count("*").alias("classes"), F.max(F.struct("n", "class"))["class"].alias("major")))
-    return told.join(staged(counted.where("classes > 1").drop("classes"), "open-keys"), "key")
+def several_classes(told: DataFrame, parts: int) -> DataFrame:
+    """told (key, node, class, ...) with n and major, the largest class, of the buckets of several classes;
+    of buckets with the same members one."""
+    counted = (told.groupBy("key", "class").agg(F.count("*").alias("n"), *set_mark()).groupBy("key").agg(
+        F.sum("n").alias("n"), F.count("*").alias("classes"), F.max(F.struct("n", "class"))["class"].alias("major"),
+        F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")).where("classes > 1"))
+    once = counted.groupBy("n", "h1", "h2").agg(F.min(F.struct("key", "major")).alias("first")).select("first.*", "n")
+    return told.join(staged(once.coalesce(parts), "open-keys"), "key")
 
 
 def counters(grams: DataFrame) -> DataFrame:
@@ -328,7 +351,7 @@ def frequencies(grams: DataFrame) -> np.ndarray:
     return often
 
 
-def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+def rarest(members: DataFrame, grams: DataFrame, threshold: float, parts: int) -> DataFrame:
     """(key, node, class, reach, size) of members (node, class, reach, size), once for each of the rarest shingles.
 
     Texts of similarity threshold share at least threshold * n of either's n shingles.
@@ -337,7 +360,7 @@ def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
     common last; frequencies are counted in BINS counters, which only shape the order. What is alone
     in its counter is in no other of these texts and makes no row.
     """
-    texts = staged(members.join(grams, "node"), "large-members")
+    texts = staged(members.join(grams, "node").coalesce(parts), "large-members")
 
     often = frequencies(texts.select("grams"))
 
@@ -360,38 +383,43 @@ def rarest(members: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
 
 def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
     """(node, component) of all texts (node, sketch) that are linked to another."""
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        return staged(df.coalesce(parts), label)
+
+    parts = parts_for(texts)
     keyed = texts.select("node", F.explode("sketch").alias("key"))
-    several = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
-    members = staged(keyed.join(several, "key"), "buckets")
-    reach = staged(members.groupBy("node").agg(F.sum("n").alias("reach")), "reach")
-    grams = staged(grams_of(reach.select("node")), "candidate-shingles")
+    several = keyed.groupBy("key").agg(F.count("*").alias("n"), *set_mark()).where("n > 1")
+    several = kept(several.groupBy("n", "h1", "h2").agg(F.min("key").alias("key"), F.count("*").alias("times"))
+                   .select("key", "n", "times"), "bucket-sizes")
+    members = kept(keyed.join(several, "key"), "buckets")
+    reach = kept(members.groupBy("node").agg(F.sum(F.col("n") * F.col("times")).alias("reach")), "reach")
+    grams = kept(grams_of(reach.select("node")), "candidate-shingles")
     drawn = staged(outlines(grams), "outlines")
-    sizes = staged(reach.join(drawn.select("node", "size"), "node"), "sizes")
+    sizes = kept(reach.join(drawn.select("node", "size"), "node"), "sizes")
     known = drawn.select("node", "outline")
-    rest = staged(members.join(sizes, "node").select("key", "node", "reach", "size"), "bucket-members")
+    rest = kept(members.join(sizes, "node").select("key", "node", "reach", "size", "n"), "bucket-members")
     turn, found = 0, None
     while True:
         if found is None:
-            open_ = staged(rest.withColumn("class", F.col("node")).withColumn("major", F.col("node"))
-                               .join(several, "key"), "open-buckets")
+            open_ = rest.withColumn("class", F.col("node")).withColumn("major", F.col("node"))
         else:
-            told = staged(rest.join(found.withColumnRenamed("component", "class"), "node"), "told-buckets")
-            open_ = staged(several_classes(told), "open-buckets")
+            told = kept(rest.join(found.withColumnRenamed("component", "class"), "node"), "told-buckets")
+            open_ = kept(several_classes(told, parts), "open-buckets")
         if open_.isEmpty():
             return found if found is not None else texts.select("node", F.col("node").alias("component")).limit(0)
         columns = ["key", "node", "class", "reach", "size", "n", "major"]
         if turn == 1:
             large = open_.where(F.col("n") > LARGE).select("node", "class", "reach", "size").distinct()
-            parted = staged(rarest(large, grams, threshold), "rarest-shingles")
-            open_ = staged(several_classes(parted).select(columns).unionByName(
+            parted = kept(rarest(large, grams, threshold, parts), "rarest-shingles")
+            open_ = kept(several_classes(parted, parts).select(columns).unionByName(
                 open_.where(F.col("n") <= LARGE).select(columns)), "parted-buckets")
         # More pivots a round where many classes stay apart, so that rounds do not grow with a bucket.
-        width = 1 if turn == 0 else PIVOTS << max(0, turn - 3)
-        pivots = staged(central(open_, width, turn > 1), "pivots")
-        links = staged(verified(pairs_of(open_, pivots, threshold, known if turn else None), grams, threshold), "links")
-        found = merged(reach.select("node", F.col("node").alias("component")) if found is None else found, links)
+        width = 1 if turn == 0 else PIVOTS << 2 * (turn - 1)
+        pivots = kept(central(open_, width, turn > 1), "pivots")
+        links = kept(verified(pairs_of(open_, pivots, threshold, known if turn else None), grams, threshold, parts), "links")
+        found = merged(reach.select("node", F.col("node").alias("component")) if found is None else found, links, parts)
         rest = open_.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
-        rest, turn = staged(rest.select("key", "node", "reach", "size"), "bucket-members"), turn + 1
+        rest, turn = kept(rest.select("key", "node", "reach", "size"), "bucket-members"), turn + 1
 
 
 def grouped(base: DataFrame, threshold: float) -> DataFrame:
@@ -399,16 +427,17 @@ def grouped(base: DataFrame, threshold: float) -> DataFrame:
     importable(base.sparkSession)
     rows = staged(sketch_rows(base), "sketches")
     # Texts are numbered, so that all that follows moves short rows.
-    numbered = staged(rows.groupBy("text_key").agg(F.first("sketch").alias("sketch"))
+    parts = parts_for(rows)
+    numbered = staged(rows.groupBy("text_key").agg(F.first("sketch").alias("sketch")).coalesce(parts)
                       .withColumn("node", F.monotonically_increasing_id()), "texts")
     texts = numbered.where(F.size("sketch") > 0)
     found = classes(texts.select("node", "sketch"),
                     lambda nodes: shingle_rows(base, texts.select("node", "text_key").join(nodes, "node", "left_semi")), threshold)
     linked = staged(numbered.select("text_key", "node").join(found, "node", "left").select(
-        "text_key", F.coalesce("component", "node").alias("class")), "classes")
-    told = staged(rows.select("__row", "__id", "text_key").join(linked, "text_key"), "class-rows")
+        "text_key", F.coalesce("component", "node").alias("class")).coalesce(parts), "classes")
+    told = staged(rows.select("__row", "__id", "text_key").join(linked, "text_key").coalesce(parts), "class-rows")
     order = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    best = staged(told.groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("class_size")), "class-heads")
+    best = staged(told.groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("class_size")).coalesce(parts), "class-heads")
     return told.join(best, "class").select("__row", "__id", "text_key", F.col("best.id").alias("class_id"), "class_size",
                                            (F.col("__row") == F.col("best.row")).alias("kept"))
 

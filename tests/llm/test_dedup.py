@@ -265,3 +265,38 @@ def test_near_copies_go_without_shuffling_the_rest(messy, monkeypatch, capsys):
     rows = sorted(map(str, kept.collect()))
     monkeypatch.setattr(near_dedup, "SENT", 0)
     assert sorted(map(str, near_dedup.drop_near_copies(messy).collect())) == rows
+
+
+def test_equal_buckets_are_one(spark):
+    told = spark.createDataFrame([(1, 10, 10), (1, 11, 11), (2, 10, 10), (2, 11, 11), (3, 10, 10), (3, 12, 12),
+                                  (4, 10, 10), (4, 11, 11), (4, 12, 12), (5, 20, 20), (5, 21, 20)],
+                                 "key long, node long, class long")
+    found = near_dedup.several_classes(told, 2).select("key", "node").collect()
+    assert sorted(map(tuple, found)) == [(1, 10), (1, 11), (3, 10), (3, 12), (4, 10), (4, 11), (4, 12)]
+
+
+def test_small_tables_are_few_files(spark, monkeypatch):
+    texts = [" ".join(f"w{j}" if (i, j) != (i, 3 * i) else "other" for j in range(60)) for i in range(20)]
+    seen = []
+
+    def seeing(df, label, staged=near_dedup.staged):
+        seen.append((label, staged(df, label)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(near_dedup, "staged", seeing)
+    most = 4 * spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": str(3 * most), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame([(i, texts[i % 20]) for i in range(5 * most)], "doc_id long, text string")
+        # As many unlike texts, so that the tables have rows for more files than allowed.
+        docs = docs.unionByName(spark.range(10_000, 10_000 + 5 * most).selectExpr("id as doc_id", "concat('one ', id, ' of its own') as text"))
+        near_dedup.near_groups(docs).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {label: len(df.inputFiles()) for label, df in seen if label != "sketches"}
+    assert {"texts", "bucket-sizes", "reach", "found", "class-rows"} <= set(files)
+    assert max(files.values()) <= most
