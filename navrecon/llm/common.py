@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
+from contextlib import suppress
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +21,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_ROWS = 100_000
 #: Bytes of texts that a Python worker is handed at a time.
 BATCH_BYTES = 1 << 24
+#: The same in operators of the pipeline, whose workers and executors keep memory from stage to stage.
+SMALL_BATCH = 1 << 22
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,10 +46,10 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
-def importable(spark: SparkSession) -> None:
+def importable(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Python workers find this package where the driver found it, and get long texts a few at a time: sets the
-    session's spark.sql.execution.arrow.maxBytesPerBatch to BATCH_BYTES."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    session's spark.sql.execution.arrow.maxBytesPerBatch to batch_bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
@@ -53,10 +57,22 @@ def importable(spark: SparkSession) -> None:
 
 
 def leave_room(own: str = "") -> None:
-    """A reused Python worker gives up what operators other than own keep in it (vocabularies, word scores, models)."""
-    for name, cache in (("toxicity", "_scorer"), ("tokens", "encoder"), ("language", "_scratch"), ("language", "_unpacked")):
-        if name != own and (module := sys.modules.get(f"navrecon.llm.{name}")):
-            getattr(module, cache).cache_clear()
+    """A reused Python worker gives up what operators other than own keep in it (vocabularies, word scores, models),
+    and its memory goes back to the system."""
+    held = [getattr(module, cache) for name, cache in (
+        ("toxicity", "_scorer"), ("tokens", "encoder"), ("language", "_scratch"), ("language", "_unpacked"))
+        if name != own and (module := sys.modules.get(f"navrecon.llm.{name}"))]
+    held = [cache for cache in held if cache.cache_info().currsize]
+    for cache in held:
+        cache.cache_clear()
+    if held:
+        trim()
+
+
+def trim() -> None:
+    """Freed memory of this process goes back to the system, where its C library can do that (glibc)."""
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def carried(docs: DataFrame, *taken: str) -> Column:

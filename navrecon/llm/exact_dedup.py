@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import SPACE, carried, importable, leave_room, staged, text_of, with_rows
+from navrecon.llm.common import SMALL_BATCH, SPACE, carried, importable, leave_room, staged, text_of, with_rows
 from navrecon.llm.near_dedup import among, without
 
 CHUNK = 1 << 16
@@ -75,7 +75,7 @@ def chunks(base: DataFrame, *columns: str) -> DataFrame:
 
 def groups(base: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
     """One row for each __row of base (__row, __id, __text): id, keep id, group_size, kept, text_sha256."""
-    importable(base.sparkSession)
+    importable(base.sparkSession, SMALL_BATCH)
     hashed = (chunks(base).withColumn("__h", shifted_hashes(primes)("__chunk", "__tail"))
               .groupBy("__row").agg((F.sum("__h.a") % primes[0]).alias("__a"), (F.sum("__h.b") % primes[1]).alias("__b"),
                                     F.max("__size").alias("__size")))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import carried, importable, leave_room, staged, text_of
+from navrecon.llm.common import SMALL_BATCH, carried, importable, leave_room, staged, text_of
 
 WORDS, SKETCHES, PICKS = 5, 20, 4
 #: Members from which a bucket of several classes counts as large.
@@ -424,7 +424,7 @@ def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:
 
 def grouped(base: DataFrame, threshold: float) -> DataFrame:
     """(__row, __id, text_key, class_id, class_size, kept) for each row of base (__id, __text)."""
-    importable(base.sparkSession)
+    importable(base.sparkSession, SMALL_BATCH)
     rows = staged(sketch_rows(base), "sketches")
     # Texts are numbered, so that all that follows moves short rows.
     parts = parts_for(rows)

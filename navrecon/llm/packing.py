@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import importable, running, staged, text_of
+from navrecon.llm.common import SMALL_BATCH, importable, running, staged, text_of
 from navrecon.llm.tokens import encode_all
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, size: int, id_col: str, text_col: str,
                   keep_ids: bool) -> DataFrame:
     """A row for each piece: __id, start, length, ids_crc32, doc_tokens, and ids if asked for."""
-    importable(docs.sparkSession)
+    importable(docs.sparkSession, SMALL_BATCH)
     key = docs.schema[id_col].dataType.simpleString()
     schema = f"__id {key}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * keep_ids
 

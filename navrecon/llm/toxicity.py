@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import carried, importable, leave_room, text_of
+from navrecon.llm.common import SMALL_BATCH, carried, importable, leave_room, text_of
 from navrecon.llm.near_dedup import shingles, sketches, word_hashes
 
 SEGMENT = 128
@@ -365,7 +365,7 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     are scored like others.
     """
     import pickle
-    importable(docs.sparkSession)
+    importable(docs.sparkSession, SMALL_BATCH)
     rest = carried(docs, "toxic_score", "toxic_spans")
     if model is None:
         return docs.select(rest, text_of(text_col)).select(

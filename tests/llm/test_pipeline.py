@@ -94,3 +94,31 @@ def test_workers_keep_one_operators_state(spark):
     assert toxicity._scorer.cache_info().currsize == 0 and tokens.encoder.cache_info().currsize == 1
     common.importable(spark)
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == common.BATCH_BYTES
+
+
+def test_stages_bound_their_batches_alike(spark, messy):
+    """What one stage leaves in an executor must not crowd out the next: all get small batches."""
+    from navrecon.llm import common, exact_dedup, near_dedup, packing, toxicity
+    from navrecon.llm.queries import WORDS
+
+    for stage in (lambda d: toxicity.score_documents(d, None), exact_dedup.drop_copies, near_dedup.drop_near_copies,
+                  lambda d: packing.pack(d, WORDS, 2048)):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(common.BATCH_BYTES))
+        stage(messy.limit(3))
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == common.SMALL_BATCH < common.BATCH_BYTES
+
+
+def test_left_state_goes_back_to_the_system(monkeypatch):
+    from navrecon.llm import common, toxicity
+
+    calls = []
+    monkeypatch.setattr(common, "trim", lambda: calls.append(1))
+    common.leave_room()
+    calls.clear()
+    common.leave_room()
+    assert not calls  # nothing was held
+    toxicity._scorer(pickle.dumps({"weights": {}, "bias": 0.0, "step": [[0.0]], "score": [0.0]}))
+    common.leave_room()
+    assert calls == [1] and toxicity._scorer.cache_info().currsize == 0
+    monkeypatch.undo()
+    common.trim()
