@@ -4,9 +4,9 @@ A text without white space is a polynomial in a fixed base over two primes. It i
 into chunks of bytes that are hashed in parallel; a chunk's hash, shifted by the base
 to the power of the bytes after it, adds up to the hash of the whole, so that a huge
 document is the sum of partial results and no task needs it whole again. Equal
-fingerprints are then compared chunk by chunk: within a group, the smallest and the
-largest of each chunk must be the same bytes, which folds before the shuffle and so
-copes with any number of copies. A fingerprint with unequal texts (a collision) is
+fingerprints are then compared chunk by chunk: within a group, each chunk must be the
+same bytes in all texts, of which equal ones fold before the shuffle, so that it copes
+with any number of copies. A fingerprint with unequal texts (a collision) is
 split by the SHA-256 of its texts. Texts whose fingerprint nobody shares are not shuffled,
 and the table is staged once, each text in it once.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navrecon.llm.common import SMALL_BATCH, SPACE, carried, importable, leave_room, staged, text_of, with_rows
-from navrecon.llm.near_dedup import among, without
+from navrecon.llm.near_dedup import SENT, without
 
 CHUNK = 1 << 16
 #: Two primes below 2**31 and a base for each: products stay below 2**63.
@@ -86,9 +86,11 @@ def groups(base: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
     # Group tables are staged, so that joins with them have plain shuffles, whose hot partitions Spark can split.
     several = staged(marks.groupBy(*mark).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n"), "several")
     rows = staged(marks.join(several, mark).select("__row", *mark), "equal-fingerprints")
-    same = (chunks(among(base, "__row", rows)).drop("__size").join(rows, "__row")
-            .groupBy(*mark, "__at").agg((F.min("__chunk") != F.max("__chunk")).alias("__differs")))
-    clash = same.where("__differs").select(*mark).distinct().withColumn("__clash", F.lit(True))
+    # Equal chunks fold to one row in each task and meet by their bytes, so that a text is shuffled once at most; then only places are counted.
+    held = rows.drop("__size")
+    compared = chunks(base.join(F.broadcast(held) if held.count() <= SENT else held, "__row"), "__a", "__b")
+    different = compared.select(*mark, "__at", "__chunk").distinct().groupBy(*mark, "__at").agg(F.count("*").alias("__n"))
+    clash = different.where("__n > 1").select(*mark).distinct().withColumn("__clash", F.lit(True))
     parted = (marks.join(clash, mark, "left")
               .withColumn("__part", F.when(F.col("__clash"), F.col("__sha")).otherwise(F.lit(""))))
     parted = staged(parted.drop("__clash"), "fingerprint-groups")

@@ -300,3 +300,22 @@ def test_small_tables_are_few_files(spark, monkeypatch):
     files = {label: len(df.inputFiles()) for label, df in seen if label != "sketches"}
     assert {"texts", "bucket-sizes", "reach", "found", "class-rows"} <= set(files)
     assert max(files.values()) <= most
+
+
+def test_compared_texts_are_shuffled_once(spark, monkeypatch, capsys):
+    """Fifty copies of a text in one task are one row of a shuffle, and no later shuffle holds texts."""
+    plans = {}
+
+    def seeing(df, label, staged=exact_dedup.staged):
+        if label == "fingerprint-groups":
+            df.explain()
+            plans[label] = capsys.readouterr().out
+        return staged(df, label)
+
+    monkeypatch.setattr(exact_dedup, "staged", seeing)
+    docs = spark.createDataFrame([(i, f"text {i % 2}" * 9) for i in range(100)], "doc_id long, text string")
+    assert exact_dedup.exact_groups(docs).where("group_size = 50").count() == 100
+    # The one shuffle of texts is that by their bytes; no row of texts is sorted or sent to meet its fingerprint before.
+    sent = [x for x in plans["fingerprint-groups"].splitlines() if "hashpartitioning" in x]
+    assert sum("__chunk" in x for x in sent) == 1 and "min(__chunk" not in plans["fingerprint-groups"]
+    assert not any("hashpartitioning(__row" in x for x in sent)
