@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import SMALL_BATCH, carried, importable, leave_room, staged, text_of
+from navrecon.llm.common import SMALL_BATCH, carried, importable, leave_room, staged, text_of, trimmed
 
 WORDS, SKETCHES, PICKS = 5, 20, 4
 #: Members from which a bucket of several classes counts as large.
@@ -157,7 +157,7 @@ def sketch_rows(base: DataFrame) -> DataFrame:
 
     kind = base.schema["__id"].dataType.simpleString()
     return base.select(F.monotonically_increasing_id().alias("__row"), "__id", text_key().alias("text_key"),
-                       "__text").mapInArrow(run, f"__row long, __id {kind}, text_key binary, sketch array<long>")
+                       "__text").mapInArrow(trimmed(run), f"__row long, __id {kind}, text_key binary, sketch array<long>")
 
 
 def among(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def shingle_rows(base: DataFrame, wanted: DataFrame) -> DataFrame:
     # Copies fold to one row before the shuffle, and texts without a candidate are left out before it.
     once = among(base.select(text_key().alias("text_key"), "__text"), "text_key", wanted).groupBy("text_key").agg(
         F.first("__text").alias("__text"))
-    return once.join(wanted, "text_key").select("node", "__text").mapInArrow(run, "node long, grams binary")
+    return once.join(wanted, "text_key").select("node", "__text").mapInArrow(trimmed(run), "node long, grams binary")
 
 
 def outline_type() -> pa.DataType:
@@ -209,7 +209,7 @@ def outlines(grams: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), size, outline], ["node", "size", "outline"])
 
     fields = ",".join(f"m{i}:bigint" for i in range(OUTLINE // 64))
-    return grams.select("node", "grams").mapInArrow(run, f"node long, size long, outline struct<{fields}>")
+    return grams.select("node", "grams").mapInArrow(trimmed(run), f"node long, size long, outline struct<{fields}>")
 
 
 def verified(pairs: DataFrame, grams: DataFrame, threshold: float, parts: int) -> DataFrame:
@@ -229,7 +229,7 @@ def verified(pairs: DataFrame, grams: DataFrame, threshold: float, parts: int) -
     some = among(grams.select("node", "grams"), "node", ends)
     left = some.select(F.col("node").alias("a"), F.col("grams").alias("wa"))
     right = some.select(F.col("node").alias("b"), F.col("grams").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(trimmed(run), "a long, b long")
 
 
 def components(edges: DataFrame, parts: int | None = None) -> DataFrame:
@@ -323,7 +323,7 @@ def counters(grams: DataFrame) -> DataFrame:
                 held[bins.astype(np.int64)] += n
         yield _blocks({b: held[b * BLOCK:(b + 1) * BLOCK] for b in range(BINS // BLOCK)})
 
-    return grams.select("grams").mapInArrow(count, "block int, at array<int>, n array<long>")
+    return grams.select("grams").mapInArrow(trimmed(count), "block int, at array<int>, n array<long>")
 
 
 def _blocks(held: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -344,7 +344,7 @@ def frequencies(grams: DataFrame) -> np.ndarray:
                 own[at.values.to_numpy()] += n.values.to_numpy()
         yield _blocks(sums)
 
-    told = counters(grams).repartition("block").mapInArrow(fold, "block int, at array<int>, n array<long>").toArrow()
+    told = counters(grams).repartition("block").mapInArrow(trimmed(fold), "block int, at array<int>, n array<long>").toArrow()
     often = np.zeros(BINS, np.int64)
     for block, at, n in zip(*(told[c].to_pylist() for c in ("block", "at", "n")), strict=True):
         often[block * BLOCK + np.array(at)] = n
@@ -378,7 +378,7 @@ def rarest(members: DataFrame, grams: DataFrame, threshold: float, parts: int) -
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *rows.columns], ["key", *rows.schema.names])
 
     return texts.select("node", "class", "reach", "size", "grams").mapInArrow(
-        run, "key long, node long, class long, reach long, size long")
+        trimmed(run), "key long, node long, class long, reach long, size long")
 
 
 def classes(texts: DataFrame, grams_of, threshold: float) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navrecon.llm.common import SMALL_BATCH, importable, running, staged, text_of
+from navrecon.llm.common import SMALL_BATCH, importable, running, staged, text_of, trimmed
 from navrecon.llm.tokens import encode_all
 
 
@@ -41,7 +41,8 @@ def cut_documents(docs: DataFrame, vocabulary: str, size: int, id_col: str, text
             if rows:
                 yield _batch(rows, batch.schema.field(0).type, keep_ids)
 
-    return docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")).mapInArrow(pieces, schema)
+    return docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text_col).alias("__text")).mapInArrow(
+        trimmed(pieces), schema)
 
 
 def _batch(rows, key_type, keep_ids) -> pa.RecordBatch:
@@ -96,8 +97,9 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, id_col: str = "doc_
     lengths = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most size rows
     slots = places(patterns({r.length: r.n for r in lengths}, size))
     # The number of slots depends on size, not on the documents: a few for each length.
-    slots = docs.sparkSession.createDataFrame(
-        slots, "length long, first long, last long, base long, offset long").hint("broadcast")
+    # As an Arrow table: a list of tuples would go through an RDD of Python, whose daemon and workers stay beside ours.
+    columns = zip(("length", "first", "last", "base", "offset"), [*zip(*slots, strict=True)] or [()] * 5, strict=True)
+    slots = docs.sparkSession.createDataFrame(pa.table({c: pa.array(v, pa.int64()) for c, v in columns})).hint("broadcast")
     ranked = running(pieces, ["length"], ["__id", "start", "ids_crc32"], "rank")
     placed = ranked.join(slots, "length").where("rank >= first and rank < last")
     return placed.select(F.col("__id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens",

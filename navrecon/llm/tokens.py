@@ -45,7 +45,7 @@ class WordEncoder:
 
     def __init__(self, path: str, cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # Added tokens are looked for in whole texts, before all else; a word that only looks like one is ordinary.
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -53,9 +53,7 @@ class WordEncoder:
         # No word holds a space, so these keys are free.
         self.marks = {f" {a}": np.array([i], "<u4").tobytes() for a, i in [*added.items(), (STOP, END)]}
         self.tokenizer.encode_special_tokens = True
-        self.bare = Tokenizer.from_file(path)
-        self.bare.encode_special_tokens = True
-        self.bare.normalizer = normalizers.Sequence([])
+        self.bare = Tokenizer(self.tokenizer.model)  # the same model, not a second copy of it
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = {b: x for b, x in byte_letters().items() if b != 32}  # spaces go on parting words
         self.cached, self.known = cached, dict(self.marks)

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from navrecon.llm import dac, packing
+from navrecon.llm import common, dac, packing
 from navrecon.llm.queries import WORDS
 from navrecon.llm.tokens import WordEncoder, encoder
 from navrecon.session import fresh_dir
@@ -116,3 +116,33 @@ def test_files(spark, messy, messy_rows, clashing, empty, direct):
     path = fresh_dir(spark, "codes")
     dac.write_ids(empty, path, WORDS)
     assert dac.read_documents(spark, path).count() == 0
+
+
+def test_packing_starts_no_other_python_workers(messy, empty):
+    """The table of slots is Arrow's: a list of tuples goes through an RDD of Python with a daemon and workers of its own."""
+    for docs in (messy, empty):
+        plan = packing.pack(docs, WORDS, 256)._jdf.queryExecution().executedPlan().toString()
+        assert "ExistingRDD" not in plan
+
+
+def test_both_tokenizers_share_one_model():
+    own = WordEncoder(WORDS)
+    token = own.tokenizer.id_to_token(300)
+    own.tokenizer.model.unk_token = token
+    assert own.bare.model.unk_token == token
+
+
+def test_a_worker_gives_memory_back_after_each_task(monkeypatch):
+    told = []
+    monkeypatch.setattr(common, "trim", lambda: told.append("trim"))
+
+    def run(batches):
+        for batch in batches:
+            yield batch
+        told.append("ended")
+
+    assert list(common.trimmed(run)(iter([1, 2]))) == [1, 2] and told == ["ended", "trim"]
+    early = common.trimmed(run)(iter([1, 2]))
+    assert next(early) == 1
+    early.close()
+    assert told == ["ended", "trim", "trim"]
