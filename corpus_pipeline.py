@@ -16,6 +16,10 @@ from navrecon.llm.common import staged, table
 from navrecon.llm.queries import WORDS
 
 
+#: Words whose ids a worker keeps in packing. Fewer than in op1, as its executors still hold memory of the stages before.
+CACHED = 150_000
+
+
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxic score of one half or more go.
 
@@ -61,7 +65,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Copies of a document have the same doc_id and start, and places of their own.
     """
-    return packing.pack(docs, WORDS, 2048)
+    return packing.pack(docs, WORDS, 2048, cached=CACHED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

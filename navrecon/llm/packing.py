@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navrecon.llm.common import SMALL_BATCH, importable, running, staged, text_of, trimmed
-from navrecon.llm.tokens import encode_all
+from navrecon.llm.tokens import CACHED, encode_all
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, size: int, id_col: str, text_col: str,
-                  keep_ids: bool) -> DataFrame:
+                  keep_ids: bool, cached: int = CACHED) -> DataFrame:
     """A row for each piece: __id, start, length, ids_crc32, doc_tokens, and ids if asked for."""
     importable(docs.sparkSession, SMALL_BATCH)
     key = docs.schema[id_col].dataType.simpleString()
@@ -29,7 +29,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, size: int, id_col: str, text
 
     def pieces(batches):
         for batch in batches:
-            rows, ids_of = [], encode_all(vocabulary, batch.column(1))
+            rows, ids_of = [], encode_all(vocabulary, batch.column(1), cached=cached)
             for key, ids in zip(batch.column(0).to_pylist(), ids_of, strict=True):
                 total = len(ids) // 4
                 for start in range(0, total, size):
@@ -85,15 +85,16 @@ def places(found: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, int, int
 
 
 def pack(docs: DataFrame, vocabulary: str, size: int = 2048, id_col: str = "doc_id", text_col: str = "text",
-         keep_ids: bool = False) -> DataFrame:
+         keep_ids: bool = False, cached: int = CACHED) -> DataFrame:
     """A row for each piece: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     A document's ids end with id 1, so a null or empty text is one piece of one id.
     Pieces are cut at multiples of size. Sequences are numbered from 0 without gaps
     and filled from offset 0 without gaps; the rest of size is padding. Repeated rows
-    and null ids are packed like others. Other columns are ignored.
+    and null ids are packed like others. Other columns are ignored. cached bounds the words
+    that a worker keeps with their ids, in time and memory only; the result is the same.
     """
-    pieces = staged(cut_documents(docs, vocabulary, size, id_col, text_col, keep_ids), "pieces")
+    pieces = staged(cut_documents(docs, vocabulary, size, id_col, text_col, keep_ids, cached), "pieces")
     lengths = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most size rows
     slots = places(patterns({r.length: r.n for r in lengths}, size))
     # The number of slots depends on size, not on the documents: a few for each length.

@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from navrecon.llm.common import leave_room
+from navrecon.llm.common import leave_room, trim
 
 #: Every document ends with this id.
 END = 1
@@ -149,14 +149,16 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, cached: int = CACHED) -> WordEncoder:
     """One encoder for each worker process and vocabulary."""
-    return WordEncoder(path)
+    own = WordEncoder(path, cached)
+    trim()  # what reading the file took
+    return own
 
 
-def encode_all(path: str, texts, step: int = 128):
-    """The ids of each text with the end id, a few texts at a time."""
+def encode_all(path: str, texts, step: int = 128, cached: int = CACHED):
+    """The ids of each text with the end id, a few texts at a time; a worker keeps about `cached` words."""
     leave_room("tokens")
-    own = encoder(path)
+    own = encoder(path, cached)
     for i in range(0, len(texts), step):
         yield from own.encode(texts[i:i + step].to_pylist(), ended=True)

@@ -146,3 +146,7 @@ def test_a_worker_gives_memory_back_after_each_task(monkeypatch):
     assert next(early) == 1
     early.close()
     assert told == ["ended", "trim", "trim"]
+
+
+def test_pack_with_few_cached_words(messy, messy_rows, direct):
+    check_packed(packing.pack(messy, WORDS, 256, cached=100).collect(), [r[:2] for r in messy_rows], 256, direct)
