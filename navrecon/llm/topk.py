@@ -7,6 +7,9 @@ that holds the k-th. When the bin is one score wide it is the k-th score; a last
 keeps what reaches it and breaks ties by the smaller id. A block sends only the bins
 above its own k-th best (the global k-th cannot be lower), so what is shuffled does
 not grow with the size of a block.
+
+Queries go in groups of a bounded size to the blocks of vectors, which stay where they
+are: whatever Spark takes the size of a table for, no broadcast holds vectors.
 """
 
 from __future__ import annotations
@@ -17,10 +20,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from navrecon.llm.common import importable, staged
+from navrecon.session import fresh_dir
 
 QUERIES, VECTORS, BINS = 512, 4096, 256
+#: Dimensions that the sizes of blocks and groups are meant for, components of the queries that are sent to all blocks at
+#: once (8 MB), vectors of a block at least.
+DIM, SENT, FEW = 64, 2 ** 20, 256
 #: Components and scores beyond this count as this.
 LIMIT = 2 ** 60
+RESULT = "query_id long, rank int, vec_id long, score long"
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
@@ -34,14 +42,25 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataF
             .withColumn("dim", F.size("v")))
 
 
-def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """(dim, name, ids, vs): rows in blocks of about size, dealt by a hash of the id."""
-    n = max(1, -(-rows.count() // size))
+def load(rows: DataFrame) -> int:
+    """The components of all rows; a short vector counts as DIM."""
+    return rows.agg(F.sum(F.greatest("dim", F.lit(DIM)))).first()[0] or 0
+
+
+def blocks(rows: DataFrame, n: int, name: str) -> DataFrame:
+    """(dim, name, ids, vs): rows in n blocks of each length, dealt by a hash of the id."""
     return (rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
                 .groupBy("dim", name).agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("r"))
                 .select("dim", name, F.col("r.id").alias("ids"), F.flatten("r.v").alias("vs")))
 
 
+def apart(df: DataFrame, label: str) -> DataFrame:
+    """df staged with each row in a file of its own, so that rows are read by as many tasks as there is room for."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.option("maxRecordsPerFile", 1).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Exact integer inner products of all rows of q and v."""
     bound = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, q.shape[1])
@@ -55,23 +74,24 @@ def scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def _rows(batches, step: int = 128):
-    """For each pair of blocks, some queries at a time: their place, ids, scores; own pairs are marked."""
+    """For each block of vectors and each block of queries beside it, some queries at a time: the block's low and
+    width, their ids, the vectors' ids, scores; own pairs are marked."""
     for batch in batches:
         for k in range(batch.num_rows):
             row = {n: batch.column(i)[k] for i, n in enumerate(batch.schema.names)}
-            dim, qids = row["dim"].as_py(), np.asarray(row["qids"].values)
-            ids = np.asarray(row["ids"].values)
-            q = np.asarray(row["qvs"].values).reshape(len(qids), dim)
+            dim, ids, asked = row["dim"].as_py(), np.asarray(row["ids"].values), row["asked"].values
             v = np.asarray(row["vs"].values).reshape(len(ids), dim)
-            for i in range(0, len(qids), step):
-                part = slice(i, i + step)
-                yield row, part, qids[part], ids, scores(q[part], v), qids[part, None] != ids[None, :]
+            for j in range(len(asked)):
+                qids, qvs, low, width = (np.asarray(asked.field(n)[j].values) for n in ("qids", "qvs", "low", "width"))
+                q = qvs.reshape(len(qids), dim)
+                for i in range(0, len(qids), step):
+                    part = slice(i, i + step)
+                    yield low[part], width[part], qids[part], ids, scores(q[part], v), qids[part, None] != ids[None, :]
 
 
 def _histograms(k: int):
     def run(batches):
-        for row, part, qids, _, s, other in _rows(batches):
-            low, width = (np.asarray(row[c].values)[part] for c in ("low", "width"))
+        for low, width, qids, _, s, other in _rows(batches):
             out_q, out_b, out_n = [], [], []
             for i, qid in enumerate(qids):
                 # Scores above the interval are counted in the last bin + 1.
@@ -91,8 +111,8 @@ def _histograms(k: int):
 
 def _reached(k: int):
     def run(batches):
-        for row, part, qids, ids, s, other in _rows(batches):
-            low, out = np.asarray(row["low"].values)[part], []
+        for low, _, qids, ids, s, other in _rows(batches):
+            out = []
             for i, qid in enumerate(qids):
                 hit = np.flatnonzero(other[i] & (s[i] >= low[i]))
                 # ids ascend, so a stable order by score keeps the smaller ids of a tie.
@@ -117,30 +137,41 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
     importable(spark)
     once = lambda df: usable(df, id_col, vec_col, scale).groupBy("id").agg(
         F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    held = staged(blocks(staged(once(vectors), "vectors"), VECTORS, "vblock"), "vector-blocks")
-    asked = staged(blocks(staged(once(queries), "queries"), QUERIES, "qblock"), "query-blocks")
+    held, asked = staged(once(vectors), "vectors"), staged(once(queries), "queries")
+    cores = spark.sparkContext.defaultParallelism
+    held = apart(blocks(held, max(1, -(-load(held) // (VECTORS * DIM)), min(cores, held.count() // FEW)), "vblock"),
+                 "vector-blocks")
+    asks = load(asked)
+    n = max(1, -(-asks // (QUERIES * DIM)), -(-asks // SENT))
+    asked = staged(blocks(asked, n, "qblock"), "query-blocks")
     # No score is beyond |q| * |v|, bounded by the largest components of either side.
     most = lambda df: df.agg(F.max(F.array_max(F.transform("vs", F.abs))).alias("m"), F.max("dim").alias("d")).first()
     a, b = most(held), most(asked)
     if a.m is None or b.m is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return spark.createDataFrame([], RESULT)
     bound = min(a.m * b.m * max(a.d, 1), LIMIT) + 1
+    out, groups = fresh_dir(spark, "best"), -(-asks // SENT)
+    for group in range(groups):
+        best = _one_group(held, asked.where(F.col("qblock") % groups == group), k, bound)
+        best.write.mode("append").parquet(out)
+    return spark.read.schema(RESULT).parquet(out)
+
+
+def _one_group(held: DataFrame, asked: DataFrame, k: int, bound: int) -> DataFrame:
+    """The best for a group of query blocks: some SENT components, so whatever is joined with these is small."""
     width = 1
     while width * BINS <= 2 * bound:
         width *= BINS
     state = asked.select("dim", "qblock", F.explode("ids").alias("query_id")).select(
-        "dim", "qblock", "query_id", F.lit(-bound).cast("long").alias("low"),
-        F.lit(width).cast("long").alias("width"), F.lit(0).cast("long").alias("above"))
-    numbers = asked.select("dim", "qblock").distinct().groupBy("dim").agg(F.collect_list("qblock").alias("qblocks"))
+        "dim", "qblock", "query_id", F.lit(-bound).cast("long").alias("low"), F.lit(width).cast("long").alias("width"))
 
     def pairs(state: DataFrame) -> DataFrame:
-        """Each block of vectors beside each block of queries with its state, keyed by the block's number."""
+        """Each block of vectors once, beside the query blocks of its length with their state."""
         now = state.groupBy("dim", "qblock").agg(F.sort_array(F.collect_list(F.struct("query_id", "low", "width"))).alias("s"))
-        full = asked.join(now, ["dim", "qblock"]).select(
-            "dim", "qblock", F.col("ids").alias("qids"), F.col("vs").alias("qvs"), F.col("s.low").alias("low"),
-            F.col("s.width").alias("width"))
-        each = held.join(numbers, "dim").withColumn("qblock", F.explode("qblocks")).drop("qblocks")
-        return each.join(full, ["dim", "qblock"])
+        full = asked.join(now, ["dim", "qblock"]).groupBy("dim").agg(F.collect_list(F.struct(
+            F.col("ids").alias("qids"), F.col("vs").alias("qvs"), F.col("s.low").alias("low"),
+            F.col("s.width").alias("width"))).alias("asked"))
+        return held.join(F.broadcast(full), "dim").select("dim", "ids", "vs", "asked")
 
     while True:
         counted = (pairs(state).mapInArrow(_histograms(k), "query_id long, bin long, n long")
@@ -153,7 +184,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
         last = width == 1
         state = staged(state.join(found, "query_id", "left").select(
             "dim", "qblock", "query_id", low.alias("low"),
-            F.greatest(F.lit(1), F.floor(F.col("width") / BINS)).cast("long").alias("width"), "above"), "thresholds")
+            F.greatest(F.lit(1), F.floor(F.col("width") / BINS)).cast("long").alias("width")), "thresholds")
         if last:
             break
         width //= BINS

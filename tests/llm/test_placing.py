@@ -126,3 +126,47 @@ def test_top_k_small(spark):
     huge = spark.createDataFrame([(1, [1e30, -1e30]), (2, [1e30, -1e30]), (3, [1.0, 0.0])], "vec_id long, embedding array<double>")
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(huge, huge).collect()}
     assert got[(1, 1)] == (2, topk.LIMIT) and got[(3, 1)] == (1, topk.LIMIT)
+
+
+def broadcasts(df):
+    """Bytes of each broadcast, measured while the plan of df runs."""
+    plan = df._jdf.queryExecution()
+    plan.toRdd().count()
+    nodes, out = [plan.executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "BroadcastExchangeExec":
+            out.append(node.metrics().apply("dataSize").value())
+        elif kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return out
+
+
+def test_top_k_broadcasts_no_vectors(spark, monkeypatch):
+    """Vectors of equal components take hardly a byte on disk, so Spark takes their blocks for small."""
+    rows = [(i, [float(i % 7 - 3)] * 64) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for name, value in (("VECTORS", 100), ("QUERIES", 16), ("SENT", 2 ** 14)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    sent, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **b: sent.append(self) or plain(self, *a, **b))
+    got = {tuple(r) for r in topk.top_k(docs, docs.where("vec_id % 4 = 0"), 2).collect()}
+    monkeypatch.undo()
+    assert got == brute_top(rows, range(0, 2000, 4), 2)
+    # A relation takes 1 MB at least; all vectors are 1 MB, beside each of the blocks of queries they were 32 MB.
+    assert all(max(broadcasts(df)) <= 2 ** 21 for df in (sent[0], sent[-1]))
+
+
+def test_top_k_groups(spark, monkeypatch):
+    """Several groups of queries, several lengths in each of them, blocks that one query alone fills."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=(3, 64, 100, 300)[i % 4]).round(2).tolist()) for i in range(300)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for name, value in (("VECTORS", 50), ("QUERIES", 8), ("SENT", 2 ** 12)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    got = topk.top_k(docs, docs.where("vec_id < 60"), 5).collect()
+    assert {tuple(r) for r in got} == brute_top(rows, range(60), 5) and len(got) == 300
